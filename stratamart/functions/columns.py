@@ -9,31 +9,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def guarded_ratio(numerator: Column, denominator: Column, fallback: float | None = None) -> Column:
-    """``numerator / denominator`` as a double where the denominator is positive, else ``fallback``."""
-    ratio = numerator.cast("double") / denominator.cast("double")
-    return F.when(denominator > 0, ratio).otherwise(F.lit(fallback).cast("double"))
+# Expressions are written as SQL text where they are fixed: one call to the JVM each, while every
+# operator of a Column tree is a call of its own.
 
 
-def days_between(later: Column, earlier: Column) -> Column:
-    """Whole calendar days; the time of day is ignored."""
-    return F.datediff(later, earlier).cast("bigint")
+def quoted(name: str) -> str:
+    """A column name for use in SQL text."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def text_literal(value: str) -> str:
+    """A string constant for use in SQL text."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def guarded_ratio(numerator: str, denominator: str, fallback: str = "NULL") -> str:
+    """SQL for the ratio as a double where the denominator is positive, else ``fallback``."""
+    ratio = f"CAST({numerator} AS DOUBLE) / CAST({denominator} AS DOUBLE)"
+    return f"CASE WHEN {denominator} > 0 THEN {ratio} ELSE CAST({fallback} AS DOUBLE) END"
 
 
 def interval_days(days: int) -> Column:
     return F.expr(f"INTERVAL '{int(days)}' DAY")
 
 
-def calendar_columns(date: str = "date") -> list[Column]:
-    """Calendar attributes of a date column; ``day_of_week`` counts from 1 = Sunday."""
-    day = F.col(date)
+def calendar_columns(date: str = "date") -> list[str]:
+    """SQL for the calendar attributes of a date column; ``day_of_week`` counts from 1 = Sunday."""
+    day = quoted(date)
     return [
-        F.date_format(day, "yyyyMMdd").alias("date_key"),
-        day.alias("date"),
-        F.year(day).alias("year"),
-        F.month(day).alias("month"),
-        F.dayofmonth(day).alias("day"),
-        F.dayofweek(day).alias("day_of_week"),
+        f"date_format({day}, 'yyyyMMdd') AS date_key",
+        f"{day} AS date",
+        f"year({day}) AS year",
+        f"month({day}) AS month",
+        f"dayofmonth({day}) AS day",
+        f"dayofweek({day}) AS day_of_week",
     ]
 
 

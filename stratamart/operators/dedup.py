@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import DataType, MapType, VariantType
 
 from stratamart.contracts import INGESTION_TIMESTAMP
+from stratamart.functions.columns import quoted
 
 
 def _sortable(kind: DataType) -> bool:
@@ -22,16 +22,15 @@ def keep_one_per_key(
     The rank filter becomes a group limit before the shuffle: each task sends at most one row per
     key, so a key with many copies does not pile up in one task.
     """
-    ranked = df.columns
-    order = []
-    if newest_by in ranked:
-        order.append(F.col(newest_by).desc_nulls_last())
+    columns = df.columns
+    order = [f"{quoted(newest_by)} DESC NULLS LAST"] if newest_by in columns else []
     order += [
-        F.col(field.name).asc_nulls_last()
+        f"{quoted(field.name)} ASC NULLS LAST"
         for field in df.schema
         if field.name not in keys and field.name != newest_by and _sortable(field.dataType)
     ]
     if not order:
         return df.dropDuplicates(keys)
-    per_key = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(per_key)).filter("_rank = 1").select(ranked)
+    partition = ", ".join(map(quoted, keys))
+    rank = f"row_number() OVER (PARTITION BY {partition} ORDER BY {', '.join(order)})"
+    return df.selectExpr("*", f"{rank} AS _rank").filter("_rank = 1").drop("_rank")

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from stratamart.contracts import WINDOW_DAYS
-from stratamart.functions.columns import interval_days
+from stratamart.functions.columns import interval_days, quoted
 from stratamart.operators.dedup import keep_one_per_key
 
 
 def positive(df: DataFrame, column: str) -> DataFrame:
     """Rows with a value above zero; NULL is dropped."""
-    return df.filter(F.col(column) > 0)
+    return df.filter(f"{quoted(column)} > 0")
 
 
 def clean_orders(orders_header: DataFrame) -> DataFrame:
@@ -25,7 +26,7 @@ def clean_lines(orders_detail: DataFrame) -> DataFrame:
 
     Lines without an order id never reach the fact and are left out before the shuffle.
     """
-    identified = orders_detail.filter(F.col("order_id").isNotNull())
+    identified = orders_detail.filter("order_id IS NOT NULL")
     return positive(keep_one_per_key(identified, ["order_id", "line_id"]), "qty_units")
 
 
@@ -34,6 +35,12 @@ def without_shared_columns(right: DataFrame, left: DataFrame, key: str) -> DataF
     return right.select(*[c for c in right.columns if c == key or c not in left.columns])
 
 
+def _line_less(orders: DataFrame, columns: list[StructField]) -> DataFrame:
+    """Orders with NULL line columns."""
+    missing = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in columns]
+    return orders.selectExpr("*", *missing)
+
+
 def attach_lines(orders: DataFrame, lines: DataFrame, key: str = "order_id") -> DataFrame:
     """Left outer join of unique ``orders`` with their ``lines``; columns of ``orders`` win.
 
@@ -43,9 +50,9 @@ def attach_lines(orders: DataFrame, lines: DataFrame, key: str = "order_id") ->
     """
     lines = without_shared_columns(lines, orders, key)
     matched = orders.join(lines, key)
-    no_line = [F.lit(None).cast(f.dataType).alias(f.name) for f in lines.schema if f.name != key]
-    unmatched = orders.join(lines.select(key).distinct(), key, "left_anti").select("*", *no_line)
-    return matched.unionByName(unmatched)
+    without_lines = orders.join(lines.select(key).distinct(), key, "left_anti")
+    line_columns = [field for field in lines.schema if field.name != key]
+    return matched.unionByName(_line_less(without_lines, line_columns))
 
 
 def build_fact_order_line(orders_header: DataFrame, orders_detail: DataFrame) -> DataFrame:
@@ -73,15 +80,57 @@ def build_fact_last_3m(
     return fact.filter(F.col("order_date") >= newest - interval_days(days))
 
 
+def _recent_lines(recent: DataFrame, orders_detail: DataFrame) -> DataFrame:
+    """Valid lines of the ``recent`` orders, with the columns of the order.
+
+    The order is joined first, so that only lines of the window are deduplicated. Columns of the
+    order are constant per key; they are set aside while the lines are compared by their own.
+    """
+    own = orders_detail.columns
+    aside = {c: f"_order_{c}" if c in own else c for c in recent.columns if c != "order_id"}
+    renamed = recent.selectExpr(
+        "order_id", *[f"{quoted(c)} AS {quoted(name)}" for c, name in aside.items()]
+    )
+    lines = clean_lines(orders_detail.join(renamed, "order_id"))
+    return lines.selectExpr(
+        "order_id",
+        *[f"{quoted(name)} AS {quoted(c)}" for c, name in aside.items()],
+        *[quoted(c) for c in own if c not in recent.columns],
+    )
+
+
 def build_recent_fact(
-    orders_header: DataFrame, orders_detail: DataFrame, days: int = WINDOW_DAYS
+    orders: DataFrame,
+    orders_detail: DataFrame,
+    days: int = WINDOW_DAYS,
+    newest: Column | None = None,
 ) -> DataFrame:
-    """``build_fact_last_3m(build_fact_order_line(...))`` without building the older history.
+    """``build_fact_last_3m`` of the fact of ``clean_orders`` rows and raw lines, without building
+    the older history.
 
-    A left join keeps every order, so the newest date and the window can be taken from the headers,
+    A left join keeps every order, so the newest date and the window can be taken from the orders,
     and only lines of those orders are deduplicated and joined.
     """
-    orders = clean_orders(orders_header)
-    recent = build_fact_last_3m(orders, days)
-    their_lines = orders_detail.join(recent.select("order_id"), "order_id", "left_semi")
-    return attach_lines(recent, clean_lines(their_lines))
+    recent = build_fact_last_3m(orders, days, newest)
+    matched = _recent_lines(recent, orders_detail)
+    without_lines = recent.join(matched.select("order_id").distinct(), "order_id", "left_anti")
+    line_columns = [field for field in matched.schema if field.name not in recent.columns]
+    return matched.unionByName(_line_less(without_lines, line_columns))
+
+
+def build_recent_activity(
+    orders: DataFrame,
+    orders_detail: DataFrame,
+    days: int = WINDOW_DAYS,
+    newest: Column | None = None,
+) -> DataFrame:
+    """``build_recent_fact`` with one more row without line for every order.
+
+    Sums and maxima per order ignore NULL lines, so order and customer rollups of both are equal;
+    finding the orders without lines, a join of its own, is not needed for them. Row counts and
+    sums of header columns over lines (the sales summary) do need ``build_recent_fact``.
+    """
+    recent = build_fact_last_3m(orders, days, newest)
+    matched = _recent_lines(recent, orders_detail)
+    line_columns = [field for field in matched.schema if field.name not in recent.columns]
+    return matched.unionByName(_line_less(recent, line_columns))

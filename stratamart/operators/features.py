@@ -5,27 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stratamart.functions.columns import days_between, guarded_ratio
+from stratamart.functions.columns import guarded_ratio
 
 
 def total_sales() -> Column:
     """Sales over all orders; NULL where no order has a line."""
-    return F.col("sales").cast("double").alias("ventas_total_3m")
+    return F.expr("CAST(sales AS DOUBLE) AS ventas_total_3m")
 
 
 def recency_days(reference: Column) -> Column:
-    """Days from the customer's last order to the reference date."""
-    return days_between(reference, F.col("last_order_date")).alias("recencia_dias")
+    """Days from the customer's last order to the reference date, the time of day ignored."""
+    return F.datediff(reference, "last_order_date").cast("bigint").alias("recencia_dias")
 
 
 def order_frequency() -> Column:
     """Number of orders, those without lines included."""
-    return F.col("orders").alias("frecuencia_pedidos_3m")
+    return F.expr("orders AS frecuencia_pedidos_3m")
 
 
 def average_ticket() -> Column:
     """Sales per order."""
-    return guarded_ratio(F.col("sales"), F.col("orders")).alias("ticket_promedio_3m")
+    return F.expr(f"{guarded_ratio('sales', 'orders')} AS ticket_promedio_3m")
 
 
 def average_days_between_orders() -> Column:
@@ -34,28 +34,23 @@ def average_days_between_orders() -> Column:
     Consecutive gaps add up to the span from the first to the last order, so neither a sort nor a
     window is needed.
     """
-    span = days_between(F.col("last_order_date"), F.col("first_order_date"))
-    gaps = F.col("dated_orders") - 1
-    return guarded_ratio(span, gaps).alias("dias_promedio_entre_pedidos")
+    span, gaps = "datediff(last_order_date, first_order_date)", "(dated_orders - 1)"
+    return F.expr(f"{guarded_ratio(span, gaps)} AS dias_promedio_entre_pedidos")
 
 
 def category_variety() -> Column:
     """Distinct product categories; 0 without any."""
-    return F.col("categories").alias("variedad_categorias_3m")
+    return F.expr("categories AS variedad_categorias_3m")
 
 
 def promo_order_share() -> Column:
     """Share of the orders with a promoted line, from 0 to 1."""
-    return guarded_ratio(F.col("promo_orders"), F.col("orders"), 0.0).alias(
-        "porcentaje_pedidos_promo_3m"
-    )
+    return F.expr(f"{guarded_ratio('promo_orders', 'orders', '0')} AS porcentaje_pedidos_promo_3m")
 
 
 def credit_share() -> Column:
     """Share of the sales paid on credit; 0 where sales are not positive or unknown."""
-    return guarded_ratio(F.col("credit_sales"), F.col("sales"), 0.0).alias(
-        "mix_credito_vs_contado_3m"
-    )
+    return F.expr(f"{guarded_ratio('credit_sales', 'sales', '0')} AS mix_credito_vs_contado_3m")
 
 
 def all_features(reference: Column) -> list[Column]:

@@ -2,11 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.contracts import PAYMENT_CREDIT
-from stratamart.functions.columns import days_between
+from stratamart.functions.columns import text_literal
+
+
+def _aggregates(**expressions: str) -> list[Column]:
+    return [F.expr(sql).alias(name) for name, sql in expressions.items()]
+
+
+def _order_aggregates() -> list[Column]:
+    """Date, amount and promotion flag of one order over its lines."""
+    return _aggregates(
+        order_date="min(order_date)",
+        order_amount="sum(line_net_amount)",
+        has_promo="max(CAST(promo_flag AS INT))",
+    )
+
+
+def _customer_aggregates(is_credit: str, rows: str = "true") -> list[Column]:
+    """Customer statistics over those order-level rows for which ``rows`` holds."""
+    return _aggregates(
+        sales=f"sum(order_amount) FILTER (WHERE {rows})",
+        orders=f"count(order_id) FILTER (WHERE {rows})",
+        dated_orders=f"count(order_date) FILTER (WHERE {rows})",
+        first_order_date=f"min(order_date) FILTER (WHERE {rows})",
+        last_order_date=f"max(order_date) FILTER (WHERE {rows})",
+        promo_orders=f"count_if(has_promo = 1) FILTER (WHERE {rows})",
+        credit_sales=f"sum(CASE WHEN {is_credit} THEN order_amount ELSE 0 END) FILTER (WHERE {rows})",
+    )
 
 
 def order_rollup(fact: DataFrame) -> DataFrame:
@@ -16,43 +42,18 @@ def order_rollup(fact: DataFrame) -> DataFrame:
     order; ``max`` picks it without depending on row order.
     """
     return fact.groupBy("customer_id", "order_id").agg(
-        F.min("order_date").alias("order_date"),
-        F.sum("line_net_amount").alias("order_amount"),
-        _promo_flag(),
-        F.max("tipo_pago").alias("tipo_pago"),
+        *_order_aggregates(), F.max("tipo_pago").alias("tipo_pago")
     )
 
 
-def _promo_flag() -> Column:
-    return F.max(F.col("promo_flag").cast("int")).alias("has_promo")
-
-
-def _order_statistics(keep: Column | None, credit: str) -> list[Column]:
-    """Customer statistics over order-level rows; ``keep`` marks those rows in a mixed input."""
-
-    def only(value: Column) -> Column:
-        return value if keep is None else F.when(keep, value)
-
-    amount = F.col("order_amount")
-    on_credit = F.when(F.col("tipo_pago") == credit, amount).otherwise(0)
-    return [
-        F.sum(only(amount)).alias("sales"),
-        F.count(only(F.col("order_id"))).alias("orders"),
-        F.count(only(F.col("order_date"))).alias("dated_orders"),
-        F.min(only(F.col("order_date"))).alias("first_order_date"),
-        F.max(only(F.col("order_date"))).alias("last_order_date"),
-        F.count_if(only(F.col("has_promo") == 1)).alias("promo_orders"),
-        F.sum(only(on_credit)).alias("credit_sales"),
-    ]
-
-
 def customer_order_stats(orders: DataFrame, credit: str = PAYMENT_CREDIT) -> DataFrame:
     """Per customer, from ``order_rollup`` rows: sales, orders, first and last date, orders with a
     promoted line, credit sales.
 
     The rollup is unique per order, so distinct orders are a plain count.
     """
-    return orders.groupBy("customer_id").agg(*_order_statistics(None, credit))
+    is_credit = f"tipo_pago = {text_literal(credit)}"
+    return orders.groupBy("customer_id").agg(*_customer_aggregates(is_credit))
 
 
 def category_variety(fact: DataFrame) -> DataFrame:
@@ -68,23 +69,19 @@ def customer_rollup(fact: DataFrame, credit: str = PAYMENT_CREDIT) -> DataFrame:
     One grouping-set aggregation reduces the lines to (customer, order) and (customer, category)
     rows; a second one reduces those to customers. Each combines before its shuffle, so a customer
     with a large share of the lines costs one row per order and category, then one row per task.
+    The payment type enters as a flag: numeric buffers keep the aggregation hashed instead of sorted.
     """
-    by_order, by_category = F.col("level") == 1, F.col("level") == 2
+    on_credit = f"max(CASE WHEN tipo_pago = {text_literal(credit)} THEN 1 ELSE 0 END)"
     reduced = fact.groupingSets(
         [["customer_id", "order_id"], ["customer_id", "product_category"]],
         "customer_id",
         "order_id",
         "product_category",
-    ).agg(
-        F.grouping_id().alias("level"),
-        F.min("order_date").alias("order_date"),
-        F.sum("line_net_amount").alias("order_amount"),
-        _promo_flag(),
-        F.max("tipo_pago").alias("tipo_pago"),
-    )
+    ).agg(F.expr("grouping_id()").alias("level"), *_order_aggregates(), *_aggregates(on_credit=on_credit))
+    by_order, by_category = "level = 1", "level = 2"
     return reduced.groupBy("customer_id").agg(
-        *_order_statistics(by_order, credit),
-        F.count(F.when(by_category, F.col("product_category"))).alias("categories"),
+        *_customer_aggregates("on_credit = 1", by_order),
+        *_aggregates(categories=f"count(product_category) FILTER (WHERE {by_category})"),
     )
 
 
@@ -95,9 +92,11 @@ def sales_totals(fact: DataFrame) -> DataFrame:
     once per line; reports rely on that definition.
     """
     return fact.groupBy("customer_id").agg(
-        F.sum("order_net_amount").alias("total_order_net_amount_3m"),
-        F.sum("line_net_amount").alias("total_line_net_amount_3m"),
-        F.sum("qty_units").alias("total_qty_units_3m"),
+        *_aggregates(
+            total_order_net_amount_3m="sum(order_net_amount)",
+            total_line_net_amount_3m="sum(line_net_amount)",
+            total_qty_units_3m="sum(qty_units)",
+        )
     )
 
 
@@ -108,39 +107,40 @@ def order_gaps(orders: DataFrame) -> DataFrame:
     order of a day takes the newest date of the customer's previous day with orders: a customer with
     a large share of the orders is spread over the days instead of being sorted in one task.
     """
-    rows = orders.select("customer_id", "order_id", "order_date").withColumn(
-        "day", F.to_date("order_date")
+    rows = orders.selectExpr(
+        "customer_id", "order_id", "order_date", "CAST(order_date AS DATE) AS day"
     )
-    within_day = Window.partitionBy("customer_id", "day").orderBy("order_date", "order_id")
-    across_days = Window.partitionBy("customer_id").orderBy("day")
     days = (
         rows.groupBy("customer_id", "day")
         .agg(F.max("order_date").alias("day_end"))
-        .select(
-            F.col("customer_id").alias("d_customer"),
-            F.col("day").alias("d_day"),
-            F.lag("day_end").over(across_days).alias("previous_day_end"),
+        .selectExpr(
+            "customer_id AS d_customer",
+            "day AS d_day",
+            "lag(day_end) OVER (PARTITION BY customer_id ORDER BY day) AS previous_day_end",
         )
     )
-    same_day = F.col("customer_id").eqNullSafe(F.col("d_customer")) & F.col("day").eqNullSafe(
-        F.col("d_day")
-    )
-    previous = F.when(F.col("rank_in_day") == 1, F.col("previous_day_end")).otherwise(
-        F.col("previous_in_day")
+    within_day = "(PARTITION BY customer_id, day ORDER BY order_date, order_id)"
+    ranked = rows.selectExpr(
+        "*",
+        f"row_number() OVER {within_day} AS rank_in_day",
+        f"lag(order_date) OVER {within_day} AS previous_in_day",
     )
     return (
-        rows.withColumn("rank_in_day", F.row_number().over(within_day))
-        .withColumn("previous_in_day", F.lag("order_date").over(within_day))
-        .join(days, same_day)
-        .select("customer_id", "order_id", "order_date", previous.alias("prev_order_date"))
-        .withColumn("diff_days", days_between(F.col("order_date"), F.col("prev_order_date")))
+        ranked.join(days, F.expr("customer_id <=> d_customer AND day <=> d_day"))
+        .selectExpr(
+            "customer_id",
+            "order_id",
+            "order_date",
+            "CASE WHEN rank_in_day = 1 THEN previous_day_end ELSE previous_in_day END AS prev_order_date",
+        )
+        .selectExpr("*", "CAST(datediff(order_date, prev_order_date) AS BIGINT) AS diff_days")
     )
 
 
 def average_gap(gaps: DataFrame) -> DataFrame:
     """Mean gap per customer with at least one gap, from ``order_gaps`` rows."""
     return (
-        gaps.filter(F.col("prev_order_date").isNotNull())
+        gaps.filter("prev_order_date IS NOT NULL")
         .groupBy("customer_id")
         .agg(F.avg("diff_days").alias("dias_promedio_entre_pedidos"))
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stratamart import contracts
 from stratamart.functions.columns import calendar_columns
@@ -28,8 +27,8 @@ def build_dim_date(dated: DataFrame) -> DataFrame:
 
     Takes the fact or, since a left join keeps every order, the valid order headers.
     """
-    dates = dated.select(F.to_date("order_date").alias("date")).distinct()
-    return dates.select(*calendar_columns("date"))
+    dates = dated.selectExpr("CAST(order_date AS DATE) AS date").distinct()
+    return dates.selectExpr(*calendar_columns("date"))
 
 
 def silver_input(spark: SparkSession, base_dir: str, table: str) -> DataFrame:

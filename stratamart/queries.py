@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -17,6 +17,7 @@ from stratamart.operators.facts import (
     attach_lines,
     build_fact_last_3m,
     build_fact_order_line,
+    build_recent_activity,
     build_recent_fact,
     clean_lines,
     clean_orders,
@@ -85,15 +86,20 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_recent_fact(orders_header(spark, sf_dir), orders_detail(spark, sf_dir))
+    """The fact of the window."""
+    orders = clean_orders(orders_header(spark, sf_dir))
+    return build_recent_fact(orders, orders_detail(spark, sf_dir))
 
 
-def _newest(spark: SparkSession, sf_dir: str):
-    return newest_date(clean_orders(orders_header(spark, sf_dir)))
+def _activity(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """Rows of the window for order and customer rollups, and the newest order date."""
+    orders = clean_orders(orders_header(spark, sf_dir))
+    newest = newest_date(orders)
+    return build_recent_activity(orders, orders_detail(spark, sf_dir), newest=newest), newest
 
 
-def _customer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.customer_order_stats(rollups.order_rollup(_recent(spark, sf_dir)))
+def _customer_stats(fact_3m: DataFrame) -> DataFrame:
+    return rollups.customer_order_stats(rollups.order_rollup(fact_3m))
 
 
 # Sources and sinks
@@ -275,8 +281,9 @@ def max_order_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("fact_last_90d")
 def fact_last_90d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The window cut from the complete fact."""
-    newest = _newest(spark, sf_dir)
-    return _published(build_fact_last_3m(_fact(spark, sf_dir), newest=newest))
+    orders = clean_orders(orders_header(spark, sf_dir))
+    fact = attach_lines(orders, clean_lines(orders_detail(spark, sf_dir)))
+    return _published(build_fact_last_3m(fact, newest=newest_date(orders)))
 
 
 @_query("recent_fact")
@@ -290,18 +297,18 @@ def recent_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("orders_3m")
 def orders_3m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _published(rollups.order_rollup(_recent(spark, sf_dir)))
+    return _published(rollups.order_rollup(_activity(spark, sf_dir)[0]))
 
 
 @_query("customer_order_stats_3m")
 def customer_order_stats_3m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _published(_customer_stats(spark, sf_dir))
+    return _published(_customer_stats(_activity(spark, sf_dir)[0]))
 
 
 def _feature(name: str, expression: Callable) -> None:
     @_query(name)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _customer_stats(spark, sf_dir).select("customer_id", expression())
+        return _customer_stats(_activity(spark, sf_dir)[0]).select("customer_id", expression())
 
 
 _feature("total_sales_3m", features.total_sales)
@@ -313,24 +320,24 @@ _feature("credit_share_3m", features.credit_share)
 
 @_query("recency_days")
 def recency_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reference = _newest(spark, sf_dir)
-    return _customer_stats(spark, sf_dir).select("customer_id", features.recency_days(reference))
+    activity, newest = _activity(spark, sf_dir)
+    return _customer_stats(activity).select("customer_id", features.recency_days(newest))
 
 
 @_query("category_variety_3m")
 def category_variety_3m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = rollups.category_variety(_recent(spark, sf_dir))
+    counts = rollups.category_variety(_activity(spark, sf_dir)[0])
     return counts.select("customer_id", features.category_variety())
 
 
 @_query("order_gaps")
 def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.order_gaps(rollups.order_rollup(_recent(spark, sf_dir)))
+    return rollups.order_gaps(rollups.order_rollup(_activity(spark, sf_dir)[0]))
 
 
 @_query("avg_days_between_orders")
 def avg_days_between_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gaps = rollups.order_gaps(rollups.order_rollup(_recent(spark, sf_dir)))
+    gaps = rollups.order_gaps(rollups.order_rollup(_activity(spark, sf_dir)[0]))
     return rollups.average_gap(gaps)
 
 
@@ -344,7 +351,7 @@ def features_join_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     attributes = build_dim_customer(customers(spark, sf_dir)).select(
         "customer_id", "canal", "estado"
     )
-    stats = _customer_stats(spark, sf_dir).select("customer_id", "sales", "orders")
+    stats = _customer_stats(_activity(spark, sf_dir)[0]).select("customer_id", "sales", "orders")
     return _published(stats.join(attributes, "customer_id"))
 
 
@@ -356,11 +363,8 @@ def gold_sales_customer_3m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("dim_features")
 def dim_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_dim_features(
-        _recent(spark, sf_dir),
-        build_dim_customer(customers(spark, sf_dir)),
-        reference=_newest(spark, sf_dir),
-    )
+    activity, newest = _activity(spark, sf_dir)
+    return build_dim_features(activity, build_dim_customer(customers(spark, sf_dir)), newest)
 
 
 @_query("medallion_end_to_end")
@@ -433,9 +437,9 @@ def features_not_in_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("reconcile_features_vs_sales")
 def reconcile_features_vs_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact_3m = _recent(spark, sf_dir)
-    calculated = build_customer_features(fact_3m, _newest(spark, sf_dir))
-    return checks.reconcile(calculated, rollups.sales_totals(fact_3m))
+    activity, newest = _activity(spark, sf_dir)
+    calculated = build_customer_features(activity, newest)
+    return checks.reconcile(calculated, rollups.sales_totals(_recent(spark, sf_dir)))
 
 
 @_query("layer_row_counts")

@@ -11,15 +11,17 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Let adaptive execution split a hot join key even where that costs one more shuffle.
+    """Settings that keep a key with a large share of the rows from becoming one task.
 
-    By default a skewed partition stays whole when the operator above the join relies on its
-    partitioning (a deduplication, a rollup). A key with a third of the rows would then be one task.
-    Sizes, memory and partition counts are left to the cluster.
+    Adaptive execution splits a hot join key even where that costs one more shuffle. A
+    deduplication or rollup on several columns is spread by all of them, after combining on the map
+    side, instead of reusing the partitioning of a join on one of them. Sizes, memory and partition
+    counts are left to the cluster.
     """
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
     return spark
 
 
