@@ -24,6 +24,12 @@ def text_literal(value: str) -> str:
     return f"'{escaped}'"
 
 
+def stacked(rows: list[tuple[str, ...]], names: tuple[str, ...]) -> str:
+    """SQL that turns one row into ``rows``, each given as SQL values for the columns ``names``."""
+    values = ", ".join(value for row in rows for value in row)
+    return f"stack({len(rows)}, {values}) AS ({', '.join(map(quoted, names))})"
+
+
 def guarded_ratio(numerator: str, denominator: str, fallback: str = "NULL") -> str:
     """SQL for the ratio as a double where the denominator is positive, else ``fallback``."""
     ratio = f"CAST({numerator} AS DOUBLE) / CAST({denominator} AS DOUBLE)"

@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from stratamart.contracts import FLAG_COLUMNS
+from stratamart.functions.columns import quoted, stacked, text_literal
 
 
-def _typed(field: StructField, source: DataType) -> Column:
-    value = F.col(field.name)
+def _typed(field: StructField, source: DataType) -> str:
+    """SQL for a column in its contract type, NULL where it cannot be cast."""
+    column, kind = quoted(field.name), field.dataType.simpleString()
     if source == field.dataType:
-        return value
-    if isinstance(source, StringType):
-        value = F.trim(value)
-    typed = value.try_cast(field.dataType)
+        return column
+    value = f"trim({column})" if isinstance(source, StringType) else column
+    typed = f"try_cast({value} AS {kind})"
     if field.name in FLAG_COLUMNS and isinstance(source, StringType):
         # Text flags come as 1/0 or as true/false.
-        return F.coalesce(typed, value.try_cast("boolean").cast(field.dataType))
+        return f"coalesce({typed}, CAST(try_cast({value} AS BOOLEAN) AS {kind}))"
     return typed
 
 
@@ -35,9 +35,11 @@ def apply_contract(df: DataFrame, contract: StructType) -> DataFrame:
     Columns outside the contract are kept unchanged.
     """
     fields = {field.name: field for field in _present(df, contract)}
-    return df.select(
+    return df.selectExpr(
         *[
-            _typed(fields[c.name], c.dataType).alias(c.name) if c.name in fields else F.col(c.name)
+            f"{_typed(fields[c.name], c.dataType)} AS {quoted(c.name)}"
+            if c.name in fields
+            else quoted(c.name)
             for c in df.schema
         ]
     )
@@ -46,19 +48,9 @@ def apply_contract(df: DataFrame, contract: StructType) -> DataFrame:
 def reject_counts(df: DataFrame, contract: StructType) -> DataFrame:
     """Values per column that the contract turns into NULL: (column, rejects). One pass."""
     fields = _present(df, contract)
-    lost = {
-        field.name: F.col(field.name).isNotNull()
-        & _typed(field, df.schema[field.name].dataType).isNull()
-        for field in fields
-    }
-    counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in lost.items()])
-    return counts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("column"), F.col(name).alias("rejects"))
-                    for name in lost
-                ]
-            )
-        )
-    )
+    counts, rows = [], []
+    for i, field in enumerate(fields):
+        typed = _typed(field, df.schema[field.name].dataType)
+        counts.append(f"count_if({quoted(field.name)} IS NOT NULL AND {typed} IS NULL) AS rejects_{i}")
+        rows.append((text_literal(field.name), f"rejects_{i}"))
+    return df.selectExpr(*counts).selectExpr(stacked(rows, ("column", "rejects")))

@@ -9,39 +9,29 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratamart import contracts
+from stratamart.functions.columns import guarded_ratio, quoted, stacked, text_literal
 
 REPORT_COLUMNS = ("table", "check", "column", "violations", "status")
 
 
-def _graded(violations: Column, grade: str) -> Column:
+def _graded(violations: str, grade: str) -> str:
     if grade == "info":
-        return F.lit("info")
-    return F.when(violations == 0, "ok").otherwise(grade)
+        return "'info'"
+    return f"CASE WHEN {violations} = 0 THEN 'ok' ELSE '{grade}' END"
 
 
 def _report_rows(counts: DataFrame, table: str, rows: list[tuple[str, str, str, str]]) -> DataFrame:
     """Turn one row of counts into report rows, given (check, column, name of the count, grade)."""
-    return counts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(table).alias("table"),
-                        F.lit(check).alias("check"),
-                        F.lit(column).alias("column"),
-                        F.col(count).cast("bigint").alias("violations"),
-                        _graded(F.col(count), grade).alias("status"),
-                    )
-                    for check, column, count, grade in rows
-                ]
-            )
-        )
-    )
+    values = [
+        (*map(text_literal, (table, check, column)), count, _graded(count, grade))
+        for check, column, count, grade in rows
+    ]
+    return counts.selectExpr(stacked(values, REPORT_COLUMNS))
 
 
 def profile(
@@ -56,23 +46,23 @@ def profile(
 
     ``nulls_except`` turns on the NULL check for every other column. NULL passes the value checks.
     """
-    checks: list[tuple[str, str, Column, str]] = []
+    checks: list[tuple[str, str, str, str]] = []
     if row_count:
-        checks.append(("row_count", "*", F.count(F.lit(1)), "info"))
+        checks.append(("row_count", "*", "count(1)", "info"))
     if nulls_except is not None:
         skipped = set(nulls_except)
         checks += [
-            ("nulls", c, F.count_if(F.col(c).isNull()), "warn")
+            ("nulls", c, f"count_if({quoted(c)} IS NULL)", "warn")
             for c in df.columns
             if c not in skipped
         ]
-    checks += [("negative", c, F.count_if(F.col(c) < 0), "warn") for c in non_negative]
+    checks += [("negative", c, f"count_if({quoted(c)} < 0)", "warn") for c in non_negative]
     for c in unit_range:
-        checks.append(("below_0", c, F.count_if(F.col(c) < 0), "warn"))
-        checks.append(("above_1", c, F.count_if(F.col(c) > 1), "warn"))
+        checks.append(("below_0", c, f"count_if({quoted(c)} < 0)", "warn"))
+        checks.append(("above_1", c, f"count_if({quoted(c)} > 1)", "warn"))
     if not checks:
         raise ValueError("no checks requested")
-    counts = df.agg(*[count.alias(f"count_{i}") for i, (_, _, count, _) in enumerate(checks)])
+    counts = df.selectExpr(*[f"{sql} AS count_{i}" for i, (_, _, sql, _) in enumerate(checks)])
     return _report_rows(
         counts,
         table,
@@ -98,9 +88,9 @@ def check_between_0_1(df: DataFrame, cols: Iterable[str], name: str) -> DataFram
 def check_keys_unique(df: DataFrame, key: str | list[str], name: str) -> DataFrame:
     """Number of keys (not rows) that occur more than once; NULL counts as a key value."""
     keys = [key] if isinstance(key, str) else list(key)
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1")
+    repeated = df.groupBy(*keys).agg(F.expr("count(1) AS uses")).filter("uses > 1")
     return _report_rows(
-        repeated.agg(F.count(F.lit(1)).alias("keys")),
+        repeated.selectExpr("count(1) AS keys"),
         name,
         [("duplicate_keys", ",".join(keys), "keys", "fail")],
     )
@@ -118,7 +108,7 @@ def keys_without_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFr
 def _missing_keys_report(
     child: DataFrame, parent: DataFrame, key: str, table: str, check: str, grade: str
 ) -> DataFrame:
-    missing = keys_without_parent(child, parent, key).agg(F.count(F.lit(1)).alias("keys"))
+    missing = keys_without_parent(child, parent, key).selectExpr("count(1) AS keys")
     return _report_rows(missing, table, [(check, key, "keys", grade)])
 
 
@@ -158,31 +148,29 @@ def reconcile(features: DataFrame, sales: DataFrame) -> DataFrame:
 
     ``difference`` compares with the line total, which defines the feature.
     """
-    pair = features.join(sales, "customer_id").select(
+    return features.join(sales, "customer_id").selectExpr(
         "customer_id",
-        F.col("ventas_total_3m").cast("double").alias("ventas_total_3m"),
-        F.col("total_line_net_amount_3m").cast("double").alias("total_line_net_amount_3m"),
-        F.col("total_order_net_amount_3m").cast("double").alias("total_order_net_amount_3m"),
-        F.col("total_qty_units_3m").alias("total_qty_units_3m"),
-        F.col("frecuencia_pedidos_3m").alias("frecuencia_pedidos_3m"),
-        F.col("variedad_categorias_3m").alias("variedad_categorias_3m"),
-    )
-    return pair.withColumn(
-        "difference", F.col("ventas_total_3m") - F.col("total_line_net_amount_3m")
+        "CAST(ventas_total_3m AS DOUBLE) AS ventas_total_3m",
+        "CAST(total_line_net_amount_3m AS DOUBLE) AS total_line_net_amount_3m",
+        "CAST(total_order_net_amount_3m AS DOUBLE) AS total_order_net_amount_3m",
+        "total_qty_units_3m",
+        "frecuencia_pedidos_3m",
+        "variedad_categorias_3m",
+        "CAST(ventas_total_3m AS DOUBLE) - CAST(total_line_net_amount_3m AS DOUBLE) AS difference",
     )
 
 
 def check_reconciled(features: DataFrame, sales: DataFrame, name: str) -> DataFrame:
     """Customers whose feature sales differ from the sales summary; one side NULL is a difference."""
-    differs = ~F.col("ventas_total_3m").eqNullSafe(F.col("total_line_net_amount_3m"))
-    counts = reconcile(features, sales).agg(F.count_if(differs).alias("customers"))
+    differs = "count_if(NOT (ventas_total_3m <=> total_line_net_amount_3m)) AS customers"
+    counts = reconcile(features, sales).selectExpr(differs)
     return _report_rows(counts, name, [("sales_differ", "ventas_total_3m", "customers", "info")])
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table: (table, rows)."""
     counts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
+        df.selectExpr(f"{text_literal(name)} AS table", "count(1) AS rows")
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
@@ -191,43 +179,26 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def numeric_summary(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Count, mean, sample standard deviation, minimum and maximum per column, in one pass.
 
-    The typed form of ``df.describe(cols)``: (column, count, mean, stddev, min, max).
+    The typed form of ``df.describe(cols)``: (column, count, mean, stddev, min, max). The mean is the
+    exact total divided once, so that it does not depend on the order of the rows.
     """
-    cols = list(cols)
-    measures = {
-        "count": F.count,
-        "total": F.sum,
-        "stddev": F.stddev_samp,
-        "min": F.min,
-        "max": F.max,
-    }
-    row = df.agg(
-        *[fn(c).alias(f"{label}_{i}") for i, c in enumerate(cols) for label, fn in measures.items()]
-    )
-
-    def value(label: str, i: int) -> Column:
-        return F.col(f"{label}_{i}").cast("double").alias(label)
-
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.col(f"count_{i}").alias("count"),
-                        F.when(
-                            F.col(f"count_{i}") > 0,
-                            F.col(f"total_{i}").cast("double") / F.col(f"count_{i}"),
-                        ).alias("mean"),
-                        value("stddev", i),
-                        value("min", i),
-                        value("max", i),
-                    )
-                    for i, c in enumerate(cols)
-                ]
-            )
+    measures: list[str] = []
+    rows: list[tuple[str, ...]] = []
+    for i, name in enumerate(cols):
+        c = quoted(name)
+        measures += [
+            f"count({c}) AS count_{i}",
+            f"CAST(sum({c}) AS DOUBLE) AS total_{i}",
+            f"CAST(stddev_samp({c}) AS DOUBLE) AS stddev_{i}",
+            f"CAST(min({c}) AS DOUBLE) AS min_{i}",
+            f"CAST(max({c}) AS DOUBLE) AS max_{i}",
+        ]
+        mean = guarded_ratio(f"total_{i}", f"count_{i}")
+        rows.append(
+            (text_literal(name), f"count_{i}", mean, f"stddev_{i}", f"min_{i}", f"max_{i}")
         )
-    )
+    labels = ("column", "count", "mean", "stddev", "min", "max")
+    return df.selectExpr(*measures).selectExpr(stacked(rows, labels))
 
 
 def preview(df: DataFrame, key: str, rows: int = 5) -> DataFrame:
