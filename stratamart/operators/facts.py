@@ -35,24 +35,37 @@ def without_shared_columns(right: DataFrame, left: DataFrame, key: str) -> DataF
     return right.select(*[c for c in right.columns if c == key or c not in left.columns])
 
 
-def _line_less(orders: DataFrame, columns: list[StructField]) -> DataFrame:
-    """Orders with NULL line columns."""
-    missing = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in columns]
-    return orders.selectExpr("*", *missing)
+def _by_known_id(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders with an id, and the one without (at most one after deduplication).
+
+    Only the first can have lines. Plans that treat them apart filter all uses of the first alike,
+    as the join does by itself, so that these uses share one scan and one shuffle of the headers.
+    """
+    return orders.filter("order_id IS NOT NULL"), orders.filter("order_id IS NULL")
+
+
+def _with_line_less(matched: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order-line rows and, with NULL line columns, the given orders."""
+    no_line = [
+        f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
+        for f in matched.schema
+        if f.name not in orders.columns
+    ]
+    return matched.unionByName(orders.selectExpr("*", *no_line))
 
 
-def attach_lines(orders: DataFrame, lines: DataFrame, key: str = "order_id") -> DataFrame:
+def attach_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Left outer join of unique ``orders`` with their ``lines``; columns of ``orders`` win.
 
     Written as the matched rows plus the orders without lines. Adaptive execution splits a hot key
     on the many side of an inner join, but never on the nullable side of an outer join; the second
     part compares distinct keys only. Both parts read the same shuffle of the deduplicated inputs.
     """
-    lines = without_shared_columns(lines, orders, key)
-    matched = orders.join(lines, key)
-    without_lines = orders.join(lines.select(key).distinct(), key, "left_anti")
-    line_columns = [field for field in lines.schema if field.name != key]
-    return matched.unionByName(_line_less(without_lines, line_columns))
+    lines = without_shared_columns(lines, orders, "order_id")
+    known, unknown = _by_known_id(orders)
+    matched = known.join(lines, "order_id")
+    without_lines = known.join(lines.select("order_id").distinct(), "order_id", "left_anti")
+    return _with_line_less(matched, without_lines.unionByName(unknown))
 
 
 def build_fact_order_line(orders_header: DataFrame, orders_detail: DataFrame) -> DataFrame:
@@ -80,6 +93,16 @@ def build_fact_last_3m(
     return fact.filter(F.col("order_date") >= newest - interval_days(days))
 
 
+def newest_order_date(orders: DataFrame) -> Column:
+    """``newest_date`` of ``clean_orders`` rows, sharing their shuffle with the joins."""
+    known, unknown = _by_known_id(orders)
+    return newest_date(known.unionByName(unknown))
+
+
+def _recent_orders(orders: DataFrame, days: int, newest: Column | None) -> DataFrame:
+    return build_fact_last_3m(orders, days, newest_order_date(orders) if newest is None else newest)
+
+
 def _recent_lines(recent: DataFrame, orders_detail: DataFrame) -> DataFrame:
     """Valid lines of the ``recent`` orders, with the columns of the order.
 
@@ -111,11 +134,10 @@ def build_recent_fact(
     A left join keeps every order, so the newest date and the window can be taken from the orders,
     and only lines of those orders are deduplicated and joined.
     """
-    recent = build_fact_last_3m(orders, days, newest)
-    matched = _recent_lines(recent, orders_detail)
-    without_lines = recent.join(matched.select("order_id").distinct(), "order_id", "left_anti")
-    line_columns = [field for field in matched.schema if field.name not in recent.columns]
-    return matched.unionByName(_line_less(without_lines, line_columns))
+    known, unknown = _by_known_id(_recent_orders(orders, days, newest))
+    matched = _recent_lines(known, orders_detail)
+    without_lines = known.join(matched.select("order_id").distinct(), "order_id", "left_anti")
+    return _with_line_less(matched, without_lines.unionByName(unknown))
 
 
 def build_recent_activity(
@@ -130,7 +152,5 @@ def build_recent_activity(
     finding the orders without lines, a join of its own, is not needed for them. Row counts and
     sums of header columns over lines (the sales summary) do need ``build_recent_fact``.
     """
-    recent = build_fact_last_3m(orders, days, newest)
-    matched = _recent_lines(recent, orders_detail)
-    line_columns = [field for field in matched.schema if field.name not in recent.columns]
-    return matched.unionByName(_line_less(recent, line_columns))
+    known, unknown = _by_known_id(_recent_orders(orders, days, newest))
+    return _with_line_less(_recent_lines(known, orders_detail), known.unionByName(unknown))
