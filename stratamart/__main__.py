@@ -6,9 +6,10 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from stratamart import contracts
+from stratamart.operators.checks import preview
 from stratamart.plans.medallion import run_medallion
 from stratamart.plans.quality import fact_summary, read_all_layers, run_quality_report
-from stratamart.operators.checks import preview
 from stratamart.session import tune
 
 PREVIEWS = {
@@ -23,6 +24,9 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="stratamart")
     parser.add_argument("action", choices=["build", "report"])
     parser.add_argument("base_dir", help="directory with raw/, bronze/, silver/ and gold/")
+    parser.add_argument(
+        "--infer", action="store_true", help="infer the types of the extracts (reads them twice)"
+    )
     args = parser.parse_args()
 
     spark = (
@@ -32,7 +36,7 @@ def main() -> None:
     )
     try:
         if args.action == "build":
-            run_medallion(spark, args.base_dir)
+            run_medallion(spark, args.base_dir, {} if args.infer else contracts.BRONZE)
         else:
             tune(spark)
             tables = read_all_layers(spark, args.base_dir)

@@ -51,6 +51,6 @@ def run_bronze(
     base_dir: str,
     schemas: dict[str, StructType | None] = contracts.BRONZE,
 ) -> None:
-    """Load the four source tables. A table mapped to ``None`` has its types inferred."""
+    """Load the four source tables. The types of a table without a schema are inferred."""
     for table in contracts.BRONZE:
         ingest(spark, base_dir, table, schemas.get(table))

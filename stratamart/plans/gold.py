@@ -9,6 +9,7 @@ from stratamart import contracts
 from stratamart.operators.facts import newest_date
 from stratamart.operators.features import all_features
 from stratamart.operators.rollups import customer_rollup, sales_totals
+from stratamart.session import tune
 from stratamart.sources.tables import (
     newest_order_bound,
     read_fact_since,
@@ -64,6 +65,7 @@ def build_dim_features(
 
 def run_gold(spark: SparkSession, base_dir: str, days: int = contracts.WINDOW_DAYS) -> None:
     """Build the Gold tables from Silver; only the window's bound visits the driver."""
+    tune(spark)
 
     def path(layer: str, table: str) -> str:
         return table_path(base_dir, layer, table)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from stratamart import contracts
 from stratamart.functions.columns import calendar_columns
 from stratamart.functions.typing import apply_contract
 from stratamart.operators.dedup import keep_one_per_key
 from stratamart.operators.facts import build_fact_order_line
+from stratamart.session import tune
 from stratamart.sources.tables import read_table, table_path, write_fact, write_table
 
 
@@ -32,14 +34,19 @@ def build_dim_date(dated: DataFrame) -> DataFrame:
 
 
 def silver_input(spark: SparkSession, base_dir: str, table: str) -> DataFrame:
-    """A Bronze table with the types of its contract; other columns are carried along."""
-    return apply_contract(
-        read_table(spark, table_path(base_dir, "bronze", table)), contracts.BRONZE[table]
-    )
+    """A Bronze table with the types of its contract; other columns are carried along.
+
+    Sources may lack descriptive columns of the contract; the columns an operator needs are named by
+    that operator.
+    """
+    rows = read_table(spark, table_path(base_dir, "bronze", table))
+    known = [field for field in contracts.BRONZE[table] if field.name in rows.columns]
+    return apply_contract(rows, StructType(known))
 
 
 def run_silver(spark: SparkSession, base_dir: str) -> None:
     """Build the Silver tables. The fact is computed once; the calendar reads it back."""
+    tune(spark)
 
     def silver(table: str) -> str:
         return table_path(base_dir, "silver", table)

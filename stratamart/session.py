@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -25,15 +26,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="stratamart-")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new path for staged tables under the shared folder of the cluster.
 
     Paths carry the application id, so that all scratch of a finished application can be dropped
     at once. Only a session without a shared folder (a local test) gets a temporary one.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="stratamart-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or _local_scratch()
     app = spark.sparkContext.applicationId
     return f"{root.rstrip('/')}/stratamart/{app}/{purpose}-{uuid.uuid4().hex}"
