@@ -14,13 +14,20 @@ def _sortable(kind: DataType) -> bool:
 
 
 def keep_one_per_key(
-    df: DataFrame, keys: list[str], newest_by: str | None = INGESTION_TIMESTAMP
+    df: DataFrame,
+    keys: list[str],
+    newest_by: str | None = INGESTION_TIMESTAMP,
+    own_partitioning: bool = True,
 ) -> DataFrame:
     """Keep one row per key; NULL keys are equal. The survivor is the newest row by ``newest_by``
     (where the column exists), then the smallest by the other columns in order, NULLs last.
 
     The rank filter becomes a group limit before the shuffle: each task sends at most one row per
     key, so a key with many copies does not pile up in one task.
+
+    A join on ``keys`` reuses the partitioning of the result. Adaptive execution only splits hot keys
+    of a join that shuffles both of its sides: for the unique side of a join with many rows per key
+    pass ``own_partitioning=False``, which ranks by a copy of the keys and costs that shuffle.
     """
     columns = df.columns
     order = [f"{quoted(newest_by)} DESC NULLS LAST"] if newest_by in columns else []
@@ -31,6 +38,9 @@ def keep_one_per_key(
     ]
     if not order:
         return df.dropDuplicates(keys)
-    partition = ", ".join(map(quoted, keys))
-    rank = f"row_number() OVER (PARTITION BY {partition} ORDER BY {', '.join(order)})"
-    return df.selectExpr("*", f"{rank} AS _rank").filter("_rank = 1").drop("_rank")
+    by = {key: quoted(key if own_partitioning else f"_by_{key}") for key in keys}
+    rank = f"row_number() OVER (PARTITION BY {', '.join(by.values())} ORDER BY {', '.join(order)})"
+    if not own_partitioning:
+        df = df.selectExpr("*", *[f"{quoted(key)} AS {copy}" for key, copy in by.items()])
+    ranked = df.selectExpr("*", f"{rank} AS _rank").filter("_rank = 1")
+    return ranked.select(columns)

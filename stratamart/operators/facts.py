@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField
 
 from stratamart.contracts import WINDOW_DAYS
 from stratamart.functions.columns import interval_days, quoted
@@ -17,8 +16,12 @@ def positive(df: DataFrame, column: str) -> DataFrame:
 
 
 def clean_orders(orders_header: DataFrame) -> DataFrame:
-    """One header per order, then only those with a positive amount."""
-    return positive(keep_one_per_key(orders_header, ["order_id"]), "order_net_amount")
+    """One header per order, then only those with a positive amount.
+
+    Made for joins with lines, of which one order may have a large share.
+    """
+    unique = keep_one_per_key(orders_header, ["order_id"], own_partitioning=False)
+    return positive(unique, "order_net_amount")
 
 
 def clean_lines(orders_detail: DataFrame) -> DataFrame:
@@ -35,15 +38,6 @@ def without_shared_columns(right: DataFrame, left: DataFrame, key: str) -> DataF
     return right.select(*[c for c in right.columns if c == key or c not in left.columns])
 
 
-def _by_known_id(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Orders with an id, and the one without (at most one after deduplication).
-
-    Only the first can have lines. Plans that treat them apart filter all uses of the first alike,
-    as the join does by itself, so that these uses share one scan and one shuffle of the headers.
-    """
-    return orders.filter("order_id IS NOT NULL"), orders.filter("order_id IS NULL")
-
-
 def _with_line_less(matched: DataFrame, orders: DataFrame) -> DataFrame:
     """Order-line rows and, with NULL line columns, the given orders."""
     no_line = [
@@ -62,10 +56,9 @@ def attach_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     part compares distinct keys only. Both parts read the same shuffle of the deduplicated inputs.
     """
     lines = without_shared_columns(lines, orders, "order_id")
-    known, unknown = _by_known_id(orders)
-    matched = known.join(lines, "order_id")
-    without_lines = known.join(lines.select("order_id").distinct(), "order_id", "left_anti")
-    return _with_line_less(matched, without_lines.unionByName(unknown))
+    matched = orders.join(lines, "order_id")
+    without_lines = orders.join(lines.select("order_id").distinct(), "order_id", "left_anti")
+    return _with_line_less(matched, without_lines)
 
 
 def build_fact_order_line(orders_header: DataFrame, orders_detail: DataFrame) -> DataFrame:
@@ -93,16 +86,6 @@ def build_fact_last_3m(
     return fact.filter(F.col("order_date") >= newest - interval_days(days))
 
 
-def newest_order_date(orders: DataFrame) -> Column:
-    """``newest_date`` of ``clean_orders`` rows, sharing their shuffle with the joins."""
-    known, unknown = _by_known_id(orders)
-    return newest_date(known.unionByName(unknown))
-
-
-def _recent_orders(orders: DataFrame, days: int, newest: Column | None) -> DataFrame:
-    return build_fact_last_3m(orders, days, newest_order_date(orders) if newest is None else newest)
-
-
 def _recent_lines(recent: DataFrame, orders_detail: DataFrame) -> DataFrame:
     """Valid lines of the ``recent`` orders, with the columns of the order.
 
@@ -134,10 +117,10 @@ def build_recent_fact(
     A left join keeps every order, so the newest date and the window can be taken from the orders,
     and only lines of those orders are deduplicated and joined.
     """
-    known, unknown = _by_known_id(_recent_orders(orders, days, newest))
-    matched = _recent_lines(known, orders_detail)
-    without_lines = known.join(matched.select("order_id").distinct(), "order_id", "left_anti")
-    return _with_line_less(matched, without_lines.unionByName(unknown))
+    recent = build_fact_last_3m(orders, days, newest)
+    matched = _recent_lines(recent, orders_detail)
+    without_lines = recent.join(matched.select("order_id").distinct(), "order_id", "left_anti")
+    return _with_line_less(matched, without_lines)
 
 
 def build_recent_activity(
@@ -152,5 +135,5 @@ def build_recent_activity(
     finding the orders without lines, a join of its own, is not needed for them. Row counts and
     sums of header columns over lines (the sales summary) do need ``build_recent_fact``.
     """
-    known, unknown = _by_known_id(_recent_orders(orders, days, newest))
-    return _with_line_less(_recent_lines(known, orders_detail), known.unionByName(unknown))
+    recent = build_fact_last_3m(orders, days, newest)
+    return _with_line_less(_recent_lines(recent, orders_detail), recent)

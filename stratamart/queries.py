@@ -21,7 +21,7 @@ from stratamart.operators.facts import (
     build_recent_fact,
     clean_lines,
     clean_orders,
-    newest_order_date,
+    newest_date,
     positive,
 )
 from stratamart.operators.dedup import keep_one_per_key
@@ -94,7 +94,7 @@ def _recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _activity(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
     """Rows of the window for order and customer rollups, and the newest order date."""
     orders = clean_orders(orders_header(spark, sf_dir))
-    newest = newest_order_date(orders)
+    newest = newest_date(orders)
     return build_recent_activity(orders, orders_detail(spark, sf_dir), newest=newest), newest
 
 
@@ -283,7 +283,7 @@ def fact_last_90d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The window cut from the complete fact."""
     orders = clean_orders(orders_header(spark, sf_dir))
     fact = attach_lines(orders, clean_lines(orders_detail(spark, sf_dir)))
-    return _published(build_fact_last_3m(fact, newest=newest_order_date(orders)))
+    return _published(build_fact_last_3m(fact, newest=newest_date(orders)))
 
 
 @_query("recent_fact")

@@ -14,7 +14,7 @@ from stratamart.operators.facts import (
     build_recent_activity,
     build_recent_fact,
     clean_orders,
-    newest_order_date,
+    newest_date,
 )
 from stratamart.plans.gold import (
     build_customer_features,
@@ -103,7 +103,7 @@ def test_chain_against_brute_force(spark, people, seed, hot):
     wanted = brute_force.features(recent)
     activity = build_recent_activity(orders, lines)
     for source in (fact_3m, activity):
-        found = {r[0]: tuple(r)[1:] for r in build_customer_features(source, newest_order_date(orders)).collect()}
+        found = {r[0]: tuple(r)[1:] for r in build_customer_features(source, newest_date(orders)).collect()}
         assert found.keys() == wanted.keys()
         for customer, row in wanted.items():
             assert found[customer] == row, customer
@@ -224,3 +224,23 @@ def test_double_amounts_and_boolean_flags_work(headers, details, people):
 def test_empty_fact(headers, details, people):
     fact = build_fact_order_line(headers(), details())
     assert build_dim_features(build_fact_last_3m(fact), people()).collect() == []
+
+
+def test_recent_fact_with_shared_columns(headers, details):
+    """Lines are compared by their own load time and values; the order's values are published."""
+    orders = headers((1, 10, "2024-03-01", 5, "x"), (2, 11, "2023-01-01", 5, "x")).selectExpr(
+        "*", "1 AS ingestion_timestamp", "'header' AS source_file"
+    )
+    older, newer = (
+        details((1, 1, product, 2, 40, 0, "a"), (2, 1, 9, 2, 40, 0, "a")).selectExpr(
+            "*", f"{load} AS ingestion_timestamp", "'detail' AS source_file"
+        )
+        for product, load in ((5, 7), (6, 8))
+    )
+    lines = older.unionByName(newer)
+    recent = build_recent_fact(clean_orders(orders), lines)
+    columns = ["order_id", "product_id", "ingestion_timestamp", "source_file"]
+    assert values(recent, *columns) == [(1, 6, 1, "header")]
+    assert values(recent) == values(
+        build_fact_last_3m(build_fact_order_line(orders, lines)).select(recent.columns)
+    )
