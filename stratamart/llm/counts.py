@@ -15,10 +15,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 #: Counters of one merged row: small enough for many to meet in one task.
 BLOCK = 1 << 16
+BIT_BLOCK = 1 << 18
 #: Tasks whose blocks meet in the first merge step.
 FAN_IN = 64
 _PARTS = "block int, part int, cells binary"
@@ -85,9 +85,71 @@ def merged_counts(df: DataFrame, hashes: Hashes, width: int, dtype: str = "uint8
     return out.reshape(-1)
 
 
-def at_least(counters: np.ndarray, least: int) -> np.ndarray:
-    """One bit per counter: has it reached ``least``?"""
-    return np.packbits(counters >= least, bitorder="little")
+def _set(bits: np.ndarray, cells: np.ndarray) -> None:
+    """Set the bits of ascending cells."""
+    if len(cells):
+        place, first = np.unique(cells >> np.uint64(3), return_index=True)
+        value = np.left_shift(1, (cells & np.uint64(7)).astype(np.uint8), dtype=np.uint8)
+        bits[place] |= np.bitwise_or.reduceat(value, first)
+
+
+def _see(once: np.ndarray, twice: np.ndarray, hashes: np.ndarray) -> None:
+    cells, times = np.unique(hashes & np.uint64(8 * len(once) - 1), return_counts=True)
+    _set(twice, cells[(times > 1) | has_bit(once, cells)])
+    _set(once, cells)
+
+
+def _merge_bits(group: pd.DataFrame) -> np.ndarray:
+    """Both halves of the packed blocks: seen at all, seen twice or more."""
+    once = twice = None
+    for packed in group["cells"]:
+        first, second = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(2, -1)
+        if once is None:
+            once, twice = first.copy(), second.copy()
+        else:
+            twice |= second | (once & first)
+            once |= first
+    return np.stack([once, twice])
+
+
+def merged_bits(df: DataFrame, hashes: Hashes, width: int, least: int = 1) -> np.ndarray:
+    """One bit per counter, for counters that only tell never, once and more often.
+
+    The bit is set where the hashes reach ``least``, which is 1 or 2. ``width`` as above, in bits.
+    """
+    block = min(BIT_BLOCK, width) // 8
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, twice = np.zeros(width // 8, np.uint8), np.zeros(width // 8, np.uint8)
+        waiting: list[np.ndarray] = []
+        for found in hashes(batches):
+            waiting.append(found)
+            if sum(map(len, waiting)) > 1 << 20:
+                _see(once, twice, np.concatenate(waiting))
+                waiting.clear()
+        if waiting:
+            _see(once, twice, np.concatenate(waiting))
+        part = TaskContext.get().partitionId() // FAN_IN
+        rows, more = once.reshape(-1, block), twice.reshape(-1, block)
+        used = np.flatnonzero(rows.any(axis=1))
+        cells = [zlib.compress(np.stack([rows[i], more[i]]).tobytes(), 1) for i in used]
+        parts = np.full(len(used), part, np.int32)
+        yield pa.record_batch([used.astype(np.int32), parts, cells], _ARROW)
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        packed = zlib.compress(_merge_bits(group).tobytes(), 1)
+        return pd.DataFrame(
+            {"block": group["block"].iloc[:1], "part": np.int32(0), "cells": [packed]}
+        )
+
+    parts = df.mapInArrow(count, _PARTS)
+    once = parts.groupBy("block", "part").applyInPandas(merge, _PARTS)
+    twice = once.groupBy("block").applyInPandas(merge, _PARTS)
+    out = np.zeros((width // 8 // block, block), dtype=np.uint8)
+    for row in twice.collect():  # at most width bits
+        both = np.frombuffer(zlib.decompress(row["cells"]), dtype=np.uint8).reshape(2, -1)
+        out[row["block"]] = both[least - 1]
+    return out.reshape(-1)
 
 
 def has_bit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -95,10 +157,6 @@ def has_bit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def width_for(n: int, least: int = 1 << 16, most: int = 1 << 26) -> int:
-    """A power of two of about four counters per item, within fixed limits."""
-    return int(min(most, max(least, 1 << int(4 * max(n, 1)).bit_length())))
-
-
-def total_of(df: DataFrame, column: str) -> int:
-    return int(df.agg(F.coalesce(F.sum(column), F.lit(0))).first()[0])
+def width_for(n: int, least: int = 1 << 16, most: int = 1 << 28) -> int:
+    """A power of two of about eight bits per item, within fixed limits."""
+    return int(min(most, max(least, 1 << int(8 * max(n, 1) - 1).bit_length())))

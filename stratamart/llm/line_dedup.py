@@ -1,8 +1,8 @@
 """Removal of lines that nearly repeat an earlier line of the corpus: exact set-similarity join.
 
 A line is a piece of a text between line feeds, its set the distinct word shingles. Tokens are
-ordered by rarity, prefixes give the candidate pairs, and the length and positional filters cut
-them down before Jaccard is verified on the whole sets.
+ordered by rarity, prefixes give the candidate pairs, and the length, positional and parity filters
+cut them down before Jaccard is verified on the whole sets.
 
 Lines with equal sets are one class; all but its first line go without a comparison. The first
 lines of the classes are joined in two rounds: against the earliest line of every list, and then,
@@ -28,6 +28,7 @@ from stratamart.llm.setjoin import (
     postings,
     set_input,
     signatures,
+    signatures_allow,
     size_band,
     verified,
 )
@@ -49,9 +50,10 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     copies = signed.select("d1", "d2", *ids).join(classes, ["d1", "d2"])
     copies = stage(copies.where(F.struct(*ids) != F.col("head")).select(*ids), "copies")
 
-    lists = postings(signed, spec, ListKeys(spec.percent)).join(copies, ids, "left_anti")
+    lists = postings(signed, spec, ListKeys(spec.percent), tuple(spec.parity))
+    lists = lists.join(copies, ids, "left_anti")
     lists = stage(lists.withColumn("band", size_band()), "lists")
-    fields = [*ids, "n", "place"]
+    fields = [*ids, "n", "place", *spec.parity]
     first = lists.groupBy("key", "band").agg(
         F.min(F.struct(*fields)).alias("f"), F.count(F.lit(1)).alias("rows")
     )
@@ -60,12 +62,14 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     )
     star = as_side(lists, "a", fields).join(first, ["key", "band"])
     star = star.where(node("a", ids) > node("b", ids)).where(may_be_similar(spec.percent))
+    star = star.where(signatures_allow(spec.percent, spec.parity))
     star = stage(star.select(*a, *b).distinct(), "star")
     gone = stage(verified(texts, spec, levels, star).select(*a).toDF(*ids).distinct(), "gone")
 
     left = as_side(lists.join(gone, ids, "left_anti").drop("band"), "a", fields)
     rest = left.join(as_side(lists.drop("band"), "b", fields), "key")
     rest = rest.where(node("a", ids) > node("b", ids)).where(may_be_similar(spec.percent))
+    rest = rest.where(signatures_allow(spec.percent, spec.parity))
     rest = rest.select(*a, *b).distinct().join(star, [*a, *b], "left_anti")
     rest = stage(rest, "rest")
     more = verified(texts, spec, levels, rest).select(*a).toDF(*ids)
@@ -73,7 +77,7 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
 
 
 def remove_repeated_lines(
-    docs: DataFrame, percent: int = 80, shingle_words: int = 5
+    docs: DataFrame, percent: int = 80, shingle_words: int = 5, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """(doc_id, n_lines, n_removed, text): every row of ``docs`` without its repeated lines.
 
@@ -87,12 +91,14 @@ def remove_repeated_lines(
     - A row without doc_id has no place in the order; it keeps all lines and removes none.
     - Repeated rows have the same lines, none of them earlier than its equal: they are treated
       alike. Rows of one doc_id with different texts are ordered by a hash of the text.
-    - Columns other than doc_id and text are ignored. An empty table gives no rows.
+    - The columns of ``carry`` follow; all others are ignored. An empty table gives no rows.
 
     Shingles are compared by 56-bit hashes and equal lines by 128-bit digests of those.
     """
     spec = SetSpec(by_line=True, percent=percent, shingle_words=shingle_words)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"), *carry
+    )
     marks = repeated_lines(docs, spec).groupBy("doc_id", "rh")
     marks = stage(marks.agg(F.collect_set("line_no").alias("gone")), "marks")
     marked = with_marks(keyed(docs), marks, "gone").drop("rh")
@@ -112,6 +118,9 @@ def remove_repeated_lines(
                 kept.append(text)
             columns = [pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())]
             columns = [part.column("doc_id"), *columns, pa.array(kept, pa.binary()).cast("string")]
-            yield pa.record_batch(columns, ["doc_id", "n_lines", "n_removed", "text"])
+            columns += [part.column(c) for c in carry]
+            yield pa.record_batch(columns, ["doc_id", "n_lines", "n_removed", "text", *carry])
 
-    return marked.mapInArrow(keep, "doc_id bigint, n_lines bigint, n_removed bigint, text string")
+    kinds = [f"`{c}` {marked.schema[c].dataType.simpleString()}" for c in carry]
+    schema = ["doc_id bigint", "n_lines bigint", "n_removed bigint", "text string", *kinds]
+    return marked.mapInArrow(keep, ", ".join(schema))

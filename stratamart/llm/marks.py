@@ -19,11 +19,13 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("rh", F.xxhash64("text"))
 
 
-def with_marks(docs: DataFrame, marks: DataFrame, column: str) -> DataFrame:
-    """``docs`` with the column of ``marks`` (doc_id, rh, column), null where there is none.
+def with_marks(
+    docs: DataFrame, marks: DataFrame, column: str, on: tuple[str, ...] = ("doc_id", "rh")
+) -> DataFrame:
+    """``docs`` with the column of ``marks``, which has one row per ``on``; null where it has none.
 
     A bit table of fixed size over the marked doc_ids lets rows that surely have no mark pass
-    without a shuffle. ``docs`` has doc_id and rh; a null doc_id has no marks.
+    without a shuffle. A null doc_id has no marks.
     """
     spark = docs.sparkSession
 
@@ -32,8 +34,9 @@ def with_marks(docs: DataFrame, marks: DataFrame, column: str) -> DataFrame:
             yield mix(long_column(part, "doc_id").view(np.uint64))
 
     width = counts.width_for(marks.count())
-    counters = counts.merged_counts(marks.select("doc_id"), ids, width)
-    present = spark.sparkContext.broadcast(counts.at_least(counters, 1))
+    present = spark.sparkContext.broadcast(
+        counts.merged_bits(marks.select("doc_id"), ids, width)
+    )
 
     def rows(wanted: bool) -> Callable:
         def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,6 +51,6 @@ def with_marks(docs: DataFrame, marks: DataFrame, column: str) -> DataFrame:
 
     kind = marks.schema[column].dataType
     surely_not = docs.mapInArrow(rows(False), docs.schema)
-    maybe = docs.mapInArrow(rows(True), docs.schema).join(marks, ["doc_id", "rh"], "left")
+    maybe = docs.mapInArrow(rows(True), docs.schema).join(marks, list(on), "left")
     names = [*docs.columns, column]
     return surely_not.withColumn(column, F.lit(None).cast(kind)).union(maybe.select(*names))

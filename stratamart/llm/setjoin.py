@@ -39,6 +39,11 @@ class SetSpec:
     def ids(self) -> list[str]:
         return ["doc_id", "rh", "line_no"] if self.by_line else ["doc_id"]
 
+    @property
+    def parity(self) -> list[str]:
+        """The columns of the parity signature: 64 bits each."""
+        return [f"s{i}" for i in range(4 if self.by_line else 8)]
+
 
 @dataclass(frozen=True)
 class SetBatch:
@@ -150,6 +155,16 @@ def _digest(batch: SetBatch, salt: int) -> np.ndarray:
     return (total[batch.bounds[1:]] - total[batch.bounds[:-1]]).view(np.int64)
 
 
+def _parity(batch: SetBatch, words: int) -> list[np.ndarray]:
+    """Per set, for each of 64 * words bits, whether it has an odd number of tokens there."""
+    bits = 64 * words
+    owner = np.repeat(np.arange(len(batch.sizes)), batch.sizes)
+    cell = owner * bits + (mix(batch.tokens) & U64(bits - 1)).astype(np.int64)
+    odd = np.bincount(cell, minlength=len(batch.sizes) * bits) & 1
+    packed = np.packbits(odd.astype(np.uint8).reshape(-1, bits), axis=1)
+    return list(np.ascontiguousarray(packed).view(np.int64).T)
+
+
 def signatures(
     docs: DataFrame, spec: SetSpec, levels: DataFrame, pair_prefix_up_to: int = 0
 ) -> DataFrame:
@@ -157,11 +172,13 @@ def signatures(
 
     The prefix is the one that shares a token with every similar set, or two tokens for sets of
     at most ``pair_prefix_up_to`` tokens. ``cost`` estimates the lists that scanning it would read.
+    The parity signature bounds how many tokens of two sets differ.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(levels)
-    names = [*spec.ids, "n", "d1", "d2", "cost", "prefix"]
+    names = [*spec.ids, "n", "d1", "d2", "cost", "prefix", *spec.parity]
     kinds = ["bigint"] * len(spec.ids) + ["int", "bigint", "bigint", "double", "binary"]
+    kinds += ["bigint"] * len(spec.parity)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sets in sets_of(batches, spec, shared.value):
@@ -177,6 +194,7 @@ def signatures(
                 _digest(sets, 0x1F83D9AB),
                 scan[bounds[1:]] - scan[bounds[:-1]],
                 binary_column(prefix, bounds),
+                *_parity(sets, len(spec.parity)),
             ]
             yield pa.record_batch([pa.array(c) for c in columns], names)
 
@@ -215,8 +233,10 @@ class ListKeys:
         return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def postings(signed: DataFrame, spec: SetSpec, keys: ListKeys) -> DataFrame:
-    """(key, ids, n, place) of keys that several rows may have.
+def postings(
+    signed: DataFrame, spec: SetSpec, keys: ListKeys, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """(key, ids, n, place, carried columns) of keys that several rows may have.
 
     A sketch over all keys tells those that only one row has; they link with nothing and are left
     out before the shuffle. It never overlooks a repeated key.
@@ -227,11 +247,10 @@ def postings(signed: DataFrame, spec: SetSpec, keys: ListKeys) -> DataFrame:
         for part in batches:
             yield keys.of(part.column("prefix"), long_column(part, "n"))[0]
 
-    counters = counts.merged_counts(
-        signed.select("n", "prefix"), hashes, counts.width_for(total)
-    )
-    repeated = signed.sparkSession.sparkContext.broadcast(counts.at_least(counters, 2))
-    names = ["key", *spec.ids, "n", "place"]
+    width = counts.width_for(total)
+    bits = counts.merged_bits(signed.select("n", "prefix"), hashes, width, least=2)
+    repeated = signed.sparkSession.sparkContext.broadcast(bits)
+    names = ["key", *spec.ids, "n", "place", *carry]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
@@ -241,11 +260,12 @@ def postings(signed: DataFrame, spec: SetSpec, keys: ListKeys) -> DataFrame:
             key, row, place = key[kept], row[kept], place[kept]
             columns = [key.view(np.int64), *(long_column(part, c)[row] for c in spec.ids)]
             columns += [n[row].astype(np.int32), place.astype(np.int32)]
+            columns += [long_column(part, c)[row] for c in carry]
             yield pa.record_batch([pa.array(c) for c in columns], names)
 
-    kinds = ["bigint"] * (1 + len(spec.ids)) + ["int", "int"]
+    kinds = ["bigint"] * (1 + len(spec.ids)) + ["int", "int"] + ["bigint"] * len(carry)
     schema = ", ".join(f"{a} {b}" for a, b in zip(names, kinds, strict=True))
-    return signed.select(*spec.ids, "n", "prefix").mapInArrow(rows, schema)
+    return signed.select(*spec.ids, "n", "prefix", *carry).mapInArrow(rows, schema)
 
 
 def as_side(df: DataFrame, side: str, ids: list[str]) -> DataFrame:
@@ -269,6 +289,18 @@ def may_be_similar(percent: int) -> Column:
     )
 
 
+def signatures_allow(percent: int, parity: list[str]) -> Column:
+    """Parity filter of a pair: a bit that differs stands for a token that only one of them has.
+
+    A null signature allows everything.
+    """
+    total = F.col("a_n") + F.col("b_n")
+    differ = sum((F.bit_count(F.col(f"a_{s}").bitwiseXOR(F.col(f"b_{s}"))) for s in parity), F.lit(0))
+    twice_shared = total - differ
+    allowed = 100 * twice_shared >= percent * (2 * total - twice_shared)
+    return F.coalesce(allowed, F.lit(True))
+
+
 def _node_hash(ids: list[np.ndarray]) -> np.ndarray:
     out = np.zeros(len(ids[0]), dtype=np.uint64)
     for column in ids:
@@ -294,8 +326,8 @@ def verified(
         for part in batches:
             yield _node_hash([long_column(part, c) for c in ids])
 
-    counters = counts.merged_counts(wanted, hashes, counts.width_for(wanted.count()))
-    present = spark.sparkContext.broadcast(counts.at_least(counters, 1))
+    bits = counts.merged_bits(wanted, hashes, counts.width_for(wanted.count()))
+    present = spark.sparkContext.broadcast(bits)
     shared = spark.sparkContext.broadcast(levels)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

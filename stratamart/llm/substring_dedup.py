@@ -29,7 +29,7 @@ from stratamart.llm.staging import stage
 from stratamart.llm.text import U64, mix, powers, slices, text_bytes, words_of
 
 ANCHOR_WORDS = 16
-#: Counters of the first sketch.
+#: Counters of each of the two rows of the first sketch.
 ANCHOR_WIDTH = 1 << 26
 
 _FIRST = 0xA0761D6478BD642F
@@ -88,20 +88,26 @@ def _anchors(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple]:
         yield part, anchor[new], text[new]
 
 
+def _cells(anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The counter of each row of the sketch, by independent bits of the anchor."""
+    low = U64(ANCHOR_WIDTH - 1)
+    return anchor & low, ((anchor >> U64(32)) & low) | U64(ANCHOR_WIDTH)
+
+
 def _repeated_anchors(docs: DataFrame, width: int) -> np.ndarray:
     """A bit table of the anchors that stand in two documents of different doc_id."""
     spark = docs.sparkSession
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for _, anchor, _ in _anchors(batches, width):
-            yield anchor
+            yield np.concatenate(_cells(anchor))
 
-    counters = counts.merged_counts(docs, seen, ANCHOR_WIDTH)
-    twice = spark.sparkContext.broadcast(counts.at_least(counters, 2))
+    twice = spark.sparkContext.broadcast(counts.merged_bits(docs, seen, 2 * ANCHOR_WIDTH, least=2))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, anchor, text in _anchors(batches, width):
-            kept = counts.has_bit(twice.value, anchor)
+            one, two = (counts.has_bit(twice.value, cell) for cell in _cells(anchor))
+            kept = one & two
             ids = long_column(part, "doc_id")[text[kept]]
             yield pa.record_batch([anchor[kept].view(np.int64), ids], ["anchor", "doc_id"])
 
@@ -113,8 +119,8 @@ def _repeated_anchors(docs: DataFrame, width: int) -> np.ndarray:
         for part in batches:
             yield long_column(part, "anchor").view(np.uint64)
 
-    width = counts.width_for(8 * repeated.count())
-    return counts.at_least(counts.merged_counts(repeated, found, width), 1)
+    width = counts.width_for(repeated.count())
+    return counts.merged_bits(repeated, found, width)
 
 
 def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
