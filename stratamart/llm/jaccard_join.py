@@ -8,10 +8,11 @@ enumerating passes that of scanning.
 
 Sets that are equal are one class, represented by its smallest doc_id. Linking works in two rounds:
 
-1. In every list, each set is verified against the smallest doc_id of its size band. This links
-   large groups of near copies by as many pairs as the lists have rows.
-2. Every remaining pair of a list whose sets are not connected yet, and that passes the length and
-   positional filters, is verified. Pairs inside a component need no check: it would not change.
+1. In every list, each set is verified against the one of its size band that has most equal copies,
+   then the smallest doc_id. This links large groups of near copies, which mostly stem from a text
+   that is itself copied often, by as many pairs as the lists have rows.
+2. Every remaining pair of a list whose sets are not connected yet, and that passes the length,
+   positional and parity filters, is verified. Pairs inside a component need no check: it would not change.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from stratamart.llm.setjoin import (
     postings,
     set_input,
     signatures,
+    signatures_allow,
     size_band,
     verified,
 )
@@ -84,19 +86,22 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle_words: int = 5) -> D
     sizes = sizes.agg(F.count(F.lit(1)), F.sum("cost")).collect()  # at most MOST_LIGHT rows
     keys = ListKeys(percent, choose_boundary([tuple(r) for r in sizes], percent))
 
-    classes = some.groupBy("d1", "d2").agg(F.min("doc_id").alias("head"))
-    heads = classes.select(F.col("head").alias("doc_id")).distinct()
-    lists = stage(postings(some, spec, keys).join(heads, "doc_id", "left_semi"), "lists")
+    classes = some.groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies")
+    )
+    heads = classes.groupBy(F.col("head").alias("doc_id")).agg(F.max("copies").alias("copies"))
+    lists = stage(postings(some, spec, keys).join(heads, "doc_id"), "lists")
 
     lists = lists.withColumn("band", size_band())
     first = lists.groupBy("key", "band").agg(
-        F.min(F.struct("doc_id", "n", "place")).alias("f"), F.count(F.lit(1)).alias("rows")
+        F.min(F.struct(-F.col("copies"), "doc_id", "n", "place")).alias("f"),
+        F.count(F.lit(1)).alias("rows"),
     )
     first = first.where("rows > 1").select(
         "key", "band", "f.doc_id", F.col("f.n").alias("b_n"), F.col("f.place").alias("b_place")
     )
     first = first.withColumnRenamed("doc_id", "b_doc_id")
-    side_a = as_side(lists, "a", ["doc_id", "n", "place"])
+    side_a = as_side(lists.drop("copies"), "a", ["doc_id", "n", "place"])
     star = side_a.join(first, ["key", "band"]).where("a_doc_id <> b_doc_id")
     star = stage(
         star.where(may_be_similar(percent)).select("a_doc_id", "b_doc_id").distinct(), "star"
@@ -109,10 +114,15 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle_words: int = 5) -> D
     placed = placed.withColumn("part", F.coalesce("component", "doc_id")).drop("component")
     open_keys = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
     placed = placed.join(open_keys.where("lo < hi").select("key"), "key", "left_semi")
-    placed = stage(placed.select("key", "doc_id", "n", "place", "part"), "open")
-    names = ["doc_id", "n", "place", "part"]
+    placed = placed.select("key", "doc_id", "n", "place", "part")
+    # Rows of one doc_id with different texts have no common signature.
+    alike = [F.when(F.min(c) == F.max(c), F.min(c)).alias(c) for c in spec.parity]
+    parity = some.groupBy("doc_id").agg(*alike)
+    placed = stage(placed.join(parity, "doc_id"), "open")
+    names = ["doc_id", "n", "place", "part", *spec.parity]
     rest = as_side(placed, "a", names).join(as_side(placed, "b", names), "key")
     rest = rest.where("a_part < b_part").where(may_be_similar(percent))
+    rest = rest.where(signatures_allow(percent, spec.parity))
     rest = rest.select("a_doc_id", "b_doc_id").distinct()
     tested = star.select(F.greatest("a_doc_id", "b_doc_id"), F.least("a_doc_id", "b_doc_id"))
     tested = tested.toDF("hi", "lo")
