@@ -9,6 +9,9 @@ keeps every fill level in stock, so that later documents find a sequence that th
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -18,18 +21,39 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.llm.text import slices
+
 #: Open sequences of a partition at most; beyond that they are completed by cutting.
 MOST_OPEN = 4096
 #: Bytes of remembered words and their ids per Python worker.
-CACHE_BYTES = 96_000_000
+CACHE_BYTES = 200_000_000
 _ENTRY_BYTES = 180
 
 
+def _latin_pattern() -> re.Pattern:
+    """The tokenizer's own splitting pattern, over the characters that ``_PLAIN`` leaves."""
+    letters = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c == c.lower())
+    numbers = "".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == "N")
+    return re.compile(
+        rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+"
+    )
+
+
+#: Characters for which lower-casing and splitting in Python and in the tokenizer surely agree.
+_NOT_PLAIN = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e\xa1-\u012f\u0131-\u024f]|<\|")
+_PIECES = _latin_pattern()
+_PROBE = "Abc def's QR-st!! 12,5 don't é Über straße\n ***x1|y2 'll we're"
+
+
 class WordEncoder:
-    """Ids of a text by a tokenizer that never joins characters across ASCII white space.
+    """Ids of texts by a tokenizer that never joins characters across ASCII white space.
 
     Such a tokenizer gives the ids of a text as those of its words one after another, so each word
-    is tokenised once and remembered; the memory is dropped when it is full.
+    is tokenised once and remembered; the memory is dropped when it is full. New words of many
+    texts are tokenised in one call.
+
+    A tokenizer that lowers letters and then splits words by ``_PIECES`` is recognised by a probe.
+    Plain Latin texts are then cut into these pieces here, of which there are fewer different ones.
     """
 
     def __init__(self, path: str) -> None:
@@ -37,30 +61,57 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, bytes] = {}
+        self._model = self._tokenizer.model
+        self._known: dict[str, bytes] = {}
         self._size = 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self._known]
-        cost = sum(5 * len(w) + _ENTRY_BYTES for w in new)
-        if self._size + cost > CACHE_BYTES:
+        self._by_piece = True
+        whole = self._tokenizer.encode(_PROBE, add_special_tokens=False).ids
+        self._by_piece = self.encode([_PROBE.encode()]) == [array("I", whole).tobytes()]
+        self._known = {}
+
+    def _words(self, text: bytes) -> list[str]:
+        if self._by_piece:
+            plain = text.decode("utf-8", "replace")
+            if not _NOT_PLAIN.search(plain):
+                return _PIECES.findall(plain.lower())
+        return [w.decode("utf-8", "replace") for w in text.split()]
+
+    def _learn(self, words: list[str]) -> None:
+        rest = []
+        for word in words:
+            # Such a word is a piece of its own, and its bytes are its characters.
+            if self._by_piece and word.isascii() and word.isalpha() and word.islower():
+                self._keep(word, [t.id for t in self._model.tokenize(word)])
+            else:
+                rest.append(word)
+        found = self._tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        for word, encoding in zip(rest, found, strict=True):
+            self._keep(word, encoding.ids)
+
+    def _keep(self, word: str, ids: list[int]) -> None:
+        self._known[word] = packed = array("I", ids).tobytes()
+        self._size += len(word) + len(packed) + _ENTRY_BYTES
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        if self._size > CACHE_BYTES:
             self._known, self._size = {}, 0
-            new = list(dict.fromkeys(words))
-            cost = sum(5 * len(w) + _ENTRY_BYTES for w in new)
-        texts = [w.decode("utf-8", "replace") for w in new]
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for word, encoding in zip(new, found, strict=True):
-            self._known[word] = np.asarray(encoding.ids, dtype="<u4").tobytes()
-        self._size += cost
-
-    def encode(self, text: bytes) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        words = text.split()
-        try:
-            return b"".join(map(self._known.__getitem__, words))
-        except KeyError:
-            self._learn(words)
-            return b"".join(map(self._known.__getitem__, words))
+        get = self._known.get
+        words = [self._words(text) for text in texts]
+        found = [list(map(get, w)) for w in words]
+        missing = {
+            word
+            for w, ids in zip(words, found, strict=True)
+            if None in ids
+            for word, known in zip(w, ids, strict=True)
+            if known is None
+        }
+        if missing:
+            self._learn(list(missing))
+        return [
+            b"".join(map(get, w)) if None in ids else b"".join(ids)
+            for w, ids in zip(words, found, strict=True)
+        ]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -213,7 +264,7 @@ def pack(
     - A null or empty text is a document of the one id ``end_id``.
     - A null doc_id is packed like any other. Repeated rows are packed as often as they occur.
     - Columns other than doc_id and text are ignored. An empty table gives no rows.
-    - A text is tokenised as a whole, and its ids are held in memory until its pieces are out.
+    - A text is tokenised as a whole, with some others; the ids of what is open are in memory.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,11 +290,11 @@ def pack(
                 [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], _NAMES
             )
 
-        for part in batches:
+        for part in slices(batches):
             ids = part.column("doc_id").to_pylist()
-            texts = part.column("text").cast(pa.binary()).to_pylist()
-            for doc_id, text in zip(ids, texts, strict=True):
-                tokens = encode(text or b"") + end
+            texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
+            for doc_id, tokens in zip(ids, encode(texts), strict=True):
+                tokens += end
                 n = len(tokens) // 4
                 write(packer.place(Piece((doc_id, n), 0, n, tokens)))
                 if len(out) >= 1000:
