@@ -10,7 +10,8 @@ Three passes over the texts, none of which shuffles a text that keeps all its wo
 3. Windows whose anchor really stands in two documents are grouped exactly, by 96-bit hashes, with
    the smallest doc_id of each. Windows of a larger doc_id are marked for removal.
 
-Both filters only leave out windows that no second document has, so none is lost.
+Both filters only leave out windows that no second document has, so none is lost. Equal texts are
+settled before: all windows of a copy stand in the first of them, which speaks for the others.
 """
 
 from __future__ import annotations
@@ -159,6 +160,22 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
     return found.join(least, ["h1", "h2"]).where("doc_id > lo").select("doc_id", "rh", "first")
 
 
+#: Stands for every window of a text.
+EVERY = -1
+
+
+def copies_of_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, rh, first) of the rows whose whole text a smaller doc_id has, by 128 bits."""
+    same = ["rh", "h", "n"]
+    keys = docs.select(
+        "doc_id", "rh", F.xxhash64(F.lit(1), "text").alias("h"), F.length("text").alias("n")
+    )
+    groups = keys.groupBy(*same).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    copies = keys.join(groups.where("lo < hi and n > 0").select(*same, "lo"), same)
+    copies = copies.where("doc_id > lo").select("doc_id", "rh").distinct()
+    return copies.withColumn("first", F.array(F.lit(EVERY)))
+
+
 def remove_repeated_passages(docs: DataFrame, window_words: int = 50) -> DataFrame:
     """(doc_id, n_words, n_removed, text): ``text`` has the kept words, joined by one space.
 
@@ -175,8 +192,11 @@ def remove_repeated_passages(docs: DataFrame, window_words: int = 50) -> DataFra
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     named = keyed(docs.where("doc_id is not null"))
-    marked = repeated_windows(named, window_words).groupBy("doc_id", "rh")
-    marked = stage(marked.agg(F.sort_array(F.collect_set("first")).alias("first")), "marked")
+    copies = stage(copies_of_texts(named), "copies")
+    others = with_marks(named, copies, "first").where("first is null").drop("first")
+    marked = repeated_windows(others, window_words).groupBy("doc_id", "rh")
+    marked = marked.agg(F.collect_set("first").alias("first")).union(copies)
+    marked = stage(marked, "marked")
     with_gone = with_marks(keyed(docs), marked, "first")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +208,8 @@ def remove_repeated_passages(docs: DataFrame, window_words: int = 50) -> DataFra
                 n_words.append(len(words))
                 if first.is_valid:
                     at = np.asarray(first.values)
+                    if EVERY in at:
+                        at = np.arange(max(len(words) - window_words + 1, 0))
                     change = np.zeros(len(words) + 1, dtype=np.int32)
                     change[at] += 1
                     change[at + window_words] -= 1
