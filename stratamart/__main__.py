@@ -11,6 +11,7 @@ from stratamart.operators.checks import preview
 from stratamart.plans.medallion import run_medallion
 from stratamart.plans.quality import fact_summary, read_all_layers, run_quality_report
 from stratamart.session import tune
+from stratamart.sources.tables import read_table, table_path, write_compacted
 
 PREVIEWS = {
     "customers": "customer_id",
@@ -27,6 +28,9 @@ def main() -> None:
     parser.add_argument(
         "--infer", action="store_true", help="infer the types of the extracts (reads them twice)"
     )
+    parser.add_argument(
+        "--text", action="store_true", help="accept any value; Silver keeps what does not fit as rejects"
+    )
     args = parser.parse_args()
 
     spark = (
@@ -36,14 +40,22 @@ def main() -> None:
     )
     try:
         if args.action == "build":
-            run_medallion(spark, args.base_dir, {} if args.infer else contracts.BRONZE)
+            schemas = contracts.BRONZE
+            if args.infer:
+                schemas = {}
+            elif args.text:
+                schemas = {name: contracts.as_text(kind) for name, kind in schemas.items()}
+            run_medallion(spark, args.base_dir, schemas)
         else:
             tune(spark)
             tables = read_all_layers(spark, args.base_dir)
             for name, key in PREVIEWS.items():
                 preview(tables[name], key).show(truncate=False)
             fact_summary(spark, args.base_dir).show(truncate=False)
-            run_quality_report(spark, args.base_dir).show(1000, truncate=False)
+            path = table_path(args.base_dir, "quality", "report")
+            write_compacted(run_quality_report(spark, args.base_dir), path)
+            report = read_table(spark, path)
+            report.show(report.count(), truncate=False)  # a few rows per column of the tables
     finally:
         spark.stop()
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
@@ -53,10 +54,24 @@ def calendar_columns(date: str = "date") -> list[str]:
     ]
 
 
-def standardise_columns(df: DataFrame) -> DataFrame:
-    """Trimmed lower-case names with underscores: `` Customer ID `` becomes ``customer_id``."""
-    names = [re.sub(r"[^0-9a-z]+", "_", name.strip().lower()).strip("_") for name in df.columns]
+def standard_names(columns: list[str]) -> list[str]:
+    """Trimmed lower-case names with underscores: `` Customer ID `` becomes ``customer_id``.
+
+    Accents are taken off, so that ``Año`` becomes ``ano``; a name of which nothing is left is refused.
+    """
+    names = []
+    for name in columns:
+        apart = unicodedata.normalize("NFKD", name.strip().lower())
+        plain = "".join(c for c in apart if not unicodedata.combining(c))
+        names.append(re.sub(r"[^0-9a-z]+", "_", plain).strip("_"))
+        if not names[-1]:
+            raise ValueError(f"column without letters or digits in its name: {name!r}")
     clashes = sorted(name for name, uses in Counter(names).items() if uses > 1)
     if clashes:
         raise ValueError(f"columns with the same standardised name: {clashes}")
-    return df.toDF(*names)
+    return names
+
+
+def standardise_columns(df: DataFrame) -> DataFrame:
+    """The columns under their ``standard_names``."""
+    return df.toDF(*standard_names(df.columns))

@@ -1,56 +1,127 @@
-"""Conform loosely typed rows to a table contract and count what does not fit."""
+"""Conform loosely typed rows to a table contract without changing a value unnoticed.
+
+A column takes its contract type where the source's values fit it. Where the source is wider the
+target is wider too: text keys stay text, and numbers that come as text or floating point become
+``contracts.WIDE_NUMBER``. A value that the target cannot hold exactly is a reject.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.types import DataType, StructField, StructType
 
-from stratamart.contracts import FLAG_COLUMNS
+from stratamart.contracts import FLAG_COLUMNS, KEY_COLUMNS, SOURCE_FILE, WIDE_NUMBER
 from stratamart.functions.columns import quoted, stacked, text_literal
 
+REJECT_COLUMNS = ("table", "column", "value", "source_file")
+_FLOATING = (T.FloatType, T.DoubleType)
+
+
+def _holds(kind: DataType, source: DataType) -> bool:
+    """Does a numeric contract type hold what the source type usually has?"""
+    if isinstance(source, T.IntegralType):
+        return True
+    if isinstance(source, T.DecimalType):
+        if isinstance(kind, T.DecimalType):
+            whole = source.precision - source.scale <= kind.precision - kind.scale
+            return whole and source.scale <= kind.scale
+        return source.scale == 0 and source.precision <= 18
+    return False
+
+
+def target_type(field: StructField, source: DataType) -> DataType:
+    """The type a column of the given source type is stored in."""
+    kind = field.dataType
+    if field.name in KEY_COLUMNS:
+        return source if isinstance(source, T.StringType) else kind
+    is_number = isinstance(kind, (T.LongType, T.DecimalType))
+    return WIDE_NUMBER if is_number and source != kind and not _holds(kind, source) else kind
+
 
-def _typed(field: StructField, source: DataType) -> str:
-    """SQL for a column in its contract type, NULL where it cannot be cast."""
-    column, kind = quoted(field.name), field.dataType.simpleString()
-    if source == field.dataType:
-        return column
-    value = f"trim({column})" if isinstance(source, StringType) else column
-    typed = f"try_cast({value} AS {kind})"
-    if field.name in FLAG_COLUMNS and isinstance(source, StringType):
+def _cast(field: StructField, source: DataType, strict: bool = False) -> tuple[str, str]:
+    """SQL of a column in its target type, and of whether that is the source's value."""
+    column = quoted(field.name)
+    kind = field.dataType if strict else target_type(field, source)
+    if source == kind:
+        return column, "true"
+    is_text = isinstance(source, T.StringType)
+    value = f"trim({column})" if is_text else column
+    typed = f"try_cast({value} AS {kind.simpleString()})"
+    if field.name in FLAG_COLUMNS and is_text:
         # Text flags come as 1/0 or as true/false.
-        return f"coalesce({typed}, CAST(try_cast({value} AS BOOLEAN) AS {kind}))"
-    return typed
+        typed = f"coalesce({typed}, CAST(try_cast({value} AS BOOLEAN) AS {kind.simpleString()}))"
+        return typed, f"{typed} IS NOT NULL"
+    if not isinstance(kind, T.NumericType) or isinstance(source, T.BooleanType):
+        return typed, f"{typed} IS NOT NULL"
+    if is_text:
+        exact = f"try_cast({value} AS DECIMAL(38, 18)) = CAST({typed} AS DECIMAL(38, 18))"
+    elif isinstance(source, _FLOATING):
+        exact = f"CAST({typed} AS {source.simpleString()}) = {column}"
+    else:
+        exact = f"{typed} = {column}"
+    return typed, f"coalesce({exact}, false)"
 
 
-def _present(df: DataFrame, contract: StructType) -> list[StructField]:
+def _present(df: DataFrame, contract: StructType) -> dict[str, StructField]:
     missing = [field.name for field in contract if field.name not in df.columns]
     if missing:
         raise ValueError(f"columns required by the contract are missing: {missing}")
-    return list(contract)
+    return {field.name: field for field in contract}
 
 
-def apply_contract(df: DataFrame, contract: StructType) -> DataFrame:
-    """Cast the contract's columns; a value that cannot be cast becomes NULL (see ``reject_counts``).
+def apply_contract(df: DataFrame, contract: StructType, strict: bool = False) -> DataFrame:
+    """Cast the contract's columns; a reject becomes NULL.
 
-    Columns outside the contract are kept unchanged.
+    ``strict`` casts to exactly the contract's types and stops the job at a reject. Columns outside the contract are kept unchanged.
     """
-    fields = {field.name: field for field in _present(df, contract)}
-    return df.selectExpr(
-        *[
-            f"{_typed(fields[c.name], c.dataType)} AS {quoted(c.name)}"
-            if c.name in fields
-            else quoted(c.name)
-            for c in df.schema
-        ]
-    )
+    fields = _present(df, contract)
+    columns = []
+    for c in df.schema:
+        name = quoted(c.name)
+        if c.name in fields:
+            typed, exact = _cast(fields[c.name], c.dataType, strict)
+            if strict and exact != "true":
+                said = text_literal(f"column {c.name} cannot hold the value ")
+                stop = f"raise_error(concat({said}, {name}))"
+                typed = f"CASE WHEN {name} IS NULL OR {exact} THEN {typed} ELSE {stop} END"
+            elif exact != "true":
+                typed = f"CASE WHEN {exact} THEN {typed} END"
+            columns.append(f"{typed} AS {name}")
+        else:
+            columns.append(name)
+    return df.selectExpr(*columns)
 
 
 def reject_counts(df: DataFrame, contract: StructType) -> DataFrame:
-    """Values per column that the contract turns into NULL: (column, rejects). One pass."""
-    fields = _present(df, contract)
+    """Rejects per column of the contract: (column, rejects). One pass."""
     counts, rows = [], []
-    for i, field in enumerate(fields):
-        typed = _typed(field, df.schema[field.name].dataType)
-        counts.append(f"count_if({quoted(field.name)} IS NOT NULL AND {typed} IS NULL) AS rejects_{i}")
+    for i, field in enumerate(_present(df, contract).values()):
+        _, exact = _cast(field, df.schema[field.name].dataType)
+        counts.append(f"count_if({quoted(field.name)} IS NOT NULL AND NOT {exact}) AS rejects_{i}")
         rows.append((text_literal(field.name), f"rejects_{i}"))
     return df.selectExpr(*counts).selectExpr(stacked(rows, ("column", "rejects")))
+
+
+def rejected_values(df: DataFrame, contract: StructType, table: str) -> DataFrame:
+    """One row per reject: (table, column, value, source_file), the value as text."""
+    found = []
+    for field in _present(df, contract).values():
+        _, exact = _cast(field, df.schema[field.name].dataType)
+        name = quoted(field.name)
+        if exact != "true":
+            value = f"CASE WHEN {name} IS NOT NULL AND NOT {exact} THEN CAST({name} AS STRING) END"
+            found.append(f"struct({text_literal(field.name)} AS column, {value} AS value)")
+    source = quoted(SOURCE_FILE) if SOURCE_FILE in df.columns else "CAST(NULL AS STRING)"
+    if not found:
+        nothing = "CAST(NULL AS STRING)"
+        return df.selectExpr(
+            f"{text_literal(table)} AS table", f"{nothing} AS column", f"{nothing} AS value",
+            f"{source} AS source_file",
+        ).where(F.lit(False))
+    rows = df.selectExpr(
+        f"{source} AS source_file",
+        f"inline(filter(array({', '.join(found)}), x -> x.value IS NOT NULL))",
+    )
+    return rows.selectExpr(f"{text_literal(table)} AS table", "column", "value", "source_file")

@@ -167,6 +167,18 @@ def check_reconciled(features: DataFrame, sales: DataFrame, name: str) -> DataFr
     return _report_rows(counts, name, [("sales_differ", "ventas_total_3m", "customers", "info")])
 
 
+def check_rejects(rejects: DataFrame, columns: Iterable[str], table: str) -> DataFrame:
+    """Values per column that typing could not keep, from the stored ``rejects`` of all tables."""
+    checks = [
+        ("rejects", c, f"count_if(column = {text_literal(c)})", "warn") for c in columns
+    ]
+    counts = rejects.where(F.col("table") == table).selectExpr(
+        *[f"{count} AS count_{i}" for i, (_, _, count, _) in enumerate(checks)]
+    )
+    named = [(check, c, f"count_{i}", grade) for i, (check, c, _, grade) in enumerate(checks)]
+    return _report_rows(counts, table, named)
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table: (table, rows)."""
     counts = [
@@ -176,6 +188,25 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _deviation(column: str) -> str:
+    """SQL for the sample standard deviation, from exact sums of ten-thousandths.
+
+    (n * sum(x^2) - sum(x)^2) / (n * (n - 1)) is computed in whole numbers, so that the result does
+    not depend on the order of the rows; the root is the only rounding. Beyond 38 digits, or for
+    values finer than four decimals, the built-in floating-point measure is used.
+    """
+    x = f"CAST({column} * 10000 AS DECIMAL(18, 0))"
+    n = f"CAST(count({column}) AS DECIMAL(18, 0))"
+    spread = f"try_subtract(try_multiply({n}, sum({x} * {x})), try_multiply(sum({x}), sum({x})))"
+    exact = f"sqrt(CAST({spread} div ({n} * ({n} - 1)) AS DOUBLE)) / 10000D"
+    fine = f"count_if({column} * 10000 <> {x}) > 0"
+    plain = f"CAST(stddev_samp({column}) AS DOUBLE)"
+    return (
+        f"CASE WHEN count({column}) > 1 THEN "
+        f"CASE WHEN {fine} THEN {plain} ELSE coalesce({exact}, {plain}) END END"
+    )
+
+
 def numeric_summary(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Count, mean, sample standard deviation, minimum and maximum per column, in one pass.
 
@@ -189,7 +220,7 @@ def numeric_summary(df: DataFrame, cols: Iterable[str]) -> DataFrame:
         measures += [
             f"count({c}) AS count_{i}",
             f"CAST(sum({c}) AS DOUBLE) AS total_{i}",
-            f"CAST(stddev_samp({c}) AS DOUBLE) AS stddev_{i}",
+            f"{_deviation(c)} AS stddev_{i}",
             f"CAST(min({c}) AS DOUBLE) AS min_{i}",
             f"CAST(max({c}) AS DOUBLE) AS max_{i}",
         ]

@@ -3,16 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import DataType, MapType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from stratamart.contracts import INGESTION_TIMESTAMP
 from stratamart.functions.columns import quoted
 
 
 def _sortable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _sortable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_sortable(field.dataType) for field in kind)
     return not isinstance(kind, (MapType, VariantType))
 
 
+def _order_key(name: str, kind: DataType) -> str:
+    """The column, or a text of it where it holds a map or variant and so has no order."""
+    if _sortable(kind):
+        return quoted(name)
+    if isinstance(kind, MapType) and _sortable(kind.keyType) and _sortable(kind.valueType):
+        return f"array_sort(map_entries({quoted(name)}))"
+    return f"to_json(struct({quoted(name)}))"
+
+
 def keep_one_per_key(
     df: DataFrame,
     keys: list[str],
@@ -32,9 +45,9 @@ def keep_one_per_key(
     columns = df.columns
     order = [f"{quoted(newest_by)} DESC NULLS LAST"] if newest_by in columns else []
     order += [
-        f"{quoted(field.name)} ASC NULLS LAST"
+        f"{_order_key(field.name, field.dataType)} ASC NULLS LAST"
         for field in df.schema
-        if field.name not in keys and field.name != newest_by and _sortable(field.dataType)
+        if field.name not in keys and field.name != newest_by
     ]
     if not order:
         return df.dropDuplicates(keys)

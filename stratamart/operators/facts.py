@@ -70,8 +70,14 @@ def build_fact_order_line(orders_header: DataFrame, orders_detail: DataFrame) ->
 
 
 def newest_date(dated: DataFrame) -> Column:
-    """The newest ``order_date`` as a scalar subquery: no driver round trip."""
-    return dated.agg(F.max("order_date").alias("newest")).scalar()
+    """The newest ``order_date`` as a scalar subquery: no driver round trip.
+
+    The order id goes along where there is one, so that the subquery needs the same columns of the
+    deduplicated orders as the query around it and reads the same shuffle.
+    """
+    columns = [c for c in ("order_date", "order_id") if c in dated.columns]
+    newest = dated.agg(F.max(F.struct(*columns)).alias("newest"))
+    return newest.select("newest.order_date").scalar()
 
 
 def build_fact_last_3m(
@@ -133,7 +139,10 @@ def build_recent_activity(
 
     Sums and maxima per order ignore NULL lines, so order and customer rollups of both are equal;
     finding the orders without lines, a join of its own, is not needed for them. Row counts and
-    sums of header columns over lines (the sales summary) do need ``build_recent_fact``.
+    sums of header columns over lines (the sales summary) do need ``build_recent_fact``, and so does
+    any rollup where headers and lines share a column: its header value stands in every row.
     """
+    if set(orders.columns) & set(orders_detail.columns) - {"order_id"}:
+        return build_recent_fact(orders, orders_detail, days, newest)
     recent = build_fact_last_3m(orders, days, newest)
     return _with_line_less(_recent_lines(recent, orders_detail), recent)

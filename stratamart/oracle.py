@@ -94,6 +94,12 @@ gold_sales AS (
   FROM sales s LEFT JOIN customers c ON c.customer_id = s.customer_id)"""
 
 
+HEADER_COLUMNS = "order_id customer_id order_date order_net_amount tipo_pago".split()
+DETAIL_COLUMNS = (
+    "order_id line_id product_id qty_units line_net_amount promo_flag product_category".split()
+)
+
+
 def _sql(body: str, *blocks: str) -> str:
     return f"WITH {','.join(blocks)}\n{body}" if blocks else body
 
@@ -237,12 +243,17 @@ def _feature(column: str) -> str:
     return _gold(f"SELECT customer_id, {column} FROM features_all")
 
 
+def _whole(column: str) -> str:
+    return f"CAST({column} * 10000 AS HUGEINT)"
+
+
 def _statistics(columns: list[str]) -> str:
     return _union(
         [
             f"SELECT '{c}' AS \"column\", COUNT({c}) AS \"count\", "
             f"CAST(SUM({c}) AS DOUBLE) / COUNT({c}) AS mean, "
-            f"ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 4) AS stddev, "
+            f"SQRT(CAST((COUNT({c}) * SUM({_whole(c)} * {_whole(c)}) - SUM({_whole(c)}) * SUM({_whole(c)})) "
+            f"// (CAST(COUNT({c}) AS HUGEINT) * (COUNT({c}) - 1)) AS DOUBLE)) / CAST(10000 AS DOUBLE) AS stddev, "
             f"CAST(MIN({c}) AS DOUBLE) AS \"min\", CAST(MAX({c}) AS DOUBLE) AS \"max\" FROM fact"
             for c in columns
         ]
@@ -252,24 +263,38 @@ def _statistics(columns: list[str]) -> str:
 # Order headers as text, with unreadable amounts and dates put in.
 RAW_HEADERS = """
 raw_headers AS (
-  SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
+  SELECT CAST(order_id AS VARCHAR) AS order_id, 'C' || CAST(customer_id AS VARCHAR) AS customer_id,
          CASE WHEN order_net_amount <= 0 THEN 'unknown'
               ELSE strftime(order_date, '%Y-%m-%d %H:%M:%S') END AS order_date,
-         CASE WHEN tipo_pago = 'credito' THEN 'x' ELSE CAST(order_net_amount AS VARCHAR) END AS order_net_amount,
+         CASE WHEN tipo_pago = 'credito' THEN 'x'
+              WHEN order_id % 7 = 0 THEN CAST(order_net_amount AS VARCHAR) || '0000000001'
+              ELSE CAST(order_net_amount AS VARCHAR) END AS order_net_amount,
          tipo_pago
   FROM orders_header),
 typed_headers AS (
-  SELECT TRY_CAST(order_id AS BIGINT) AS order_id, TRY_CAST(customer_id AS BIGINT) AS customer_id,
-         TRY_CAST(order_date AS TIMESTAMP) AS order_date,
-         TRY_CAST(order_net_amount AS DECIMAL(18,2)) AS order_net_amount, tipo_pago
+  SELECT order_id, customer_id, TRY_CAST(order_date AS TIMESTAMP) AS order_date,
+         CASE WHEN TRY_CAST(order_net_amount AS DECIMAL(38,18)) = TRY_CAST(order_net_amount AS DECIMAL(28,10))
+              THEN TRY_CAST(order_net_amount AS DECIMAL(28,10)) END AS order_net_amount, tipo_pago
   FROM raw_headers)"""
 
+# Order lines with half units and floating-point numbers, one of them finer than ten decimals.
+LOOSE_LINES = """
+raw_lines AS (
+  SELECT order_id, line_id, product_id,
+         CAST(qty_units AS DOUBLE) + CASE WHEN line_id = 2 THEN 0.5 ELSE 0 END AS qty_units,
+         CASE WHEN line_id = 3 THEN 1e-13 ELSE CAST(line_net_amount AS DOUBLE) END AS line_net_amount,
+         promo_flag, product_category
+  FROM orders_detail),
+typed_lines AS (
+  SELECT * REPLACE (CASE WHEN line_id = 3 THEN NULL ELSE line_net_amount END AS line_net_amount)
+  FROM raw_lines)"""
 
-def _rejects(columns: list[str]) -> str:
+
+def _rejects(columns: list[str], of: str = "headers") -> str:
     return _union(
         [
-            f"SELECT '{c}' AS \"column\", (SELECT COUNT({c}) FROM raw_headers) - "
-            f"(SELECT COUNT({c}) FROM typed_headers) AS rejects"
+            f"SELECT '{c}' AS \"column\", (SELECT COUNT({c}) FROM raw_{of}) - "
+            f"(SELECT COUNT({c}) FROM typed_{of}) AS rejects"
             for c in columns
         ]
     )
@@ -294,6 +319,16 @@ def oracle_sql() -> dict[str, str]:
         "bronze_orders_detail": _src(f"SELECT {_DETAIL} FROM orders_detail"),
         "standardise_columns": _src("SELECT * FROM customers"),
         "typed_silver": _sql(f"SELECT {_HEADER} FROM typed_headers", SOURCES, RAW_HEADERS),
+        "typed_silver_lines": _sql("SELECT * FROM typed_lines", SOURCES, LOOSE_LINES),
+        "typed_silver_lines_rejects": _sql(_rejects(DETAIL_COLUMNS, "lines"), SOURCES, LOOSE_LINES),
+        "bronze_customers_more_columns": _src(
+            "SELECT *, substr(customer_name, 1, 3) AS region FROM customers"
+        ),
+        "orders_3m_shared_columns": _window(
+            "SELECT customer_id, order_id, order_date, CAST(7 * line_rows AS DOUBLE) AS order_amount, "
+            "CAST(order_id % 2 AS INTEGER) AS has_promo, tipo_pago FROM ord "
+            "JOIN (SELECT order_id, COUNT(*) AS line_rows FROM fact_3m GROUP BY order_id) USING (order_id)"
+        ),
         "typed_silver_rejects": _sql(
             _rejects(["order_id", "customer_id", "order_date", "order_net_amount", "tipo_pago"]),
             SOURCES,
@@ -465,6 +500,16 @@ FROM (SELECT DISTINCT CAST(order_date AS DATE) AS d FROM fact) t"""
         "quality_report": _gold(
             _union(
                 [
+                    *[
+                        _check(table, "rejects", c, "SELECT 0", "warn")
+                        for table, columns in {
+                            "customers": CUSTOMER_COLUMNS,
+                            "products": PRODUCT_COLUMNS,
+                            "orders_header": HEADER_COLUMNS,
+                            "orders_detail": DETAIL_COLUMNS,
+                        }.items()
+                        for c in columns
+                    ],
                     _rows("customers", "customers"),
                     *_nulls("customers", "customers", CUSTOMER_COLUMNS),
                     _rows("products", "products"),

@@ -9,7 +9,7 @@ from stratamart import contracts
 from stratamart.operators.facts import newest_date
 from stratamart.operators.features import all_features
 from stratamart.operators.rollups import customer_rollup, sales_totals
-from stratamart.session import tune
+from stratamart.session import tuned
 from stratamart.sources.tables import (
     newest_order_bound,
     read_fact_since,
@@ -65,13 +65,16 @@ def build_dim_features(
 
 def run_gold(spark: SparkSession, base_dir: str, days: int = contracts.WINDOW_DAYS) -> None:
     """Build the Gold tables from Silver; only the window's bound visits the driver."""
-    tune(spark)
+    with tuned(spark):
+        _run_gold(spark, base_dir, days)
 
+
+def _run_gold(spark: SparkSession, base_dir: str, days: int) -> None:
     def path(layer: str, table: str) -> str:
         return table_path(base_dir, layer, table)
 
     fact_path = path("silver", "fact_order_line")
-    bound = newest_order_bound(spark, fact_path, path("silver", "dim_date"), days)
+    bound = newest_order_bound(spark, fact_path, days)
     fact_3m = read_fact_since(spark, fact_path, bound.bound, bound.month)
     dim_customer = read_table(spark, path("silver", "dim_customer"))
     write_compacted(

@@ -24,13 +24,20 @@ NON_NEGATIVE_FEATURES = [
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Every check of every layer as report rows.
 
-    Expects the four Bronze tables, ``dim_customer``, ``dim_product``, ``fact_order_line``,
+    Expects the four Bronze tables, ``rejects``, ``dim_customer``, ``dim_product``, ``fact_order_line``,
     ``gold_sales_customer_3m`` and ``dim_features``. Column checks take one aggregation per table.
     """
     dim_customer, dim_product = tables["dim_customer"], tables["dim_product"]
     fact = tables["fact_order_line"]
     sales, features = tables["gold_sales_customer_3m"], tables["dim_features"]
+    rejects = [
+        checks.check_rejects(
+            tables["rejects"], [c for c in contract.fieldNames() if c in tables[name].columns], name
+        )
+        for name, contract in contracts.BRONZE.items()
+    ]
     parts = [
+        *rejects,
         checks.profile(tables["customers"], "customers", nulls_except=(), row_count=True),
         checks.profile(tables["products"], "products", nulls_except=(), row_count=True),
         checks.profile(tables["orders_header"], "orders_header", row_count=True),
@@ -67,12 +74,12 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def read_all_layers(spark: SparkSession, base_dir: str) -> dict[str, DataFrame]:
-    """The nine tables of the report, as stored."""
+    """The nine tables of the report and the rejects, as stored."""
     tables = {
         name: read_table(spark, table_path(base_dir, layer, name))
         for layer, names in {
             "bronze": list(contracts.BRONZE),
-            "silver": ["dim_customer", "dim_product"],
+            "silver": ["rejects", "dim_customer", "dim_product"],
             "gold": ["gold_sales_customer_3m", "dim_features"],
         }.items()
         for name in names

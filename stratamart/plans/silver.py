@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from stratamart import contracts
 from stratamart.functions.columns import calendar_columns
-from stratamart.functions.typing import apply_contract
+from stratamart.functions.typing import apply_contract, rejected_values
 from stratamart.operators.dedup import keep_one_per_key
 from stratamart.operators.facts import build_fact_order_line
-from stratamart.session import tune
+from stratamart.session import tuned
 from stratamart.sources.tables import read_table, table_path, write_fact, write_table
 
 
@@ -33,24 +35,44 @@ def build_dim_date(dated: DataFrame) -> DataFrame:
     return dates.selectExpr(*calendar_columns("date"))
 
 
+def _bronze(spark: SparkSession, base_dir: str, table: str) -> tuple[DataFrame, StructType]:
+    """A Bronze table and the part of its contract that it has columns for."""
+    rows = read_table(spark, table_path(base_dir, "bronze", table))
+    known = [field for field in contracts.BRONZE[table] if field.name in rows.columns]
+    return rows, StructType(known)
+
+
 def silver_input(spark: SparkSession, base_dir: str, table: str) -> DataFrame:
     """A Bronze table with the types of its contract; other columns are carried along.
 
     Sources may lack descriptive columns of the contract; the columns an operator needs are named by
     that operator.
     """
-    rows = read_table(spark, table_path(base_dir, "bronze", table))
-    known = [field for field in contracts.BRONZE[table] if field.name in rows.columns]
-    return apply_contract(rows, StructType(known))
+    return apply_contract(*_bronze(spark, base_dir, table))
+
+
+def silver_rejects(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Values of all Bronze tables that Silver cannot hold, with table, column and source file."""
+    found = [
+        rejected_values(*_bronze(spark, base_dir, table), table) for table in contracts.BRONZE
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 def run_silver(spark: SparkSession, base_dir: str) -> None:
-    """Build the Silver tables. The fact is computed once; the calendar reads it back."""
-    tune(spark)
+    """Build the Silver tables. The fact is computed once; the calendar reads it back.
+
+    ``rejects`` keeps every value that became NULL because its column's type cannot hold it.
+    """
+    with tuned(spark):
+        _run_silver(spark, base_dir)
+
 
+def _run_silver(spark: SparkSession, base_dir: str) -> None:
     def silver(table: str) -> str:
         return table_path(base_dir, "silver", table)
 
+    write_table(silver_rejects(spark, base_dir), silver("rejects"))
     write_table(
         build_dim_customer(silver_input(spark, base_dir, "customers")), silver("dim_customer")
     )

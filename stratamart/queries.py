@@ -166,16 +166,19 @@ def standardised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _headers_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order headers as text, with unreadable amounts and dates put in."""
+    """Order headers as text, with unreadable amounts and dates, text keys and amounts that are finer
+    than any type put in."""
     headers = orders_header(spark, sf_dir)
+    amount = F.col("order_net_amount").cast("string")
     return headers.select(
         F.col("order_id").cast("string").alias("order_id"),
-        F.col("customer_id").cast("string").alias("customer_id"),
+        F.concat(F.lit("C"), F.col("customer_id").cast("string")).alias("customer_id"),
         F.when(F.col("order_net_amount") <= 0, "unknown")
         .otherwise(F.date_format("order_date", "yyyy-MM-dd HH:mm:ss"))
         .alias("order_date"),
         F.when(F.col("tipo_pago") == "credito", "x")
-        .otherwise(F.col("order_net_amount").cast("string"))
+        .when(F.col("order_id") % 7 == 0, F.concat(amount, F.lit("0000000001")))
+        .otherwise(amount)
         .alias("order_net_amount"),
         "tipo_pago",
     )
@@ -191,6 +194,42 @@ def typed_silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_counts(_headers_as_text(spark, sf_dir), contracts.ORDERS_HEADER)
 
 
+def _loose_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with half units and as floating point, as an inferred load has them."""
+    lines = orders_detail(spark, sf_dir)
+    half = F.when(F.col("line_id") == 2, 0.5).otherwise(0.0)
+    fine = F.when(F.col("line_id") == 3, 1e-13).otherwise(0.0)
+    return lines.withColumns(
+        {
+            "qty_units": F.col("qty_units").cast("double") + half,
+            "line_net_amount": F.when(F.col("line_id") == 3, fine).otherwise(
+                F.col("line_net_amount").cast("double")
+            ),
+        }
+    )
+
+
+@_query("typed_silver_lines")
+def typed_silver_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(apply_contract(_loose_details(spark, sf_dir), contracts.ORDERS_DETAIL))
+
+
+@_query("typed_silver_lines_rejects")
+def typed_silver_lines_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reject_counts(_loose_details(spark, sf_dir), contracts.ORDERS_DETAIL)
+
+
+@_query("bronze_customers_more_columns")
+def bronze_customers_more_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A typed load of extracts with one column more than the contract."""
+    base_dir = scratch_dir(spark, "more")
+    rows = customers(spark, sf_dir).withColumn("region", F.substring("customer_name", 1, 3))
+    write_csv_extracts(rows, f"{base_dir}/raw", "customers", "customer_id")
+    ingest(spark, base_dir, "customers", contracts.CUSTOMERS)
+    stored = read_table(spark, table_path(base_dir, "bronze", "customers"))
+    return stored.drop(*contracts.METADATA_COLUMNS)
+
+
 @_query("parquet_scan")
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/orders.parquet")
@@ -300,6 +339,19 @@ def orders_3m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(rollups.order_rollup(_activity(spark, sf_dir)[0]))
 
 
+@_query("orders_3m_shared_columns")
+def orders_3m_shared_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup where headers carry two columns of the lines; the header's values win."""
+    headers = orders_header(spark, sf_dir).withColumns(
+        {
+            "line_net_amount": F.lit(7).cast(contracts.LINE_AMOUNT),
+            "promo_flag": (F.col("order_id") % 2).cast("int"),
+        }
+    )
+    activity = build_recent_activity(clean_orders(headers), orders_detail(spark, sf_dir))
+    return _published(rollups.order_rollup(activity))
+
+
 @_query("customer_order_stats_3m")
 def customer_order_stats_3m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(_customer_stats(_activity(spark, sf_dir)[0]))
@@ -413,11 +465,10 @@ def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = attach_lines(orders, clean_lines(orders_detail(spark, sf_dir)))
     traditional = people.filter(F.col("canal") == contracts.CHANNEL_TRADITIONAL)
     parts = [
-        # Every valid order is in the fact, so its customers are those of the orders.
         checks.check_fk(
-            traditional, orders, "customer_id", "traditional_customers", "fact_order_line"
+            traditional, fact, "customer_id", "traditional_customers", "fact_order_line"
         ),
-        checks.check_fk(people, orders, "customer_id", "dim_customer", "fact_order_line"),
+        checks.check_fk(people, fact, "customer_id", "dim_customer", "fact_order_line"),
         checks.check_fk(
             products(spark, sf_dir), fact, "product_id", "dim_product", "fact_order_line"
         ),
@@ -446,13 +497,14 @@ def reconcile_features_vs_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("layer_row_counts")
 def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.row_counts(read_all_layers(spark, _stored_layers(spark, sf_dir, "counts")))
+    tables = read_all_layers(spark, _stored_layers(spark, sf_dir, "counts"))
+    del tables["rejects"]
+    return checks.row_counts(tables)
 
 
 @_query("describe_fact")
 def describe_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = checks.numeric_summary(_fact(spark, sf_dir), FACT_AMOUNTS)
-    return summary.withColumn("stddev", F.round("stddev", 4))
+    return checks.numeric_summary(_fact(spark, sf_dir), FACT_AMOUNTS)
 
 
 @_query("preview_first_5")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SKEW_SETTINGS = (
+    "spark.sql.adaptive.enabled",
+    "spark.sql.adaptive.skewJoin.enabled",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin",
+    "spark.sql.requireAllClusterKeysForDistribution",
+)
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -17,26 +23,38 @@ def tune(spark: SparkSession) -> SparkSession:
     Adaptive execution splits a hot join key even where that costs one more shuffle. A
     deduplication or rollup on several columns is spread by all of them, after combining on the map
     side, instead of reusing the partitioning of a join on one of them. Sizes, memory and partition
-    counts are left to the cluster.
+    counts are left to the cluster. For entry points, whose session it is.
     """
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
+    for name in SKEW_SETTINGS:
+        spark.conf.set(name, "true")
     return spark
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="stratamart-")
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[SparkSession]:
+    """``tune`` for the jobs run inside; the caller's settings come back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in SKEW_SETTINGS}
+    try:
+        yield tune(spark)
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new path for staged tables under the shared folder of the cluster.
 
     Paths carry the application id, so that all scratch of a finished application can be dropped
-    at once. Only a session without a shared folder (a local test) gets a temporary one.
+    at once. A session without a shared folder is refused: executors do not see each other's local
+    disks.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None) or _local_scratch()
+    root = spark.conf.get(CHECKPOINT_DIR, None)
+    if not root:
+        raise ValueError(
+            f"staged tables need a folder that driver and executors share: set {CHECKPOINT_DIR}"
+        )
     app = spark.sparkContext.applicationId
     return f"{root.rstrip('/')}/stratamart/{app}/{purpose}-{uuid.uuid4().hex}"

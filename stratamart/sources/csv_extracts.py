@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stratamart.contracts import INGESTION_TIMESTAMP, SOURCE_FILE
+from stratamart.functions.columns import standard_names
+from stratamart.functions.typing import apply_contract
 
 
 def read_csv_glob(
@@ -17,17 +19,27 @@ def read_csv_glob(
 ) -> DataFrame:
     """Read every CSV file matching ``pattern``; each has a header row.
 
-    With a schema the extracts are read once, each file's header is compared with the column names
-    (CSV columns are positional: a file with another column order would be misread otherwise), and a
-    malformed value stops the load instead of becoming NULL. To accept malformed values, read with
-    ``contracts.as_text(schema)`` and type the rows with ``apply_contract``.
+    With a schema the extracts are read once, as text; the schema's columns, found by name, get its
+    types, and all others stay text. A value that its type cannot hold exactly stops the load. To
+    accept such values, read with ``contracts.as_text(schema)`` and type the rows with
+    ``apply_contract``. Without a schema the types are inferred, which costs one more pass.
 
-    Without a schema the types are inferred, which costs one more pass over the files.
+    CSV columns are positional, so each file's header is compared with that of the first file; a
+    file with another column order or another number of columns stops the load.
     """
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", True).csv(pattern)
-    return reader.schema(schema).option("enforceSchema", False).option("mode", mode).csv(pattern)
+    names = reader.csv(pattern).columns  # from the header of one file
+    text = StructType([StructField(name, StringType()) for name in names])
+    reader = reader.schema(text).option("enforceSchema", False).option("mode", mode)
+    scan = reader.csv(pattern)
+    tidy = dict(zip(names, standard_names(names), strict=True))
+    own = [field for field in schema if field.name in tidy.values()]
+    missing = [field.name for field in schema if field not in own]
+    if missing:
+        raise ValueError(f"columns missing from {pattern}: {missing}")
+    return apply_contract(scan.toDF(*tidy.values()), StructType(own), strict=True)
 
 
 def with_ingest_metadata(scan: DataFrame) -> DataFrame:

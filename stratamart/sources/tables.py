@@ -53,14 +53,14 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(FACT_PARTITION)
 
 
-def newest_order_bound(spark: SparkSession, fact_path: str, dim_date_path: str, days: int) -> Row:
+def newest_order_bound(spark: SparkSession, fact_path: str, days: int) -> Row:
     """First moment of the trailing window as one row ``(bound, month)``; both NULL without dates.
 
-    The calendar is tiny and names the newest month, so only that month of the fact is scanned. The
-    bound is text, which keeps it independent of the time zone of the Python process.
+    The newest month is the fact's own newest partition, and only that month is scanned for the
+    date. The bound is text, which keeps it independent of the time zone of the Python process.
     """
-    calendar = read_table(spark, dim_date_path)
-    newest_month = calendar.agg(F.max(F.col("year") * 100 + F.col("month"))).scalar()
+    months = spark.read.parquet(fact_path).agg(F.max(FACT_PARTITION).alias("month"))
+    newest_month = months.scalar()
     bound = F.max("order_date") - interval_days(days)
     return (
         spark.read.parquet(fact_path)

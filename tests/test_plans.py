@@ -114,7 +114,7 @@ def test_window_slice_reads_only_its_months(spark, tmp_path):
     headers = orders_header(spark, TESTDATA)
     write_fact(headers, fact_path)
     write_table(build_dim_date(headers), calendar_path)
-    bound = newest_order_bound(spark, fact_path, calendar_path, 90)
+    bound = newest_order_bound(spark, fact_path, 90)
     recent = read_fact_since(spark, fact_path, bound.bound, bound.month)
     plan = planned(recent)
     assert re.search(r"PartitionFilters: \[[^]]*order_month#\d+ >= 200105", plan)
@@ -128,6 +128,31 @@ def test_window_slice_of_a_fact_without_dates(spark, tmp_path):
     headers = orders_header(spark, TESTDATA).limit(3).withColumn("order_date", F.lit(None).cast("timestamp_ntz"))
     write_fact(headers, fact_path)
     write_table(build_dim_date(headers), calendar_path)
-    bound = newest_order_bound(spark, fact_path, calendar_path, 90)
+    bound = newest_order_bound(spark, fact_path, 90)
     assert tuple(bound) == (None, None)
     assert read_fact_since(spark, fact_path, *bound).count() == 0
+
+
+WINDOW_QUERIES = """
+fact_last_90d recent_fact orders_3m customer_order_stats_3m total_sales_3m order_frequency_3m
+avg_ticket_3m promo_order_share_3m credit_share_3m recency_days category_variety_3m order_gaps
+avg_days_between_orders features_join_customer gold_sales_customer_3m dim_features
+features_not_eligible features_not_in_sales reconcile_features_vs_sales
+""".split()
+
+
+@pytest.mark.parametrize("name", WINDOW_QUERIES)
+def test_window_queries_read_the_orders_once(spark, name):
+    """In the plan without adaptive execution, which prints what is read again only once."""
+    query = registry.queries()[name](spark, TESTDATA)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = planned(query)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # Only the variety needs no order id beside its lines, and so a shuffle of fewer columns.
+    expected = 2 if name == "category_variety_3m" else 1
+    assert len(re.findall(r"FileScan parquet \[[^]]*o_orderkey", plan)) == expected
