@@ -29,8 +29,13 @@ Hashes = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
 
 def add(counters: np.ndarray, hashes: np.ndarray) -> None:
     """Count the hashes, saturating at the largest value of the counters."""
-    cells, times = np.unique(hashes & np.uint64(len(counters) - 1), return_counts=True)
     most = np.iinfo(counters.dtype).max
+    cells = hashes & np.uint64(len(counters) - 1)
+    if 8 * len(cells) >= len(counters):
+        total = np.bincount(cells.astype(np.int64), minlength=len(counters)) + counters
+        counters[:] = np.minimum(total, most)
+        return
+    cells, times = np.unique(cells, return_counts=True)
     total = counters[cells].astype(np.int64) + times
     counters[cells] = np.minimum(total, most).astype(counters.dtype)
 

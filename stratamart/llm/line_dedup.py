@@ -50,10 +50,9 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     copies = signed.select("d1", "d2", *ids).join(classes, ["d1", "d2"])
     copies = stage(copies.where(F.struct(*ids) != F.col("head")).select(*ids), "copies")
 
-    lists = postings(signed, spec, ListKeys(spec.percent), tuple(spec.parity))
-    lists = lists.join(copies, ids, "left_anti")
+    lists = postings(signed, spec, ListKeys(spec.percent)).join(copies, ids, "left_anti")
     lists = stage(lists.withColumn("band", size_band()), "lists")
-    fields = [*ids, "n", "place", *spec.parity]
+    fields = [*ids, "n", "place"]
     first = lists.groupBy("key", "band").agg(
         F.min(F.struct(*fields)).alias("f"), F.count(F.lit(1)).alias("rows")
     )
@@ -62,12 +61,19 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     )
     star = as_side(lists, "a", fields).join(first, ["key", "band"])
     star = star.where(node("a", ids) > node("b", ids)).where(may_be_similar(spec.percent))
-    star = star.where(signatures_allow(spec.percent, spec.parity))
     star = stage(star.select(*a, *b).distinct(), "star")
     gone = stage(verified(texts, spec, levels, star).select(*a).toDF(*ids).distinct(), "gone")
 
-    left = as_side(lists.join(gone, ids, "left_anti").drop("band"), "a", fields)
-    rest = left.join(as_side(lists.drop("band"), "b", fields), "key")
+    # Lists with a line that is still there and another one; parity joins only these rows.
+    left = lists.join(gone, ids, "left_anti").select("key", *fields)
+    open_keys = left.join(lists.groupBy("key").count().where("count > 1"), "key", "left_semi")
+    open_keys = stage(open_keys.select("key").distinct(), "open-keys")
+    rows = lists.join(open_keys, "key", "left_semi").select("key", *fields)
+    parity = signed.groupBy(*ids).agg(*[F.min(c).alias(c) for c in spec.parity])
+    rows = stage(rows.join(parity, ids), "open")
+    fields += spec.parity
+    left = as_side(rows.join(gone, ids, "left_anti"), "a", fields)
+    rest = left.join(as_side(rows, "b", fields), "key")
     rest = rest.where(node("a", ids) > node("b", ids)).where(may_be_similar(spec.percent))
     rest = rest.where(signatures_allow(spec.percent, spec.parity))
     rest = rest.select(*a, *b).distinct().join(star, [*a, *b], "left_anti")
@@ -101,8 +107,6 @@ def remove_repeated_lines(
     )
     marks = repeated_lines(docs, spec).groupBy("doc_id", "rh")
     marks = stage(marks.agg(F.collect_set("line_no").alias("gone")), "marks")
-    marked = with_marks(keyed(docs), marks, "gone").drop("rh")
-
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             texts = part.column("text").cast(pa.binary()).to_pylist()
@@ -121,6 +125,6 @@ def remove_repeated_lines(
             columns += [part.column(c) for c in carry]
             yield pa.record_batch(columns, ["doc_id", "n_lines", "n_removed", "text", *carry])
 
-    kinds = [f"`{c}` {marked.schema[c].dataType.simpleString()}" for c in carry]
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]
     schema = ["doc_id bigint", "n_lines bigint", "n_removed bigint", "text string", *kinds]
-    return marked.mapInArrow(keep, ", ".join(schema))
+    return with_marks(keyed(docs), marks, "gone", then=keep, schema=", ".join(schema))

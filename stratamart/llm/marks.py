@@ -20,10 +20,17 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def with_marks(
-    docs: DataFrame, marks: DataFrame, column: str, on: tuple[str, ...] = ("doc_id", "rh")
+    docs: DataFrame,
+    marks: DataFrame,
+    column: str,
+    on: tuple[str, ...] = ("doc_id", "rh"),
+    then: Callable | None = None,
+    schema: str = "",
 ) -> DataFrame:
     """``docs`` with the column of ``marks``, which has one row per ``on``; null where it has none.
 
+    ``then`` turns batches of that into batches of ``schema``, in the same tasks.
+
     A bit table of fixed size over the marked doc_ids lets rows that surely have no mark pass
     without a shuffle. A null doc_id has no marks.
     """
@@ -50,7 +57,15 @@ def with_marks(
         return choose
 
     kind = marks.schema[column].dataType
-    surely_not = docs.mapInArrow(rows(False), docs.schema)
-    maybe = docs.mapInArrow(rows(True), docs.schema).join(marks, list(on), "left")
     names = [*docs.columns, column]
-    return surely_not.withColumn(column, F.lit(None).cast(kind)).union(maybe.select(*names))
+    maybe = docs.mapInArrow(rows(True), docs.schema).join(marks, list(on), "left").select(*names)
+    if then is None:
+        surely_not = docs.mapInArrow(rows(False), docs.schema)
+        return surely_not.withColumn(column, F.lit(None).cast(kind)).union(maybe)
+    plain = rows(False)
+
+    def unmarked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return then(plain(batches))
+
+    nothing = docs.withColumn(column, F.lit(None).cast(kind))
+    return nothing.mapInArrow(unmarked, schema).union(maybe.mapInArrow(then, schema))

@@ -1,5 +1,128 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express.
+
+The others have no SQL: line dedup and the secret scan need places and orders that take more than the
+query itself, and classifiers, mixing and packing are iterative. Tests compare them with brute force.
+"""
+
+from __future__ import annotations
+
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_LOWER = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+# Smallest node reachable from each node of links(a, b), both directions.
+_COMPONENTS = """
+reach AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+components AS (SELECT a AS node, least(a, min(b)) AS component FROM reach GROUP BY a)"""
+
+OP1 = f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y
+  ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.98),
+{_COMPONENTS}
+SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(component, e.vec_id) AS component_id,
+       coalesce(component, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN components ON node = e.vec_id
+LEFT JOIN (SELECT a, COUNT(*) AS n FROM links GROUP BY a) l ON l.a = e.vec_id"""
+
+OP7 = f"""
+WITH texts AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM texts),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS k FROM places),
+firsts AS (SELECT k, min(doc_id) AS lo FROM windows GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN firsts USING (k)
+  WHERE lo < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM texts),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, COUNT(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept ON kept.doc_id = t.doc_id"""
+
+OP9 = f"""
+WITH RECURSIVE texts AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, CASE WHEN len(w) > 0 THEN 2 ELSE 0 END))) AS i
+        FROM texts) p),
+sizes AS (SELECT doc_id, COUNT(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS n_both FROM shingles x JOIN shingles y
+  ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * n_both >= 80 * (p.n + q.n - n_both)),
+{_COMPONENTS}
+SELECT t.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, t.doc_id) AS component_id
+FROM texts t LEFT JOIN sizes USING (doc_id) LEFT JOIN components ON node = t.doc_id"""
+
+_RULES = ("few_words", "repeated_words", "symbols", "repeated_lines")
+_FAILS = (
+    "n_words < 50",
+    "100 * n_repeat_words > 50 * n_words",
+    "100 * n_symbols > 10 * word_chars",
+    "100 * n_dup_lines > 50 * n_lines",
+)
+
+
+def _rate(rule: str) -> str:
+    weight = f"greatest(m_{rule} * (1 - m_{rule}) / v_{rule} - 1, 0)"
+    return (
+        f"CASE WHEN v_{rule} = 0 THEN m_{rule} "
+        f"ELSE ({rule} + m_{rule} * {weight}) / (n + {weight}) END"
+    )
+
+
+OP10 = rf"""
+WITH texts AS (
+  SELECT doc_id, source AS host, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM texts),
+windows AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k FROM places),
+many AS (SELECT doc_id, k FROM windows GROUP BY doc_id, k HAVING COUNT(*) > 1),
+covered AS (
+  SELECT doc_id, COUNT(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 3)) AS p FROM windows JOIN many USING (doc_id, k)) c
+  GROUP BY doc_id),
+measures AS (
+  SELECT doc_id, host, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines
+  FROM texts LEFT JOIN covered USING (doc_id)),
+hosts AS (
+  SELECT host, COUNT(*) AS n,
+         {", ".join(f"COUNT(*) FILTER (WHERE {f}) AS {r}" for r, f in zip(_RULES, _FAILS, strict=True))}
+  FROM measures WHERE host IS NOT NULL GROUP BY host),
+prior AS (
+  SELECT {", ".join(f"AVG({r} / n) AS m_{r}, VAR_POP({r} / n) AS v_{r}" for r in _RULES)} FROM hosts),
+bad AS (
+  SELECT host FROM hosts, prior
+  WHERE 100 * greatest({", ".join(_rate(r) for r in _RULES)}) > 50)
+SELECT doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       {_FAILS[0]} OR {_FAILS[1]} AS base_failed,
+       bad.host IS NOT NULL AS host_failed,
+       NOT ({_FAILS[0]} OR {_FAILS[1]}) AND bad.host IS NULL AS kept
+FROM measures LEFT JOIN bad USING (host)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_embedding_near_dedup": OP1,
+        "op7_substring_dedup": OP7,
+        "op9_ngram_jaccard_join": OP9,
+        "op10_host_quality_rules": OP10,
+    }

@@ -328,10 +328,22 @@ def verified(
 
     bits = counts.merged_bits(wanted, hashes, counts.width_for(wanted.count()))
     present = spark.sparkContext.broadcast(bits)
+
+    def doc_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for part in batches:
+            yield _node_hash([long_column(part, "doc_id")])
+
+    bits = counts.merged_bits(wanted.select("doc_id"), doc_hashes, counts.width_for(wanted.count()))
+    present_docs = spark.sparkContext.broadcast(bits)
     shared = spark.sparkContext.broadcast(levels)
 
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            hashes = _node_hash([long_column(part, "doc_id")])
+            yield part.filter(pa.array(counts.has_bit(present_docs.value, hashes)))
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in sets_of(batches, spec, shared.value):
+        for found in sets_of(chosen(batches), spec, shared.value):
             rows = np.flatnonzero(counts.has_bit(present.value, _node_hash(found.ids)))
             keep = np.zeros(len(found.sizes), dtype=np.int64)
             keep[rows] = found.sizes[rows]

@@ -197,8 +197,6 @@ def remove_repeated_passages(docs: DataFrame, window_words: int = 50) -> DataFra
     marked = repeated_windows(others, window_words).groupBy("doc_id", "rh")
     marked = marked.agg(F.collect_set("first").alias("first")).union(copies)
     marked = stage(marked, "marked")
-    with_gone = with_marks(keyed(docs), marked, "first")
-
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             n_words, n_removed, texts = [], [], []
@@ -224,4 +222,4 @@ def remove_repeated_passages(docs: DataFrame, window_words: int = 50) -> DataFra
             )
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, text string"
-    return with_gone.drop("rh").mapInArrow(keep, schema)
+    return with_marks(keyed(docs), marked, "first", then=keep, schema=schema)

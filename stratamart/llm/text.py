@@ -16,9 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 #: Bytes of one text hashed at once, cut between words.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 U64 = np.uint64
 _RANDOM = np.random.Generator(np.random.PCG64(20_240_607))
