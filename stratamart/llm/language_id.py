@@ -196,7 +196,7 @@ def training_sample(
     found = found.where("bits is not null").collect()
     found.sort(key=lambda r: (r["place"], r["lang"]))
     bits = np.frombuffer(b"".join(bytes(r["bits"]) for r in found), dtype=np.uint8)
-    return np.unpackbits(bits.reshape(len(found), -1), axis=1), [r["lang"] for r in found]
+    return np.unpackbits(bits.reshape(len(found), SPACE // 8), axis=1), [r["lang"] for r in found]
 
 
 def identify_languages(
