@@ -11,7 +11,6 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -48,10 +47,16 @@ def _blocks(counters: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([used.astype(np.int32), np.full(len(used), part, np.int32), cells], _ARROW)
 
 
-def _merge(dtype: str, group: pd.DataFrame) -> np.ndarray:
+def _merged(group: pa.Table, counters: np.ndarray) -> pa.Table:
+    packed = zlib.compress(counters.tobytes(), 1)
+    columns = [group.column("block").slice(0, 1), pa.array([0], pa.int32()), pa.array([packed])]
+    return pa.table(columns, schema=_ARROW)
+
+
+def _merge(dtype: str, group: pa.Table) -> np.ndarray:
     total = None
     most = np.iinfo(dtype).max
-    for packed in group["cells"]:
+    for packed in group.column("cells").to_pylist():
         cells = np.frombuffer(zlib.decompress(packed), dtype=dtype).astype(np.int64)
         total = cells if total is None else np.minimum(total + cells, most)
     return total.astype(dtype)
@@ -75,15 +80,12 @@ def merged_counts(df: DataFrame, hashes: Hashes, width: int, dtype: str = "uint8
             add(counters, np.concatenate(waiting))
         yield _blocks(counters)
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        packed = zlib.compress(_merge(dtype, group).tobytes(), 1)
-        return pd.DataFrame(
-            {"block": group["block"].iloc[:1], "part": np.int32(0), "cells": [packed]}
-        )
+    def merge(group: pa.Table) -> pa.Table:
+        return _merged(group, _merge(dtype, group))
 
     parts = df.mapInArrow(count, _PARTS)
-    once = parts.groupBy("block", "part").applyInPandas(merge, _PARTS)
-    twice = once.groupBy("block").applyInPandas(merge, _PARTS)
+    once = parts.groupBy("block", "part").applyInArrow(merge, _PARTS)
+    twice = once.groupBy("block").applyInArrow(merge, _PARTS)
     out = np.zeros((max(1, width // BLOCK), min(BLOCK, width)), dtype=dtype)
     for row in twice.collect():  # at most width counters
         out[row["block"]] = np.frombuffer(zlib.decompress(row["cells"]), dtype=dtype)
@@ -104,10 +106,10 @@ def _see(once: np.ndarray, twice: np.ndarray, hashes: np.ndarray) -> None:
     _set(once, cells)
 
 
-def _merge_bits(group: pd.DataFrame) -> np.ndarray:
+def _merge_bits(group: pa.Table) -> np.ndarray:
     """Both halves of the packed blocks: seen at all, seen twice or more."""
     once = twice = None
-    for packed in group["cells"]:
+    for packed in group.column("cells").to_pylist():
         first, second = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(2, -1)
         if once is None:
             once, twice = first.copy(), second.copy()
@@ -141,15 +143,12 @@ def merged_bits(df: DataFrame, hashes: Hashes, width: int, least: int = 1) -> np
         parts = np.full(len(used), part, np.int32)
         yield pa.record_batch([used.astype(np.int32), parts, cells], _ARROW)
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        packed = zlib.compress(_merge_bits(group).tobytes(), 1)
-        return pd.DataFrame(
-            {"block": group["block"].iloc[:1], "part": np.int32(0), "cells": [packed]}
-        )
+    def merge(group: pa.Table) -> pa.Table:
+        return _merged(group, _merge_bits(group))
 
     parts = df.mapInArrow(count, _PARTS)
-    once = parts.groupBy("block", "part").applyInPandas(merge, _PARTS)
-    twice = once.groupBy("block").applyInPandas(merge, _PARTS)
+    once = parts.groupBy("block", "part").applyInArrow(merge, _PARTS)
+    twice = once.groupBy("block").applyInArrow(merge, _PARTS)
     out = np.zeros((width // 8 // block, block), dtype=np.uint8)
     for row in twice.collect():  # at most width bits
         both = np.frombuffer(zlib.decompress(row["cells"]), dtype=np.uint8).reshape(2, -1)
@@ -162,6 +161,18 @@ def has_bit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def two_cells(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The counters of a sketch of two rows, ``width`` wide together, by independent bits."""
+    half = np.uint64(width // 2 - 1)
+    return hashes & half, ((hashes >> np.uint64(32)) & half) | np.uint64(width // 2)
+
+
+def in_both(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Are the bits of both rows set?"""
+    one, two = two_cells(hashes, 8 * len(bits))
+    return has_bit(bits, one) & has_bit(bits, two)
+
+
 def width_for(n: int, least: int = 1 << 16, most: int = 1 << 28) -> int:
     """A power of two of about eight bits per item, within fixed limits."""
     return int(min(most, max(least, 1 << int(8 * max(n, 1) - 1).bit_length())))

@@ -129,11 +129,13 @@ def fit_softmax(
         zeros = np.zeros((d, classes), np.float32)
         one = np.ones(d, np.float32)
         return Softmax(one * 0, one, zeros, np.zeros(classes, np.float32))
-    mean = rows.mean(axis=0)
-    scale = rows.std(axis=0)
+    mean = rows.mean(axis=0, dtype=np.float64).astype(np.float32)
+    x = np.empty((len(rows), rows.shape[1] + 1), np.float32)  # the only copy, one more column of 1
+    np.subtract(rows, mean, out=x[:, :-1])
+    x[:, -1] = 1
+    scale = np.sqrt(np.einsum("ij,ij->j", x, x)[:-1] / len(x))
     scale = np.where(scale > 1e-6, scale, 1.0).astype(np.float32)
-    x = ((rows - mean) / scale).astype(np.float32)
-    x = np.concatenate([x, np.ones((len(x), 1), np.float32)], axis=1)
+    x[:, :-1] /= scale
     target = np.zeros((len(x), classes), np.float32)
     target[np.arange(len(x)), labels] = 1
     probe = np.ones(x.shape[1], np.float32)
@@ -182,14 +184,13 @@ def sample_features(docs: DataFrame, ids: np.ndarray) -> Sample:
 
     docs = docs.where("doc_id is not null")
     found = docs.mapInArrow(rows, "doc_id bigint, text binary, meta binary")
-    found = found.dropDuplicates(["doc_id"]).collect()
-    found.sort(key=lambda r: r["doc_id"])
+    found = found.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
 
     def matrix(name: str, width: int) -> np.ndarray:
-        joined = b"".join(bytes(r[name]) for r in found)
-        return np.frombuffer(joined, dtype=np.float32).reshape(len(found), width)
+        data, _ = text_bytes(found.column(name))
+        return data.view(np.float32).reshape(found.num_rows, width)
 
-    doc_id = np.array([r["doc_id"] for r in found], dtype=np.int64)
+    doc_id = found.column("doc_id").to_numpy().astype(np.int64)
     return Sample(doc_id, matrix("text", TEXT_FEATURES), matrix("meta", META_FEATURES))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.staging import stage
+from stratamart.llm.staging import release, stage
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -37,7 +37,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         joined = large.join(down, F.col("u") == F.col("k"))
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(down.select(F.col("k").alias("u"), F.col("m").alias("v")))
-        edges = stage(small.distinct(), "links")
+        old, edges = edges, stage(small.distinct(), "links")
+        release(old)
         new = _state(edges)
         if new == state:
             break

@@ -36,7 +36,7 @@ from stratamart.llm.setjoin import (
     size_band,
     verified,
 )
-from stratamart.llm.staging import stage
+from stratamart.llm.staging import release, stage
 
 #: Largest set that may count as light.
 MOST_LIGHT = 64
@@ -106,7 +106,7 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle_words: int = 5) -> D
     star = stage(
         star.where(may_be_similar(percent)).select("a_doc_id", "b_doc_id").distinct(), "star"
     )
-    linked = stage(verified(texts, spec, levels, star), "linked")
+    linked = verified(texts, spec, levels, star)
 
     parts = connected_components(linked, "a_doc_id", "b_doc_id")
     parts = stage(parts.withColumnRenamed("node", "doc_id"), "parts")
@@ -135,6 +135,7 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle_words: int = 5) -> D
     copies = some.join(classes, ["d1", "d2"]).where("doc_id <> head")
     links = linked.union(more).union(copies.select("doc_id", "head"))
     component = connected_components(links, "a_doc_id", "b_doc_id")
+    release(lists, star, parts, placed, rest, linked, more)
     counted = signed.select("doc_id", F.col("n").cast("long").alias("n_shingles"))
     named = counted.join(component, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")

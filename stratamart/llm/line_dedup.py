@@ -32,11 +32,11 @@ from stratamart.llm.setjoin import (
     size_band,
     verified,
 )
-from stratamart.llm.staging import stage
+from stratamart.llm.staging import release, stage
 
 
 def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
-    """(doc_id, rh, line_no) of the lines that an earlier line matches; numbers start at 0."""
+    """(doc_id, rh, line_no) of the lines that an earlier line matches, staged; numbers from 0."""
     ids = spec.ids
     texts = set_input(docs, spec)
     levels = frequency_levels(texts, spec)
@@ -62,7 +62,8 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     star = as_side(lists, "a", fields).join(first, ["key", "band"])
     star = star.where(node("a", ids) > node("b", ids)).where(may_be_similar(spec.percent))
     star = stage(star.select(*a, *b).distinct(), "star")
-    gone = stage(verified(texts, spec, levels, star).select(*a).toDF(*ids).distinct(), "gone")
+    similar = verified(texts, spec, levels, star)
+    gone = similar.select(*a).toDF(*ids).distinct()
 
     # Lists with a line that is still there and another one; parity joins only these rows.
     left = lists.join(gone, ids, "left_anti").select("key", *fields)
@@ -78,8 +79,11 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     rest = rest.where(signatures_allow(spec.percent, spec.parity))
     rest = rest.select(*a, *b).distinct().join(star, [*a, *b], "left_anti")
     rest = stage(rest, "rest")
-    more = verified(texts, spec, levels, rest).select(*a).toDF(*ids)
-    return copies.union(gone).union(more).distinct()
+    more = verified(texts, spec, levels, rest)
+    found = copies.union(gone).union(more.select(*a).toDF(*ids)).distinct()
+    found = stage(found, "repeated")
+    release(signed, copies, lists, star, similar, open_keys, rows, rest, more)
+    return found
 
 
 def remove_repeated_lines(

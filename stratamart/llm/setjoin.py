@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.llm import counts
-from stratamart.llm.staging import stage
+from stratamart.llm.staging import release, stage
 from stratamart.llm.text import U64, lines_of, mix, shingles_of, slices, text_bytes, words_of
 
 #: Counters of the frequency sketch.
@@ -245,7 +245,8 @@ def postings(
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for part in batches:
-            yield keys.of(part.column("prefix"), long_column(part, "n"))[0]
+            found = keys.of(part.column("prefix"), long_column(part, "n"))[0]
+            yield np.concatenate(counts.two_cells(found, width))
 
     width = counts.width_for(total)
     bits = counts.merged_bits(signed.select("n", "prefix"), hashes, width, least=2)
@@ -256,7 +257,7 @@ def postings(
         for part in batches:
             n = long_column(part, "n")
             key, row, place = keys.of(part.column("prefix"), n)
-            kept = counts.has_bit(repeated.value, key)
+            kept = counts.in_both(repeated.value, key)
             key, row, place = key[kept], row[kept], place[kept]
             columns = [key.view(np.int64), *(long_column(part, c)[row] for c in spec.ids)]
             columns += [n[row].astype(np.int32), place.astype(np.int32)]
@@ -311,7 +312,7 @@ def _node_hash(ids: list[np.ndarray]) -> np.ndarray:
 def verified(
     docs: DataFrame, spec: SetSpec, levels: np.ndarray, pairs: DataFrame
 ) -> DataFrame:
-    """The pairs (a_*, b_*) whose sets are similar.
+    """The pairs (a_*, b_*) whose sets are similar, as a staged table.
 
     Sets are computed again from the texts, of rows that stand in a pair; a bit table of fixed
     size keeps nearly all others from being shuffled.
@@ -373,7 +374,9 @@ def verified(
     found = both.select(*a, *b, "a_tokens", "b_tokens").mapInArrow(
         check, ", ".join(f"{c} bigint" for c in [*a, *b])
     )
-    return found.distinct()
+    found = stage(found.distinct(), "verified")
+    release(tokens, wanted)
+    return found
 
 
 def size_band(n: str = "n") -> Column:

@@ -16,3 +16,13 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, f"llm-{purpose}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables that no plan still to be run reads."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        conf = table.sparkSession._jsc.hadoopConfiguration()
+        for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)

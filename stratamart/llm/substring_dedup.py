@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from stratamart.llm import counts
 from stratamart.llm.marks import keyed, with_marks
 from stratamart.llm.setjoin import long_column
-from stratamart.llm.staging import stage
+from stratamart.llm.staging import release, stage
 from stratamart.llm.text import U64, mix, powers, slices, text_bytes, words_of
 
 ANCHOR_WORDS = 16
@@ -89,26 +89,19 @@ def _anchors(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple]:
         yield part, anchor[new], text[new]
 
 
-def _cells(anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The counter of each row of the sketch, by independent bits of the anchor."""
-    low = U64(ANCHOR_WIDTH - 1)
-    return anchor & low, ((anchor >> U64(32)) & low) | U64(ANCHOR_WIDTH)
-
-
 def _repeated_anchors(docs: DataFrame, width: int) -> np.ndarray:
     """A bit table of the anchors that stand in two documents of different doc_id."""
     spark = docs.sparkSession
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for _, anchor, _ in _anchors(batches, width):
-            yield np.concatenate(_cells(anchor))
+            yield np.concatenate(counts.two_cells(anchor, 2 * ANCHOR_WIDTH))
 
     twice = spark.sparkContext.broadcast(counts.merged_bits(docs, seen, 2 * ANCHOR_WIDTH, least=2))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, anchor, text in _anchors(batches, width):
-            one, two = (counts.has_bit(twice.value, cell) for cell in _cells(anchor))
-            kept = one & two
+            kept = counts.in_both(twice.value, anchor)
             ids = long_column(part, "doc_id")[text[kept]]
             yield pa.record_batch([anchor[kept].view(np.int64), ids], ["anchor", "doc_id"])
 
@@ -121,12 +114,16 @@ def _repeated_anchors(docs: DataFrame, width: int) -> np.ndarray:
             yield long_column(part, "anchor").view(np.uint64)
 
     width = counts.width_for(repeated.count())
-    return counts.merged_bits(repeated, found, width)
+    bits = counts.merged_bits(repeated, found, width)
+    release(repeated)
+    return bits
 
 
-def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, rh, first): windows that also start in a document with a smaller doc_id.
 
+    Also the staged table that this reads.
+
     ``first`` is the number of the window's first word; ``rh`` tells apart rows of one doc_id.
     """
     known = docs.sparkSession.sparkContext.broadcast(_repeated_anchors(docs, width))
@@ -157,7 +154,8 @@ def repeated_windows(docs: DataFrame, width: int) -> DataFrame:
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")
     )
     least = least.where("lo < hi").select("h1", "h2", "lo")
-    return found.join(least, ["h1", "h2"]).where("doc_id > lo").select("doc_id", "rh", "first")
+    later = found.join(least, ["h1", "h2"]).where("doc_id > lo")
+    return later.select("doc_id", "rh", "first"), found
 
 
 #: Stands for every window of a text.
@@ -194,9 +192,11 @@ def remove_repeated_passages(docs: DataFrame, window_words: int = 50) -> DataFra
     named = keyed(docs.where("doc_id is not null"))
     copies = stage(copies_of_texts(named), "copies")
     others = with_marks(named, copies, "first").where("first is null").drop("first")
-    marked = repeated_windows(others, window_words).groupBy("doc_id", "rh")
+    later, windows = repeated_windows(others, window_words)
+    marked = later.groupBy("doc_id", "rh")
     marked = marked.agg(F.collect_set("first").alias("first")).union(copies)
     marked = stage(marked, "marked")
+    release(windows, copies)
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             n_words, n_removed, texts = [], [], []
