@@ -171,28 +171,33 @@ def training_sample(
     """Presence rows and labels of at most ``per_language`` labelled rows of each language.
 
     Rows are chosen by a hash of their doc_id and text, the same ones in every run, and ``most``
-    bounds all of them together. Their whole texts are turned into presence bits in the tasks; only
-    these bits come to the driver. Texts without a letter are left out.
+    bounds all of them together. Hashes are chosen first, without the texts; then the whole texts of
+    the chosen rows are turned into presence bits where they are read, and only these bits are sent.
+    Texts without a letter are left out, and repeated rows count once.
     """
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    rows = rows.select("lang", F.xxhash64("doc_id", "text").alias("h"), "text")
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    rows = rows.withColumn("place", place).where(F.col("place") <= per_language)
-    rows = rows.orderBy("place", "lang").limit(most)
+    usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
+    rows = docs.where(usable).select("lang", F.xxhash64("doc_id", "text").alias("h"), "text")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    keys = rows.select("lang", "h").distinct().withColumn("place", place)
+    keys = keys.where(F.col("place") <= per_language).orderBy("place", "lang").limit(most)
+    places = {(r["lang"], r["h"]): r["place"] for r in keys.collect()}
+    shared = docs.sparkSession.sparkContext.broadcast(places)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
+            names = zip(part.column("lang").to_pylist(), part.column("h").to_pylist(), strict=True)
+            found = [shared.value.get(name) for name in names]
+            part = part.filter(pa.array([place is not None for place in found], pa.bool_()))
             out = []
             for text in part.column("text").to_pylist():
                 bits = np.zeros(SPACE, dtype=np.uint8)
                 known = presence(text, bits)
                 out.append(np.packbits(bits).tobytes() if known else None)
-            columns = [part.column("place"), part.column("lang"), pa.array(out, pa.binary())]
+            kept = pa.array([place for place in found if place is not None], pa.int32())
+            columns = [kept, part.column("lang"), pa.array(out, pa.binary())]
             yield pa.record_batch(columns, ["place", "lang", "bits"])
 
-    found = rows.select("place", "lang", "text").mapInArrow(
-        packed, "place int, lang string, bits binary"
-    )
+    found = rows.mapInArrow(packed, "place int, lang string, bits binary").distinct()
     found = found.where("bits is not null").collect()
     found.sort(key=lambda r: (r["place"], r["lang"]))
     bits = np.frombuffer(b"".join(bytes(r["bits"]) for r in found), dtype=np.uint8)
