@@ -2,20 +2,23 @@
 
 A classifier learned from a labelled table gives every document a chance for each domain. Then a
 rate per document, how often it is to be used on average, is fitted so that the expected tokens of
-each domain match targets:
+each domain match targets, with as little change as that takes:
 
-    minimise  1/2 sum_k (sum_d r_d n_d P_dk / N - t_k)^2 + pull/2 sum_d (n_d / N) (r_d - 1)^2
-    over      r_d >= least
+    minimise  1/2 sum_d (n_d / N) (r_d - 1)^2
+    over      r_d >= least  with  sum_d r_d n_d P_dk / N = t_k  for every k
 
 with n_d the tokens of document d, P_dk its chance for domain k, N all tokens and t_k the targets.
-Accelerated projected gradient descent, in the metric that weights documents by n_d / N, needs from
-the corpus only the K expected totals of each step. The rate of a document follows from its chances
-and the K numbers of each step so far, so no table of rates is rewritten between steps, and nothing
-but K sums per task leaves the tasks.
+The problem has one multiplier per domain: r_d = max(least, 1 + sum_k P_dk m_k), so the rate of a
+document follows from its chances and K numbers. They are found by the method of multipliers, with
+Newton's steps inside; a step needs from the corpus the K expected totals and a K x K matrix, and
+nothing else leaves the tasks. Steps go on until every domain is within a relative tolerance of its
+target. Targets that no rates can meet are met as well as possible, in the sum of squared misses
+each divided by its target, and the miss is logged as a warning.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,21 +38,22 @@ from stratamart.llm.features import (
 from stratamart.llm.staging import stage
 from stratamart.llm.text import slices, text_bytes, words_of
 
+LOG = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class Mix:
     """``targets``: weight per domain, normalised to one; ``labelled`` bounds the sample.
 
     ``tokens`` is the wanted number of expected tokens; None keeps the number there is, and
-    "most" takes as many as leave every domain at least what it has.
+    "most" takes as many as leave every domain at least what it has. Where ``least`` and documents
+    that belong to several domains need more than that to meet the weights, "most" takes more.
+    ``tolerance`` is the largest miss of a domain, relative to its target.
     """
 
     targets: dict[str, float]
     labelled: int = 8_000
     tokens: float | str | None = None
     least: float = 0.0
-    pull: float = 1e-3
-    steps: int = 60
     tolerance: float = 1e-7
 
 
@@ -113,78 +117,170 @@ def _chances(part: pa.RecordBatch, domains: int) -> np.ndarray:
 
 
 @dataclass(frozen=True)
-class Path:
-    """The steps so far: of each its gradient in the domains and its momentum."""
+class Rates:
+    """The rates of documents by their chances: a multiplier per domain."""
 
-    gradients: list[np.ndarray]
-    momenta: list[float]
-    rate: float
-    pull: float
+    multipliers: np.ndarray
     least: float
 
-    def rates(self, chances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The documents' rates after all steps, and the point of the next gradient."""
-        now = ahead = np.ones(len(chances))
-        for gradient, momentum in zip(self.gradients, self.momenta, strict=True):
-            down = chances @ gradient + self.pull * (ahead - 1)
-            new = np.maximum(ahead - self.rate * down, self.least)
-            ahead = new + momentum * (new - now)
-            now = new
-        return now, ahead
+    def of(self, chances: np.ndarray) -> np.ndarray:
+        return np.maximum(1 + chances @ self.multipliers, self.least)
 
 
-def _expected(members: DataFrame, path: Path, domains: int) -> tuple[np.ndarray, np.ndarray]:
-    """Expected tokens per domain at the rates, and at the point of the next gradient."""
-    shared = members.sparkSession.sparkContext.broadcast(path)
+@dataclass(frozen=True)
+class _Point:
+    """Multipliers, what the corpus adds to the dual value there, and the domains' shares."""
+
+    at: np.ndarray
+    value: float
+    shares: np.ndarray
+
+
+class _Corpus:
+    """Sums over all documents, each weighted by its tokens; shares are of all tokens there are."""
+
+    def __init__(self, members: DataFrame, domains: int, least: float) -> None:
+        self.members, self.domains, self.least = members.select("n_tokens", "chances"), domains, least
+        self.total = 1.0
+        (start,), _ = self.points([np.zeros(domains)])
+        self.total = float(start.shares.sum())
+
+    def points(self, places: list[np.ndarray]) -> tuple[list[_Point], np.ndarray]:
+        """The points at these multipliers, and the curvature at the first; one job."""
+        k, least = self.domains, self.least
+        shared = self.members.sparkSession.sparkContext.broadcast(np.column_stack(places))
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            values, shares = np.zeros(len(places)), np.zeros((len(places), k))
+            curve = np.zeros((k, k))
+            for part in batches:
+                chances = _chances(part, k)
+                tokens = part.column("n_tokens").to_numpy(zero_copy_only=False).astype(float)
+                moved = chances @ shared.value
+                rates = np.maximum(1 + moved, least)
+                values += tokens @ (rates * moved - (rates - 1) ** 2 / 2)
+                shares += (rates * tokens[:, None]).T @ chances
+                free = chances[1 + moved[:, 0] > least]
+                curve += free.T @ (free * tokens[1 + moved[:, 0] > least, None])
+            sums = np.concatenate([values, shares.ravel(), curve.ravel()])
+            yield pa.record_batch([pa.array([sums], pa.list_(pa.float64()))], ["sums"])
+
+        parts = self.members.mapInArrow(rows, "sums array<double>").collect()
+        size = len(places) * (1 + k) + k * k
+        sums = np.array([math.fsum(p["sums"][i] for p in parts) for i in range(size)]) / self.total
+        n = len(places)
+        shares = sums[n : n * (1 + k)].reshape(n, k)
+        found = [_Point(*point) for point in zip(places, sums[:n].tolist(), shares, strict=True)]
+        return found, sums[n * (1 + k) :].reshape(k, k)
+
+
+#: Parts of a Newton step that are tried in one job.
+_PARTS = [4.0**-i for i in range(12)]
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(2 * domains)
-        for part in batches:
-            chances = _chances(part, domains)
-            tokens = part.column("n_tokens").to_numpy(zero_copy_only=False)
-            for k, rates in enumerate(shared.value.rates(chances)):
-                sums[k * domains : (k + 1) * domains] += (rates * tokens) @ chances
-        yield pa.record_batch([pa.array([sums], pa.list_(pa.float64()))], ["sums"])
 
-    parts = members.select("n_tokens", "chances").mapInArrow(rows, "sums array<double>").collect()
-    total = np.array([math.fsum(p["sums"][k] for p in parts) for k in range(2 * domains)])
-    return total[:domains], total[domains:]
+@dataclass(frozen=True)
+class _Round:
+    """One round of the method of multipliers: a concave problem with a step's penalty.
 
+    ``basis`` spans the directions in which the multipliers may move.
+    """
 
-def fit_rates(members: DataFrame, mix: Mix) -> tuple[Path, np.ndarray, np.ndarray]:
-    """The path to the rates, the domains' targets in tokens and the expected tokens reached."""
-    names = list(mix.targets)
-    weights = np.array([mix.targets[k] for k in names], dtype=float)
+    targets: np.ndarray
+    penalty: np.ndarray
+    centre: np.ndarray
+    basis: np.ndarray
+
+    def value(self, p: _Point) -> float:
+        moved = p.at - self.centre
+        return float(p.at @ self.targets - p.value - moved @ (self.penalty * moved) / 2)
+
+    def slope(self, p: _Point) -> np.ndarray:
+        return self.targets - p.shares - self.penalty * (p.at - self.centre)
+
+    def solve(self, corpus: _Corpus, at: np.ndarray, enough: float) -> _Point:
+        """Newton's steps until the slope is ``enough`` of each target, or numbers end."""
+        scale = np.where(self.targets > 0, self.targets, self.targets[self.targets > 0].min())
+        (now,), curve = corpus.points([at])
+        while True:
+            slope = self.basis.T @ self.slope(now)
+            size = np.abs(self.basis @ slope / scale).max()
+            if size <= enough:
+                return now
+            bend = self.basis.T @ (curve + np.diag(self.penalty)) @ self.basis
+            step = self.basis @ np.linalg.lstsq(bend, slope, rcond=None)[0]
+            tried, curve = corpus.points([now.at + part * step for part in _PARTS])
+            best = max(tried, key=self.value)
+            left = np.abs(self.basis @ (self.basis.T @ self.slope(tried[0])) / scale).max()
+            slack = 1e-12 * (1 + abs(self.value(now)))
+            if left <= size / 2 and self.value(tried[0]) >= self.value(best) - slack:
+                best = tried[0]
+            elif self.value(best) <= self.value(now) + 1e-15 * (1 + abs(self.value(now))):
+                return now
+            if best is not tried[0]:
+                (best,), curve = corpus.points([best.at])
+            now = best
+
+
+def fit_rates(members: DataFrame, mix: Mix) -> tuple[Rates, np.ndarray, np.ndarray]:
+    """The rates, the domains' targets in tokens and the expected tokens reached."""
+    k = len(mix.targets)
+    weights = np.array(list(mix.targets.values()), dtype=float)
     weights = weights / weights.sum()
-    path = Path([], [], 1.0 / (1.0 + mix.pull), mix.pull, mix.least)
-    now, ahead = _expected(members, path, len(names))
-    total = now.sum()
-    wanted = mix.tokens
-    if wanted is None:
-        wanted = total
-    elif wanted == "most":
-        wanted = max((n / w for n, w in zip(now, weights, strict=True) if w > 0), default=total)
+    corpus = _Corpus(members, k, mix.least)
+    if not corpus.total:
+        return Rates(np.zeros(k), mix.least), weights * 0, weights * 0
+    some = weights > 0
+    at = np.zeros(k)
+    (now,), _ = corpus.points([at])
+    most = mix.tokens == "most"
+    wanted = 1.0
+    if most:
+        wanted = float((now.shares[some] / weights[some]).max())
+    elif mix.tokens is not None:
+        wanted = mix.tokens / corpus.total
+    if not wanted:
+        return Rates(np.full(k, -1.0), mix.least), weights * 0, weights * 0 + mix.least * now.shares
     targets = weights * wanted
-    if not total:
-        return path, targets, now
-    for step in range(mix.steps):
-        gradient = (ahead - targets) / total
-        momentum = step / (step + 3.0)
-        path = Path(
-            [*path.gradients, gradient], [*path.momenta, momentum], path.rate, path.pull, path.least
-        )
-        before = now
-        now, ahead = _expected(members, path, len(names))
-        if np.abs(now - before).max() <= mix.tolerance * total:
-            break
-    return path, targets, now
+    scale = np.where(some, targets, targets[some].min())
+    # With "most" the total may grow: its multiplier, at @ weights, is then zero.
+    fixed = np.eye(k)
+    grows = np.linalg.svd(weights[None])[2][1:].T
+    basis, missed, weak = fixed, math.inf, 1e-2
+    while True:
+        for _ in range(2 if most else 1):
+            start = basis @ (basis.T @ at)
+            step = _Round(targets, weak * scale, at, basis)
+            now = step.solve(corpus, start, mix.tolerance / 10)
+            if not most:
+                break
+            more = -step.slope(now) @ weights
+            if basis is fixed and now.at @ weights < 0:
+                basis = grows
+            elif basis is grows and more < 0:
+                basis = fixed
+            else:
+                break
+        at = now.at
+        aim = weights * now.shares.sum() if basis is grows else targets
+        miss = float((np.abs(now.shares - aim) / scale).max())
+        if miss <= mix.tolerance or (weak <= 1e-6 and not miss <= 0.9 * missed):
+            return Rates(at, mix.least), aim * corpus.total, now.shares * corpus.total
+        missed, weak = miss, max(weak / 100, 1e-6)
+
+
+def log_totals(mix: Mix, targets: np.ndarray, reached: np.ndarray) -> None:
+    """One line per domain: a warning where the target is missed by more than the tolerance."""
+    for name, target, total in zip(mix.targets, targets, reached, strict=True):
+        level = logging.INFO if abs(total - target) <= mix.tolerance * target else logging.WARNING
+        LOG.log(level, "domain %s: %.1f expected tokens for a target of %.1f", name, total, target)
 
 
 def rate_documents(docs: DataFrame, labelled: DataFrame, mix: Mix) -> DataFrame:
     """(doc_id, rh, n_tokens, domain, chance, rate) of every row of ``docs``.
 
     ``labelled`` has (doc_id, domain); domains without a target are not learned. ``domain`` is the
-    likeliest one with its ``chance``; ``rate`` is how often the row is to be used on average.
+    likeliest one with its ``chance``; ``rate`` is how often the row is to be used on average. The
+    targets and the expected tokens reached are logged per domain (``fit_rates`` returns them).
 
     - A null or empty text has no tokens; its rate follows from its chances like any other and
       changes no total. Null doc_ids and repeated rows are rated like any other row.
@@ -198,8 +294,9 @@ def rate_documents(docs: DataFrame, labelled: DataFrame, mix: Mix) -> DataFrame:
     ).withColumn("n_chars", F.lit(None).cast("long"))
     model = fit_domains(with_metadata, labelled, mix)
     members = stage(membership(docs, model), "members")
-    path, _, _ = fit_rates(members, mix)
-    shared = docs.sparkSession.sparkContext.broadcast(path)
+    rates, targets, reached = fit_rates(members, mix)
+    log_totals(mix, targets, reached)
+    shared = docs.sparkSession.sparkContext.broadcast(rates)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
@@ -209,7 +306,7 @@ def rate_documents(docs: DataFrame, labelled: DataFrame, mix: Mix) -> DataFrame:
                 *(part.column(c) for c in ("doc_id", "rh", "n_tokens")),
                 pa.array([names[k] for k in best], pa.string()),
                 pa.array(chances[np.arange(len(best)), best]),
-                pa.array(shared.value.rates(chances)[0]),
+                pa.array(shared.value.of(chances)),
             ]
             yield pa.record_batch(columns, _RATED)
 

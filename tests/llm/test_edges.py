@@ -14,7 +14,7 @@ from stratamart.llm.host_rules import judge_by_host, shrunk_rates
 from stratamart.llm.jaccard_join import choose_boundary, near_copies
 from stratamart.llm.language_id import identify_languages
 from stratamart.llm.line_dedup import remove_repeated_lines
-from stratamart.llm.mixing import Mix, rate_documents
+from stratamart.llm.mixing import Mix, fit_rates, log_totals, rate_documents
 from stratamart.llm.packing import SumOfSquares, Piece, WordEncoder, pack
 from stratamart.llm.quality_cotrain import score_quality
 from stratamart.llm.queries import TOKENIZER_FILE
@@ -321,3 +321,50 @@ def test_pipeline_run(spark, docs, labels, tmp_path):
     found = corpus_pipeline.run(spark, str(tmp_path)).collect()
     digest = hashlib.sha256(b"".join(bytes(r["ids"]) for r in found)).hexdigest()
     assert found and digest
+
+
+def members_of(spark, groups):
+    """Rows of (chances, tokens, number of rows) as ``fit_rates`` reads them."""
+    data = [(10 * i + n, i, t, [float(x) for x in c]) for i, (c, t, rows) in enumerate(groups) for n in range(rows)]
+    return spark.createDataFrame(data, "doc_id bigint, rh bigint, n_tokens bigint, chances array<double>")
+
+
+def expected_tokens(members, rates):
+    found = [(r["n_tokens"], np.array(r["chances"])) for r in members.collect()]
+    return sum(n * rates.of(c[None])[0] * c for n, c in found)
+
+
+def test_rare_domains_reach_their_targets(spark):
+    groups = [([1.0, 0, 0], 9950, 10), ([0, 1.0, 0], 50, 2), ([0, 0, 1.0], 200, 2)]
+    members = members_of(spark, groups)
+    mix = Mix({"a": 0.97, "b": 0.01, "c": 0.02})
+    rates, targets, reached = fit_rates(members, mix)
+    assert np.allclose(targets, np.array([0.97, 0.01, 0.02]) * 100_000, rtol=1e-9)
+    assert np.allclose(reached, targets, rtol=1e-6)
+    assert np.allclose(expected_tokens(members, rates), targets, rtol=1e-6)
+
+
+@pytest.mark.parametrize("mixed", [0.0, 0.05])
+def test_most_tokens_reach_the_shares_without_dropping(spark, mixed):
+    rest = 1 - mixed
+    groups = [([1.0, 0, 0, 0], 9700, 10)]
+    groups += [([mixed, *[rest * (j == i) for j in range(3)]], 500, 2) for i in range(3)]
+    members = members_of(spark, groups)
+    weights = {"en": 0.52, "de": 0.18, "fr": 0.18, "es": 0.12}
+    rates, _, reached = fit_rates(members, Mix(weights, tokens="most", least=1.0))
+    assert np.allclose(reached / reached.sum(), list(weights.values()), rtol=1e-6)
+    assert np.allclose(expected_tokens(members, rates), reached, rtol=1e-6)
+    if not mixed:
+        assert np.isclose(reached.sum(), 97_000 / 0.52)
+
+
+def test_targets_out_of_reach_are_met_as_well_as_possible(spark, caplog):
+    """No document leans to b by more than a tenth, so b ends short, with a warning."""
+    members = members_of(spark, [([0.9, 0.1], 100, 3), ([1.0, 0], 100, 3)])
+    mix = Mix({"a": 0.5, "b": 0.5})
+    rates, targets, reached = fit_rates(members, mix)
+    # Along 0.9 : 0.1 the sum of squared misses over targets is least where the total is the target.
+    assert np.allclose(reached, 600 * 0.5 / 0.82 * np.array([0.9, 0.1]), rtol=1e-3)
+    assert rates.of(np.array([[1.0, 0]]))[0] == 0
+    log_totals(mix, targets, reached)
+    assert [r.levelname for r in caplog.records] == ["WARNING"] * 2
