@@ -26,10 +26,9 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "entropy")
 LEAST_ASSIGNED = 8
 
-#: Runs that entropy may call a secret: 20 key-like characters or more, a digit among them.
-CANDIDATE = (
-    r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/=_-]{0,200}[0-9])[A-Za-z0-9+/=_-]{20,}"
-)
+#: Runs that entropy may call a secret: 20 key-like characters or more.
+LEAST_RUN = 20
+CANDIDATE = rf"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{{{LEAST_RUN},}}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 
 #: Runs that are not secret, whatever their entropy.
@@ -37,17 +36,22 @@ ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
     r"^[0-9+/=_-]+$",  # numbers, dates, telephone numbers
     r"^/?([A-Za-z0-9_-]{0,15}/){2,}[A-Za-z0-9_-]{0,15}$",  # paths
-    r"^([A-Za-z]+[-_])+[A-Za-z0-9]{0,8}$",  # names of words
+    r"^([A-Za-z]{0,19}[-_])+([A-Za-z0-9]{0,8}|[A-Z]?[a-z]{0,18}|[A-Z]{0,19})$",  # names of words
     r"(?i)(example|sample|dummy|placeholder|changeme|abcdefgh|01234567|xxxx)",
 )
 
 
 @dataclass(frozen=True)
 class EntropyRule:
-    """Window length in characters, and the bits per character that make a run a secret."""
+    """Window length in characters, and the bits per character that make a run a secret.
+
+    ``letter_bits`` is for runs of letters only. Long words of natural languages and most
+    names in code stay below it; of random keys of 32 letters in both cases about one in 800 does.
+    """
 
     window: int = 20
     hex_bits: float = 3.0
+    letter_bits: float = 3.7
     base64_bits: float = 3.8
 
 
@@ -143,12 +147,59 @@ def _is_secret(run: Column, rule: EntropyRule) -> Column:
     allowed = F.lit(False)
     for pattern in ALLOWED:
         allowed = allowed | F.rlike(run, F.lit(pattern))
-    bits = F.when(F.rlike(run, F.lit("^[0-9a-fA-F]+$")), F.lit(rule.hex_bits)).otherwise(
-        F.lit(rule.base64_bits)
+    bits = (
+        F.when(F.rlike(run, F.lit("^[0-9a-fA-F]+$")), F.lit(rule.hex_bits))
+        .when(F.rlike(run, F.lit("^[A-Za-z]+$")), F.lit(rule.letter_bits))
+        .otherwise(F.lit(rule.base64_bits))
     )
     return F.when(allowed, F.lit(False)).otherwise(_largest_entropy(run, rule) >= bits)
 
 
+def _outside(run: Column, base: Column) -> Column:
+    """The parts of a run outside all base spans, without the characters that join them to one."""
+    touching = F.filter(
+        base, lambda b: (b["start"] < run["stop"]) & (run["start"] < b["stop"])
+    )
+
+    def part(start: Column, stop: Column, cut_left: Column, cut_right: Column) -> Column:
+        whole = F.substring(run["match"], start - run["start"] + 1, stop - start)
+        left = F.when(cut_left, F.regexp_replace(whole, "^[=_-]+", "")).otherwise(whole)
+        trimmed = F.when(cut_right, F.regexp_replace(left, "[=_-]+$", "")).otherwise(left)
+        first = start + F.length(whole) - F.length(left)
+        return bind(
+            trimmed,
+            lambda match: F.struct(
+                first.cast("int").alias("start"),
+                run["kind"].alias("kind"),
+                (first + F.length(match)).cast("int").alias("stop"),
+                match.alias("match"),
+            ),
+        )
+
+    empty = F.array().cast("array<struct<start:int,kind:int,stop:int,match:string>>")
+    begin = F.struct(run["start"].alias("at"), empty.alias("parts"))
+
+    def longer(parts: Column, at: Column, stop: Column, cut_right: bool) -> Column:
+        more = F.array_append(parts, part(at, stop, at > run["start"], F.lit(cut_right)))
+        return F.when(stop - at >= LEAST_RUN, more).otherwise(parts)
+
+    def step(acc: Column, b: Column) -> Column:
+        return F.struct(
+            F.greatest(acc["at"], b["stop"]).alias("at"),
+            longer(acc["parts"], acc["at"], b["start"], True).alias("parts"),
+        )
+
+    parts = F.aggregate(
+        touching,
+        begin,
+        step,
+        lambda acc: longer(acc["parts"], acc["at"], run["stop"], False),
+    )
+    return F.when(F.size(touching) == 0, F.array(run)).otherwise(
+        F.filter(parts, lambda p: F.length(p["match"]) >= LEAST_RUN)
+    )
+
+
 def _joined(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(
@@ -165,8 +216,10 @@ def _joined(spans: Column) -> Column:
 def find_secrets(docs: DataFrame, rule: EntropyRule | None = None) -> DataFrame:
     """Spans of secrets in every row: (doc_id, base, extra), arrays of (start, kind, stop, match).
 
-    ``base`` holds the spans of the patterns, ``extra`` those that entropy adds; extra spans overlap
-    no base span. ``kind`` indexes ``KINDS``; places are code points, the end exclusive; arrays
+    ``base`` holds the spans of the patterns, ``extra`` those that entropy adds: runs of
+    ``LEAST_RUN`` key-like characters or more, with or without digits. Of a run that overlaps base
+    spans the parts outside them are judged, each as a run of its own; extra spans overlap no base
+    span. ``kind`` indexes ``KINDS``; places are code points, the end exclusive; arrays
     are sorted by start, then kind. Matches of one kind are leftmost and do not overlap.
 
     - A null or empty text has no spans. Null doc_ids and repeated rows are scanned like others.
@@ -189,10 +242,8 @@ def find_secrets(docs: DataFrame, rule: EntropyRule | None = None) -> DataFrame:
         _spans(F.col("text"), CANDIDATE, 3).alias("candidates"),
     )
 
-    def apart(c: Column) -> Column:
-        return ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"]))
-
-    extra = F.filter("candidates", lambda c: apart(c) & _is_secret(c["match"], rule))
+    runs = F.flatten(F.transform("candidates", lambda c: _outside(c, F.col("base"))))
+    extra = F.filter(runs, lambda r: _is_secret(r["match"], rule))
     return found.select("doc_id", "base", extra.alias("extra"))
 
 

@@ -191,6 +191,30 @@ def test_secrets(spark, docs, nothing):
     assert find_secrets(nothing).collect() == []
 
 
+def test_secrets_of_letters_late_digits_and_beside_base_spans(spark):
+    letters = "qZpLxVbKsWdTnYcRfHgJmQaXuEoIvNkB"
+    mixed = "q7Zp2Lx9Vb4Ks8Wd1Tn6Yc3Rf5Hg0Jm"
+    late = "qZpLxVbKsWdTnYcRfHgJm" * 11 + "7"
+    assigned = "token=abcdefgh"
+    texts = [
+        (1, f"the key {letters} here", [letters]),
+        (2, f"{late}", [late]),
+        (3, f"{mixed}_{assigned}", [mixed]),
+        (4, f"x {mixed}={assigned} {letters}-{assigned}", [mixed, letters]),
+        (5, f"{mixed}AKIA{'Q' * 12}/{letters}", [mixed, "/" + letters]),
+        (6, f"\U0001f600 {assigned}.{mixed} {mixed[:12]}_{assigned}", []),
+        (7, "Donaudampfschifffahrtsgesellschaft Geschwindigkeitsbegrenzung state-of-the-art-technology", []),
+    ]
+    frame = spark.createDataFrame([t[:2] for t in texts], "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in find_secrets(frame).collect()}
+    for i, text, keys in texts:
+        extra = found[i]["extra"]
+        assert [s["match"] for s in extra] == keys
+        for s in extra:
+            assert text[s["start"] : s["stop"]] == s["match"]
+            assert all(s["stop"] <= b["start"] or b["stop"] <= s["start"] for b in found[i]["base"])
+
+
 def test_host_rules(docs, nothing):
     found = judge_by_host(docs).collect()
     assert len(found) == len(rows())
