@@ -207,7 +207,8 @@ class ListKeys:
     """List keys of a set: single tokens of the prefix, or pairs of them for small sets.
 
     Sets of at most ``light`` tokens are found by pairs. Two similar sets of which one is larger
-    meet in the lists of single tokens, so small sets near the boundary are in both.
+    meet in the lists of single tokens, so small sets near the boundary are in both. So are, at 50
+    percent or less, the smallest sets, since they may share one token only with a similar one.
     """
 
     percent: int
@@ -218,12 +219,14 @@ class ListKeys:
         tokens, bounds = binary_runs(prefix)
         single = np.minimum(n - overlap(n, self.percent) + 1, np.diff(bounds))
         listed = n >= overlap(np.asarray(self.light + 1), self.percent)
+        if overlap(np.asarray(2), self.percent) < 2:
+            listed |= overlap(n, self.percent) < 2
         most = np.where(listed, single, 0)
         keys, where = heads_of_runs(tokens, bounds, most)
         row = np.repeat(np.arange(len(n)), np.diff(where))
         place = np.arange(len(keys)) - where[row]
         out = [(mix(keys), row, place)]
-        small = (n <= self.light) & (overlap(n, self.percent) >= 2)
+        small = (n <= self.light) & (n >= 2)
         for width in np.unique(np.diff(bounds)[small]):
             rows = np.flatnonzero(small & (np.diff(bounds) == width))
             block = tokens[bounds[rows][:, None] + np.arange(width)]

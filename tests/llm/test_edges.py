@@ -8,7 +8,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from stratamart.llm import embedding_dedup
+from stratamart.llm import embedding_dedup, jaccard_join
 from stratamart.llm.graph import connected_components
 from stratamart.llm.host_rules import judge_by_host, shrunk_rates
 from stratamart.llm.jaccard_join import choose_boundary, near_copies
@@ -99,6 +99,17 @@ def test_near_copies_below_and_at_the_threshold(spark):
     assert sort(near_copies(frame).collect()) == sort(brute.jaccard_groups(texts))
 
 
+@pytest.mark.parametrize("boundary", [0, 2, 4])
+def test_near_copies_that_share_one_token(spark, monkeypatch, boundary):
+    monkeypatch.setattr(jaccard_join, "choose_boundary", lambda sizes, percent: boundary)
+    texts = ["x", "x y", "p q", "p q r s", "r s t", "m n o", "m u v w"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = near_copies(frame, percent=50, shingle_words=1).collect()
+    groups = {r["doc_id"]: r["component_id"] for r in found}
+    # r s t and p q r s share two of five tokens.
+    assert groups == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 5, 6: 6}
+
+
 def test_line_dedup(docs, nothing):
     distinct = list(dict.fromkeys(plain()))
     expected = {r[0]: r for r in brute.kept_lines([d for d in distinct if d[0] is not None])}
