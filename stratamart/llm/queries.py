@@ -14,9 +14,11 @@ from stratamart.llm.jaccard_join import near_copies
 from stratamart.llm.language_id import identify_languages
 from stratamart.llm.line_dedup import remove_repeated_lines
 from stratamart.llm.mixing import Mix, domains_of, rate_documents
+from stratamart.llm.nn_descent import nearest
 from stratamart.llm.packing import pack
 from stratamart.llm.quality_cotrain import score_quality
 from stratamart.llm.secret_scan import find_secrets, secret_digests
+from stratamart.llm.spelling import spelling_variants
 from stratamart.llm.substring_dedup import remove_repeated_passages
 from stratamart.session import tune
 
@@ -83,6 +85,14 @@ def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_by_host(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_nn_descent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_embedding_near_dedup,
@@ -95,5 +105,7 @@ def queries() -> dict[str, Query]:
         op8_sum_of_squares_packing,
         op9_ngram_jaccard_join,
         op10_host_quality_rules,
+        op12_spelling_variants,
+        op13_nn_descent_search,
     )
     return {f.__name__: f for f in found}
