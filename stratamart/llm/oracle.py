@@ -119,10 +119,101 @@ SELECT doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words
 FROM measures LEFT JOIN bad USING (host)"""
 
 
+def _cut(k: int, m: int) -> str:
+    """Candidates of m words cut after the first k."""
+    return f"""
+  SELECT c.lang, c.p, c.m, c.a, {k} AS k, x.f AS l, y.f AS r,
+         2000000 * CAST(c.a AS HUGEINT) // (x.f + y.f) AS score
+  FROM candidates c
+  JOIN grams x ON x.lang = c.lang AND x.p = array_to_string(c.w[1:{k}], ' ')
+  JOIN grams y ON y.lang = c.lang AND y.p = array_to_string(c.w[{k + 1}:], ' ')
+  WHERE c.m = {m}"""
+
+
+OP11 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS t FROM documents),
+runs AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(SUM(len(w)) AS BIGINT) AS n FROM runs GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM runs),
+grams AS (
+  SELECT lang, array_to_string(w[i:i + s], ' ') AS p, CAST(COUNT(*) AS BIGINT) AS f, s + 1 AS m
+  FROM places, (VALUES (0), (1), (2), (3)) v(s) WHERE i + s <= len(w) GROUP BY ALL),
+candidates AS (
+  SELECT lang, p, f AS a, m, string_split(p, ' ') AS w FROM grams WHERE m > 1 AND f >= 30),
+inner_parts AS (
+  SELECT lang, f, array_to_string(w[b:b + n - 1], ' ') AS p
+  FROM (SELECT lang, a AS f, w, m, n, unnest(range(1, m - n + 2)) AS b
+        FROM candidates, (VALUES (2), (3)) v(n) WHERE n < m) x),
+covered AS (
+  SELECT DISTINCT c.lang, c.p FROM candidates c JOIN inner_parts i ON i.lang = c.lang AND i.p = c.p
+  WHERE 100 * CAST(i.f AS HUGEINT) >= 80 * CAST(c.a AS HUGEINT)),
+cuts AS ({" UNION ALL ".join(_cut(k, m) for m in (2, 3, 4) for k in range(1, m))}),
+lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (
+  SELECT lang, p AS phrase, a, l, r, CAST(score AS BIGINT) AS score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank
+  FROM lowest ANTI JOIN covered USING (lang, p))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+# The table of the checksum by its rule: eight steps of its reversed polynomial for each byte.
+_CRC_STEP = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+_CRC_STEPS = " ".join(f", s{i} AS (SELECT b, {_CRC_STEP} AS x FROM s{i - 1})" for i in range(1, 9))
+
+OP12 = rf"""
+WITH RECURSIVE s0 AS (SELECT range AS b, CAST(range AS BIGINT) AS x FROM range(256))
+{_CRC_STEPS},
+steps AS MATERIALIZED (SELECT list(x ORDER BY b) AS t FROM s8),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run
+        FROM documents) x),
+counted AS (SELECT doc_id, run, COUNT(*) AS n FROM runs GROUP BY doc_id, run),
+keyed AS (
+  SELECT run, n, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS k FROM counted),
+summed AS (
+  SELECT run, n, xor(list_reduce(
+    list_transform(range(1, len(k) // 2 + 1), lambda i: CAST(('0x' || k[2 * i - 1:2 * i]) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+  FROM keyed, steps),
+damaged AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT))
+                                    || substring(run, CAST(h % length(run) + 2 AS BIGINT))
+              ELSE run END AS word, n FROM summed),
+words AS (
+  SELECT word, CAST(SUM(n) AS BIGINT) AS n FROM damaged WHERE length(word) >= 6
+  GROUP BY word HAVING SUM(n) >= 5),
+shorter AS (
+  SELECT word, n, i, left(word, i - 1) || substring(word, i + 1) AS d
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words) x),
+near AS (
+  SELECT x.word, y.word AS near, y.n AS m FROM shorter x JOIN shorter y
+  ON x.i = y.i AND x.d = y.d AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM shorter x JOIN words y ON x.d = y.word
+  UNION SELECT y.word, x.word, x.n FROM shorter x JOIN words y ON x.d = y.word),
+best AS (
+  SELECT word, COUNT(*) OVER (PARTITION BY word) AS n_near, near, m FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY m DESC, near) = 1),
+variants AS (
+  SELECT w.word, w.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+         CASE WHEN m >= 5 * w.n THEN near END AS form, CASE WHEN m >= 5 * w.n THEN m END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+follow AS (
+  SELECT word, word AS at FROM variants
+  UNION SELECT f.word, v.form FROM follow f JOIN variants v ON v.word = f.at WHERE v.form IS NOT NULL),
+roots AS (
+  SELECT f.word, f.at AS root FROM follow f JOIN variants v ON v.word = f.at WHERE v.form IS NULL)
+SELECT v.word, form, root, n, n_near, form_n FROM variants v JOIN roots USING (word)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_embedding_near_dedup": OP1,
         "op7_substring_dedup": OP7,
         "op9_ngram_jaccard_join": OP9,
         "op10_host_quality_rules": OP10,
+        "op11_phrase_collocations": OP11,
+        "op12_spelling_variants": OP12,
     }

@@ -16,6 +16,7 @@ from stratamart.llm.line_dedup import remove_repeated_lines
 from stratamart.llm.mixing import Mix, domains_of, rate_documents
 from stratamart.llm.nn_descent import nearest
 from stratamart.llm.packing import pack
+from stratamart.llm.phrases import collocations
 from stratamart.llm.quality_cotrain import score_quality
 from stratamart.llm.secret_scan import find_secrets, secret_digests
 from stratamart.llm.spelling import spelling_variants
@@ -85,6 +86,10 @@ def op10_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_by_host(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -105,6 +110,7 @@ def queries() -> dict[str, Query]:
         op8_sum_of_squares_packing,
         op9_ngram_jaccard_join,
         op10_host_quality_rules,
+        op11_phrase_collocations,
         op12_spelling_variants,
         op13_nn_descent_search,
     )

@@ -91,10 +91,12 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             yield batch.slice(lo, hi - lo)
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    """Words of texts, hashed; ``lower`` treats A-Z as a-z."""
+def words_of(
+    data: np.ndarray, offsets: np.ndarray, lower: bool = False, space: np.ndarray = IS_SPACE
+) -> Words:
+    """Words of texts, hashed; ``lower`` treats A-Z as a-z, ``space`` tells which bytes part words."""
     size = len(data)
-    word = ~IS_SPACE[data]
+    word = ~space[data]
     inner = offsets[(offsets > 0) & (offsets < size)]
     edge = word.copy()
     edge[1:] &= ~word[:-1]
