@@ -72,9 +72,6 @@ BRONZE = {
 # Identifiers: compared, never computed with, so they keep the type they come in where it is text.
 KEY_COLUMNS = ("customer_id", "product_id", "order_id", "line_id")
 
-# Quantities and amounts from text or floating point, which may be finer than the contract.
-WIDE_NUMBER = T.DecimalType(28, 10)
-
 # Columns that hold a yes/no value and are stored as 1/0.
 FLAG_COLUMNS = ("promo_flag",)
 

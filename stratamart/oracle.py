@@ -243,8 +243,13 @@ def _feature(column: str) -> str:
     return _gold(f"SELECT customer_id, {column} FROM features_all")
 
 
+def _units(column: str) -> int:
+    """Units of the last decimal in one."""
+    return {"qty_units": 1, "order_net_amount": 100}.get(column, 10_000)
+
+
 def _whole(column: str) -> str:
-    return f"CAST({column} * 10000 AS HUGEINT)"
+    return f"CAST({column} * {_units(column)} AS HUGEINT)"
 
 
 def _statistics(columns: list[str]) -> str:
@@ -252,8 +257,8 @@ def _statistics(columns: list[str]) -> str:
         [
             f"SELECT '{c}' AS \"column\", COUNT({c}) AS \"count\", "
             f"CAST(SUM({c}) AS DOUBLE) / COUNT({c}) AS mean, "
-            f"SQRT(CAST((COUNT({c}) * SUM({_whole(c)} * {_whole(c)}) - SUM({_whole(c)}) * SUM({_whole(c)})) "
-            f"// (CAST(COUNT({c}) AS HUGEINT) * (COUNT({c}) - 1)) AS DOUBLE)) / CAST(10000 AS DOUBLE) AS stddev, "
+            f"SQRT(CAST(COUNT({c}) * SUM({_whole(c)} * {_whole(c)}) - SUM({_whole(c)}) * SUM({_whole(c)}) AS DOUBLE) "
+            f"/ CAST(CAST(COUNT({c}) AS HUGEINT) * (COUNT({c}) - 1) AS DOUBLE)) / CAST({_units(c)} AS DOUBLE) AS stddev, "
             f"CAST(MIN({c}) AS DOUBLE) AS \"min\", CAST(MAX({c}) AS DOUBLE) AS \"max\" FROM fact"
             for c in columns
         ]
@@ -273,11 +278,10 @@ raw_headers AS (
   FROM orders_header),
 typed_headers AS (
   SELECT order_id, customer_id, TRY_CAST(order_date AS TIMESTAMP) AS order_date,
-         CASE WHEN TRY_CAST(order_net_amount AS DECIMAL(38,18)) = TRY_CAST(order_net_amount AS DECIMAL(28,10))
-              THEN TRY_CAST(order_net_amount AS DECIMAL(28,10)) END AS order_net_amount, tipo_pago
+         TRY_CAST(order_net_amount AS DOUBLE) AS order_net_amount, tipo_pago
   FROM raw_headers)"""
 
-# Order lines with half units and floating-point numbers, one of them finer than ten decimals.
+# Order lines with half units and floating-point numbers of up to thirteen decimals: all are kept.
 LOOSE_LINES = """
 raw_lines AS (
   SELECT order_id, line_id, product_id,
@@ -285,9 +289,16 @@ raw_lines AS (
          CASE WHEN line_id = 3 THEN 1e-13 ELSE CAST(line_net_amount AS DOUBLE) END AS line_net_amount,
          promo_flag, product_category
   FROM orders_detail),
-typed_lines AS (
-  SELECT * REPLACE (CASE WHEN line_id = 3 THEN NULL ELSE line_net_amount END AS line_net_amount)
-  FROM raw_lines)"""
+typed_lines AS (SELECT * FROM raw_lines)"""
+
+# Header amounts with the noise of floating-point arithmetic, some of twenty digits.
+NOISY_HEADERS = """
+noisy_headers AS (
+  SELECT * REPLACE (
+    CASE order_id % 3 WHEN 0 THEN CAST(order_net_amount AS DOUBLE) / 3
+                      WHEN 1 THEN CAST(order_net_amount AS DOUBLE) * 1e15
+                      ELSE CAST(order_net_amount AS DOUBLE) + 0.1 + 0.2 END AS order_net_amount)
+  FROM orders_header)"""
 
 
 def _rejects(columns: list[str], of: str = "headers") -> str:
@@ -319,6 +330,9 @@ def oracle_sql() -> dict[str, str]:
         "bronze_orders_detail": _src(f"SELECT {_DETAIL} FROM orders_detail"),
         "standardise_columns": _src("SELECT * FROM customers"),
         "typed_silver": _sql(f"SELECT {_HEADER} FROM typed_headers", SOURCES, RAW_HEADERS),
+        "typed_silver_noisy_headers": _sql(
+            "SELECT * FROM noisy_headers WHERE order_net_amount > 0", SOURCES, NOISY_HEADERS
+        ),
         "typed_silver_lines": _sql("SELECT * FROM typed_lines", SOURCES, LOOSE_LINES),
         "typed_silver_lines_rejects": _sql(_rejects(DETAIL_COLUMNS, "lines"), SOURCES, LOOSE_LINES),
         "bronze_customers_more_columns": _src(

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from stratamart import contracts
 from stratamart.functions.columns import calendar_columns
-from stratamart.functions.typing import apply_contract, rejected_values
+from stratamart.functions.typing import Types, apply_contract, measured_types, rejected_values
 from stratamart.operators.dedup import keep_one_per_key
 from stratamart.operators.facts import build_fact_order_line
 from stratamart.session import tuned
@@ -35,26 +35,31 @@ def build_dim_date(dated: DataFrame) -> DataFrame:
     return dates.selectExpr(*calendar_columns("date"))
 
 
-def _bronze(spark: SparkSession, base_dir: str, table: str) -> tuple[DataFrame, StructType]:
-    """A Bronze table and the part of its contract that it has columns for."""
+Source = tuple[DataFrame, StructType, Types]
+
+
+def silver_source(spark: SparkSession, base_dir: str, table: str) -> Source:
+    """A Bronze table, the part of its contract that it has columns for, and its measured types."""
     rows = read_table(spark, table_path(base_dir, "bronze", table))
-    known = [field for field in contracts.BRONZE[table] if field.name in rows.columns]
-    return rows, StructType(known)
+    known = StructType([field for field in contracts.BRONZE[table] if field.name in rows.columns])
+    return rows, known, measured_types(rows, known)
 
 
-def silver_input(spark: SparkSession, base_dir: str, table: str) -> DataFrame:
-    """A Bronze table with the types of its contract; other columns are carried along.
+def silver_input(source: Source) -> DataFrame:
+    """A Bronze table with its measured types; columns outside the contract are carried along.
 
     Sources may lack descriptive columns of the contract; the columns an operator needs are named by
     that operator.
     """
-    return apply_contract(*_bronze(spark, base_dir, table))
+    rows, contract, types = source
+    return apply_contract(rows, contract, types=types)
 
 
-def silver_rejects(spark: SparkSession, base_dir: str) -> DataFrame:
-    """Values of all Bronze tables that Silver cannot hold, with table, column and source file."""
+def silver_rejects(sources: dict[str, Source]) -> DataFrame:
+    """Values of Bronze tables that are no number, date or flag, with table, column and source file."""
     found = [
-        rejected_values(*_bronze(spark, base_dir, table), table) for table in contracts.BRONZE
+        rejected_values(rows, contract, table, types)
+        for table, (rows, contract, types) in sources.items()
     ]
     return reduce(DataFrame.unionByName, found)
 
@@ -62,7 +67,7 @@ def silver_rejects(spark: SparkSession, base_dir: str) -> DataFrame:
 def run_silver(spark: SparkSession, base_dir: str) -> None:
     """Build the Silver tables. The fact is computed once; the calendar reads it back.
 
-    ``rejects`` keeps every value that became NULL because its column's type cannot hold it.
+    ``rejects`` keeps every value that became NULL because it is none of its column's kind.
     """
     with tuned(spark):
         _run_silver(spark, base_dir)
@@ -72,14 +77,11 @@ def _run_silver(spark: SparkSession, base_dir: str) -> None:
     def silver(table: str) -> str:
         return table_path(base_dir, "silver", table)
 
-    write_table(silver_rejects(spark, base_dir), silver("rejects"))
-    write_table(
-        build_dim_customer(silver_input(spark, base_dir, "customers")), silver("dim_customer")
-    )
-    write_table(build_dim_product(silver_input(spark, base_dir, "products")), silver("dim_product"))
-    fact = build_fact_order_line(
-        silver_input(spark, base_dir, "orders_header"),
-        silver_input(spark, base_dir, "orders_detail"),
-    )
+    sources = {table: silver_source(spark, base_dir, table) for table in contracts.BRONZE}
+    typed = {table: silver_input(source) for table, source in sources.items()}
+    write_table(silver_rejects(sources), silver("rejects"))
+    write_table(build_dim_customer(typed["customers"]), silver("dim_customer"))
+    write_table(build_dim_product(typed["products"]), silver("dim_product"))
+    fact = build_fact_order_line(typed["orders_header"], typed["orders_detail"])
     write_fact(fact, silver("fact_order_line"))
     write_table(build_dim_date(read_table(spark, silver("fact_order_line"))), silver("dim_date"))

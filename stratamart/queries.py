@@ -167,7 +167,7 @@ def standardised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _headers_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order headers as text, with unreadable amounts and dates, text keys and amounts that are finer
-    than any type put in."""
+    than the contract put in."""
     headers = orders_header(spark, sf_dir)
     amount = F.col("order_net_amount").cast("string")
     return headers.select(
@@ -219,6 +219,20 @@ def typed_silver_lines_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_counts(_loose_details(spark, sf_dir), contracts.ORDERS_DETAIL)
 
 
+@_query("typed_silver_noisy_headers")
+def typed_silver_noisy_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts with floating-point noise and of twenty digits, as an inferred load has them."""
+    headers = orders_header(spark, sf_dir)
+    amount = F.col("order_net_amount").cast("double")
+    noisy = (
+        F.when(F.col("order_id") % 3 == 0, amount / 3)
+        .when(F.col("order_id") % 3 == 1, amount * 1e15)
+        .otherwise(amount + 0.1 + 0.2)
+    )
+    typed = apply_contract(headers.withColumn("order_net_amount", noisy), contracts.ORDERS_HEADER)
+    return _published(positive(typed, "order_net_amount"))
+
+
 @_query("bronze_customers_more_columns")
 def bronze_customers_more_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A typed load of extracts with one column more than the contract."""

@@ -4,10 +4,12 @@ import sys
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stratamart import __main__ as command
 from stratamart import contracts
 from stratamart.functions.columns import standard_names
+from stratamart.functions.typing import apply_contract, measured_types, reject_counts
 from stratamart.operators.dedup import keep_one_per_key
 from stratamart.plans.medallion import run_medallion
 from stratamart.plans.quality import run_quality_report
@@ -72,25 +74,80 @@ def test_text_keys_stay(spark, tmp_path, schemas):
 
 
 @pytest.mark.parametrize("schemas", [{}, text_schemas()], ids=["inferred", "text"])
-def test_finer_amounts_stay_or_are_rejects(spark, tmp_path, schemas):
+def test_no_number_is_lost(spark, tmp_path, schemas):
+    """Noise of floating point in a header amount and a quantity costs neither order nor line."""
     base = raw(
         tmp_path,
         "1,a,tradicional,activo\n",
-        "1,1,2024-01-01,5.00,contado\n",
-        "1,1,1,1,10.123456,0,bebidas\n1,2,1,1,1.00000000000001,0,bebidas\n",
+        "1,1,2024-01-01,5.00,contado\n2,1,2024-01-02,100.30000000000001,contado\n",
+        "1,1,1,0.30000000000000004,30,0,bebidas\n2,1,1,1,120.8,0,bebidas\n",
     )
     run_medallion(spark, base, schemas)
+    rows = read_table(spark, f"{base}/gold/dim_features").collect()
+    assert [(float(r["ventas_total_3m"]), r["frecuencia_pedidos_3m"]) for r in rows] == [(150.8, 2)]
+    fact = read_fact(spark, f"{base}/silver/fact_order_line").collect()
+    assert sorted(float(r["qty_units"]) for r in fact) == [0.30000000000000004, 1.0]
+    assert sorted(float(r["order_net_amount"]) for r in fact) == [5.0, 100.30000000000001]
+    assert read_table(spark, f"{base}/silver/rejects").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("numbers", "kind"),
+    [
+        (["1.50", "007", None, " -3.1 "], "decimal(18,4)"),
+        (["1.00000000000001", "123456.5"], "decimal(20,14)"),
+        (["12345678901234567890", "1"], "decimal(20,0)"),
+        (["1e19", "2.5E-3"], "decimal(24,4)"),
+        (["1e30", "0.5"], "double"),
+        (["1e-25", "123456.5"], "double"),
+        ([".5", "5.", "+1"], "decimal(18,4)"),
+        ([None, ""], "decimal(18,4)"),
+    ],
+)
+@pytest.mark.parametrize("source", ["string", "double"])
+def test_measured_types_hold_every_number(spark, numbers, kind, source):
+    contract = StructType([contracts.ORDERS_DETAIL["line_net_amount"]])
+    name = contract[0].name
+    rows = spark.createDataFrame([(x,) for x in numbers], f"{name} string")
+    raw_rows = rows.selectExpr(f"try_cast({name} AS {source}) AS {name}")
+    if source == "string" or "12345678901234567890" not in numbers:  # one double is 1.2345678901234567E19
+        assert measured_types(raw_rows, contract)[name].simpleString() == kind
+    typed = [r[0] for r in apply_contract(raw_rows, contract).collect()]
+    expected = [float(x) if x else None for x in numbers]
+    assert [None if x is None else float(x) for x in typed] == expected
+    assert reject_counts(raw_rows, contract).collect()[0]["rejects"] == numbers.count("")* (source == "string")
+
+
+def test_only_what_is_no_number_is_a_reject(spark, tmp_path):
+    base = raw(
+        tmp_path,
+        "1,a,tradicional,activo\n",
+        "1,1,2024-01-01,5.00,contado\n",
+        "1,1,1,1,10.123456,0,bebidas\n1,2,1,1,n/a,0,bebidas\n1,3,1,1,NaN,0,bebidas\n",
+    )
+    run_medallion(spark, base, text_schemas())
     assert list(features(spark, base).values()) == [10.123456]
     rejects = read_table(spark, f"{base}/silver/rejects").collect()
-    assert [(r["table"], r["column"], r["value"]) for r in rejects] == [
-        ("orders_detail", "line_net_amount", "1.00000000000001")
+    assert sorted((r["table"], r["column"], r["value"]) for r in rejects) == [
+        ("orders_detail", "line_net_amount", "NaN"),
+        ("orders_detail", "line_net_amount", "n/a"),
     ]
     report = run_quality_report(spark, base).where("check = 'rejects' and violations > 0")
     assert [(r["column"], r["violations"], r["status"]) for r in report.collect()] == [
-        ("line_net_amount", 1, "warn")
+        ("line_net_amount", 2, "warn")
     ]
 
 
+def test_types_that_fit_cost_no_pass(spark):
+    rows = spark.createDataFrame([], contracts.ORDERS_HEADER)
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup(None))
+    assert measured_types(rows, contracts.ORDERS_HEADER) == {
+        f.name: f.dataType for f in contracts.ORDERS_HEADER
+    }
+    assert len(jobs.getJobIdsForGroup(None)) == before
+
+
 def test_typed_load_stops_at_a_finer_amount(spark, tmp_path):
     base = raw(tmp_path, "1,a,b,c\n", "1,1,2024-01-01,5.00,x\n", "1,1,1,1,10.123456,0,b\n")
     with pytest.raises(Exception, match="line_net_amount cannot hold the value 10.123456"):
