@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DecimalType, IntegralType, StructType
 
 from stratamart import contracts
 from stratamart.functions.columns import guarded_ratio, quoted, stacked, text_literal
@@ -188,48 +188,149 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def _deviation(column: str) -> str:
-    """SQL for the sample standard deviation, from exact sums of ten-thousandths.
+#: Limbs of a scaled value are below this; sums of their products stay exact for 5e11 rows.
+_LIMB = 10_000_000
+_LIMB_DIGITS = 7
 
-    (n * sum(x^2) - sum(x)^2) / (n * (n - 1)) is computed in whole numbers, so that the result does
-    not depend on the order of the rows; the root is the only rounding. Beyond 38 digits, or for
-    values finer than four decimals, the built-in floating-point measure is used.
+
+class _ExactMoments:
+    """SQL of the sample standard deviation of a fixed-point column, from exact whole-number sums.
+
+    A value in units of its last decimal is cut into limbs of seven digits. The square of a value is
+    a polynomial in the limb base; its coefficients are summed in two longs each, the limbs in one.
+    From these n * sum(x^2) - sum(x)^2 follows exactly, coefficient by coefficient and carried to
+    non-negative digits, so that nothing cancels in floating point. The only roundings are those of
+    that whole number, of n (n - 1), of their quotient, its root and the scaling.
     """
-    x = f"CAST({column} * 10000 AS DECIMAL(18, 0))"
-    n = f"CAST(count({column}) AS DECIMAL(18, 0))"
-    spread = f"try_subtract(try_multiply({n}, sum({x} * {x})), try_multiply(sum({x}), sum({x})))"
-    exact = f"sqrt(CAST({spread} div ({n} * ({n} - 1)) AS DOUBLE)) / 10000D"
-    fine = f"count_if({column} * 10000 <> {x}) > 0"
-    plain = f"CAST(stddev_samp({column}) AS DOUBLE)"
-    return (
-        f"CASE WHEN count({column}) > 1 THEN "
-        f"CASE WHEN {fine} THEN {plain} ELSE coalesce({exact}, {plain}) END END"
-    )
+
+    def __init__(self, i: int, column: str, digits: int, scale: int) -> None:
+        self.i, self.scale = i, scale
+        self.limbs = -(-digits // _LIMB_DIGITS)
+        self.powers = 2 * self.limbs - 1
+        unit = f"CAST({'1' + '0' * scale} AS DECIMAL({scale + 1}, 0))"
+        whole = f"CAST({column} * {unit} AS DECIMAL({digits}, 0))" if scale else column
+        base = f"{_LIMB}L"
+        if digits <= 19:
+            x = f"CAST({whole} AS BIGINT)"
+            parts = [(x, k) for k in range(self.limbs)]
+        else:  # two longs of 14 digits each
+            split = f"CAST({10**14} AS DECIMAL(15, 0))"
+            low = f"({whole} % {split})"
+            high = f"CAST(CAST(({whole} - {low}) / {split} AS DECIMAL(38, 0)) AS BIGINT)"
+            low = f"CAST({low} AS BIGINT)"
+            parts = [(low, 0), (low, 1), (high, 0), (high, 1)][: self.limbs]
+        last = [k == len(parts) - 1 or parts[k + 1][1] == 0 for k in range(len(parts))]
+        self.cuts = []
+        for k, (x, place) in enumerate(parts):
+            limb = f"({x} div {_LIMB**place}L)" if place else x
+            open_top = last[k] and digits <= 19
+            self.cuts.append(f"{limb if open_top else f'({limb} % {base})'} AS l{i}_{k}")
+
+    def sums(self) -> list[str]:
+        """Aggregates over rows that carry the limbs."""
+        i, out = self.i, []
+        for k in range(self.limbs):
+            out.append(f"sum(l{i}_{k}) AS t{i}_{k}")
+        for power in range(self.powers):
+            products = [
+                f"l{i}_{a} * l{i}_{power - a}"
+                for a in range(self.limbs)
+                if 0 <= power - a < self.limbs
+            ]
+            q = f"({' + '.join(products)})"
+            out.append(f"sum({q} div {_LIMB}L) AS high{i}_{power}")
+            out.append(f"sum({q} % {_LIMB}L) AS low{i}_{power}")
+        return out
+
+    def coefficients(self) -> list[str]:
+        """Of n * sum(x^2) - sum(x)^2, by power of the limb base."""
+        i, out = self.i, []
+        for power in range(self.powers):
+            squares = " + ".join(
+                f"{_wide(f't{i}_{a}')} * {_wide(f't{i}_{power - a}')}"
+                for a in range(self.limbs)
+                if 0 <= power - a < self.limbs
+            )
+            both = f"({_wide(f'high{i}_{power}')} * {_LIMB} + {_wide(f'low{i}_{power}')})"
+            out.append(f"CAST({_wide(f'count_{i}')} * {both} - ({squares}) AS DECIMAL(38, 0)) AS c{i}_{power}")
+        return out
+
+    def carried(self, power: int) -> list[str]:
+        """The digit of a power, and the next coefficient with what is carried to it."""
+        i = self.i
+        digit = f"pmod(c{i}_{power}, CAST({_LIMB} AS DECIMAL(8, 0)))"
+        over = f"CAST((c{i}_{power} - {digit}) / {_LIMB} AS DECIMAL(38, 0))"
+        return [
+            f"CAST({digit} AS BIGINT) AS d{i}_{power}",
+            f"CAST(c{i}_{power + 1} + {over} AS DECIMAL(38, 0)) AS c{i}_{power + 1}",
+        ]
+
+    def deviation(self) -> str:
+        i, top = self.i, self.powers - 1
+        exact = f"c{i}_{top}"
+        rough = f"CAST(c{i}_{top} AS DOUBLE)"
+        for power in range(top - 1, -1, -1):
+            exact = f"try_add(try_multiply({exact}, {_wide(str(_LIMB))}), {_wide(f'd{i}_{power}')})"
+            rough = f"({rough} * {_LIMB}D + d{i}_{power})"
+        n = f"CAST({_wide(f'count_{i}')} * ({_wide(f'count_{i}')} - 1) AS DOUBLE)"
+        spread = f"coalesce(CAST({exact} AS DOUBLE), {rough})"
+        return f"CASE WHEN count_{i} > 1 THEN sqrt({spread} / {n}) / {10**self.scale}D END"
+
+
+def _wide(sql: str) -> str:
+    return f"CAST({sql} AS DECIMAL(38, 0))"
+
+
+def _exact_moments(i: int, name: str, kind: DataType) -> _ExactMoments | None:
+    """None for floating point and for decimals of more than 28 digits."""
+    if isinstance(kind, IntegralType):
+        return _ExactMoments(i, f"CAST({quoted(name)} AS BIGINT)", 19, 0)
+    if isinstance(kind, DecimalType) and kind.precision <= 28:
+        return _ExactMoments(i, quoted(name), kind.precision, kind.scale)
+    return None
 
 
 def numeric_summary(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Count, mean, sample standard deviation, minimum and maximum per column, in one pass.
 
     The typed form of ``df.describe(cols)``: (column, count, mean, stddev, min, max). The mean is the
-    exact total divided once, so that it does not depend on the order of the rows.
+    exact total divided once and the deviation comes from exact sums, so that neither depends on the
+    order of the rows. Floating-point columns and decimals of more than 28 digits take Spark's own
+    merged moments.
     """
-    measures: list[str] = []
-    rows: list[tuple[str, ...]] = []
+    cols = list(cols)
+    cuts, measures, rows = [], [], []
+    exact: list[_ExactMoments] = []
     for i, name in enumerate(cols):
-        c = quoted(name)
+        kind, c = df.schema[name].dataType, f"v{i}"
+        moments = _exact_moments(i, name, kind)
+        cuts.append(f"{quoted(name)} AS {c}")
+        total = f"CAST({c} AS DECIMAL(19, 0))" if isinstance(kind, IntegralType) else c
         measures += [
             f"count({c}) AS count_{i}",
-            f"CAST(sum({c}) AS DOUBLE) AS total_{i}",
-            f"{_deviation(c)} AS stddev_{i}",
+            f"CAST(sum({total}) AS DOUBLE) AS total_{i}",
             f"CAST(min({c}) AS DOUBLE) AS min_{i}",
             f"CAST(max({c}) AS DOUBLE) AS max_{i}",
         ]
+        if moments is None:
+            measures.append(f"CAST(stddev_samp({c}) AS DOUBLE) AS stddev_{i}")
+            deviation = f"stddev_{i}"
+        else:
+            exact.append(moments)
+            cuts += moments.cuts
+            measures += moments.sums()
+            deviation = moments.deviation()
         mean = guarded_ratio(f"total_{i}", f"count_{i}")
-        rows.append(
-            (text_literal(name), f"count_{i}", mean, f"stddev_{i}", f"min_{i}", f"max_{i}")
-        )
+        rows.append((text_literal(name), f"count_{i}", mean, deviation, f"min_{i}", f"max_{i}"))
+    summed = df.selectExpr(*cuts).selectExpr(*measures)
+    summed = summed.selectExpr("*", *[sql for m in exact for sql in m.coefficients()])
+    for power in range(max((m.powers for m in exact), default=1) - 1):
+        carried = [sql for m in exact if power < m.powers - 1 for sql in m.carried(power)]
+        replaced = {sql.rsplit(" AS ", 1)[1] for sql in carried}
+        kept = [c for c in summed.columns if c not in replaced]
+        summed = summed.selectExpr(*kept, *carried)
     labels = ("column", "count", "mean", "stddev", "min", "max")
-    return df.selectExpr(*measures).selectExpr(stacked(rows, labels))
+    return summed.selectExpr(stacked(rows, labels))
 
 
 def preview(df: DataFrame, key: str, rows: int = 5) -> DataFrame:

@@ -1,4 +1,8 @@
+from decimal import Decimal, localcontext
+from fractions import Fraction
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import values
 from stratamart import contracts
@@ -74,6 +78,60 @@ def test_numeric_summary_matches_describe(sample):
             assert row[label] == pytest.approx(float(described[label][name]))
 
 
+def textbook(numbers):
+    """Mean and sample deviation from rationals, rounded once."""
+    exact = [Fraction(x) for x in numbers]
+    mean = sum(exact) / len(exact)
+    if len(exact) < 2:
+        return float(mean), None
+    variance = sum((x - mean) ** 2 for x in exact) / (len(exact) - 1)
+    with localcontext(prec=60):
+        root = (Decimal(variance.numerator) / Decimal(variance.denominator)).sqrt()
+    return float(mean), float(root)
+
+
+@pytest.mark.parametrize(
+    ("kind", "numbers"),
+    [
+        ("bigint", ["1", "1", "2"]),
+        ("decimal(18,4)", ["0.0001", "0.0002"]),
+        ("decimal(18,2)", ["1000000000000000.01", "1000000000000000.02", "1000000000000000.04"]),
+        ("decimal(18,2)", ["-9999999999999999.99", "9999999999999999.99", "0.01"]),
+        ("bigint", ["9223372036854775807", "9223372036854775806", "9223372036854775800"]),
+        ("bigint", ["-9223372036854775807", "9223372036854775807", "3"]),
+        ("int", ["9999999", "10000000", "9999999", "10000000"]),
+        ("decimal(28,14)", ["12345678901234.12345678901234", "12345678901234.12345678901235"]),
+        ("decimal(28,14)", ["-99999999999999.99999999999999", "99999999999999.5", "0.00000000000001"]),
+        ("decimal(21,3)", ["-123456789012345678.123", "7.5", "123456789012345678.999"]),
+        ("decimal(18,4)", ["7.5"] * 5),
+        ("decimal(18,4)", ["7.5"]),
+        ("double", ["1", "1", "2"]),
+        ("decimal(38,10)", ["1", "1", "2"]),
+    ],
+)
+def test_numeric_summary_is_the_textbook_value(spark, kind, numbers):
+    rows = spark.createDataFrame([(x,) for x in [*numbers, None]], "v string")
+    row = checks.numeric_summary(rows.selectExpr(f"CAST(v AS {kind}) AS v"), ["v"]).collect()[0]
+    mean, deviation = textbook(numbers)
+    assert row["count"] == len(numbers)
+    assert row["mean"] == pytest.approx(mean, rel=1e-15)
+    if deviation is None:
+        assert row["stddev"] is None
+    else:
+        assert row["stddev"] == pytest.approx(deviation, rel=4e-16, abs=0)
+
+
+def test_numeric_summary_does_not_depend_on_order(spark):
+    rows = spark.range(2000).selectExpr(
+        "id", "CAST((id * 7919 % 100003) * 1234567.8912 AS DECIMAL(18, 4)) AS v"
+    )
+    found = {
+        tuple(checks.numeric_summary(df, ["v"]).collect()[0])
+        for df in (rows, rows.orderBy(F.desc("id")), rows.repartition(7, "v"))
+    }
+    assert len(found) == 1
+
+
 def test_numeric_summary_of_nothing(sample):
     row = checks.numeric_summary(sample.limit(0), ["share"]).collect()[0]
     assert tuple(row) == ("share", 0, None, None, None, None)
