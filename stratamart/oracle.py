@@ -320,6 +320,10 @@ def oracle_sql() -> dict[str, str]:
         "medallion_end_to_end": flagship,
         # Sources and sinks
         "csv_glob_scan": _src("SELECT * FROM customers"),
+        "csv_glob_mixed_headers": _src(
+            "SELECT *, CASE WHEN customer_id % 2 = 1 THEN substr(customer_name, 1, 3) END AS region "
+            "FROM customers"
+        ),
         "ingest_metadata": _src(
             'SELECT COUNT(*) AS "rows", COUNT(*) AS rows_with_load_time, CAST(3 AS BIGINT) AS extracts '
             "FROM customers"

@@ -7,16 +7,20 @@ from pyspark.sql.types import StructType
 
 from stratamart import contracts
 from stratamart.functions.columns import standardise_columns
-from stratamart.sources.csv_extracts import read_csv_glob, with_ingest_metadata
+from stratamart.sources.csv_extracts import read_csv_glob
 from stratamart.sources.tables import table_path, write_table
 
 
 def bronze_scan(
     spark: SparkSession, base_dir: str, table: str, schema: StructType | None = None
 ) -> DataFrame:
-    """All extracts ``raw/<table>*.csv`` with load metadata; types are inferred without a schema."""
-    scan = read_csv_glob(spark, table_path(base_dir, "raw", f"{table}*.csv"), schema)
-    return standardise_columns(with_ingest_metadata(scan))
+    """All extracts ``raw/<table>*.csv`` with load metadata; types are inferred without a schema.
+
+    Extracts may differ in the order and number of their columns.
+    """
+    pattern = table_path(base_dir, "raw", f"{table}*.csv")
+    scan = read_csv_glob(spark, pattern, schema, mixed_headers=True, metadata=True)
+    return standardise_columns(scan)
 
 
 def ingest(

@@ -131,6 +131,24 @@ def csv_glob_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_glob(spark, f"{base_dir}/raw/customers*.csv", contracts.CUSTOMERS)
 
 
+@_query("csv_glob_mixed_headers")
+def csv_glob_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts of which half have their columns in another order, under other names, and one more."""
+    base_dir = scratch_dir(spark, "mixed")
+    rows = customers(spark, sf_dir)
+    odd = rows.where("customer_id % 2 = 1").select(
+        "estado",
+        F.substring("customer_name", 1, 3).alias("Región"),
+        F.col("customer_id").alias("Customer ID"),
+        "canal",
+        "customer_name",
+    )
+    write_csv_extracts(rows.where("customer_id % 2 = 0"), f"{base_dir}/raw", "customers", "customer_id")
+    write_csv_extracts(odd, f"{base_dir}/raw", "customers", "Customer ID")
+    pattern = f"{base_dir}/raw/customers*.csv"
+    return read_csv_glob(spark, pattern, contracts.CUSTOMERS, mixed_headers=True)
+
+
 @_query("ingest_metadata")
 def ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     base_dir = _raw_extracts(spark, sf_dir, ["customers"], "metadata")

@@ -4,7 +4,7 @@ from conftest import TESTDATA, values
 from stratamart import contracts, run_medallion, run_quality_report
 from stratamart.functions.columns import standardise_columns
 from stratamart.plans.bronze import bronze_scan, ingest
-from stratamart.plans.silver import silver_input
+from stratamart.plans.silver import silver_input, silver_source
 from stratamart.sources.csv_extracts import read_csv_glob, write_csv_extracts
 from stratamart.sources.star_schema import BUSINESS_KEYS, SOURCES
 from stratamart.sources.tables import read_fact, read_table, table_path, write_compacted
@@ -34,11 +34,40 @@ def test_many_files_are_one_table_with_lineage(spark, base):
     assert {r.source_file.rsplit("/", 1)[1] for r in rows} == {"customers_1.csv", "customers_2.csv"}
 
 
-def test_header_in_another_order_is_refused(spark, base):
+def test_header_in_another_order_is_refused_by_a_plain_read(spark, base):
     (base / "raw" / "customers_1.csv").write_text(GOOD)
     (base / "raw" / "customers_2.csv").write_text("customer_name,customer_id,canal,estado\nB,2,x,y\n")
     with pytest.raises(Exception, match="(?i)header"):
-        bronze_scan(spark, str(base), "customers", contracts.CUSTOMERS).collect()
+        read_csv_glob(spark, str(base / "raw" / "customers*.csv"), contracts.CUSTOMERS).collect()
+
+
+@pytest.mark.parametrize("schema", [contracts.CUSTOMERS, None], ids=["typed", "inferred"])
+def test_headers_in_another_order_and_with_other_columns(spark, base, schema):
+    (base / "raw" / "customers_1.csv").write_text(GOOD)
+    (base / "raw" / "customers_2.csv").write_text("customer_name,Customer ID,canal,estado\nB,2,x,y\n")
+    (base / "raw" / "customers_3.csv").write_text("")
+    (base / "raw" / "customers_4 a.csv").write_text("estado,Región,customer_id\nz,norte,3\n")
+    rows = bronze_scan(spark, str(base), "customers", schema)
+    assert values(rows, "customer_id", "customer_name", "estado", "region") == [
+        (1, "Ana", "activo", None),
+        (2, "B", "y", None),
+        (3, None, "z", "norte"),
+    ]
+    files = {r["customer_id"]: r["source_file"].rsplit("/", 1)[1] for r in rows.collect()}
+    assert files == {1: "customers_1.csv", 2: "customers_2.csv", 3: "customers_4%20a.csv"}
+
+
+def test_mixed_headers_without_a_column_of_the_contract(spark, base):
+    for n, header in enumerate(["customer_id,canal", "canal,customer_id"]):
+        (base / "raw" / f"customers_{n}.csv").write_text(f"{header}\n1,1\n")
+    with pytest.raises(ValueError, match="missing.*customer_name"):
+        bronze_scan(spark, str(base), "customers", contracts.CUSTOMERS)
+
+
+def test_column_with_numbers_in_one_group_only(spark, base):
+    (base / "raw" / "customers_1.csv").write_text("customer_id,canal\n007,a\n")
+    (base / "raw" / "customers_2.csv").write_text("canal,customer_id\nb,C8\n")
+    assert values(bronze_scan(spark, str(base), "customers"), "customer_id") == [("007",), ("C8",)]
 
 
 def test_missing_files_are_refused(spark, base):
@@ -141,6 +170,6 @@ def test_inferred_types_give_the_same_features(spark, built, tmp_path):
 def test_other_and_missing_descriptive_columns(spark, base):
     (base / "raw" / "customers_1.csv").write_text("customer_id,estado,region,canal\n1,activo,sur,moderno\n")
     ingest(spark, str(base), "customers")
-    assert values(silver_input(spark, str(base), "customers").drop(*contracts.METADATA_COLUMNS)) == [
+    assert values(silver_input(silver_source(spark, str(base), "customers")).drop(*contracts.METADATA_COLUMNS)) == [
         (1, "activo", "sur", "moderno")
     ]

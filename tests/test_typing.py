@@ -164,13 +164,14 @@ def test_further_columns_reach_gold(spark, tmp_path):
     assert [(r["customer_id"], r["region"]) for r in rows] == [(1, "norte")]
 
 
-def test_other_column_order_in_one_file_stops_the_load(spark, tmp_path):
+def test_other_column_order_in_one_file(spark, tmp_path):
     base = raw(tmp_path, "1,a,b,c\n", "1,1,2024-01-01,5.00,x\n", "1,1,1,1,1.5,0,b\n")
     (tmp_path / "raw" / "customers_2.csv").write_text(
         "customer_name,customer_id,canal,estado\nb,2,c,d\n"
     )
-    with pytest.raises(Exception, match="(?i)header|schema"):
-        run_medallion(spark, base)
+    run_medallion(spark, base)
+    people = read_table(spark, f"{base}/silver/dim_customer").select("customer_id", "customer_name")
+    assert sorted(map(tuple, people.collect())) == [(1, "a"), (2, "b")]
 
 
 def test_accents_in_names():
