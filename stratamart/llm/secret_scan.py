@@ -29,7 +29,6 @@ LEAST_ASSIGNED = 8
 #: Runs that entropy may call a secret: 20 key-like characters or more.
 LEAST_RUN = 20
 CANDIDATE = rf"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{{{LEAST_RUN},}}"
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 
 #: Runs that are not secret, whatever their entropy.
 ALLOWED = (
@@ -55,6 +54,48 @@ class EntropyRule:
     base64_bits: float = 3.8
 
 
+_SPANS = "array<struct<start:int,kind:int,stop:int,match:string>>"
+#: Bytes of a chunk of numbers while they are collected.
+_CHUNK = 4096
+
+
+class _Numbers:
+    """Numbers collected as text in the state of an aggregation: ``a:b;c:d;``.
+
+    An array in the state would be copied, and its elements converted, in every step. Text is only
+    appended to, in chunks, so that a step costs about the same however many there are.
+    """
+
+    @staticmethod
+    def empty() -> list[Column]:
+        return [F.lit("").alias("whole"), F.lit("").alias("chunk")]
+
+    @staticmethod
+    def with_numbers(acc: Column, numbers: list[Column], wanted: Column) -> list[Column]:
+        item = F.concat(F.concat_ws(":", *[n.cast("string") for n in numbers]), F.lit(";"))
+        item = F.when(wanted, item).otherwise(F.lit(""))
+        full = F.octet_length(acc["chunk"]) >= _CHUNK
+        return [
+            F.when(full, F.concat(acc["whole"], acc["chunk"])).otherwise(acc["whole"]).alias("whole"),
+            F.when(full, item).otherwise(F.concat(acc["chunk"], item)).alias("chunk"),
+        ]
+
+    @staticmethod
+    def all(acc: Column) -> Column:
+        """An array of arrays of integers."""
+        items = F.filter(F.split(F.concat(acc["whole"], acc["chunk"]), ";"), lambda x: x != "")
+        return F.transform(items, lambda x: F.split(x, ":").cast("array<int>"))
+
+
+def _span(start: Column, kind: Column, stop: Column, match: Column) -> Column:
+    return F.struct(
+        start.cast("int").alias("start"),
+        kind.cast("int").alias("kind"),
+        stop.cast("int").alias("stop"),
+        match.alias("match"),
+    )
+
+
 def _spans(text: Column, pattern: str, kind: int) -> Column:
     """Places of all matches as structs (start, kind, stop, match), in code points.
 
@@ -62,31 +103,28 @@ def _spans(text: Column, pattern: str, kind: int) -> Column:
     """
 
     def places(pieces: Column, matches: Column) -> Column:
-        empty = F.array().cast("array<struct<start:int,kind:int,stop:int,match:string>>")
-        start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-
-        def step(acc: Column, i: Column) -> Column:
-            match = F.get(matches, i)
-            first = acc["at"] + F.length(F.get(pieces, i))
-            last = first + F.length(match)
-            span = F.struct(
-                first.alias("start"),
-                F.lit(kind).alias("kind"),
-                last.alias("stop"),
-                match.alias("match"),
-            )
-            return F.struct(last.alias("at"), F.array_append(acc["spans"], span).alias("spans"))
-
-        numbers = F.filter(
-            F.sequence(F.lit(0), F.size(matches)), lambda i: i < F.size(matches)
+        def step(acc: Column, pair: Column) -> Column:
+            first = acc["at"] + F.length(pair["piece"])
+            last = first + F.length(pair["match"])
+            return F.struct(last.alias("at"), *_Numbers.with_numbers(acc, [first, last], F.lit(True)))
+
+        pairs = F.zip_with(
+            F.slice(pieces, F.lit(1), F.size(matches)),
+            matches,
+            lambda p, m: F.struct(p.alias("piece"), m.alias("match")),
+        )
+        start = F.struct(F.lit(0).alias("at"), *_Numbers.empty())
+        return F.zip_with(
+            F.aggregate(pairs, start, step, _Numbers.all),
+            matches,
+            lambda x, m: _span(F.get(x, F.lit(0)), F.lit(kind), F.get(x, F.lit(1)), m),
         )
-        return F.aggregate(numbers, start, step, lambda acc: acc["spans"])
 
     found = bind(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda m: bind(F.split(text, pattern), lambda p: places(p, m)),
     )
-    none = F.array().cast("array<struct<start:int,kind:int,stop:int,match:string>>")
+    none = F.array().cast(_SPANS)
     return F.when(F.rlike(text, F.lit(pattern)), found).otherwise(none)
 
 
@@ -94,49 +132,44 @@ def _largest_entropy(run: Column, rule: EntropyRule) -> Column:
     """The largest Shannon entropy, in bits per character, of any window of the run.
 
     With c the counts of a window of w characters the entropy is log2(w) - sum(c log2 c) / w. A
-    step changes two counts, so the sum is kept up to date instead of computed again.
+    step changes the counts of the character that leaves and of the one that enters; both are
+    counted in the window, so the sum is kept up to date instead of computed again and a step takes
+    the same time wherever it is in the run.
     """
     w = rule.window
 
     def weight(c: Column) -> Column:
         return F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
 
-    def index(i: Column) -> Column:
-        return F.instr(F.lit(ALPHABET), F.substring(run, i, F.lit(1))) - 1
+    def uses(window: Column, character: Column) -> Column:
+        return F.length(window) - F.length(F.replace(window, character, F.lit("")))
 
-    zero = F.array_repeat(F.lit(0), len(ALPHABET))
-    start = F.struct(
-        zero.alias("counts"), F.lit(0.0).alias("total"), F.lit(float(w * w)).alias("least")
-    )
+    def step(acc: Column, enters: Column) -> Column:
+        def slide(leaves: Column) -> Column:
+            before = uses(acc["window"], leaves)
+            loss = F.when(leaves == "", F.lit(0.0)).otherwise(weight(before) - weight(before - 1))
+            kept = F.when(leaves == "", acc["window"]).otherwise(F.substring(acc["window"], 2, w))
 
-    def step(acc: Column, i: Column) -> Column:
-        def change(enters: Column) -> Column:
-            def slide(leaves: Column) -> Column:
-                before_in = F.get(acc["counts"], enters)
-                before_out = F.get(acc["counts"], leaves)
-                same = (enters == leaves) & (leaves >= 0)
-                gain = weight(before_in + 1) - weight(before_in)
-                loss = F.when(leaves >= 0, weight(before_out) - weight(before_out - 1))
-                total = F.when(same, acc["total"]).otherwise(
-                    acc["total"] + gain - F.coalesce(loss, F.lit(0.0))
-                )
-                counts = F.transform(
-                    acc["counts"],
-                    lambda c, k: c
-                    + F.when(k == enters, 1).otherwise(0)
-                    - F.when(k == leaves, 1).otherwise(0),
-                )
-                least = F.when(i >= w, F.least(acc["least"], total)).otherwise(acc["least"])
+            def enter(inside: Column) -> Column:
+                n = uses(inside, enters)
+                total = acc["total"] - loss + weight(n + 1) - weight(n)
+                whole = F.length(inside) == w - 1
                 return F.struct(
-                    counts.alias("counts"), total.alias("total"), least.alias("least")
+                    F.concat(inside, enters).alias("window"),
+                    total.alias("total"),
+                    F.when(whole, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"),
                 )
 
-            return bind(F.when(i > w, index(i - w)).otherwise(F.lit(-1)), slide)
+            return bind(kept, enter)
 
-        return bind(index(i), change)
+        full = F.length(acc["window"]) == w
+        return bind(F.when(full, F.substring(acc["window"], 1, 1)).otherwise(F.lit("")), slide)
 
+    start = F.struct(
+        F.lit("").alias("window"), F.lit(0.0).alias("total"), F.lit(float(w * w)).alias("least")
+    )
     return F.aggregate(
-        F.sequence(F.lit(1), F.length(run)),
+        F.filter(F.split(run, ""), lambda c: c != ""),
         start,
         step,
         lambda acc: F.log2(F.lit(float(w))) - acc["least"] / w,
@@ -155,49 +188,63 @@ def _is_secret(run: Column, rule: EntropyRule) -> Column:
     return F.when(allowed, F.lit(False)).otherwise(_largest_entropy(run, rule) >= bits)
 
 
-def _outside(run: Column, base: Column) -> Column:
-    """The parts of a run outside all base spans, without the characters that join them to one."""
-    touching = F.filter(
-        base, lambda b: (b["start"] < run["stop"]) & (run["start"] < b["stop"])
-    )
+def _outside(runs: Column, base: Column) -> Column:
+    """The parts of all runs outside all base spans, without the characters that join them to one.
 
-    def part(start: Column, stop: Column, cut_left: Column, cut_right: Column) -> Column:
-        whole = F.substring(run["match"], start - run["start"] + 1, stop - start)
-        left = F.when(cut_left, F.regexp_replace(whole, "^[=_-]+", "")).otherwise(whole)
-        trimmed = F.when(cut_right, F.regexp_replace(left, "[=_-]+$", "")).otherwise(left)
-        first = start + F.length(whole) - F.length(left)
-        return bind(
-            trimmed,
-            lambda match: F.struct(
-                first.cast("int").alias("start"),
-                run["kind"].alias("kind"),
-                (first + F.length(match)).cast("int").alias("stop"),
-                match.alias("match"),
-            ),
-        )
+    Runs and base spans are met once each, in order of their starts. A base span ends a part of the
+    run that it starts in; the next run, or the end, closes the run.
+    """
 
-    empty = F.array().cast("array<struct<start:int,kind:int,stop:int,match:string>>")
-    begin = F.struct(run["start"].alias("at"), empty.alias("parts"))
+    def event(start: Column, run: Column, stop: Column) -> Column:
+        return F.struct(start.alias("start"), run.alias("run"), stop.alias("stop"))
 
-    def longer(parts: Column, at: Column, stop: Column, cut_right: bool) -> Column:
-        more = F.array_append(parts, part(at, stop, at > run["start"], F.lit(cut_right)))
-        return F.when(stop - at >= LEAST_RUN, more).otherwise(parts)
+    never = F.lit((1 << 31) - 1)
+    events = F.sort_array(
+        F.concat(
+            F.transform(base, lambda b: event(b["start"], F.lit(-1), b["stop"])),
+            F.transform(runs, lambda r, i: event(r["start"], i, r["stop"])),
+            F.array(event(never, F.lit(0), never)),
+        )
+    )
 
-    def step(acc: Column, b: Column) -> Column:
+    def step(acc: Column, e: Column) -> Column:
+        is_run = e["run"] >= 0
+        inside = ~is_run & (e["start"] < acc["stop"])
+        last = F.when(is_run, acc["stop"]).otherwise(e["start"])
+        wanted = (is_run | inside) & (last - acc["at"] >= LEAST_RUN)
+        at = (
+            F.when(is_run, F.greatest(e["start"], acc["covered"]))
+            .when(inside, F.greatest(acc["at"], e["stop"]))
+            .otherwise(acc["at"])
+        )
+        covered = F.when(is_run, acc["covered"]).otherwise(F.greatest(acc["covered"], e["stop"]))
+        numbers = [acc["run"], acc["at"], last, (~is_run).cast("int")]
         return F.struct(
-            F.greatest(acc["at"], b["stop"]).alias("at"),
-            longer(acc["parts"], acc["at"], b["start"], True).alias("parts"),
+            F.when(is_run, e["run"]).otherwise(acc["run"]).alias("run"),
+            F.when(is_run, e["stop"]).otherwise(acc["stop"]).alias("stop"),
+            at.alias("at"),
+            covered.alias("covered"),
+            *_Numbers.with_numbers(acc, numbers, wanted),
         )
 
-    parts = F.aggregate(
-        touching,
-        begin,
-        step,
-        lambda acc: longer(acc["parts"], acc["at"], run["stop"], False),
-    )
-    return F.when(F.size(touching) == 0, F.array(run)).otherwise(
-        F.filter(parts, lambda p: F.length(p["match"]) >= LEAST_RUN)
-    )
+    def part(numbers: Column) -> Column:
+        def of(run: Column) -> Column:
+            first, last = F.get(numbers, F.lit(1)), F.get(numbers, F.lit(2))
+            whole = F.substring(run["match"], first - run["start"] + 1, last - first)
+            left = F.when(first > run["start"], F.regexp_replace(whole, "^[=_-]+", ""))
+            left = left.otherwise(whole)
+            ended = F.get(numbers, F.lit(3)) == 1
+            match = F.when(ended, F.regexp_replace(left, "[=_-]+$", "")).otherwise(left)
+            start = first + F.length(whole) - F.length(left)
+            return _span(start, F.lit(3), start + F.length(match), match)
+
+        return bind(F.get(runs, F.get(numbers, F.lit(0))), of)
+
+    names = ("run", "stop", "at", "covered")
+    start = F.struct(*[F.lit(0).alias(n) for n in names], *_Numbers.empty())
+    parts = F.transform(F.aggregate(events, start, step, _Numbers.all), part)
+    long_ = F.filter(parts, lambda p: F.length(p["match"]) >= LEAST_RUN)
+    return F.when(F.size(runs) == 0, F.array().cast(_SPANS)).otherwise(long_)
 
 
 def _joined(spans: Column) -> Column:
@@ -224,7 +271,8 @@ def find_secrets(docs: DataFrame, rule: EntropyRule | None = None) -> DataFrame:
 
     - A null or empty text has no spans. Null doc_ids and repeated rows are scanned like others.
     - Columns other than doc_id and text are ignored. An empty table gives no rows.
-    - Texts are scanned whole; nothing is shuffled.
+    - Texts are scanned whole, in time that grows in proportion to their length and little faster
+      than the number of their matches; nothing is shuffled.
     """
     rule = rule or EntropyRule()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -242,7 +290,7 @@ def find_secrets(docs: DataFrame, rule: EntropyRule | None = None) -> DataFrame:
         _spans(F.col("text"), CANDIDATE, 3).alias("candidates"),
     )
 
-    runs = F.flatten(F.transform("candidates", lambda c: _outside(c, F.col("base"))))
+    runs = _outside(F.col("candidates"), F.col("base"))
     extra = F.filter(runs, lambda r: _is_secret(r["match"], rule))
     return found.select("doc_id", "base", extra.alias("extra"))
 
