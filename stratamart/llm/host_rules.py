@@ -133,22 +133,32 @@ def rule_failures(limits: Limits) -> dict[str, Column]:
 def shrunk_rates(hosts: DataFrame, rules: list[str]) -> DataFrame:
     """The hosts (host, n, one count per rule) with ``rate_<rule>`` shrunk to the common rate.
 
-    A beta prior is fitted to the hosts' rates by their mean m and variance v: its weight is
-    m(1-m)/v - 1. Without variance (or with a single host) every host gets the common rate.
+    Per rule a beta prior is fitted to the counts by beta-binomial moments, which take the sampling
+    noise of hosts of different sizes into account. With p the common rate of all k hosts, N all
+    documents and S = sum n_i (p_i - p)^2, the expected S is p (1 - p) ((k - 1) + c (N - sum n_i^2 /
+    N - (k - 1))); this gives c, the correlation of two documents of a host, between 0 and 1. The
+    prior weighs as much as (1 - c) / c documents at rate p. Where hosts do not differ by more than
+    noise, or all have one document, c is 0 and every host gets the common rate.
     """
-    rates = [(F.col(r) / F.col("n")).alias(r) for r in rules]
-    moments = [f(r).alias(f"{k}_{r}") for r in rules for k, f in (("m", F.avg), ("v", F.var_pop))]
-    prior = hosts.select(*rates).agg(*moments).first()  # one row
+    sums = [F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn")]
+    for rule in rules:
+        x = F.col(rule)
+        sums += [F.sum(x).alias(f"x_{rule}"), F.sum(x * x / F.col("n")).alias(f"xx_{rule}")]
+    total = hosts.agg(*sums).first()  # one row
     out = [F.col(c) for c in hosts.columns]
     for rule in rules:
-        mean, variance = prior[f"m_{rule}"], prior[f"v_{rule}"]
-        if mean is None:
-            rate = F.lit(None).cast("double")
-        elif not variance:
-            rate = F.lit(mean)
-        else:
-            weight = max(mean * (1 - mean) / variance - 1, 0.0)
-            rate = (F.col(rule) + mean * weight) / (F.col("n") + weight)
+        if not total["k"]:
+            out.append(F.lit(None).cast("double").alias(f"rate_{rule}"))
+            continue
+        k, n, x = total["k"], total["n"], total[f"x_{rule}"]
+        p = x / n
+        room = n - total["nn"] / n - (k - 1)
+        alike = 0.0
+        if 0 < p < 1 and room > 0:
+            alike = ((total[f"xx_{rule}"] - p * x) / (p * (1 - p)) - (k - 1)) / room
+        alike = min(max(alike, 0.0), 1.0)
+        # (x + p w) / (n + w) with w = (1 - c) / c, multiplied by c.
+        rate = (F.col(rule) * alike + p * (1 - alike)) / (F.col("n") * alike + (1 - alike))
         out.append(rate.alias(f"rate_{rule}"))
     return hosts.select(*out)
 

@@ -76,10 +76,16 @@ _FAILS = (
 
 
 def _rate(rule: str) -> str:
-    weight = f"greatest(m_{rule} * (1 - m_{rule}) / v_{rule} - 1, 0)"
     return (
-        f"CASE WHEN v_{rule} = 0 THEN m_{rule} "
-        f"ELSE ({rule} + m_{rule} * {weight}) / (n + {weight}) END"
+        f"(({rule} * c_{rule} + p_{rule} * (1 - c_{rule})) / (n * c_{rule} + (1 - c_{rule})))"
+    )
+
+
+def _alike(rule: str) -> str:
+    moment = f"((xx_{rule} - p_{rule} * x_{rule}) / (p_{rule} * (1 - p_{rule})) - (k - 1))"
+    return (
+        f"CASE WHEN p_{rule} > 0 AND p_{rule} < 1 AND all_n - nn / all_n - (k - 1) > 0 "
+        f"THEN least(greatest({moment} / (all_n - nn / all_n - (k - 1)), 0), 1) ELSE 0 END AS c_{rule}"
     )
 
 
@@ -107,10 +113,13 @@ hosts AS (
   SELECT host, COUNT(*) AS n,
          {", ".join(f"COUNT(*) FILTER (WHERE {f}) AS {r}" for r, f in zip(_RULES, _FAILS, strict=True))}
   FROM measures WHERE host IS NOT NULL GROUP BY host),
-prior AS (
-  SELECT {", ".join(f"AVG({r} / n) AS m_{r}, VAR_POP({r} / n) AS v_{r}" for r in _RULES)} FROM hosts),
+moments AS (
+  SELECT COUNT(*) AS k, SUM(n) AS all_n, SUM(n * n) AS nn,
+         {", ".join(f"SUM({r}) AS x_{r}, SUM({r} * {r} / n) AS xx_{r}, SUM({r}) / SUM(n) AS p_{r}" for r in _RULES)}
+  FROM hosts),
+prior AS (SELECT *, {", ".join(map(_alike, _RULES))} FROM moments),
 bad AS (
-  SELECT host FROM hosts, prior
+  SELECT host FROM hosts, (SELECT * EXCLUDE (k, all_n, nn) FROM prior)
   WHERE 100 * greatest({", ".join(_rate(r) for r in _RULES)}) > 50)
 SELECT doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        {_FAILS[0]} OR {_FAILS[1]} AS base_failed,
