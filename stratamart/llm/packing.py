@@ -14,20 +14,22 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.llm.text import slices
 
-#: Open sequences of a partition at most; beyond that they are completed by cutting.
-MOST_OPEN = 4096
 #: Bytes of remembered words and their ids per Python worker.
-CACHE_BYTES = 200_000_000
+CACHE_BYTES = 100_000_000
 _ENTRY_BYTES = 180
+#: Bytes of text encoded together: different words are looked up once in them.
+ENCODED_BYTES = 1 << 22
 
 
 def _latin_pattern() -> re.Pattern:
@@ -53,7 +55,8 @@ class WordEncoder:
     texts are tokenised in one call.
 
     A tokenizer that lowers letters and then splits words by ``_PIECES`` is recognised by a probe.
-    Plain Latin texts are then cut into these pieces here, of which there are fewer different ones.
+    New words of plain Latin texts are then cut into these pieces here, of which there are fewer
+    different ones; a word of several pieces is remembered once all its pieces are known.
     """
 
     def __init__(self, path: str) -> None:
@@ -69,48 +72,78 @@ class WordEncoder:
         self._by_piece = self.encode([_PROBE.encode()]) == [array("I", whole).tobytes()]
         self._known = {}
 
-    def _words(self, text: bytes) -> list[str]:
-        if self._by_piece:
-            plain = text.decode("utf-8", "replace")
-            if not _NOT_PLAIN.search(plain):
-                return _PIECES.findall(plain.lower())
-        return [w.decode("utf-8", "replace") for w in text.split()]
-
     def _learn(self, words: list[str]) -> None:
         rest = []
+        own, tokens = [], []
         for word in words:
             # Such a word is a piece of its own, and its bytes are its characters.
             if self._by_piece and word.isascii() and word.isalpha() and word.islower():
-                self._keep(word, [t.id for t in self._model.tokenize(word)])
+                own.append(word)
+                tokens.append([t.id for t in self._model.tokenize(word)])
             else:
                 rest.append(word)
         found = self._tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        for word, encoding in zip(rest, found, strict=True):
-            self._keep(word, encoding.ids)
+        self._keep(own + rest, tokens + [encoding.ids for encoding in found])
 
-    def _keep(self, word: str, ids: list[int]) -> None:
-        self._known[word] = packed = array("I", ids).tobytes()
-        self._size += len(word) + len(packed) + _ENTRY_BYTES
+    def _keep(self, words: list[str], ids: list[list[int]]) -> None:
+        ends = np.cumsum([4 * len(i) for i in ids], dtype=np.int64).tolist()
+        packed = array("I", chain.from_iterable(ids)).tobytes()
+        self._known.update(zip(words, (packed[a:b] for a, b in pairwise([0, *ends])), strict=True))
+        self._size += sum(map(len, words)) + len(packed) + _ENTRY_BYTES * len(words)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if self._size > CACHE_BYTES:
             self._known, self._size = {}, 0
-        get = self._known.get
-        words = [self._words(text) for text in texts]
-        found = [list(map(get, w)) for w in words]
-        missing = {
-            word
-            for w, ids in zip(words, found, strict=True)
-            if None in ids
-            for word, known in zip(w, ids, strict=True)
-            if known is None
+        decoded = [text.decode("utf-8", "replace") for text in texts]
+        plain = [self._by_piece and not _NOT_PLAIN.search(text) for text in decoded]
+        out = [b""] * len(texts)
+        for kind in (True, False):
+            at = [i for i, p in enumerate(plain) if p == kind]
+            some = [decoded[i].lower() if kind else decoded[i] for i in at]
+            for i, ids in zip(at, self._encoded(some, kind), strict=True):
+                out[i] = ids
+        return out
+
+    def _encoded(self, texts: list[str], plain: bool) -> list[bytes]:
+        """Ids of texts; their different words are looked up once each."""
+        if not texts:
+            return []
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        bounds = words.offsets.to_numpy()
+        coded = words.flatten().dictionary_encode()
+        ids = self._ids(coded.dictionary.to_pylist(), plain)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(sizes) - sizes
+        index = coded.indices.to_numpy()
+        length = sizes[index]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        place = np.repeat(first[index] - ends[:-1], length) + np.arange(ends[-1])
+        tokens = np.frombuffer(b"".join(ids), dtype="<u4")[place]
+        cuts = ends[bounds - bounds[0]]
+        return [tokens[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _ids(self, words: list[str], plain: bool) -> list[bytes]:
+        found = list(map(self._known.get, words))
+        parts = {
+            word: _PIECES.findall(word) if plain else [word]
+            for word, ids in zip(words, found, strict=True)
+            if ids is None and word
         }
-        if missing:
-            self._learn(list(missing))
+        new = {p for pieces in parts.values() for p in pieces if p not in self._known}
+        self._learn(list(new))
+        once = {"": b""}
+        for word, pieces in parts.items():
+            if word not in self._known:
+                ids = b"".join(map(self._known.get, pieces))
+                if new.isdisjoint(pieces):
+                    self._known[word] = ids
+                    self._size += len(word) + len(ids) + _ENTRY_BYTES
+                else:
+                    once[word] = ids
         return [
-            b"".join(map(get, w)) if None in ids else b"".join(ids)
-            for w, ids in zip(words, found, strict=True)
+            ids if ids is not None else once[word] if word in once else self._known[word]
+            for word, ids in zip(words, found, strict=True)
         ]
 
 
@@ -197,8 +230,6 @@ class SumOfSquares:
             yield sequence
         else:
             self._keep(sequence)
-        if self.n_open > MOST_OPEN:
-            yield from self._complete()
 
     def _complete(self) -> Iterator[Sequence]:
         """Fill the fullest open sequences with cuts of the emptiest until one is left."""
@@ -264,7 +295,8 @@ def pack(
     - A null or empty text is a document of the one id ``end_id``.
     - A null doc_id is packed like any other. Repeated rows are packed as often as they occur.
     - Columns other than doc_id and text are ignored. An empty table gives no rows.
-    - A text is tokenised as a whole, with some others; the ids of what is open are in memory.
+    - A text is tokenised as a whole, with some others. The ids of sequences that are still open are
+      in memory, which is less than the ids of the partition; no number of open sequences ends them.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +322,7 @@ def pack(
                 [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], _NAMES
             )
 
-        for part in slices(batches):
+        for part in slices(batches, most=ENCODED_BYTES):
             ids = part.column("doc_id").to_pylist()
             texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
             for doc_id, tokens in zip(ids, encode(texts), strict=True):

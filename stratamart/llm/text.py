@@ -79,13 +79,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - first
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches in slices of about SLICE_BYTES of text."""
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes of text."""
     for batch in batches:
         if not batch.num_rows:
             continue
         size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(size, dtype=np.int64) // SLICE_BYTES
+        part = np.cumsum(size, dtype=np.int64) // most
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(lo, hi - lo)
