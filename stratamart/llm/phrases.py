@@ -8,14 +8,16 @@ candidates as an acceptor, cut into the ranges in which they lie; there the acce
 with the transducer, and goes back with its counts. The same acceptors carry the counts of the
 longer phrases, so each range learns which of its candidates a longer one covers.
 
-Before that, a sketch of the counts of words and pairs of words (a merged table of fixed size that
-never underestimates) tells which sequences cannot reach the least count; these are not counted. It
-changes no result, only how much is sorted and sent.
+Before that, two sketches (merged tables of fixed size that never underestimate), one of words and
+pairs, one of the longer sequences that these leave, tell which sequences cannot reach the least
+count; these are not counted. They change no result, only how much is sorted and sent.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,19 +43,19 @@ LONGEST = 4
 #: Words of a sorted buffer, and states of a task's transducer before it is handed on.
 BUFFER = 1 << 20
 STATES = 1 << 22
+#: Words of a task that wait to be spelt out.
+SPELT = 200_000
 #: Bytes of text for each prefix range.
 RANGE_BYTES = 32_000_000
 #: Tasks whose transducers meet in the first step.
 FAN_IN = 64
-#: Counters of the sketch.
+#: Counters of each sketch.
 WIDTH = 1 << 24
 UNKNOWN = "und"
 
-_SHARD = "kind int, range bigint, part int, states binary, label bigint, lang string, word string, n bigint"
+_SHARD = "kind int, range bigint, part int, states binary, lang string, n bigint"
 _SHARD_NAMES = [x.split(" ")[0] for x in _SHARD.split(", ")]
-_SHARD_TYPES = [
-    pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64(),
-]
+_SHARD_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.string(), pa.int64()]
 AUTOMATON, WORD, TOTAL = range(3)
 ANSWER, LONGER = range(2)
 
@@ -78,10 +80,30 @@ class Pieces:
         self.joined = np.zeros(len(owner), dtype=bool)  # with the next word
         self.joined[:-1] = (piece[1:] == piece[:-1]) & (owner[1:] == owner[:-1])
 
-    def pairs(self) -> np.ndarray:
-        """Labels of each word with the next one."""
-        after = np.append(self.labels[1:], U64(0))
-        return spread(spread(self.labels) + after)
+    def grams(self) -> list[np.ndarray]:
+        """Hashes of the sequences of one to LONGEST words from each word on, by length."""
+        out = [self.labels]
+        for k in range(1, LONGEST):
+            after = np.concatenate([self.labels[k:], np.zeros(min(k, len(self.labels)), U64)])
+            out.append(spread(spread(out[-1]) + after))
+        return out
+
+    def frequent(self, often: int, short: np.ndarray, long: np.ndarray | None = None) -> list:
+        """By length: may the sequence from each word on, and all in it, occur ``often`` times?"""
+        grams = self.grams()
+
+        def at_least(cells: np.ndarray, k: int) -> np.ndarray:
+            return cells[grams[k] & U64(len(cells) - 1)] >= often
+
+        out = [at_least(short, 0)]
+        for k in range(1, LONGEST):
+            here = out[-1] & np.append(out[-1][1:], np.zeros(min(1, len(out[-1])), bool))
+            if k == 1:
+                here &= self.joined & at_least(short, 1)
+            elif long is not None:
+                here &= at_least(long, k)
+            out.append(here)
+        return out
 
     def word(self, i: int) -> str:
         raw = self.data[self.words.starts[i] : self.words.ends[i]].tobytes()
@@ -92,25 +114,35 @@ def _language_hash(lang: str) -> int:
     return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
 
 
-def _sketch_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+def _short_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     for part in slices(batches):
         pieces = Pieces(part)
         yield pieces.labels
-        yield pieces.pairs()[pieces.joined]
+        yield pieces.grams()[1][pieces.joined]
 
 
-def _shards(sketch: object, least: int, ranges: int):
+def _long_grams(short: object, often: int):
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for part in slices(batches):
+            pieces = Pieces(part)
+            grams = pieces.grams()
+            for k, here in list(enumerate(pieces.frequent(often, short.value)))[2:]:
+                yield grams[k][here]
+
+    return hashes
+
+
+def _shards(short: object, long: object, often: int, ranges: int):
     """Transducers by range, words by label and the number of words by language of a task's texts."""
-    often = min(least, 255)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, high = sketch.value, U64(len(sketch.value) - 1)
         part_id = TaskContext.get().partitionId() // FAN_IN
         rows: list[tuple] = []
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         levels: transducer.Levels | None = None
         known = np.empty(0, dtype=U64)
         totals: dict[str, int] = {}
+        spelling: list[tuple[int, str, str]] = []  # label, language, word
 
         def batch() -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True))
@@ -128,47 +160,87 @@ def _shards(sketch: object, least: int, ranges: int):
         def handed_on() -> None:
             nonlocal levels
             for r, some in transducer.cut(levels, ranges):
-                rows.append((AUTOMATON, r, part_id, transducer.packed(some), None, None, None, None))
+                rows.append((AUTOMATON, r, part_id, transducer.packed(some), None, None))
             levels = None
 
+        def spelt_out() -> None:
+            for r, words in _by_range(spelling, ranges):
+                rows.append((WORD, r, None, words, None, None))
+            spelling.clear()
+
         for part in slices(batches):
             pieces = Pieces(part)
             for lang, n in zip(pieces.languages, pieces.sizes.tolist(), strict=True):
                 totals[lang] = totals.get(lang, 0) + n
-            single = cells[pieces.labels & high] >= often
-            pair = pieces.joined & (cells[pieces.pairs() & high] >= often)
-            longest = single.astype(np.int8)
-            ahead = single
-            for k in range(1, LONGEST):
-                # A sequence goes on while each word and each pair in it may be frequent.
-                ahead = ahead & np.append(pair[k - 1 :], np.zeros(k - 1, bool))
-                ahead = ahead & np.append(single[k:], np.zeros(min(k, len(single)), bool))
-                longest += ahead
-            waiting.append((pieces.labels, longest))
-            new, first = np.unique(pieces.labels[single], return_index=True)
+            frequent = pieces.frequent(often, short.value, long.value)
+            waiting.append((pieces.labels, sum(x.astype(np.int8) for x in frequent)))
+            # Words of candidates are words of pairs that may be frequent.
+            spelt = frequent[1] | np.append(np.zeros(min(1, len(frequent[1])), bool), frequent[1][:-1])
+            new, first = np.unique(pieces.labels[spelt], return_index=True)
             other = ~np.isin(new, known, assume_unique=True)
             known = np.union1d(known, new)
-            place = np.flatnonzero(single)[first[other]]
-            for label, i in zip(new[other].view(np.int64).tolist(), place.tolist(), strict=True):
-                lang = pieces.languages[pieces.owner[i]]
-                rows.append((WORD, None, None, None, label, lang, pieces.word(i), None))
+            place = np.flatnonzero(spelt)[first[other]]
+            for label, i in zip(new[other].tolist(), place.tolist(), strict=True):
+                spelling.append((label, pieces.languages[pieces.owner[i]], pieces.word(i)))
             if sum(len(x) for x, _ in waiting) >= BUFFER:
                 counted()
                 if transducer.size(levels) >= STATES:
                     handed_on()
-            if len(rows) > 50_000:
+            if len(spelling) > SPELT:
+                spelt_out()
+            if len(rows) > 10_000:
                 yield batch()
         if waiting:
             counted()
         if levels:
             handed_on()
-        rows.extend((TOTAL, None, None, None, None, lang, None, n) for lang, n in totals.items())
+        spelt_out()
+        rows.extend((TOTAL, None, None, None, lang, n) for lang, n in totals.items())
         if rows:
             yield batch()
 
     return count
 
 
+def _by_range(spelling: list[tuple[int, str, str]], n: int) -> Iterator[tuple[int, bytes]]:
+    """Words with their labels and languages, packed by the range of the label."""
+    if spelling:
+        ranges = transducer.ranges_of(np.array([x for x, _, _ in spelling], dtype=U64), None, n)
+        order = np.argsort(ranges, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(ranges[order])) + 1):
+            words = [spelling[i] for i in some.tolist()]
+            yield int(ranges[some[0]]), zlib.compress(json.dumps(words).encode(), 1)
+
+
+def _wanted(ranges: int):
+    """Labels of the words of phrases, with their ranges."""
+
+    def labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            found = np.unique(part.column("labels").flatten().to_numpy())
+            own = transducer.ranges_of(found.view(U64), None, ranges)
+            yield pa.record_batch([pa.array(own), pa.array(found)], ["wanted_in", "label"])
+
+    return labels
+
+
+def _spelt(words: pa.Table, wanted: pa.Table) -> pa.Table:
+    """The wanted words of a range."""
+    labels = set(wanted.column("label").to_numpy().view(U64).tolist()) if wanted.num_rows else set()
+    out: dict[int, tuple[str, str]] = {}
+    for data in words.column("states") if labels else ():
+        for label, lang, word in json.loads(zlib.decompress(data.as_py())):
+            if label in labels:
+                out[label] = (lang, word)
+    return pa.table(
+        {
+            "label": pa.array(np.array(list(out), dtype=U64).view(np.int64), pa.int64()),
+            "lang": pa.array([x for x, _ in out.values()], pa.string()),
+            "word": pa.array([x for _, x in out.values()], pa.string()),
+        }
+    )
+
+
 def _united(blobs: Iterator[bytes], combine: np.ufunc = np.add) -> transducer.Levels:
     """One transducer of many, a few at a time."""
     waiting: list[transducer.Levels] = []
@@ -281,12 +353,15 @@ def _scored(least: int, covered: tuple[int, int]):
             levels = transducer.unpacked(own.column("states")[0].as_py())
             kinds = messages.column("kind").to_numpy()
             blobs = messages.column("states")
-            answers = _united((blobs[int(i)].as_py() for i in np.flatnonzero(kinds == ANSWER)))
-            longer = transducer.unpacked(blobs[int(np.flatnonzero(kinds == LONGER)[0])].as_py())
+            answered = [blobs[int(i)] for i in np.flatnonzero(kinds == ANSWER)]
+            answers = _united(x.as_py() for x in answered) if answered else []
+            covering = [transducer.unpacked(blobs[int(i)].as_py()) for i in np.flatnonzero(kinds == LONGER)]
             for m in range(2, LONGEST + 1):
                 a = levels[m - 1].weight
+                if not answered or not len(a):
+                    continue  # without a candidate nothing was asked
                 # Products may pass 64 bits: f * 100 >= a * 80 as Python integers where they could.
-                f = longer[m - 1].weight
+                f = covering[0][m - 1].weight if covering else np.zeros(len(a), np.int64)
                 small = max(a.max(initial=0), f.max(initial=0)) < 1 << 50
                 x, y = (a, f) if small else (a.astype(object), f.astype(object))
                 rows = np.flatnonzero((a >= least) & ~(covered[0] * y >= covered[1] * x).astype(bool))
@@ -334,9 +409,13 @@ def collocations(
     docs = docs.select(F.col("text").cast("string").alias("text"), lang)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-int(size) // RANGE_BYTES))
-    sketch = spark.sparkContext.broadcast(counts.merged_counts(docs, _sketch_hashes, WIDTH))
-    shards = stage(docs.mapInArrow(_shards(sketch, least, ranges), _SHARD), "shards")
-    sketch.unpersist()
+    often = min(least, 255)  # counters end there
+    context = spark.sparkContext
+    short = context.broadcast(counts.merged_counts(docs, _short_grams, WIDTH))
+    long = context.broadcast(counts.merged_counts(docs, _long_grams(short, often), WIDTH))
+    shards = stage(docs.mapInArrow(_shards(short, long, often, ranges), _SHARD), "shards")
+    short.unpersist()
+    long.unpersist()
 
     parts = shards.where(F.col("kind") == AUTOMATON).select("range", "part", "states")
     once = parts.groupBy("range", "part").applyInArrow(_unite(None), _RANGE)
@@ -352,8 +431,10 @@ def collocations(
     )
     scored = stage(scored, "scored")
 
-    words = shards.where(F.col("kind") == WORD).select("label", "lang", "word")
-    words = words.drop_duplicates(["label"])
+    wanted = scored.select("labels").mapInArrow(_wanted(ranges), "wanted_in bigint, label bigint")
+    words = shards.where(F.col("kind") == WORD).select("range", "states").groupBy("range")
+    words = words.cogroup(wanted.distinct().groupBy("wanted_in"))
+    words = words.applyInArrow(_spelt, "label bigint, lang string, word string")
     single = scored.select("labels", F.posexplode("labels").alias("place", "label"))
     spelt = single.join(words, "label").groupBy("labels").agg(  # four words at most
         F.first("lang").alias("lang"),
