@@ -31,7 +31,7 @@ from stratamart.llm.text import U64, mix, powers, slices, text_bytes, words_of
 
 ANCHOR_WORDS = 16
 #: Counters of each of the two rows of the first sketch.
-ANCHOR_WIDTH = 1 << 26
+ANCHOR_WIDTH = 1 << 25
 
 _FIRST = 0xA0761D6478BD642F
 _SECOND = 0xE7037ED1A0B428DB
@@ -108,6 +108,7 @@ def _repeated_anchors(docs: DataFrame, width: int) -> np.ndarray:
     groups = docs.mapInArrow(rows, "anchor bigint, doc_id bigint").groupBy("anchor")
     groups = groups.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     repeated = stage(groups.where("lo < hi").select("anchor"), "anchors")
+    twice.unpersist()
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for part in batches:
@@ -150,6 +151,7 @@ def repeated_windows(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]
 
     found = docs.mapInArrow(rows, "h1 bigint, h2 int, doc_id bigint, rh bigint, first int")
     found = stage(found, "windows")
+    known.unpersist()
     least = found.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")
     )
@@ -197,8 +199,9 @@ def remove_repeated_passages(docs: DataFrame, window_words: int = 50) -> DataFra
     marked = marked.agg(F.collect_set("first").alias("first")).union(copies)
     marked = stage(marked, "marked")
     release(windows, copies)
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in slices(batches):
             n_words, n_removed, texts = [], [], []
             all_texts = part.column("text").cast(pa.binary()).to_pylist()
             for text, first in zip(all_texts, part.column("first"), strict=True):

@@ -246,6 +246,38 @@ def test_rates_shrink_towards_the_common_rate(spark):
     assert abs(rates["b"] - 0.9) < 0.01 and rates["c"] < 0.02
 
 
+def test_hosts_of_one_document_get_the_common_rate(spark):
+    """They tell nothing about how hosts differ, so nothing but noise is left."""
+    hosts = spark.createDataFrame([(f"h{i}", 1, int(i < 3)) for i in range(10)], "host string, n bigint, r bigint")
+    assert {round(r["rate_r"], 12) for r in shrunk_rates(hosts, ["r"]).collect()} == {0.3}
+
+
+def test_rates_by_beta_binomial_moments(spark):
+    counts = [(40, 30), (60, 5), (5, 4), (200, 20), (1, 1)]
+    hosts = spark.createDataFrame([(f"h{i}", n, x) for i, (n, x) in enumerate(counts)], "host string, n bigint, r bigint")
+    total, p = sum(n for n, _ in counts), sum(x for _, x in counts) / sum(n for n, _ in counts)
+    spread = sum(n * (x / n - p) ** 2 for n, x in counts)
+    room = total - sum(n * n for n, _ in counts) / total - (len(counts) - 1)
+    alike = (spread / (p * (1 - p)) - (len(counts) - 1)) / room
+    assert 0 < alike < 1
+    weight = (1 - alike) / alike
+    rates = {r["host"]: r["rate_r"] for r in shrunk_rates(hosts, ["r"]).collect()}
+    for i, (n, x) in enumerate(counts):
+        assert rates[f"h{i}"] == pytest.approx((x + p * weight) / (n + weight))
+
+
+def test_documents_of_a_failing_host_go(spark):
+    """Good documents of a host that mostly fails go; one bad document does not fail a host."""
+    good, bad = " ".join(f"w{i}" for i in range(60)), "too short"
+    docs = [(i, bad if i % 10 else good, "spam") for i in range(100)]
+    docs += [(100 + i, good, f"fine{i % 5}") for i in range(200)] + [(300, bad, "single"), (301, good, "fine0")]
+    found = judge_by_host(spark.createDataFrame(docs, "doc_id bigint, text string, source string")).collect()
+    failed = {r["host"] for r in found if r["host_failed"]}
+    assert failed == {"spam"}
+    kept = {r["doc_id"] for r in found if r["kept"]}
+    assert kept == {i for i, t, h in docs if t == good and h != "spam"}
+
+
 def test_languages(docs, nothing):
     found = identify_languages(docs).collect()
     assert len(found) == len(rows())
