@@ -136,9 +136,10 @@ def shrunk_rates(hosts: DataFrame, rules: list[str]) -> DataFrame:
     Per rule a beta prior is fitted to the counts by beta-binomial moments, which take the sampling
     noise of hosts of different sizes into account. With p the common rate of all k hosts, N all
     documents and S = sum n_i (p_i - p)^2, the expected S is p (1 - p) ((k - 1) + c (N - sum n_i^2 /
-    N - (k - 1))); this gives c, the correlation of two documents of a host, between 0 and 1. The
-    prior weighs as much as (1 - c) / c documents at rate p. Where hosts do not differ by more than
-    noise, or all have one document, c is 0 and every host gets the common rate.
+    N - (k - 1))); this gives c, the correlation of two documents of a host. The prior weighs as much
+    as (1 - c) / c documents at rate p; c is kept between 0 and 1/2, so that it weighs one document
+    at least. Where hosts do not differ by more than noise, or all have one document, c is 0 and
+    every host gets the common rate.
     """
     sums = [F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn")]
     for rule in rules:
@@ -156,7 +157,7 @@ def shrunk_rates(hosts: DataFrame, rules: list[str]) -> DataFrame:
         alike = 0.0
         if 0 < p < 1 and room > 0:
             alike = ((total[f"xx_{rule}"] - p * x) / (p * (1 - p)) - (k - 1)) / room
-        alike = min(max(alike, 0.0), 1.0)
+        alike = min(max(alike, 0.0), 0.5)
         # (x + p w) / (n + w) with w = (1 - c) / c, multiplied by c.
         rate = (F.col(rule) * alike + p * (1 - alike)) / (F.col("n") * alike + (1 - alike))
         out.append(rate.alias(f"rate_{rule}"))

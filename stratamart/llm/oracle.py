@@ -85,7 +85,7 @@ def _alike(rule: str) -> str:
     moment = f"((xx_{rule} - p_{rule} * x_{rule}) / (p_{rule} * (1 - p_{rule})) - (k - 1))"
     return (
         f"CASE WHEN p_{rule} > 0 AND p_{rule} < 1 AND all_n - nn / all_n - (k - 1) > 0 "
-        f"THEN least(greatest({moment} / (all_n - nn / all_n - (k - 1)), 0), 1) ELSE 0 END AS c_{rule}"
+        f"THEN least(greatest({moment} / (all_n - nn / all_n - (k - 1)), 0), 0.5) ELSE 0 END AS c_{rule}"
     )
 
 

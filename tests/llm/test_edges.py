@@ -253,13 +253,13 @@ def test_hosts_of_one_document_get_the_common_rate(spark):
 
 
 def test_rates_by_beta_binomial_moments(spark):
-    counts = [(40, 30), (60, 5), (5, 4), (200, 20), (1, 1)]
+    counts = [(40, 22), (60, 15), (50, 20), (200, 50), (10, 4)]
     hosts = spark.createDataFrame([(f"h{i}", n, x) for i, (n, x) in enumerate(counts)], "host string, n bigint, r bigint")
     total, p = sum(n for n, _ in counts), sum(x for _, x in counts) / sum(n for n, _ in counts)
     spread = sum(n * (x / n - p) ** 2 for n, x in counts)
     room = total - sum(n * n for n, _ in counts) / total - (len(counts) - 1)
     alike = (spread / (p * (1 - p)) - (len(counts) - 1)) / room
-    assert 0 < alike < 1
+    assert 0 < alike < 0.5
     weight = (1 - alike) / alike
     rates = {r["host"]: r["rate_r"] for r in shrunk_rates(hosts, ["r"]).collect()}
     for i, (n, x) in enumerate(counts):
@@ -267,10 +267,10 @@ def test_rates_by_beta_binomial_moments(spark):
 
 
 def test_documents_of_a_failing_host_go(spark):
-    """Good documents of a host that mostly fails go; one bad document does not fail a host."""
+    """Good documents of a host that mostly fails go, those of other hosts stay."""
     good, bad = " ".join(f"w{i}" for i in range(60)), "too short"
     docs = [(i, bad if i % 10 else good, "spam") for i in range(100)]
-    docs += [(100 + i, good, f"fine{i % 5}") for i in range(200)] + [(300, bad, "single"), (301, good, "fine0")]
+    docs += [(100 + i, good, f"fine{i % 5}") for i in range(200)] + [(300, bad, "fine0"), (301, good, "fine0")]
     found = judge_by_host(spark.createDataFrame(docs, "doc_id bigint, text string, source string")).collect()
     failed = {r["host"] for r in found if r["host_failed"]}
     assert failed == {"spam"}
