@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.contracts import WINDOW_DAYS
+from stratamart.contracts import METADATA_COLUMNS, WINDOW_DAYS
 from stratamart.functions.columns import interval_days, quoted
 from stratamart.operators.dedup import keep_one_per_key
 
@@ -92,6 +92,20 @@ def build_fact_last_3m(
     return fact.filter(F.col("order_date") >= newest - interval_days(days))
 
 
+def lines_in_window(
+    orders_detail: DataFrame, headers: DataFrame, days: int, newest: Column
+) -> DataFrame:
+    """Lines of orders of which some raw header lies in the window, others left out before a shuffle.
+
+    The raw headers hold every header that deduplication can choose, so no line of the window is
+    lost. They are a filtered scan: Spark broadcasts their keys where they are few, and otherwise
+    makes a Bloom filter of them that it applies in the scan of the lines (``might_contain`` in the
+    plan). Deduplicated orders would be too far from their scan for that.
+    """
+    window = build_fact_last_3m(headers.select("order_id", "order_date"), days, newest)
+    return orders_detail.join(window.select("order_id"), "order_id", "left_semi")
+
+
 def _recent_lines(recent: DataFrame, orders_detail: DataFrame) -> DataFrame:
     """Valid lines of the ``recent`` orders, with the columns of the order.
 
@@ -116,13 +130,18 @@ def build_recent_fact(
     orders_detail: DataFrame,
     days: int = WINDOW_DAYS,
     newest: Column | None = None,
+    headers: DataFrame | None = None,
 ) -> DataFrame:
     """``build_fact_last_3m`` of the fact of ``clean_orders`` rows and raw lines, without building
     the older history.
 
     A left join keeps every order, so the newest date and the window can be taken from the orders,
-    and only lines of those orders are deduplicated and joined.
+    and only lines of those orders are deduplicated and joined. With the raw ``headers`` that the
+    orders come from, other lines are left out where they are read (``lines_in_window``).
     """
+    newest = newest_date(orders) if newest is None else newest
+    if headers is not None:
+        orders_detail = lines_in_window(orders_detail, headers, days, newest)
     recent = build_fact_last_3m(orders, days, newest)
     matched = _recent_lines(recent, orders_detail)
     without_lines = recent.join(matched.select("order_id").distinct(), "order_id", "left_anti")
@@ -134,15 +153,21 @@ def build_recent_activity(
     orders_detail: DataFrame,
     days: int = WINDOW_DAYS,
     newest: Column | None = None,
+    headers: DataFrame | None = None,
 ) -> DataFrame:
     """``build_recent_fact`` with one more row without line for every order.
 
     Sums and maxima per order ignore NULL lines, so order and customer rollups of both are equal;
     finding the orders without lines, a join of its own, is not needed for them. Row counts and
     sums of header columns over lines (the sales summary) do need ``build_recent_fact``, and so does
-    any rollup where headers and lines share a column: its header value stands in every row.
+    any rollup where headers and lines share a column: its header value stands in every row. Load
+    metadata, which every stored table has, is left aside: no rollup reads it.
     """
+    orders = orders.drop(*METADATA_COLUMNS)
     if set(orders.columns) & set(orders_detail.columns) - {"order_id"}:
-        return build_recent_fact(orders, orders_detail, days, newest)
+        return build_recent_fact(orders, orders_detail, days, newest, headers)
+    newest = newest_date(orders) if newest is None else newest
+    if headers is not None:
+        orders_detail = lines_in_window(orders_detail, headers, days, newest)
     recent = build_fact_last_3m(orders, days, newest)
     return _with_line_less(_recent_lines(recent, orders_detail), recent)

@@ -87,15 +87,17 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact of the window."""
-    orders = clean_orders(orders_header(spark, sf_dir))
-    return build_recent_fact(orders, orders_detail(spark, sf_dir))
+    headers = orders_header(spark, sf_dir)
+    return build_recent_fact(clean_orders(headers), orders_detail(spark, sf_dir), headers=headers)
 
 
 def _activity(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
     """Rows of the window for order and customer rollups, and the newest order date."""
-    orders = clean_orders(orders_header(spark, sf_dir))
+    headers = orders_header(spark, sf_dir)
+    orders = clean_orders(headers)
     newest = newest_date(orders)
-    return build_recent_activity(orders, orders_detail(spark, sf_dir), newest=newest), newest
+    lines = orders_detail(spark, sf_dir)
+    return build_recent_activity(orders, lines, newest=newest, headers=headers), newest
 
 
 def _customer_stats(fact_3m: DataFrame) -> DataFrame:

@@ -15,6 +15,9 @@ SKEW_SETTINGS = (
     "spark.sql.adaptive.forceOptimizeSkewedJoin",
     "spark.sql.requireAllClusterKeysForDistribution",
 )
+#: Spark bounds the size of a Bloom filter (8 MB), so the table it is made from may be large.
+FILTER_SOURCE = ("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "64g")
+SETTINGS = dict.fromkeys(SKEW_SETTINGS, "true") | dict([FILTER_SOURCE])
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -22,18 +25,19 @@ def tune(spark: SparkSession) -> SparkSession:
 
     Adaptive execution splits a hot join key even where that costs one more shuffle. A
     deduplication or rollup on several columns is spread by all of them, after combining on the map
-    side, instead of reusing the partitioning of a join on one of them. Sizes, memory and partition
-    counts are left to the cluster. For entry points, whose session it is.
+    side, instead of reusing the partitioning of a join on one of them. Large tables, too, may give
+    the Bloom filter of a runtime filter. Other sizes, memory and partition counts are left to the
+    cluster. For entry points, whose session it is.
     """
-    for name in SKEW_SETTINGS:
-        spark.conf.set(name, "true")
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
     return spark
 
 
 @contextmanager
 def tuned(spark: SparkSession) -> Iterator[SparkSession]:
     """``tune`` for the jobs run inside; the caller's settings come back afterwards."""
-    before = {name: spark.conf.get(name, None) for name in SKEW_SETTINGS}
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
     try:
         yield tune(spark)
     finally:
