@@ -100,13 +100,19 @@ def sales_totals(fact: DataFrame) -> DataFrame:
     )
 
 
-def order_gaps(orders: DataFrame) -> DataFrame:
+#: Distinct times of a customer's day that are put in order in one task, and the slices of a longer one.
+HOT_DAY = 1_000_000
+SLICES = 256
+
+
+def order_gaps(orders: DataFrame, hot_day: int = HOT_DAY) -> DataFrame:
     """Per order the previous order date of the same customer and the gap in days.
 
     Orders of one date are ranked by order id. All of them but the first have that same date before
     them, so only the distinct dates of a customer are put in order: they are combined before the
     shuffle, and no window runs over the orders. Dates are compared within (customer, day), the
-    first of a day with the newest of the customer's previous day. The orders meet the dates in an
+    first of a day with the newest of the customer's previous day; a day with more than ``hot_day``
+    different times is cut into slices (``_linked_in_slices``). The orders meet the dates in an
     inner join, which adaptive execution splits where a customer and date have many of them.
     """
     rows = orders.select("customer_id", "order_id", "order_date")
@@ -122,27 +128,17 @@ def order_gaps(orders: DataFrame) -> DataFrame:
     )
     days = (
         dates.groupBy("customer_id", "day")
-        .agg(F.max("order_date").alias("day_end"))
+        .agg(F.max("order_date").alias("day_end"), F.count(F.lit(1)).alias("times"))
         .selectExpr(
             "customer_id AS d_customer",
             "day AS d_day",
+            "times",
             "lag(day_end) OVER (PARTITION BY customer_id ORDER BY day) AS previous_day_end",
         )
     )
-    within_day = "(PARTITION BY customer_id, day ORDER BY order_date)"
-    linked = (
-        dates.selectExpr(
-            "*",
-            f"row_number() OVER {within_day} AS rank_in_day",
-            f"lag(order_date) OVER {within_day} AS previous_in_day",
-        )
-        .join(days, F.expr("customer_id <=> d_customer AND day <=> d_day"))
-        .selectExpr(
-            "customer_id AS l_customer",
-            "order_date AS l_date",
-            "first_order",
-            "CASE WHEN rank_in_day = 1 THEN previous_day_end ELSE previous_in_day END AS previous",
-        )
+    dated = dates.join(days, F.expr("customer_id <=> d_customer AND day <=> d_day"))
+    linked = _linked_in_day(dated.filter(F.col("times") <= hot_day)).union(
+        _linked_in_slices(dated.filter(F.col("times") > hot_day))
     )
     return (
         rows.join(linked, F.expr("customer_id <=> l_customer AND order_date <=> l_date"))
@@ -156,6 +152,70 @@ def order_gaps(orders: DataFrame) -> DataFrame:
     )
 
 
+def _linked_in_day(dated: DataFrame) -> DataFrame:
+    """Each date of a customer with the one before it."""
+    within_day = "(PARTITION BY customer_id, day ORDER BY order_date)"
+    return dated.selectExpr(
+        "*",
+        f"row_number() OVER {within_day} AS rank_in_day",
+        f"lag(order_date) OVER {within_day} AS previous_in_day",
+    ).selectExpr(
+        "customer_id AS l_customer",
+        "order_date AS l_date",
+        "first_order",
+        "CASE WHEN rank_in_day = 1 THEN previous_day_end ELSE previous_in_day END AS previous",
+    )
+
+
+def _linked_in_slices(dated: DataFrame) -> DataFrame:
+    """``_linked_in_day`` for days with very many times.
+
+    Approximate quantiles, which merge, cut each day into slices of about equally many times,
+    however unevenly these lie. Times are compared within a slice; between slices only the last one
+    of each is carried on.
+    """
+    shares = ", ".join(f"{i / SLICES!r}D" for i in range(1, SLICES))
+    edges = (
+        dated.groupBy("customer_id", "day")
+        .agg(F.expr(f"percentile_approx(order_date, array({shares}))").alias("edges"))
+        .toDF("e_customer", "e_day", "edges")
+    )
+    sliced = dated.join(edges, F.expr("customer_id <=> e_customer AND day <=> e_day")).selectExpr(
+        "customer_id",
+        "day",
+        "order_date",
+        "first_order",
+        "previous_day_end",
+        "size(filter(edges, e -> e < order_date)) AS slice",
+    )
+    ends = (
+        sliced.groupBy("customer_id", "day", "slice")
+        .agg(F.max("order_date").alias("slice_end"))
+        .selectExpr(
+            "customer_id AS s_customer",
+            "day AS s_day",
+            "slice AS s_slice",
+            "lag(slice_end) OVER (PARTITION BY customer_id, day ORDER BY slice) AS previous_slice_end",
+        )
+    )
+    within = "(PARTITION BY customer_id, day, slice ORDER BY order_date)"
+    ranked = sliced.selectExpr(
+        "*",
+        f"row_number() OVER {within} AS rank_in_slice",
+        f"lag(order_date) OVER {within} AS previous_in_slice",
+    )
+    met = ranked.join(
+        ends, F.expr("customer_id <=> s_customer AND day <=> s_day AND slice = s_slice")
+    )
+    before = "coalesce(previous_slice_end, previous_day_end)"
+    return met.selectExpr(
+        "customer_id AS l_customer",
+        "order_date AS l_date",
+        "first_order",
+        f"CASE WHEN rank_in_slice = 1 THEN {before} ELSE previous_in_slice END AS previous",
+    )
+
+
 def average_gap(gaps: DataFrame) -> DataFrame:
     """Mean gap per customer with at least one gap, from ``order_gaps`` rows."""
     return (

@@ -114,6 +114,28 @@ def test_hot_customer_is_not_sorted_in_one_task(spark):
             assert "day" in window
 
 
+def test_a_day_with_very_many_times_is_cut_into_slices(spark, monkeypatch):
+    """Half of all orders are of one customer and day, at different and unevenly spread times."""
+    monkeypatch.setattr(rollups, "SLICES", 16)
+    hot = "CAST(timestamp_micros(1700000000000000 + CAST(pow(1.004, id) * 1000 AS BIGINT) + id) AS TIMESTAMP_NTZ)"
+    orders = spark.range(6000).selectExpr(
+        "CASE WHEN id < 3000 THEN 1 WHEN id < 3010 THEN NULL ELSE id % 50 END AS customer_id",
+        "id AS order_id",
+        f"CASE WHEN id < 3000 THEN {hot} WHEN id % 97 = 0 THEN NULL "
+        "ELSE timestamp_ntz '2023-01-01 00:00:00' + make_dt_interval(CAST(id % 700 AS INT), CAST(id % 5 AS INT)) END AS order_date",
+    )
+    again = orders.unionByName(orders.where("order_id % 10 = 0").withColumn("order_id", F.col("order_id") + 100_000))
+    sliced, plain = rollups.order_gaps(again, hot_day=100), rollups.order_gaps(again)
+    assert sliced.count() == plain.count() == again.count()
+    assert sliced.exceptAll(plain).count() == 0
+    dated = orders.where("customer_id = 1 AND order_id < 3000").selectExpr(
+        "customer_id", "CAST(order_date AS DATE) AS day", "order_date", "order_id AS first_order",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS previous_day_end",
+    )
+    plan = final_plan(rollups._linked_in_slices(dated))
+    assert re.search(r"Window \[.*row_number.*\], \[customer_id#\w+, day#\w+, slice#\w+\]", plan)
+
+
 def test_window_slice_reads_only_its_months(spark, tmp_path):
     fact_path, calendar_path = str(tmp_path / "fact"), str(tmp_path / "calendar")
     headers = orders_header(spark, TESTDATA)
