@@ -121,6 +121,53 @@ def check_fk(
     )
 
 
+Parent = tuple[DataFrame, str, str]
+
+
+def check_dense_fks(child: DataFrame, parents: list[Parent], child_name: str) -> DataFrame:
+    """``check_fk`` against several ``parents`` (frame, name, key) with one pass over the child.
+
+    For integer keys without large gaps, such as numbered customers: keys are bits of bitmaps of
+    32,768 consecutive numbers (4 KB each), combined in each task, so the shuffles carry a bit for a
+    key however often it occurs. A child key without parent is a bit that the parent's bitmap lacks.
+    Bitmaps of sparse or random keys would be nearly empty; text and other keys have none at all: use
+    ``check_fk`` for those.
+    """
+    for parent, _, key in parents:
+        for frame in (child, parent):
+            if not isinstance(frame.schema[key].dataType, IntegralType):
+                raise ValueError(f"key {key} is not an integer")
+    keys = sorted({key for _, _, key in parents})
+    checks_of = " ".join(
+        f"WHEN {text_literal(k)} THEN array({', '.join(str(i) for i, p in enumerate(parents) if p[2] == k)})"
+        for k in keys
+    )
+    named = [(text_literal(k), f"CAST({quoted(k)} AS BIGINT)") for k in keys]
+    children = _bitmaps(child.selectExpr(stacked(named, ("of", "key"))), "of").selectExpr(
+        f"explode(CASE of {checks_of} END) AS check", "bucket", "bits", "false AS parent"
+    )
+    parts = [children]
+    for i, (parent, _, key) in enumerate(parents):
+        bits = _bitmaps(parent.selectExpr(f"{i} AS check", f"CAST({quoted(key)} AS BIGINT) AS key"), "check")
+        parts.append(bits.selectExpr("check", "bucket", "bits", "true AS parent"))
+    every = "bitmap_count(bitmap_or_agg(bits))"
+    known = "bitmap_count(bitmap_or_agg(CASE WHEN parent THEN bits END))"
+    missing = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("check", "bucket")
+        .agg(F.expr(f"CASE WHEN bucket IS NULL THEN CAST(bool_or(NOT parent) AS BIGINT) ELSE {every} - {known} END AS keys"))
+    )
+    found = [F.expr(f"coalesce(sum(keys) FILTER (WHERE check = {i}), 0) AS keys_{i}") for i in range(len(parents))]
+    rows = [(f"foreign_key_{name}", key, f"keys_{i}", "fail") for i, (_, name, key) in enumerate(parents)]
+    return _report_rows(missing.agg(*found), child_name, rows)
+
+
+def _bitmaps(keys: DataFrame, by: str) -> DataFrame:
+    """Bitmaps of ``key`` per group and bucket; the bucket of NULL keys is NULL."""
+    buckets = keys.selectExpr(by, "bitmap_bucket_number(key) AS bucket", "bitmap_bit_position(key) AS position")
+    return buckets.groupBy(by, "bucket").agg(F.expr("bitmap_construct_agg(position) AS bits"))
+
+
 def check_eligible(features: DataFrame, eligible: DataFrame, name: str) -> DataFrame:
     """Customers of the feature table that are not active customers of the channel."""
     return _missing_keys_report(features, eligible, "customer_id", name, "not_eligible", "warn")

@@ -498,16 +498,12 @@ def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, people = clean_orders(orders_header(spark, sf_dir)), customers(spark, sf_dir)
     fact = attach_lines(orders, clean_lines(orders_detail(spark, sf_dir)))
     traditional = people.filter(F.col("canal") == contracts.CHANNEL_TRADITIONAL)
-    parts = [
-        checks.check_fk(
-            traditional, fact, "customer_id", "traditional_customers", "fact_order_line"
-        ),
-        checks.check_fk(people, fact, "customer_id", "dim_customer", "fact_order_line"),
-        checks.check_fk(
-            products(spark, sf_dir), fact, "product_id", "dim_product", "fact_order_line"
-        ),
+    parents = [
+        (traditional, "traditional_customers", "customer_id"),
+        (people, "dim_customer", "customer_id"),
+        (products(spark, sf_dir), "dim_product", "product_id"),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return checks.check_dense_fks(fact, parents, "fact_order_line")
 
 
 @_query("features_not_eligible")

@@ -58,6 +58,27 @@ def test_foreign_key_counts_distinct_keys_and_one_null(spark, sample):
     assert report(checks.check_fk(whole, sample.filter("id > 0"), "id", "p", "t"))[0][3] == "ok"
 
 
+@pytest.mark.parametrize("nulls", [True, False])
+def test_foreign_keys_by_bitmaps_equal_anti_joins(spark, nulls):
+    """Negative, zero and far apart keys, keys at the edges of bitmaps, NULL on either side."""
+    numbers = [-98304, -32769, -32768, -32767, -1, 0, 1, 2, 32767, 32768, 32769, 65536, 65537, 10**12, -(10**12)]
+    child = [(x, y) for i, x in enumerate(numbers) for y in numbers[: i + 1]] * 3 + [(None, 5)] * (2 * nulls)
+    child = spark.createDataFrame(child, "a bigint, b bigint")
+    some = spark.createDataFrame([(x,) for x in numbers[::2]], "a bigint")
+    with_null = some.union(spark.createDataFrame([(None,)], "a bigint"))
+    nothing = some.limit(0)
+    others = spark.createDataFrame([(x, 1) for x in numbers[::3] + [7]], "b bigint, extra int")
+    parents = [(some, "some", "a"), (with_null, "null", "a"), (nothing, "none", "a"), (others, "others", "b")]
+    got = checks.check_dense_fks(child, parents, "child")
+    expected = [checks.check_fk(parent, child, key, name, "child") for parent, name, key in parents]
+    assert got.columns == expected[0].columns
+    assert values(got) == sorted(r for e in expected for r in values(e))
+    empty = checks.check_dense_fks(child.limit(0), parents, "child").collect()
+    assert [(r["violations"], r["status"]) for r in empty] == [(0, "ok")] * 4
+    with pytest.raises(ValueError, match="not an integer"):
+        checks.check_dense_fks(child.selectExpr("CAST(a AS STRING) AS a"), parents[:1], "child")
+
+
 def test_contract(spark):
     names = contracts.DIM_FEATURES.fieldNames()
     frame = spark.createDataFrame([], contracts.DIM_FEATURES)
