@@ -1,19 +1,22 @@
 """Mixing to target weights with soft domain membership.
 
 A classifier learned from a labelled table gives every document a chance for each domain. Then a
-rate per document, how often it is to be used on average, is fitted so that the expected tokens of
-each domain match targets, with as little change as that takes:
-
-    minimise  1/2 sum_d (n_d / N) (r_d - 1)^2
-    over      r_d >= least  with  sum_d r_d n_d P_dk / N = t_k  for every k
-
-with n_d the tokens of document d, P_dk its chance for domain k, N all tokens and t_k the targets.
-The problem has one multiplier per domain: r_d = max(least, 1 + sum_k P_dk m_k), so the rate of a
-document follows from its chances and K numbers. They are found by the method of multipliers, with
-Newton's steps inside; a step needs from the corpus the K expected totals and a K x K matrix, and
-nothing else leaves the tasks. Steps go on until every domain is within a relative tolerance of its
-target. Targets that no rates can meet are met as well as possible, in the sum of squared misses
-each divided by its target, and the miss is logged as a warning.
+rate per document, how often it is to be used on average, is fitted by projected-gradient least
+squares so that the expected tokens of each domain match targets:
+
+    minimise  1/2 sum_k (T_k - t_k)^2 / D_k   over  r_d >= least
+    with      T_k = sum_d r_d n_d P_dk
+
+with n_d the tokens of document d, P_dk its chance for domain k, t_k the targets and D_k the tokens
+that domain k has to begin with. From rates of 1, a step moves each rate against its gradient and
+back to ``least`` where it fell below. Measured in tokens, the gradient of r_d is sum_k P_dk g_k with
+g_k = (T_k - t_k) / D_k, and dividing by D_k makes a step of length 1 safe, so that rare domains move
+as fast as large ones. Steps are accelerated, and begin anew where the sum of squares grew.
+
+A step needs from the corpus the K expected totals only. The rate of a document follows from its
+chances and the gradients of the steps so far, K numbers each, so nothing is stored per document.
+Steps go on until every domain is within a relative tolerance of its target. Targets that no rates
+can meet are met as well as possible, and the miss is logged as a warning.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,14 +51,17 @@ class Mix:
     ``tokens`` is the wanted number of expected tokens; None keeps the number there is, and
     "most" takes as many as leave every domain at least what it has. Where ``least`` and documents
     that belong to several domains need more than that to meet the weights, "most" takes more.
-    ``tolerance`` is the largest miss of a domain, relative to its target.
+    ``tolerance`` is the largest miss of a domain, relative to its target. Steps also end after
+    ``steps``, or when ``patience`` of them have not made the sum of squares one percent smaller.
     """
 
     targets: dict[str, float]
     labelled: int = 8_000
     tokens: float | str | None = None
     least: float = 0.0
-    tolerance: float = 1e-7
+    tolerance: float = 1e-6
+    steps: int = 200
+    patience: int = 30
 
 
 def domains_of(docs: DataFrame, labels: DataFrame, languages_only: bool = False) -> DataFrame:
@@ -118,107 +125,62 @@ def _chances(part: pa.RecordBatch, domains: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Rates:
-    """The rates of documents by their chances: a multiplier per domain."""
+    """The rates of documents by their chances: gradients of the steps and their momentum."""
 
-    multipliers: np.ndarray
     least: float
+    gradients: list[np.ndarray]
+    momentum: list[float]
+
+    def both(self, chances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rates after the last step, and the point from which the next step starts."""
+        rate = ahead = np.maximum(np.ones(len(chances)), self.least)
+        if self.gradients:
+            moves = chances @ np.column_stack(self.gradients)
+            for i, momentum in enumerate(self.momentum):
+                last, rate = rate, np.maximum(ahead - moves[:, i], self.least)
+                ahead = rate + momentum * (rate - last)
+        return rate, ahead
 
     def of(self, chances: np.ndarray) -> np.ndarray:
-        return np.maximum(1 + chances @ self.multipliers, self.least)
+        return self.both(chances)[0]
 
+    def after(self, gradient: np.ndarray, momentum: float) -> Rates:
+        return Rates(self.least, [*self.gradients, gradient], [*self.momentum, momentum])
 
-@dataclass(frozen=True)
-class _Point:
-    """Multipliers, what the corpus adds to the dual value there, and the domains' shares."""
-
-    at: np.ndarray
-    value: float
-    shares: np.ndarray
-
-
-class _Corpus:
-    """Sums over all documents, each weighted by its tokens; shares are of all tokens there are."""
-
-    def __init__(self, members: DataFrame, domains: int, least: float) -> None:
-        self.members, self.domains, self.least = members.select("n_tokens", "chances"), domains, least
-        self.total = 1.0
-        (start,), _ = self.points([np.zeros(domains)])
-        self.total = float(start.shares.sum())
-
-    def points(self, places: list[np.ndarray]) -> tuple[list[_Point], np.ndarray]:
-        """The points at these multipliers, and the curvature at the first; one job."""
-        k, least = self.domains, self.least
-        shared = self.members.sparkSession.sparkContext.broadcast(np.column_stack(places))
-
-        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            values, shares = np.zeros(len(places)), np.zeros((len(places), k))
-            curve = np.zeros((k, k))
-            for part in batches:
-                chances = _chances(part, k)
-                tokens = part.column("n_tokens").to_numpy(zero_copy_only=False).astype(float)
-                moved = chances @ shared.value
-                rates = np.maximum(1 + moved, least)
-                values += tokens @ (rates * moved - (rates - 1) ** 2 / 2)
-                shares += (rates * tokens[:, None]).T @ chances
-                free = chances[1 + moved[:, 0] > least]
-                curve += free.T @ (free * tokens[1 + moved[:, 0] > least, None])
-            sums = np.concatenate([values, shares.ravel(), curve.ravel()])
-            yield pa.record_batch([pa.array([sums], pa.list_(pa.float64()))], ["sums"])
-
-        parts = self.members.mapInArrow(rows, "sums array<double>").collect()
-        size = len(places) * (1 + k) + k * k
-        sums = np.array([math.fsum(p["sums"][i] for p in parts) for i in range(size)]) / self.total
-        n = len(places)
-        shares = sums[n : n * (1 + k)].reshape(n, k)
-        found = [_Point(*point) for point in zip(places, sums[:n].tolist(), shares, strict=True)]
-        return found, sums[n * (1 + k) :].reshape(k, k)
-
-
-#: Parts of a Newton step that are tried in one job.
-_PARTS = [4.0**-i for i in range(12)]
 
+#: Tasks whose sums meet in the first step.
+FAN_IN = 64
 
-@dataclass(frozen=True)
-class _Round:
-    """One round of the method of multipliers: a concave problem with a step's penalty.
 
-    ``basis`` spans the directions in which the multipliers may move.
-    """
+def expected_totals(members: DataFrame, rates: Rates, domains: int) -> tuple[np.ndarray, np.ndarray]:
+    """Expected tokens by domain at the rates and at the next step's start: one job, two merges."""
+    shared = members.sparkSession.sparkContext.broadcast(rates)
 
-    targets: np.ndarray
-    penalty: np.ndarray
-    centre: np.ndarray
-    basis: np.ndarray
-
-    def value(self, p: _Point) -> float:
-        moved = p.at - self.centre
-        return float(p.at @ self.targets - p.value - moved @ (self.penalty * moved) / 2)
-
-    def slope(self, p: _Point) -> np.ndarray:
-        return self.targets - p.shares - self.penalty * (p.at - self.centre)
-
-    def solve(self, corpus: _Corpus, at: np.ndarray, enough: float) -> _Point:
-        """Newton's steps until the slope is ``enough`` of each target, or numbers end."""
-        scale = np.where(self.targets > 0, self.targets, self.targets[self.targets > 0].min())
-        (now,), curve = corpus.points([at])
-        while True:
-            slope = self.basis.T @ self.slope(now)
-            size = np.abs(self.basis @ slope / scale).max()
-            if size <= enough:
-                return now
-            bend = self.basis.T @ (curve + np.diag(self.penalty)) @ self.basis
-            step = self.basis @ np.linalg.lstsq(bend, slope, rcond=None)[0]
-            tried, curve = corpus.points([now.at + part * step for part in _PARTS])
-            best = max(tried, key=self.value)
-            left = np.abs(self.basis @ (self.basis.T @ self.slope(tried[0])) / scale).max()
-            slack = 1e-12 * (1 + abs(self.value(now)))
-            if left <= size / 2 and self.value(tried[0]) >= self.value(best) - slack:
-                best = tried[0]
-            elif self.value(best) <= self.value(now) + 1e-15 * (1 + abs(self.value(now))):
-                return now
-            if best is not tried[0]:
-                (best,), curve = corpus.points([best.at])
-            now = best
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, domains))
+        for part in batches:
+            chances = _chances(part, domains)
+            tokens = part.column("n_tokens").to_numpy(zero_copy_only=False).astype(float)
+            for total, rate in zip(sums, shared.value.both(chances), strict=True):
+                total += (rate * tokens) @ chances
+        part_id = TaskContext.get().partitionId()
+        columns = [pa.array([part_id // FAN_IN]), pa.array([part_id]), pa.array([sums.ravel()])]
+        yield pa.record_batch(columns, ["part", "task", "sums"])
+
+    def merge(group: pa.Table) -> pa.Table:
+        # In the order of the tasks, so that the sums do not depend on which came first.
+        parts = group.sort_by("task")
+        sums = np.array([math.fsum(x) for x in zip(*parts.column("sums").to_pylist(), strict=True)])
+        return pa.table({"part": [0], "task": parts.column("part").to_pylist()[:1], "sums": [sums]})
+
+    schema = "part bigint, task bigint, sums array<double>"
+    once = members.select("n_tokens", "chances").mapInArrow(rows, schema)
+    once = once.groupBy("part").applyInArrow(merge, schema)
+    found = once.groupBy("part").applyInArrow(merge, schema).collect()  # one row
+    shared.unpersist()
+    if not found:
+        return np.zeros(domains), np.zeros(domains)
+    return tuple(np.array(found[0]["sums"]).reshape(2, domains))
 
 
 def fit_rates(members: DataFrame, mix: Mix) -> tuple[Rates, np.ndarray, np.ndarray]:
@@ -226,46 +188,48 @@ def fit_rates(members: DataFrame, mix: Mix) -> tuple[Rates, np.ndarray, np.ndarr
     k = len(mix.targets)
     weights = np.array(list(mix.targets.values()), dtype=float)
     weights = weights / weights.sum()
-    corpus = _Corpus(members, k, mix.least)
-    if not corpus.total:
-        return Rates(np.zeros(k), mix.least), weights * 0, weights * 0
+    rates = Rates(mix.least, [], [])
+    at_one, _ = expected_totals(members, Rates(1.0, [], []), k)
+    if not at_one.sum():
+        return rates, weights * 0, weights * 0
     some = weights > 0
-    at = np.zeros(k)
-    (now,), _ = corpus.points([at])
     most = mix.tokens == "most"
-    wanted = 1.0
+    wanted = float(at_one.sum())
     if most:
-        wanted = float((now.shares[some] / weights[some]).max())
+        wanted = float((at_one[some] / weights[some]).max())
     elif mix.tokens is not None:
-        wanted = mix.tokens / corpus.total
-    if not wanted:
-        return Rates(np.full(k, -1.0), mix.least), weights * 0, weights * 0 + mix.least * now.shares
-    targets = weights * wanted
-    scale = np.where(some, targets, targets[some].min())
-    # With "most" the total may grow: its multiplier, at @ weights, is then zero.
-    fixed = np.eye(k)
-    grows = np.linalg.svd(weights[None])[2][1:].T
-    basis, missed, weak = fixed, math.inf, 1e-2
-    while True:
-        for _ in range(2 if most else 1):
-            start = basis @ (basis.T @ at)
-            step = _Round(targets, weak * scale, at, basis)
-            now = step.solve(corpus, start, mix.tolerance / 10)
-            if not most:
-                break
-            more = -step.slope(now) @ weights
-            if basis is fixed and now.at @ weights < 0:
-                basis = grows
-            elif basis is grows and more < 0:
-                basis = fixed
-            else:
-                break
-        at = now.at
-        aim = weights * now.shares.sum() if basis is grows else targets
-        miss = float((np.abs(now.shares - aim) / scale).max())
-        if miss <= mix.tolerance or (weak <= 1e-6 and not miss <= 0.9 * missed):
-            return Rates(at, mix.least), aim * corpus.total, now.shares * corpus.total
-        missed, weak = miss, max(weak / 100, 1e-6)
+        wanted = float(mix.tokens)
+    mass = np.where(at_one > 0, at_one, np.inf)  # a domain that no document can have does not move
+    scale = np.where(some, weights, weights[some].min())
+    best, since, momentum, last = math.inf, 0, 1.0, math.inf
+    for _ in range(mix.steps):
+        reached, ahead = expected_totals(members, rates, k)
+
+        def aim(totals: np.ndarray) -> np.ndarray:
+            """The targets; with "most" as many tokens as fit the shares best, if that is more."""
+            fit = (weights * totals / mass).sum() / (weights**2 / mass).sum()
+            return weights * (max(wanted, fit) if most else wanted)
+
+        targets = aim(reached)
+        miss = float((np.abs(reached - targets) / (scale * targets.sum())).max()) if wanted else 0.0
+        squares = float(((reached - targets) ** 2 / mass).sum())
+        if squares < 0.99 * best:
+            best, since = squares, 0
+        since += 1
+        if miss <= mix.tolerance or since > mix.patience:
+            break
+        if squares > last:  # begin anew from the rates, without momentum
+            momentum, ahead = 1.0, reached
+            rates = Rates(rates.least, rates.gradients, [*rates.momentum[:-1], 0.0])
+        last = squares
+        following = (1 + math.sqrt(1 + 4 * momentum**2)) / 2
+        gradient = (ahead - aim(ahead)) / mass
+        rates = rates.after(gradient, (momentum - 1) / following)
+        momentum = following
+    else:
+        reached, _ = expected_totals(members, rates, k)
+        targets = aim(reached)
+    return rates, targets, reached
 
 
 def log_totals(mix: Mix, targets: np.ndarray, reached: np.ndarray) -> None:
@@ -284,7 +248,8 @@ def rate_documents(docs: DataFrame, labelled: DataFrame, mix: Mix) -> DataFrame:
 
     - A null or empty text has no tokens; its rate follows from its chances like any other and
       changes no total. Null doc_ids and repeated rows are rated like any other row.
-    - Without labelled rows all domains are equally likely.
+    - Without labelled rows all domains are equally likely; of equally likely ones the first is named.
+    - A very long text is one row with the features of the whole.
     - Columns other than doc_id and text are ignored; an empty table gives no rows.
     """
     names = list(mix.targets)
