@@ -29,7 +29,7 @@ def main() -> None:
         "--infer", action="store_true", help="infer the types of the extracts (reads them twice)"
     )
     parser.add_argument(
-        "--text", action="store_true", help="accept any value; Silver keeps what does not fit as rejects"
+        "--typed", action="store_true", help="stop at a value that the type of its column cannot hold"
     )
     args = parser.parse_args()
 
@@ -40,11 +40,12 @@ def main() -> None:
     )
     try:
         if args.action == "build":
-            schemas = contracts.BRONZE
+            # By default any value is loaded; Silver measures the types and keeps what is no number.
+            schemas = {name: contracts.as_text(kind) for name, kind in contracts.BRONZE.items()}
             if args.infer:
                 schemas = {}
-            elif args.text:
-                schemas = {name: contracts.as_text(kind) for name, kind in schemas.items()}
+            elif args.typed:
+                schemas = contracts.BRONZE
             run_medallion(spark, args.base_dir, schemas)
         else:
             tune(spark)

@@ -221,7 +221,7 @@ def test_command_line_builds_and_keeps_the_report(spark, tmp_path, monkeypatch,
         "1,1,1,one,10.5,0,bebidas\n",
     )
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
-    for action in (["build", base, "--text"], ["report", base]):
+    for action in (["build", base], ["report", base]):
         monkeypatch.setattr(sys, "argv", ["stratamart", *action])
         command.main()
     report = read_table(spark, f"{base}/quality/report")
