@@ -59,7 +59,7 @@ class Mix:
     labelled: int = 8_000
     tokens: float | str | None = None
     least: float = 0.0
-    tolerance: float = 1e-6
+    tolerance: float = 1e-4
     steps: int = 200
     patience: int = 30
 

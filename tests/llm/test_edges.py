@@ -404,7 +404,7 @@ def expected_tokens(members, rates):
 def test_rare_domains_reach_their_targets(spark):
     groups = [([1.0, 0, 0], 9950, 10), ([0, 1.0, 0], 50, 2), ([0, 0, 1.0], 200, 2)]
     members = members_of(spark, groups)
-    mix = Mix({"a": 0.97, "b": 0.01, "c": 0.02})
+    mix = Mix({"a": 0.97, "b": 0.01, "c": 0.02}, tolerance=1e-7)
     rates, targets, reached = fit_rates(members, mix)
     assert np.allclose(targets, np.array([0.97, 0.01, 0.02]) * 100_000, rtol=1e-9)
     assert np.allclose(reached, targets, rtol=1e-6)
@@ -418,7 +418,7 @@ def test_most_tokens_reach_the_shares_without_dropping(spark, mixed):
     groups += [([mixed, *[rest * (j == i) for j in range(3)]], 500, 2) for i in range(3)]
     members = members_of(spark, groups)
     weights = {"en": 0.52, "de": 0.18, "fr": 0.18, "es": 0.12}
-    rates, _, reached = fit_rates(members, Mix(weights, tokens="most", least=1.0))
+    rates, _, reached = fit_rates(members, Mix(weights, tokens="most", least=1.0, tolerance=1e-7))
     assert np.allclose(reached / reached.sum(), list(weights.values()), rtol=1e-6)
     assert np.allclose(expected_tokens(members, rates), reached, rtol=1e-6)
     if not mixed:
