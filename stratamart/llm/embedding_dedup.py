@@ -2,10 +2,11 @@
 
 Vectors are scaled to length one and cut into halves. Each half has its own codebook, fitted on a
 bounded sample; a pair of code words is a cell of the product grid, and every vector is listed in
-one cell of its label's grid. A query visits cells in order of the least distance that a vector in
-them can have from it, and stops where the target recall is reached. For recall 1 that is where
-the bound passes the distance of two vectors at the threshold, so no link can be missed. All
-vectors of the visited cells are verified in double precision by matrix products.
+one cell of its label's grid. A query reads every cell whose least possible distance from it is
+within a bound, in no particular order: this is not the multi-sequence traversal, which would take
+cells by distance and stop at a target recall. For recall 1 the bound is the distance of two vectors
+at the threshold, so no link can be missed. All vectors of these cells are verified in double
+precision by matrix products.
 
 A grid row (all cells of one first code word) is handled together, so a query is sent once per row
 and not once per cell. Long rows and their queries are split into blocks of bounded size.
