@@ -29,7 +29,9 @@ from stratamart.llm.setjoin import (
     frequency_levels,
     may_be_similar,
     overlap,
+    plausible,
     postings,
+    rows_of,
     set_input,
     signatures,
     signatures_allow,
@@ -80,7 +82,7 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle_words: int = 5) -> D
     spec = SetSpec(percent=percent, shingle_words=shingle_words)
     texts = set_input(docs, spec)
     levels = frequency_levels(texts, spec)
-    signed = stage(signatures(texts, spec, levels, MOST_LIGHT), "signatures")
+    signed = stage(signatures(texts, spec, levels, MOST_LIGHT, wide=True), "signatures")
     some = signed.where("n > 0")
     sizes = some.where(F.col("n") <= MOST_LIGHT).groupBy("n")
     sizes = sizes.agg(F.count(F.lit(1)), F.sum("cost")).collect()  # at most MOST_LIGHT rows
@@ -90,7 +92,9 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle_words: int = 5) -> D
         F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies")
     )
     heads = classes.groupBy(F.col("head").alias("doc_id")).agg(F.max("copies").alias("copies"))
-    lists = stage(postings(some, spec, keys).join(heads, "doc_id"), "lists")
+    heads = stage(heads, "heads")
+    chosen = rows_of(some.select("doc_id", "n", "prefix"), heads)
+    lists = stage(postings(chosen, spec, keys).join(heads, "doc_id"), "lists")
 
     lists = lists.withColumn("band", size_band())
     first = lists.groupBy("key", "band").agg(
@@ -106,7 +110,9 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle_words: int = 5) -> D
     star = stage(
         star.where(may_be_similar(percent)).select("a_doc_id", "b_doc_id").distinct(), "star"
     )
-    linked = verified(texts, spec, levels, star)
+    likely = plausible(some, star, percent)
+    linked = verified(texts, spec, levels, likely)
+    release(likely)
 
     parts = connected_components(linked, "a_doc_id", "b_doc_id")
     parts = stage(parts.withColumnRenamed("node", "doc_id"), "parts")
@@ -130,12 +136,14 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle_words: int = 5) -> D
         F.least("a_doc_id", "b_doc_id") == F.col("lo")
     )
     rest = stage(rest.join(tested, seen, "left_anti"), "rest")
-    more = verified(texts, spec, levels, rest)
+    likely = plausible(some, rest, percent)
+    more = verified(texts, spec, levels, likely)
+    release(likely)
 
     copies = some.join(classes, ["d1", "d2"]).where("doc_id <> head")
     links = linked.union(more).union(copies.select("doc_id", "head"))
     component = connected_components(links, "a_doc_id", "b_doc_id")
-    release(lists, star, parts, placed, rest, linked, more)
+    release(heads, lists, star, parts, placed, rest, linked, more)
     counted = signed.select("doc_id", F.col("n").cast("long").alias("n_shingles"))
     named = counted.join(component, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")

@@ -165,20 +165,38 @@ def _parity(batch: SetBatch, words: int) -> list[np.ndarray]:
     return list(np.ascontiguousarray(packed).view(np.int64).T)
 
 
+def _wide_parity(batch: SetBatch) -> pa.Array:
+    """Parity signatures of as many bits as a set has tokens, rounded up to a power of two."""
+    bits = np.exp2(np.ceil(np.log2(np.maximum(batch.sizes, 64)))).astype(np.int64)
+    bounds = np.concatenate([[0], np.cumsum(bits)])
+    owner = np.repeat(np.arange(len(bits)), batch.sizes)
+    cell = bounds[owner] + (mix(batch.tokens) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(cell, minlength=int(bounds[-1])) & 1
+    return binary_column(np.packbits(odd.astype(np.uint8)).view(np.uint64), bounds // 64)
+
+
 def signatures(
-    docs: DataFrame, spec: SetSpec, levels: DataFrame, pair_prefix_up_to: int = 0
+    docs: DataFrame,
+    spec: SetSpec,
+    levels: np.ndarray,
+    pair_prefix_up_to: int = 0,
+    wide: bool = False,
 ) -> DataFrame:
     """One row per set: ids, size ``n``, a 128-bit digest of the set, the tokens of its prefix.
 
     The prefix is the one that shares a token with every similar set, or two tokens for sets of
     at most ``pair_prefix_up_to`` tokens. ``cost`` estimates the lists that scanning it would read.
-    The parity signature bounds how many tokens of two sets differ.
+    The parity signature bounds how many tokens of two sets differ. ``wide`` adds one whose size
+    follows that of the set, for ``plausible``.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(levels)
     names = [*spec.ids, "n", "d1", "d2", "cost", "prefix", *spec.parity]
     kinds = ["bigint"] * len(spec.ids) + ["int", "bigint", "bigint", "double", "binary"]
     kinds += ["bigint"] * len(spec.parity)
+    if wide:
+        names.append("wide")
+        kinds.append("binary")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sets in sets_of(batches, spec, shared.value):
@@ -196,6 +214,8 @@ def signatures(
                 binary_column(prefix, bounds),
                 *_parity(sets, len(spec.parity)),
             ]
+            if wide:
+                columns.append(_wide_parity(sets))
             yield pa.record_batch([pa.array(c) for c in columns], names)
 
     schema = ", ".join(f"{a} {b}" for a, b in zip(names, kinds, strict=True))
@@ -305,6 +325,69 @@ def signatures_allow(percent: int, parity: list[str]) -> Column:
     return F.coalesce(allowed, F.lit(True))
 
 
+def _differ(one: np.ndarray, other: np.ndarray) -> int:
+    """Bits in which two wide parity signatures differ, the longer one folded to the shorter."""
+    while len(one) != len(other):
+        if len(one) < len(other):
+            one, other = other, one
+        half = len(one) // 2
+        one = one[:half] ^ one[half:]
+    return int(np.bitwise_count(one ^ other).sum())
+
+
+def rows_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows with a doc_id of ``wanted`` and few others, found by a bit table without a shuffle."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for part in batches:
+            yield _node_hash([long_column(part, "doc_id")])
+
+    ids = wanted.select("doc_id")
+    bits = counts.merged_bits(ids, hashes, counts.width_for(ids.count()))
+    present = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            found = counts.has_bit(present.value, _node_hash([long_column(part, "doc_id")]))
+            if found.any():
+                yield part.filter(pa.array(found))
+
+    return rows.mapInArrow(chosen, rows.schema)
+
+
+def plausible(signed: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a_doc_id, b_doc_id) that the wide parity signatures allow; a staged table.
+
+    A signature has an eighth of a byte per token, so most pairs that are not similar are left out
+    before whole sets are read. No similar pair is. Where rows of one doc_id have different texts,
+    any two of the rows may allow the pair.
+    """
+    wanted = pairs.select(F.explode(F.array("a_doc_id", "b_doc_id")).alias("doc_id")).distinct()
+    wanted = stage(wanted, "asked")
+    held = rows_of(signed.select("doc_id", "n", "wide"), wanted)
+    held = stage(held.join(wanted, "doc_id", "left_semi"), "wide")
+    names = ["doc_id", "n", "wide"]
+    both = pairs.join(as_side(held, "a", names), "a_doc_id")
+    both = both.join(as_side(held, "b", names), "b_doc_id")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            left, lo = binary_runs(part.column("a_wide"))
+            right, ro = binary_runs(part.column("b_wide"))
+            total = long_column(part, "a_n") + long_column(part, "b_n")
+            differ = np.zeros(part.num_rows, dtype=np.int64)
+            for i in range(part.num_rows):
+                differ[i] = _differ(left[lo[i] : lo[i + 1]], right[ro[i] : ro[i + 1]])
+            good = 100 * (total - differ) >= percent * (total + differ)
+            yield part.select(["a_doc_id", "b_doc_id"]).filter(pa.array(good))
+
+    both = both.select("a_doc_id", "b_doc_id", "a_n", "b_n", "a_wide", "b_wide")
+    found = both.mapInArrow(check, "a_doc_id bigint, b_doc_id bigint")
+    found = stage(found.distinct(), "plausible")
+    release(held, wanted)
+    return found
+
+
 def _node_hash(ids: list[np.ndarray]) -> np.ndarray:
     out = np.zeros(len(ids[0]), dtype=np.uint64)
     for column in ids:

@@ -8,7 +8,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from stratamart.llm import embedding_dedup, jaccard_join
+from stratamart.llm import embedding_dedup, jaccard_join, setjoin
 from stratamart.llm.graph import connected_components
 from stratamart.llm.host_rules import judge_by_host, shrunk_rates
 from stratamart.llm.jaccard_join import choose_boundary, near_copies
@@ -110,6 +110,41 @@ def test_near_copies_that_share_one_token(spark, monkeypatch, boundary):
     assert groups == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 5, 6: 6}
 
 
+def test_only_plausible_pairs_are_compared_by_whole_sets(spark, monkeypatch):
+    """Long texts that share a rare passage: too many tokens for signatures of fixed size."""
+    word = lambda i, j: f"w{i}x{j}"
+    texts = []
+    for i in range(12):
+        own = [word(i, j) for j in range(900 + 20 * i)]
+        texts += [(2 * i, " ".join(own)), (2 * i + 1, " ".join([*own[:-5], "end"]))]
+    shared = " ".join(f"rare{j}" for j in range(6))
+    texts = [(i, f"{text} {shared}") for i, text in texts]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    compared = []
+
+    def spied(docs, spec, levels, pairs):
+        compared.extend((r["a_doc_id"], r["b_doc_id"]) for r in pairs.collect())
+        return setjoin.verified(docs, spec, levels, pairs)
+
+    monkeypatch.setattr(jaccard_join, "verified", spied)
+    assert sort(near_copies(frame).collect()) == sort(brute.jaccard_groups(texts))
+    assert compared
+    assert all(a // 2 == b // 2 for a, b in compared)
+
+
+def test_wide_signatures_never_exceed_the_difference():
+    random = np.random.default_rng(5)
+    for m, n in ((3, 4), (63, 65), (120, 140), (1000, 1100), (4000, 4200)):
+        tokens = np.unique(random.integers(0, 1 << 63, m + n, dtype=np.uint64))
+        one, other = tokens[:m], tokens[m // 2 : m // 2 + n]
+        bounds = np.cumsum([0, len(one), len(other)])
+        batch = setjoin.SetBatch([], np.concatenate([one, other]), bounds)
+        runs, at = setjoin.binary_runs(setjoin._wide_parity(batch))
+        differ = setjoin._differ(runs[at[0] : at[1]], runs[at[1] : at[2]])
+        true = len(np.setxor1d(one, other))
+        assert true / 4 < differ <= true
+
+
 def test_line_dedup(docs, nothing):
     distinct = list(dict.fromkeys(plain()))
     expected = {r[0]: r for r in brute.kept_lines([d for d in distinct if d[0] is not None])}
