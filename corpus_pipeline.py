@@ -83,7 +83,7 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences with their ids."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_words=False)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -70,7 +70,11 @@ class WordEncoder:
         self._by_piece = True
         whole = self._tokenizer.encode(_PROBE, add_special_tokens=False).ids
         self._by_piece = self.encode([_PROBE.encode()]) == [array("I", whole).tobytes()]
-        self._known = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all remembered words."""
+        self._known, self._size = {}, 0
 
     def _learn(self, words: list[str]) -> None:
         rest = []
@@ -94,7 +98,7 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if self._size > CACHE_BYTES:
-            self._known, self._size = {}, 0
+            self.forget()
         decoded = [text.decode("utf-8", "replace") for text in texts]
         plain = [self._by_piece and not _NOT_PLAIN.search(text) for text in decoded]
         out = [b""] * len(texts)
@@ -278,7 +282,11 @@ class SumOfSquares:
 
 
 def pack(
-    docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end_id: int = 1
+    docs: DataFrame,
+    tokenizer_file: str,
+    capacity: int = 2048,
+    end_id: int = 1,
+    keep_words: bool = True,
 ) -> DataFrame:
     """Pieces of all documents: (doc_id, start, length, ids, doc_tokens, sequence_id, offset).
 
@@ -290,7 +298,9 @@ def pack(
     place of the piece in its sequence, without gaps from 0.
 
     ``tokenizer_file`` must be a tokenizer of the `tokenizers` library that does not join characters
-    across ASCII white space and gives none for it, and must exist on every worker.
+    across ASCII white space and gives none for it, and must exist on every worker. Later tasks of a
+    Python worker use the words it remembers; without ``keep_words`` each task drops its own, where
+    other steps need the memory of the same workers.
 
     - A null or empty text is a document of the one id ``end_id``.
     - A null doc_id is packed like any other. Repeated rows are packed as often as they occur.
@@ -331,9 +341,12 @@ def pack(
                 write(packer.place(Piece((doc_id, n), 0, n, tokens)))
                 if len(out) >= 1000:
                     yield batch()
+        if not keep_words:
+            encoder(tokenizer_file).forget()
         write(packer.finish())
         if out:
             yield batch()
+        pa.default_memory_pool().release_unused()
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     schema = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "

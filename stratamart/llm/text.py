@@ -82,7 +82,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of about ``most`` bytes of text."""
+    """The batches in slices of about ``most`` bytes of text.
+
+    At the end of a task Arrow's unused memory goes back, since later tasks use the worker again.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -91,6 +94,7 @@ def slices(
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(lo, hi - lo)
+    pa.default_memory_pool().release_unused()
 
 
 def words_of(

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import shutil
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from stratamart.llm import embedding_dedup, jaccard_join, setjoin
@@ -204,6 +206,31 @@ def test_words_are_tokenised_as_in_whole_texts():
         assert encoder.encode([text.encode()]) == [np.array(ids, dtype="<u4").tobytes()]
 
 
+def test_the_pipeline_leaves_no_words_in_its_workers(spark, docs, tmp_path, monkeypatch):
+    """Python workers live on; what packing remembers would stay beside the steps that follow."""
+    own = str(shutil.copy(TOKENIZER_FILE, tmp_path))  # known to no worker of earlier tests
+
+    def remembered(batches):
+        from stratamart.llm.packing import _ENCODERS
+
+        words = sum(batch.num_rows for batch in batches) and 0
+        if own in _ENCODERS:
+            words = len(_ENCODERS[own]._known)
+        yield pa.record_batch([pa.array([words], pa.int32())], ["words"])
+
+    def most():
+        frame = spark.range(0, 64, 1, 16).mapInArrow(remembered, "words int")
+        return frame.agg(F.max("words")).first()[0]
+
+    monkeypatch.setattr(corpus_pipeline.public_tokenizers, "path", lambda name: own)
+    parts = docs.repartition(16)
+    found = sort(corpus_pipeline.packing(spark, parts, "").select("doc_id", "length", "ids").collect())
+    assert most() == 0
+    kept = pack(parts, own).select("doc_id", "length", "ids").collect()
+    assert most() > 0
+    assert sort(kept) == found
+
+
 def test_sum_of_squares_prefers_the_level_that_evens_out():
     packer = SumOfSquares(10)
     for i in range(3):
