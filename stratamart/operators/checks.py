@@ -127,11 +127,11 @@ Parent = tuple[DataFrame, str, str]
 def check_dense_fks(child: DataFrame, parents: list[Parent], child_name: str) -> DataFrame:
     """``check_fk`` against several ``parents`` (frame, name, key) with one pass over the child.
 
-    For integer keys without large gaps, such as numbered customers: keys are bits of bitmaps of
-    32,768 consecutive numbers (4 KB each), combined in each task, so the shuffles carry a bit for a
-    key however often it occurs. A child key without parent is a bit that the parent's bitmap lacks.
-    Bitmaps of sparse or random keys would be nearly empty; text and other keys have none at all: use
-    ``check_fk`` for those.
+    For integer keys without large gaps, such as numbered customers: keys are bits of longs that hold
+    64 consecutive numbers each, combined in each task by a hash aggregation, so no rows are sorted and
+    the shuffles carry a bit for a key however often it occurs. A child key without parent is a bit that
+    the parent's long lacks. Sparse or random keys would take a long each; text and other keys have none
+    at all: use ``check_fk`` for those.
     """
     for parent, _, key in parents:
         for frame in (child, parent):
@@ -150,12 +150,12 @@ def check_dense_fks(child: DataFrame, parents: list[Parent], child_name: str) ->
     for i, (parent, _, key) in enumerate(parents):
         bits = _bitmaps(parent.selectExpr(f"{i} AS check", f"CAST({quoted(key)} AS BIGINT) AS key"), "check")
         parts.append(bits.selectExpr("check", "bucket", "bits", "true AS parent"))
-    every = "bitmap_count(bitmap_or_agg(bits))"
-    known = "bitmap_count(bitmap_or_agg(CASE WHEN parent THEN bits END))"
+    every = "bit_count(bit_or(bits))"
+    known = "coalesce(bit_count(bit_or(CASE WHEN parent THEN bits END)), 0)"
     missing = (
         reduce(DataFrame.unionByName, parts)
         .groupBy("check", "bucket")
-        .agg(F.expr(f"CASE WHEN bucket IS NULL THEN CAST(bool_or(NOT parent) AS BIGINT) ELSE {every} - {known} END AS keys"))
+        .agg(F.expr(f"CAST(CASE WHEN bucket IS NULL THEN CAST(bool_or(NOT parent) AS INT) ELSE {every} - {known} END AS BIGINT) AS keys"))
     )
     found = [F.expr(f"coalesce(sum(keys) FILTER (WHERE check = {i}), 0) AS keys_{i}") for i in range(len(parents))]
     rows = [(f"foreign_key_{name}", key, f"keys_{i}", "fail") for i, (_, name, key) in enumerate(parents)]
@@ -163,9 +163,9 @@ def check_dense_fks(child: DataFrame, parents: list[Parent], child_name: str) ->
 
 
 def _bitmaps(keys: DataFrame, by: str) -> DataFrame:
-    """Bitmaps of ``key`` per group and bucket; the bucket of NULL keys is NULL."""
-    buckets = keys.selectExpr(by, "bitmap_bucket_number(key) AS bucket", "bitmap_bit_position(key) AS position")
-    return buckets.groupBy(by, "bucket").agg(F.expr("bitmap_construct_agg(position) AS bits"))
+    """64 bits of ``key`` per group and bucket; the bucket of NULL keys is NULL."""
+    buckets = keys.selectExpr(by, "shiftright(key, 6) AS bucket", "shiftleft(1L, CAST(key & 63 AS INT)) AS bit")
+    return buckets.groupBy(by, "bucket").agg(F.expr("bit_or(bit) AS bits"))
 
 
 def check_eligible(features: DataFrame, eligible: DataFrame, name: str) -> DataFrame:

@@ -79,6 +79,16 @@ def test_foreign_keys_by_bitmaps_equal_anti_joins(spark, nulls):
         checks.check_dense_fks(child.selectExpr("CAST(a AS STRING) AS a"), parents[:1], "child")
 
 
+def test_foreign_keys_sort_no_rows(spark):
+    """A sort of the child's keys takes memory of a task in proportion to its rows."""
+    child = spark.range(1000).selectExpr("id AS a", "id % 70 AS b")
+    parents = [(child.select("a"), "p", "a"), (child.select("b"), "q", "b")]
+    found = checks.check_dense_fks(child, parents, "child")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan
+    assert "Sort" not in plan
+
+
 def test_contract(spark):
     names = contracts.DIM_FEATURES.fieldNames()
     frame = spark.createDataFrame([], contracts.DIM_FEATURES)
