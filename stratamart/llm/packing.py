@@ -9,7 +9,6 @@ keeps every fill level in stock, so that later documents find a sequence that th
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -32,19 +31,25 @@ _ENTRY_BYTES = 180
 ENCODED_BYTES = 1 << 22
 
 
-def _latin_pattern() -> re.Pattern:
-    """The tokenizer's own splitting pattern, over the characters that ``_PLAIN`` leaves."""
+def _latin_pattern() -> str:
+    """The tokenizer's own splitting pattern, over the characters that ``_NOT_PLAIN`` leaves.
+
+    For Arrow, whose regular expressions take the first alternative that matches, as the tokenizer's.
+    """
     letters = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c == c.lower())
     numbers = "".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == "N")
-    return re.compile(
-        rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+"
+    space = r"\t\n\x0b\x0c\r\x20"
+    return (
+        rf"('s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{space}{letters}{numbers}]+)"
     )
 
 
-#: Characters for which lower-casing and splitting in Python and in the tokenizer surely agree.
-_NOT_PLAIN = re.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e\xa1-\u012f\u0131-\u024f]|<\|")
+#: Characters for which lower-casing and splitting here and in the tokenizer surely agree.
+_NOT_PLAIN = r"[^\t\n\x0b\x0c\r\x20-\x7e\x{a1}-\x{12f}\x{131}-\x{24f}]|<\|"
 _PIECES = _latin_pattern()
 _PROBE = "Abc def's QR-st!! 12,5 don't é Über straße\n ***x1|y2 'll we're"
+#: Pieces that are tokenised as one text.
+_AT_ONCE = 500
 
 
 class WordEncoder:
@@ -55,8 +60,9 @@ class WordEncoder:
     texts are tokenised in one call.
 
     A tokenizer that lowers letters and then splits words by ``_PIECES`` is recognised by a probe.
-    New words of plain Latin texts are then cut into these pieces here, of which there are fewer
-    different ones; a word of several pieces is remembered once all its pieces are known.
+    The different words of plain Latin texts are then cut into these pieces here, of which there are
+    fewer different ones, and only pieces are remembered. If the tokenizer also marks the last token
+    of each piece, new pieces are tokenised as long texts that are cut after those tokens.
     """
 
     def __init__(self, path: str) -> None:
@@ -64,35 +70,53 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._model = self._tokenizer.model
         self._known: dict[str, bytes] = {}
         self._size = 0
+        self._last = self._last_tokens()
         self._by_piece = True
         whole = self._tokenizer.encode(_PROBE, add_special_tokens=False).ids
         self._by_piece = self.encode([_PROBE.encode()]) == [array("I", whole).tobytes()]
         self.forget()
 
+    def _last_tokens(self) -> np.ndarray | None:
+        """Per id whether it ends a piece; None where the tokenizer does not tell."""
+        suffix = getattr(self._tokenizer.model, "end_of_word_suffix", None)
+        if not suffix:
+            return None
+        names = self._tokenizer.get_vocab(with_added_tokens=False)
+        last = np.zeros(max(names.values(), default=0) + 1, dtype=bool)
+        last[[i for name, i in names.items() if name.endswith(suffix)]] = True
+        return last
+
     def forget(self) -> None:
         """Drop all remembered words."""
         self._known, self._size = {}, 0
 
-    def _learn(self, words: list[str]) -> None:
-        rest = []
-        own, tokens = [], []
-        for word in words:
-            # Such a word is a piece of its own, and its bytes are its characters.
-            if self._by_piece and word.isascii() and word.isalpha() and word.islower():
-                own.append(word)
-                tokens.append([t.id for t in self._model.tokenize(word)])
-            else:
-                rest.append(word)
-        found = self._tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        self._keep(own + rest, tokens + [encoding.ids for encoding in found])
-
-    def _keep(self, words: list[str], ids: list[list[int]]) -> None:
-        ends = np.cumsum([4 * len(i) for i in ids], dtype=np.int64).tolist()
-        packed = array("I", chain.from_iterable(ids)).tobytes()
-        self._known.update(zip(words, (packed[a:b] for a, b in pairwise([0, *ends])), strict=True))
+    def _learn(self, words: list[str], plain: bool) -> None:
+        if plain and self._last is not None:
+            rest = []
+            runs = [words[i : i + _AT_ONCE] for i in range(0, len(words), _AT_ONCE)]
+            joined = [" ".join(run) for run in runs]
+            found = self._tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+            for run, encoding in zip(runs, found, strict=True):
+                ids = np.asarray(encoding.ids, dtype="<u4")
+                ends = np.flatnonzero(self._last[ids]) + 1
+                if len(ends) == len(run) and ends[-1] == len(ids):
+                    self._keep(run, ids, ends)
+                else:
+                    rest += run
+            words = rest
+        if not words:
+            return
+        found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        ids = [encoding.ids for encoding in found]
+        ends = np.cumsum([len(i) for i in ids], dtype=np.int64)
+        self._keep(words, np.asarray(list(chain.from_iterable(ids)), dtype="<u4"), ends)
+
+    def _keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        packed = ids.tobytes()
+        cuts = pairwise([0, *(4 * ends).tolist()])
+        self._known.update(zip(words, (packed[a:b] for a, b in cuts), strict=True))
         self._size += sum(map(len, words)) + len(packed) + _ENTRY_BYTES * len(words)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -100,55 +124,65 @@ class WordEncoder:
         if self._size > CACHE_BYTES:
             self.forget()
         decoded = [text.decode("utf-8", "replace") for text in texts]
-        plain = [self._by_piece and not _NOT_PLAIN.search(text) for text in decoded]
+        column = pa.array(decoded, pa.large_string())
+        plain = np.zeros(len(texts), dtype=bool)
+        if self._by_piece:
+            odd = pc.match_substring_regex(column, _NOT_PLAIN)
+            plain = ~odd.to_numpy(zero_copy_only=False)
         out = [b""] * len(texts)
         for kind in (True, False):
-            at = [i for i, p in enumerate(plain) if p == kind]
-            some = [decoded[i].lower() if kind else decoded[i] for i in at]
-            for i, ids in zip(at, self._encoded(some, kind), strict=True):
-                out[i] = ids
+            at = np.flatnonzero(plain == kind)
+            if len(at):
+                some = column.filter(pa.array(plain == kind))
+                some = pc.utf8_lower(some) if kind else some
+                for i, ids in zip(at.tolist(), self._encoded(some, kind), strict=True):
+                    out[i] = ids
         return out
 
-    def _encoded(self, texts: list[str], plain: bool) -> list[bytes]:
+    def _encoded(self, texts: pa.Array, plain: bool) -> list[bytes]:
         """Ids of texts; their different words are looked up once each."""
-        if not texts:
-            return []
-        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words = pc.ascii_split_whitespace(texts)
         bounds = words.offsets.to_numpy()
         coded = words.flatten().dictionary_encode()
-        ids = self._ids(coded.dictionary.to_pylist(), plain)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        first = np.cumsum(sizes) - sizes
-        index = coded.indices.to_numpy()
-        length = sizes[index]
-        ends = np.concatenate([[0], np.cumsum(length)])
-        place = np.repeat(first[index] - ends[:-1], length) + np.arange(ends[-1])
-        tokens = np.frombuffer(b"".join(ids), dtype="<u4")[place]
-        cuts = ends[bounds - bounds[0]]
-        return [tokens[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-
-    def _ids(self, words: list[str], plain: bool) -> list[bytes]:
-        found = list(map(self._known.get, words))
-        parts = {
-            word: _PIECES.findall(word) if plain else [word]
-            for word, ids in zip(words, found, strict=True)
-            if ids is None and word
-        }
-        new = {p for pieces in parts.values() for p in pieces if p not in self._known}
-        self._learn(list(new))
-        once = {"": b""}
-        for word, pieces in parts.items():
-            if word not in self._known:
-                ids = b"".join(map(self._known.get, pieces))
-                if new.isdisjoint(pieces):
-                    self._known[word] = ids
-                    self._size += len(word) + len(ids) + _ENTRY_BYTES
-                else:
-                    once[word] = ids
-        return [
-            ids if ids is not None else once[word] if word in once else self._known[word]
-            for word, ids in zip(words, found, strict=True)
-        ]
+        ids, first = self._ids(coded.dictionary, plain)
+        ids, ends = _gathered(ids, first, coded.indices.to_numpy())
+        cuts = (4 * ends[bounds - bounds[0]]).tolist()
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in pairwise(cuts)]
+
+    def _ids(self, words: pa.Array, plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and the bounds of each."""
+        if not plain:
+            return self._looked_up(words.to_pylist(), plain)
+        spaced = pc.replace_substring_regex(words, _PIECES, r"\1 ")
+        pieces = pc.ascii_split_whitespace(spaced)
+        bounds = pieces.offsets.to_numpy()
+        coded = pieces.flatten().dictionary_encode()
+        ids, first = self._looked_up(coded.dictionary.to_pylist(), plain)
+        ids, ends = _gathered(ids, first, coded.indices.to_numpy())
+        return ids, ends[bounds - bounds[0]]
+
+    def _looked_up(self, words: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        known = self._known
+        self._learn([word for word in words if word and word not in known], plain)
+        found = [known[word] if word else b"" for word in words]
+        bounds = np.zeros(len(found) + 1, dtype=np.int64)
+        np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=bounds[1:])
+        return np.frombuffer(b"".join(found), dtype="<u4"), bounds
+
+
+def _gathered(
+    ids: np.ndarray, bounds: np.ndarray, index: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``ids`` numbered by ``index`` one after another, and the bounds of each."""
+    first = bounds[:-1][index]
+    length = np.diff(bounds)[index]
+    ends = np.zeros(len(index) + 1, dtype=np.int64)
+    np.cumsum(length, out=ends[1:])
+    kind = np.int32 if max(ends[-1], len(ids)) < 1 << 31 else np.int64
+    place = np.repeat((first - ends[:-1]).astype(kind), length)
+    place += np.arange(len(place), dtype=kind)
+    return ids[place], ends
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

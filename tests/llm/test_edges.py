@@ -206,6 +206,31 @@ def test_words_are_tokenised_as_in_whole_texts():
         assert encoder.encode([text.encode()]) == [np.array(ids, dtype="<u4").tobytes()]
 
 
+def test_new_pieces_are_tokenised_as_long_texts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    class Counting:
+        def __init__(self):
+            self.texts = 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    tokenizer = Tokenizer.from_file(TOKENIZER_FILE)
+    words = [f"é{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}'s,{i}" for i in range(3000)]
+    text = " ".join(words)
+    expected = np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    encoder = WordEncoder(TOKENIZER_FILE)
+    encoder._tokenizer = Counting()
+    assert encoder.encode([text.encode()]) == [expected]
+    assert 0 < encoder._tokenizer.texts < 20
+    # Where the marks of the last tokens do not fit the pieces, each piece is a text.
+    encoder.forget()
+    encoder._last = ~encoder._last
+    assert encoder.encode([text.encode()]) == [expected]
+
+
 def test_the_pipeline_leaves_no_words_in_its_workers(spark, docs, tmp_path, monkeypatch):
     """Python workers live on; what packing remembers would stay beside the steps that follow."""
     own = str(shutil.copy(TOKENIZER_FILE, tmp_path))  # known to no worker of earlier tests
