@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from stratamart.llm.text import give_back
+
 #: Counters of one merged row: small enough for many to meet in one task.
 BLOCK = 1 << 16
 BIT_BLOCK = 1 << 18
@@ -29,16 +31,26 @@ Hashes = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
 def add(counters: np.ndarray, hashes: np.ndarray) -> None:
     """Count the hashes, saturating at the largest value of the counters."""
     most = np.iinfo(counters.dtype).max
-    cells = hashes & np.uint64(len(counters) - 1)
-    if 8 * len(cells) >= len(counters):
-        total = np.bincount(cells.astype(np.int64), minlength=len(counters)) + counters
-        counters[:] = np.minimum(total, most)
-        return
-    cells, times = np.unique(cells, return_counts=True)
+    cells, times = _repeats(hashes, len(counters))
     total = counters[cells].astype(np.int64) + times
     counters[cells] = np.minimum(total, most).astype(counters.dtype)
 
 
+def _starts(ascending: np.ndarray) -> np.ndarray:
+    """Where each value of ascending ones begins."""
+    new = np.ones(len(ascending), dtype=bool)
+    new[1:] = ascending[1:] != ascending[:-1]
+    return np.flatnonzero(new)
+
+
+def _repeats(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different cells of a sketch of ``width`` cells, ascending, and how often each occurs."""
+    cells = hashes & np.uint64(width - 1)
+    cells = np.sort(cells.astype(np.uint32) if width <= 1 << 32 else cells)
+    first = _starts(cells)
+    return cells[first], np.diff(np.append(first, len(cells)))
+
+
 def _blocks(counters: np.ndarray) -> pa.RecordBatch:
     part = TaskContext.get().partitionId() // FAN_IN
     rows = counters.reshape(-1, min(BLOCK, len(counters)))
@@ -78,7 +90,11 @@ def merged_counts(df: DataFrame, hashes: Hashes, width: int, dtype: str = "uint8
                 waiting.clear()
         if waiting:
             add(counters, np.concatenate(waiting))
-        yield _blocks(counters)
+            waiting.clear()
+        packed = _blocks(counters)
+        del counters
+        give_back()
+        yield packed
 
     def merge(group: pa.Table) -> pa.Table:
         return _merged(group, _merge(dtype, group))
@@ -95,13 +111,14 @@ def merged_counts(df: DataFrame, hashes: Hashes, width: int, dtype: str = "uint8
 def _set(bits: np.ndarray, cells: np.ndarray) -> None:
     """Set the bits of ascending cells."""
     if len(cells):
-        place, first = np.unique(cells >> np.uint64(3), return_index=True)
-        value = np.left_shift(1, (cells & np.uint64(7)).astype(np.uint8), dtype=np.uint8)
-        bits[place] |= np.bitwise_or.reduceat(value, first)
+        place = (cells >> cells.dtype.type(3)).astype(np.int64)
+        first = _starts(place)
+        value = np.left_shift(1, (cells & cells.dtype.type(7)).astype(np.uint8), dtype=np.uint8)
+        bits[place[first]] |= np.bitwise_or.reduceat(value, first)
 
 
 def _see(once: np.ndarray, twice: np.ndarray, hashes: np.ndarray) -> None:
-    cells, times = np.unique(hashes & np.uint64(8 * len(once) - 1), return_counts=True)
+    cells, times = _repeats(hashes, 8 * len(once))
     _set(twice, cells[(times > 1) | has_bit(once, cells)])
     _set(once, cells)
 
@@ -136,11 +153,14 @@ def merged_bits(df: DataFrame, hashes: Hashes, width: int, least: int = 1) -> np
                 waiting.clear()
         if waiting:
             _see(once, twice, np.concatenate(waiting))
+            waiting.clear()
         part = TaskContext.get().partitionId() // FAN_IN
         rows, more = once.reshape(-1, block), twice.reshape(-1, block)
         used = np.flatnonzero(rows.any(axis=1))
         cells = [zlib.compress(np.stack([rows[i], more[i]]).tobytes(), 1) for i in used]
         parts = np.full(len(used), part, np.int32)
+        del once, twice, rows, more
+        give_back()
         yield pa.record_batch([used.astype(np.int32), parts, cells], _ARROW)
 
     def merge(group: pa.Table) -> pa.Table:
@@ -157,8 +177,9 @@ def merged_bits(df: DataFrame, hashes: Hashes, width: int, least: int = 1) -> np
 
 
 def has_bit(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    cell = hashes & np.uint64(len(bits) * 8 - 1)
-    return (bits[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    kind = hashes.dtype.type
+    cell = hashes & kind(len(bits) * 8 - 1)
+    return (bits[cell >> kind(3)] >> (cell & kind(7)).astype(np.uint8)) & 1 == 1
 
 
 def two_cells(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

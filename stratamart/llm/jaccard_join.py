@@ -31,7 +31,6 @@ from stratamart.llm.setjoin import (
     overlap,
     plausible,
     postings,
-    rows_of,
     set_input,
     signatures,
     signatures_allow,
@@ -93,8 +92,7 @@ def near_copies(docs: DataFrame, percent: int = 80, shingle_words: int = 5) -> D
     )
     heads = classes.groupBy(F.col("head").alias("doc_id")).agg(F.max("copies").alias("copies"))
     heads = stage(heads, "heads")
-    chosen = rows_of(some.select("doc_id", "n", "prefix"), heads)
-    lists = stage(postings(chosen, spec, keys).join(heads, "doc_id"), "lists")
+    lists = stage(postings(some, spec, keys, only=heads).join(heads, "doc_id"), "lists")
 
     lists = lists.withColumn("band", size_band())
     first = lists.groupBy("key", "band").agg(

@@ -43,14 +43,15 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     signed = stage(signatures(texts, spec, levels).where("n > 0"), "lines")
     a, b = [f"a_{c}" for c in ids], [f"b_{c}" for c in ids]
 
-    classes = signed.groupBy("d1", "d2").agg(
-        F.min(F.struct(*ids)).alias("head"), F.count(F.lit(1)).alias("lines")
-    )
-    classes = classes.where("lines > 1").select("d1", "d2", "head")
-    copies = signed.select("d1", "d2", *ids).join(classes, ["d1", "d2"])
-    copies = stage(copies.where(F.struct(*ids) != F.col("head")).select(*ids), "copies")
-
-    lists = postings(signed, spec, ListKeys(spec.percent)).join(copies, ids, "left_anti")
+    classes = signed.groupBy("d1", "d2").agg(F.min(F.struct(*ids)).alias("head"))
+    classed = signed.select("d1", "d2", *ids).join(classes, ["d1", "d2"])
+    is_copy = (F.struct(*ids) != F.col("head")).alias("is_copy")
+    classed = stage(classed.select(*ids, is_copy), "classed")
+    heads, copies = classed.where("not is_copy"), classed.where("is_copy").select(*ids)
+
+    # Only heads count as rows of a list, so a key of one head and its copies is not listed.
+    lists = postings(signed, spec, ListKeys(spec.percent), heads, tuple(spec.parity))
+    lists = lists.join(copies, ids, "left_anti")
     lists = stage(lists.withColumn("band", size_band()), "lists")
     fields = [*ids, "n", "place"]
     first = lists.groupBy("key", "band").agg(
@@ -65,14 +66,8 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     similar = verified(texts, spec, levels, star)
     gone = similar.select(*a).toDF(*ids).distinct()
 
-    # Lists with a line that is still there and another one; parity joins only these rows.
-    left = lists.join(gone, ids, "left_anti").select("key", *fields)
-    open_keys = left.join(lists.groupBy("key").count().where("count > 1"), "key", "left_semi")
-    open_keys = stage(open_keys.select("key").distinct(), "open-keys")
-    rows = lists.join(open_keys, "key", "left_semi").select("key", *fields)
-    parity = signed.groupBy(*ids).agg(*[F.min(c).alias(c) for c in spec.parity])
-    rows = stage(rows.join(parity, ids), "open")
     fields += spec.parity
+    rows = lists.select("key", *fields)
     left = as_side(rows.join(gone, ids, "left_anti"), "a", fields)
     rest = left.join(as_side(rows, "b", fields), "key")
     rest = rest.where(node("a", ids) > node("b", ids)).where(may_be_similar(spec.percent))
@@ -82,7 +77,7 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     more = verified(texts, spec, levels, rest)
     found = copies.union(gone).union(more.select(*a).toDF(*ids)).distinct()
     found = stage(found, "repeated")
-    release(signed, copies, lists, star, similar, open_keys, rows, rest, more)
+    release(signed, classed, lists, star, similar, rest, more)
     return found
 
 

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.text import slices
+from stratamart.llm.text import give_back, slices
 
 #: Bytes of remembered words and their ids per Python worker.
 CACHE_BYTES = 100_000_000
@@ -380,7 +380,7 @@ def pack(
         write(packer.finish())
         if out:
             yield batch()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     schema = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "

@@ -21,7 +21,16 @@ from pyspark.sql import functions as F
 
 from stratamart.llm import counts
 from stratamart.llm.staging import release, stage
-from stratamart.llm.text import U64, lines_of, mix, shingles_of, slices, text_bytes, words_of
+from stratamart.llm.text import (
+    U64,
+    give_back,
+    lines_of,
+    mix,
+    shingles_of,
+    slices,
+    text_bytes,
+    words_of,
+)
 
 #: Counters of the frequency sketch.
 RARITY_WIDTH = 1 << 22
@@ -257,27 +266,39 @@ class ListKeys:
 
 
 def postings(
-    signed: DataFrame, spec: SetSpec, keys: ListKeys, carry: tuple[str, ...] = ()
+    signed: DataFrame,
+    spec: SetSpec,
+    keys: ListKeys,
+    only: DataFrame,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """(key, ids, n, place, carried columns) of keys that several rows may have.
 
-    A sketch over all keys tells those that only one row has; they link with nothing and are left
-    out before the shuffle. It never overlooks a repeated key.
+    Of the rows whose ids are in ``only``, and of few others: a bit table tells them. A sketch over
+    all their keys tells those that only one row has; they link with nothing and are left out
+    before the shuffle. It never overlooks a repeated key.
     """
+    wanted = signed.sparkSession.sparkContext.broadcast(_bits_of(only, spec.ids))
     total = int(signed.agg(F.coalesce(F.sum(F.length("prefix")), F.lit(0))).first()[0]) // 8
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
+            hashes = _node_hash([long_column(part, c) for c in spec.ids])
+            yield part.filter(pa.array(counts.has_bit(wanted.value, hashes)))
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for part in chosen(batches):
             found = keys.of(part.column("prefix"), long_column(part, "n"))[0]
             yield np.concatenate(counts.two_cells(found, width))
 
     width = counts.width_for(total)
-    bits = counts.merged_bits(signed.select("n", "prefix"), hashes, width, least=2)
+    listed = signed.select(*spec.ids, "n", "prefix")
+    bits = counts.merged_bits(listed, hashes, width, least=2)
     repeated = signed.sparkSession.sparkContext.broadcast(bits)
     names = ["key", *spec.ids, "n", "place", *carry]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in chosen(batches):
             n = long_column(part, "n")
             key, row, place = keys.of(part.column("prefix"), n)
             kept = counts.in_both(repeated.value, key)
@@ -286,6 +307,7 @@ def postings(
             columns += [n[row].astype(np.int32), place.astype(np.int32)]
             columns += [long_column(part, c)[row] for c in carry]
             yield pa.record_batch([pa.array(c) for c in columns], names)
+        give_back()
 
     kinds = ["bigint"] * (1 + len(spec.ids)) + ["int", "int"] + ["bigint"] * len(carry)
     schema = ", ".join(f"{a} {b}" for a, b in zip(names, kinds, strict=True))
@@ -337,14 +359,7 @@ def _differ(one: np.ndarray, other: np.ndarray) -> int:
 
 def rows_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows with a doc_id of ``wanted`` and few others, found by a bit table without a shuffle."""
-
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for part in batches:
-            yield _node_hash([long_column(part, "doc_id")])
-
-    ids = wanted.select("doc_id")
-    bits = counts.merged_bits(ids, hashes, counts.width_for(ids.count()))
-    present = rows.sparkSession.sparkContext.broadcast(bits)
+    present = rows.sparkSession.sparkContext.broadcast(_bits_of(wanted, ["doc_id"]))
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
@@ -380,6 +395,7 @@ def plausible(signed: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
                 differ[i] = _differ(left[lo[i] : lo[i + 1]], right[ro[i] : ro[i + 1]])
             good = 100 * (total - differ) >= percent * (total + differ)
             yield part.select(["a_doc_id", "b_doc_id"]).filter(pa.array(good))
+        give_back()
 
     both = both.select("a_doc_id", "b_doc_id", "a_n", "b_n", "a_wide", "b_wide")
     found = both.mapInArrow(check, "a_doc_id bigint, b_doc_id bigint")
@@ -395,6 +411,17 @@ def _node_hash(ids: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _bits_of(rows: DataFrame, ids: list[str]) -> np.ndarray:
+    """A bit table of fixed size over the ids of rows."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for part in batches:
+            yield _node_hash([long_column(part, c) for c in ids])
+
+    rows = rows.select(*ids)
+    return counts.merged_bits(rows, hashes, counts.width_for(rows.count()))
+
+
 def verified(
     docs: DataFrame, spec: SetSpec, levels: np.ndarray, pairs: DataFrame
 ) -> DataFrame:
@@ -408,20 +435,10 @@ def verified(
     a, b = [f"a_{c}" for c in ids], [f"b_{c}" for c in ids]
     wanted = pairs.select(*a).toDF(*ids).union(pairs.select(*b).toDF(*ids)).distinct()
     wanted = stage(wanted, "wanted")
-
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for part in batches:
-            yield _node_hash([long_column(part, c) for c in ids])
-
-    bits = counts.merged_bits(wanted, hashes, counts.width_for(wanted.count()))
-    present = spark.sparkContext.broadcast(bits)
-
-    def doc_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for part in batches:
-            yield _node_hash([long_column(part, "doc_id")])
-
-    bits = counts.merged_bits(wanted.select("doc_id"), doc_hashes, counts.width_for(wanted.count()))
-    present_docs = spark.sparkContext.broadcast(bits)
+    present = spark.sparkContext.broadcast(_bits_of(wanted, ids))
+    present_docs = present
+    if spec.by_line:
+        present_docs = spark.sparkContext.broadcast(_bits_of(wanted, ["doc_id"]))
     shared = spark.sparkContext.broadcast(levels)
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -456,6 +473,7 @@ def verified(
                 shared = int(np.count_nonzero(merged[1:] == merged[:-1]))
                 good[i] = similar(shared, len(x), len(y), spec.percent)
             yield part.select([*a, *b]).filter(pa.array(good))
+        give_back()
 
     found = both.select(*a, *b, "a_tokens", "b_tokens").mapInArrow(
         check, ", ".join(f"{c} bigint" for c in [*a, *b])

@@ -8,6 +8,7 @@ per word. All arithmetic is modulo 2^64.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: Bytes of one text hashed at once, cut between words.
 PIECE_BYTES = 1 << 19
 
@@ -35,12 +36,14 @@ IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over all output bits (a bijection of 64-bit values)."""
     x = x ^ (x >> U64(33))
-    x = x * U64(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> U64(33))
-    x = x * U64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> U64(33))
+    x *= U64(0xFF51AFD7ED558CCD)
+    x ^= x >> U64(33)
+    x *= U64(0xC4CEB9FE1A85EC53)
+    x ^= x >> U64(33)
+    return x
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -79,12 +82,23 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - first
 
 
+def give_back() -> None:
+    """Return the free memory of this Python worker, which lives on beside later tasks.
+
+    Arrow and the C library keep what was freed; together with other workers' that is more than the
+    work needs. Where the C library is another one, its part is left out.
+    """
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``most`` bytes of text.
 
-    At the end of a task Arrow's unused memory goes back, since later tasks use the worker again.
+    At the end of a task unused memory goes back, since later tasks use the worker again.
     """
     for batch in batches:
         if not batch.num_rows:
@@ -94,7 +108,7 @@ def slices(
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(lo, hi - lo)
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def words_of(
@@ -113,20 +127,20 @@ def words_of(
     open_end[:-1] = ~word[1:]
     open_end[inner - 1] = True
     ends = np.flatnonzero(edge & open_end) + 1
-    table = _BYTE_LOWER if lower else _BYTE
+    table = (_BYTE_LOWER if lower else _BYTE).copy()
+    table[space] = 0
     hashes = np.empty(len(starts), dtype=np.uint64)
     at = 0
     while at < len(starts):
         origin = starts[at]
         stop = max(at + 1, int(np.searchsorted(ends, origin + PIECE_BYTES, side="right")))
         length = int(ends[stop - 1] - origin)
-        total = np.zeros(length + 1, dtype=np.uint64)
-        values = table[data[origin : origin + length]]
-        np.cumsum(values * powers(_BASE, length), out=total[1:])
+        values = np.take(table, data[origin : origin + length])
+        values *= powers(_BASE, length)
         first = starts[at:stop] - origin
-        hashes[at:stop] = (total[ends[at:stop] - origin] - total[first]) * powers(
-            _BASE_INVERSE, length
-        )[first]
+        # What parts words counts 0, so a sum may go on to the next word.
+        np.add.reduceat(values, first, out=hashes[at:stop])
+        hashes[at:stop] *= powers(_BASE_INVERSE, length)[first]
         at = stop
     return Words(mix(hashes), starts, ends, np.searchsorted(starts, offsets))
 
@@ -155,14 +169,22 @@ def shingles_of(
     counts = np.where(lengths >= width, lengths - width + 1, np.minimum(lengths, 1))
     out_bounds = np.concatenate([[0], np.cumsum(counts)])
     out = np.empty(int(out_bounds[-1]), dtype=np.uint64)
-    run = np.repeat(np.arange(len(lengths)), counts)
-    begin = bounds[run] + np.arange(len(out)) - out_bounds[run]
     coefficient = powers(_SHINGLE_BASE, width)
-    value = np.zeros(len(out), dtype=np.uint64)
-    length = np.minimum(lengths[run], width)
     padded = np.concatenate([hashes, np.zeros(width, dtype=np.uint64)])
+    value = np.zeros(len(hashes), dtype=np.uint64)
     for j in range(width):
-        term = padded[begin + j] * coefficient[j]
-        value += np.where(j < length, term, U64(0))
-    out[:] = mix(value + length.astype(np.uint64))
+        value += padded[j : j + len(hashes)] * coefficient[j]
+    value += U64(width)
+    begin = np.repeat(bounds[:-1] - out_bounds[:-1], counts)
+    begin += np.arange(len(out))
+    np.take(value, begin, out=out)
+    short = np.flatnonzero((lengths > 0) & (lengths < width))
+    if len(short):
+        length = lengths[short]
+        value = length.astype(np.uint64)
+        for j in range(width):
+            term = padded[bounds[short] + j] * coefficient[j]
+            value += np.where(j < length, term, U64(0))
+        out[out_bounds[short]] = value
+    out[:] = mix(out)
     return out, out_bounds

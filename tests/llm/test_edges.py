@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from stratamart.llm import embedding_dedup, jaccard_join, setjoin
+from stratamart.llm import embedding_dedup, jaccard_join, line_dedup, setjoin, text
 from stratamart.llm.graph import connected_components
 from stratamart.llm.host_rules import judge_by_host, shrunk_rates
 from stratamart.llm.jaccard_join import choose_boundary, near_copies
@@ -134,6 +134,36 @@ def test_only_plausible_pairs_are_compared_by_whole_sets(spark, monkeypatch):
     assert all(a // 2 == b // 2 for a, b in compared)
 
 
+def test_lists_take_one_python_worker_a_task(spark, docs, monkeypatch):
+    """Two in a row keep twice the workers, whose memory stays beside later steps."""
+    plans = []
+
+    def looking(df, purpose, write=jaccard_join.stage):
+        if purpose == "lists":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, purpose)
+
+    monkeypatch.setattr(jaccard_join, "stage", looking)
+    near_copies(docs)
+    assert [plan.count("MapInArrow") for plan in plans] == [1]
+
+
+def test_free_memory_goes_back():
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096
+
+    if text._TRIM is None:
+        pytest.skip("another C library")
+    blocks = [np.ones(8000) for _ in range(2000)]  # 128 MB in blocks that the C library keeps
+    last = np.ones(8000)
+    before = resident()
+    del blocks
+    text.give_back()
+    assert before - resident() > 100_000_000
+    assert len(last) == 8000
+
+
 def test_wide_signatures_never_exceed_the_difference():
     random = np.random.default_rng(5)
     for m, n in ((3, 4), (63, 65), (120, 140), (1000, 1100), (4000, 4200)):
@@ -167,6 +197,29 @@ def test_near_lines(spark):
     assert sort(remove_repeated_lines(frame).collect()) == sort(brute.kept_lines(texts))
 
 
+def test_copies_of_a_line_make_no_lists(spark, monkeypatch):
+    """A key that only one head and its copies have compares nothing, so it is not listed."""
+    listed = []
+
+    def counting(df, purpose, write=line_dedup.stage):
+        written = write(df, purpose)
+        if purpose == "lists":
+            listed.append(written.count())
+        return written
+
+    monkeypatch.setattr(line_dedup, "stage", counting)
+    line = " ".join(f"c{i}" for i in range(40))
+    near = " ".join(f"n{i}" for i in range(100))
+    copies = spark.createDataFrame([(i, line, None, None, 0) for i in range(20)], DOCS)
+    found = remove_repeated_lines(copies).agg(F.sum("n_removed")).first()[0]
+    assert (found, listed) == (19, [0])
+    rows = [(50, near, None, None, 0), (51, near + " more", None, None, 0)]
+    both = copies.union(spark.createDataFrame(rows, DOCS))
+    gone = remove_repeated_lines(both).where("n_removed > 0").select("doc_id").collect()
+    assert sorted(r[0] for r in gone) == [*range(1, 20), 51]
+    assert listed[1] > 0
+
+
 def test_passages(docs, nothing):
     assert sort(remove_repeated_passages(docs).collect()) == sort(brute.kept_passages(plain()))
     assert remove_repeated_passages(nothing).collect() == []
