@@ -53,6 +53,7 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     lists = postings(signed, spec, ListKeys(spec.percent), heads, tuple(spec.parity))
     lists = lists.join(copies, ids, "left_anti")
     lists = stage(lists.withColumn("band", size_band()), "lists")
+    release(signed)  # nothing below reads it
     fields = [*ids, "n", "place"]
     first = lists.groupBy("key", "band").agg(
         F.min(F.struct(*fields)).alias("f"), F.count(F.lit(1)).alias("rows")
@@ -77,7 +78,7 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     more = verified(texts, spec, levels, rest)
     found = copies.union(gone).union(more.select(*a).toDF(*ids)).distinct()
     found = stage(found, "repeated")
-    release(signed, classed, lists, star, similar, rest, more)
+    release(classed, lists, star, similar, rest, more)
     return found
 
 
