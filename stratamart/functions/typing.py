@@ -134,6 +134,21 @@ def _cast(field: StructField, source: DataType, kind: DataType) -> tuple[str, st
     return typed, f"coalesce({exact}, false)"
 
 
+def _direct(field: StructField, typed: str, kind: DataType) -> tuple[str, str]:
+    """SQL that reads a text by one cast, and of ``{once}``, its value, whether that is all to know.
+
+    Nearly all numbers are written as Spark writes them. Such a text gives the value of its column
+    exactly, without the pattern and the wider casts of ``_cast``, which are left for all others.
+    """
+    column = quoted(field.name)
+    if field.name in FLAG_COLUMNS or not isinstance(kind, T.NumericType):
+        return typed, "{once} IS NOT NULL"
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        read = f"try_cast({column} AS {kind.simpleString()})"
+        return read, f"CAST({{once}} AS STRING) = {column}"
+    return "", ""
+
+
 def _present(df: DataFrame, contract: StructType) -> dict[str, StructField]:
     missing = [field.name for field in contract if field.name not in df.columns]
     if missing:
@@ -153,21 +168,30 @@ def apply_contract(
     if strict:
         types = {field.name: field.dataType for field in contract}
     types = types or measured_types(df, contract)
-    columns = []
+    columns, direct = [], []
     for c in df.schema:
         name = quoted(c.name)
+        typed, exact = name, "true"
         if c.name in fields:
             typed, exact = _cast(fields[c.name], c.dataType, types[c.name])
-            if strict and exact != "true":
-                said = text_literal(f"column {c.name} cannot hold the value ")
-                stop = f"raise_error(concat({said}, {name}))"
-                typed = f"CASE WHEN {name} IS NULL OR {exact} THEN {typed} ELSE {stop} END"
-            elif exact != "true":
-                typed = f"CASE WHEN {exact} THEN {typed} END"
-            columns.append(f"{typed} AS {name}")
-        else:
-            columns.append(name)
-    return df.selectExpr(*columns)
+        if exact == "true":
+            # Without an alias: plans that read the result twice then share their shuffles.
+            columns.append(name if typed == name else f"{typed} AS {name}")
+            continue
+        cases = f"WHEN {exact} THEN {typed}"
+        if isinstance(c.dataType, T.StringType):
+            read, known = _direct(fields[c.name], typed, types[c.name])
+            if read:
+                once = quoted(f"_direct_{c.name}")
+                direct.append(f"{read} AS {once}")
+                known = known.format(once=once)
+                cases = f"WHEN {known} THEN {once}" + (f" {cases}" if read != typed else "")
+        if strict:
+            said = text_literal(f"column {c.name} cannot hold the value ")
+            cases = f"WHEN {name} IS NULL THEN NULL {cases} ELSE raise_error(concat({said}, {name}))"
+        columns.append(f"CASE {cases} END AS {name}")
+    # A projection of its own, so that the cast is evaluated once for all its uses.
+    return (df.selectExpr("*", *direct) if direct else df).selectExpr(*columns)
 
 
 def reject_counts(df: DataFrame, contract: StructType, types: Types | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.contracts import METADATA_COLUMNS, WINDOW_DAYS
+from stratamart.contracts import INGESTION_TIMESTAMP, METADATA_COLUMNS, WINDOW_DAYS
 from stratamart.functions.columns import interval_days, quoted
 from stratamart.operators.dedup import keep_one_per_key
 
@@ -66,7 +66,23 @@ def build_fact_order_line(orders_header: DataFrame, orders_detail: DataFrame) ->
 
     Uniqueness follows from the unique inputs, so no deduplication is run after the join.
     """
-    return attach_lines(clean_orders(orders_header), clean_lines(orders_detail))
+    lines = _without_last_shared(orders_detail, orders_header)
+    return attach_lines(clean_orders(orders_header), clean_lines(lines))
+
+
+def _without_last_shared(orders_detail: DataFrame, orders_header: DataFrame) -> DataFrame:
+    """Lines without those last columns that the fact takes from the order, such as the source file.
+
+    The survivor of a deduplication is chosen by the load time and then by the columns in order. So
+    the last ones only choose among rows that are equal in all columns the fact keeps of a line.
+    """
+    names = orders_detail.columns
+    own = {"order_id", "line_id", "qty_units", INGESTION_TIMESTAMP}
+    shared = set(orders_header.columns) - own
+    last = len(names)
+    while last and names[last - 1] in shared | {INGESTION_TIMESTAMP}:
+        last -= 1
+    return orders_detail.drop(*[name for name in names[last:] if name in shared])
 
 
 def newest_date(dated: DataFrame) -> Column:

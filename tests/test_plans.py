@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from conftest import TESTDATA, final_plan
 from stratamart import contracts
 from stratamart import queries as registry
+from stratamart.functions.typing import apply_contract
 from stratamart.operators import rollups
 from stratamart.operators.dedup import keep_one_per_key
 from stratamart.operators.facts import (
     attach_lines,
+    build_fact_order_line,
     build_recent_activity,
     build_recent_fact,
     clean_orders,
@@ -229,3 +231,42 @@ def test_window_queries_read_the_orders_once(spark, name):
     expected = 2 if name == "category_variety_3m" else 1
     assert len(scans) - len(narrow) <= expected
     assert len(narrow) <= 1
+
+
+def test_typed_fact_reads_its_sources_once(spark, tmp_path):
+    """Columns that keep their type are no new columns: both parts of the fact share the shuffles."""
+    loaded = {}
+    for table, source in {"orders_header": orders_header, "orders_detail": orders_detail}.items():
+        rows = source(spark, TESTDATA).selectExpr(
+            "*", "current_timestamp() AS ingestion_timestamp", f"'{table}.csv' AS source_file"
+        )
+        write_table(rows, str(tmp_path / table))
+        contract = contracts.BRONZE[table]
+        loaded[table] = apply_contract(spark.read.parquet(str(tmp_path / table)), contract)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = build_fact_order_line(loaded["orders_header"], loaded["orders_detail"])
+        plan = final_plan(fact).split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(re.findall(r"ReusedExchange", plan)) == 2
+    assert len(re.findall(r"FileScan", plan)) == 2
+    # The file of a line is no part of the fact and is not shuffled.
+    scan = re.search(r"FileScan parquet \[([^]]*line_id[^]]*)\]", plan).group(1)
+    assert "source_file" not in scan and "ingestion_timestamp" in scan
+    assert [row.source_file for row in fact.select("source_file").distinct().collect()] == ["orders_header.csv"]
+
+
+def test_last_columns_of_the_order_choose_no_other_line(spark):
+    """The survivor of a line is the same with and without the columns that the order replaces."""
+    orders = spark.sql("SELECT 1L AS order_id, 5.0 AS order_net_amount, 'h' AS source_file, 'n' AS note")
+    lines = spark.sql(
+        "SELECT * FROM VALUES (1L, 1L, 2L, 'b', 'z', 7), (1L, 1L, 2L, 'c', 'a', 6), (1L, 2L, 3L, 'b', 'z', 5)"
+        " AS t(order_id, line_id, qty_units, source_file, note, extra)"
+    )
+    kept = build_fact_order_line(orders, lines).select("line_id", "extra", "source_file").collect()
+    assert sorted(map(tuple, kept)) == [(1, 7, "h"), (2, 5, "h")]
+    last = lines.select("order_id", "line_id", "qty_units", "extra", "source_file", "note")
+    kept = build_fact_order_line(orders, last).select("line_id", "extra", "note").collect()
+    assert sorted(map(tuple, kept)) == [(1, 6, "n"), (2, 5, "n")]

@@ -4,10 +4,12 @@ import sys
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from stratamart import __main__ as command
 from stratamart import contracts
+from stratamart.functions import typing
 from stratamart.functions.columns import standard_names
 from stratamart.functions.typing import apply_contract, measured_types, reject_counts
 from stratamart.operators.dedup import keep_one_per_key
@@ -228,3 +230,19 @@ def test_command_line_builds_and_keeps_the_report(spark, tmp_path, monkeypatch,
     found = {(r["table"], r["check"], r["column"]): r["violations"] for r in report.collect()}
     assert found["orders_detail", "rejects", "qty_units"] == 1
     assert capsys.readouterr().out.count("rejects") >= 10
+
+
+ODD_NUMBERS = ["5", "+5", "-5", "-0", "007", " 7 ", "1e2", "1.50", "1.5000", ".5", "5.", "0.12345", "x", "", "1d", "NaN",
+               "9223372036854775807", "9223372036854775808", "123456789012345678.1234", None]
+
+
+@pytest.mark.parametrize("kind", [T.LongType(), T.DecimalType(18, 4)])
+def test_texts_as_spark_writes_them_are_read_as_all_others(spark, kind):
+    """One cast for usual texts must give what the pattern and the exact casts give."""
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(ODD_NUMBERS)], "i int, v string")
+    contract = T.StructType([T.StructField("v", kind)])
+    direct = {r.i: r.v for r in apply_contract(rows, contract, types={"v": kind}).collect()}
+    typed, exact = typing._cast(contract["v"], T.StringType(), kind)
+    plain = {r.i: r.v for r in rows.selectExpr("i", f"CASE WHEN {exact} THEN {typed} END AS v").collect()}
+    assert direct == plain
+    assert direct[0] == 5 and direct[ODD_NUMBERS.index("x")] is None
