@@ -26,11 +26,13 @@ from stratamart.llm.setjoin import (
     may_be_similar,
     node,
     postings,
+    repeated_sets,
     set_input,
     signatures,
     signatures_allow,
     size_band,
     verified,
+    with_repeated_set,
 )
 from stratamart.llm.staging import release, stage
 
@@ -43,17 +45,22 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     signed = stage(signatures(texts, spec, levels).where("n > 0"), "lines")
     a, b = [f"a_{c}" for c in ids], [f"b_{c}" for c in ids]
 
-    classes = signed.groupBy("d1", "d2").agg(F.min(F.struct(*ids)).alias("head"))
-    classed = signed.select("d1", "d2", *ids).join(classes, ["d1", "d2"])
-    is_copy = (F.struct(*ids) != F.col("head")).alias("is_copy")
-    classed = stage(classed.select(*ids, is_copy), "classed")
-    heads, copies = classed.where("not is_copy"), classed.where("is_copy").select(*ids)
-
-    # Only heads count as rows of a list, so a key of one head and its copies is not listed.
-    lists = postings(signed, spec, ListKeys(spec.percent), heads, tuple(spec.parity))
-    lists = lists.join(copies, ids, "left_anti")
+    # A line whose set no other line has is a head; only the others are brought together.
+    shared_sets = repeated_sets(signed, signed.count())
+    equal = stage(with_repeated_set(signed.select("d1", "d2", *ids), shared_sets), "equal")
+    classes = equal.groupBy("d1", "d2").agg(F.min(F.struct(*ids)).alias("head"))
+    classes = stage(classes, "classes")
+    copies = equal.join(classes, ["d1", "d2"]).where(F.struct(*ids) != F.col("head"))
+    copies = stage(copies.select(*ids), "copies")
+
+    # Lists hold heads, and the few copies that the bit table lets through. Those remove nothing
+    # that their heads do not remove, and are themselves settled.
+    heads = classes.select("head.*")
+    lists = postings(
+        signed, spec, ListKeys(spec.percent), heads, tuple(spec.parity), shared_sets=shared_sets
+    )
     lists = stage(lists.withColumn("band", size_band()), "lists")
-    release(signed)  # nothing below reads it
+    release(signed, equal, classes)  # nothing below reads them
     fields = [*ids, "n", "place"]
     first = lists.groupBy("key", "band").agg(
         F.min(F.struct(*fields)).alias("f"), F.count(F.lit(1)).alias("rows")
@@ -63,13 +70,15 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     )
     star = as_side(lists, "a", fields).join(first, ["key", "band"])
     star = star.where(node("a", ids) > node("b", ids)).where(may_be_similar(spec.percent))
-    star = stage(star.select(*a, *b).distinct(), "star")
+    settled = copies.toDF(*a)
+    star = star.select(*a, *b).distinct().join(settled, a, "left_anti")
+    star = stage(star, "star")
     similar = verified(texts, spec, levels, star)
     gone = similar.select(*a).toDF(*ids).distinct()
 
     fields += spec.parity
     rows = lists.select("key", *fields)
-    left = as_side(rows.join(gone, ids, "left_anti"), "a", fields)
+    left = as_side(rows.join(gone.union(copies), ids, "left_anti"), "a", fields)
     rest = left.join(as_side(rows, "b", fields), "key")
     rest = rest.where(node("a", ids) > node("b", ids)).where(may_be_similar(spec.percent))
     rest = rest.where(signatures_allow(spec.percent, spec.parity))
@@ -78,7 +87,7 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     more = verified(texts, spec, levels, rest)
     found = copies.union(gone).union(more.select(*a).toDF(*ids)).distinct()
     found = stage(found, "repeated")
-    release(classed, lists, star, similar, rest, more)
+    release(copies, lists, star, similar, rest, more)
     return found
 
 

@@ -231,6 +231,32 @@ def signatures(
     return docs.mapInArrow(rows, schema)
 
 
+def _set_hash(part: pa.RecordBatch) -> np.ndarray:
+    return long_column(part, "d1").view(np.uint64)
+
+
+def repeated_sets(signed: DataFrame, rows: int) -> np.ndarray:
+    """A bit table of fixed size that tells sets which several rows have, and few others."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for part in batches:
+            yield np.concatenate(counts.two_cells(_set_hash(part), width))
+
+    width = counts.width_for(2 * rows)
+    return counts.merged_bits(signed.select("d1"), hashes, width, least=2)
+
+
+def with_repeated_set(signed: DataFrame, shared_sets: np.ndarray) -> DataFrame:
+    """The rows whose set several rows have, by the bits of ``repeated_sets``, and few others."""
+    shared = signed.sparkSession.sparkContext.broadcast(shared_sets)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            yield part.filter(pa.array(counts.in_both(shared.value, _set_hash(part))))
+
+    return signed.mapInArrow(chosen, signed.schema)
+
+
 @dataclass(frozen=True)
 class ListKeys:
     """List keys of a set: single tokens of the prefix, or pairs of them for small sets.
@@ -271,20 +297,27 @@ def postings(
     keys: ListKeys,
     only: DataFrame,
     carry: tuple[str, ...] = (),
+    shared_sets: np.ndarray | None = None,
 ) -> DataFrame:
     """(key, ids, n, place, carried columns) of keys that several rows may have.
 
-    Of the rows whose ids are in ``only``, and of few others: a bit table tells them. A sketch over
-    all their keys tells those that only one row has; they link with nothing and are left out
-    before the shuffle. It never overlooks a repeated key.
+    Of the rows whose ids are in ``only``, and of few others: a bit table tells them. With the bits
+    ``shared_sets`` of ``repeated_sets`` also of all rows whose set is no other row's. A sketch over all their keys
+    tells those that only one row has; they link with nothing and are left out before the shuffle.
+    It never overlooks a repeated key.
     """
     wanted = signed.sparkSession.sparkContext.broadcast(_bits_of(only, spec.ids))
     total = int(signed.agg(F.coalesce(F.sum(F.length("prefix")), F.lit(0))).first()[0]) // 8
+    shared = signed.sparkSession.sparkContext.broadcast(shared_sets)
+    digest = [] if shared_sets is None else ["d1"]
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             hashes = _node_hash([long_column(part, c) for c in spec.ids])
-            yield part.filter(pa.array(counts.has_bit(wanted.value, hashes)))
+            found = counts.in_both(wanted.value, hashes)
+            if digest:
+                found |= ~counts.in_both(shared.value, _set_hash(part))
+            yield part.filter(pa.array(found))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for part in chosen(batches):
@@ -292,7 +325,7 @@ def postings(
             yield np.concatenate(counts.two_cells(found, width))
 
     width = counts.width_for(total)
-    listed = signed.select(*spec.ids, "n", "prefix")
+    listed = signed.select(*spec.ids, *digest, "n", "prefix")
     bits = counts.merged_bits(listed, hashes, width, least=2)
     repeated = signed.sparkSession.sparkContext.broadcast(bits)
     names = ["key", *spec.ids, "n", "place", *carry]
@@ -311,7 +344,7 @@ def postings(
 
     kinds = ["bigint"] * (1 + len(spec.ids)) + ["int", "int"] + ["bigint"] * len(carry)
     schema = ", ".join(f"{a} {b}" for a, b in zip(names, kinds, strict=True))
-    return signed.select(*spec.ids, "n", "prefix", *carry).mapInArrow(rows, schema)
+    return signed.select(*spec.ids, *digest, "n", "prefix", *carry).mapInArrow(rows, schema)
 
 
 def as_side(df: DataFrame, side: str, ids: list[str]) -> DataFrame:
@@ -363,7 +396,7 @@ def rows_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            found = counts.has_bit(present.value, _node_hash([long_column(part, "doc_id")]))
+            found = counts.in_both(present.value, _node_hash([long_column(part, "doc_id")]))
             if found.any():
                 yield part.filter(pa.array(found))
 
@@ -412,14 +445,16 @@ def _node_hash(ids: list[np.ndarray]) -> np.ndarray:
 
 
 def _bits_of(rows: DataFrame, ids: list[str]) -> np.ndarray:
-    """A bit table of fixed size over the ids of rows."""
+    """A bit table of fixed size over the ids of rows: two bits each, for ``counts.in_both``."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for part in batches:
-            yield _node_hash([long_column(part, c) for c in ids])
+            cells = counts.two_cells(_node_hash([long_column(part, c) for c in ids]), width)
+            yield np.concatenate(cells)
 
     rows = rows.select(*ids)
-    return counts.merged_bits(rows, hashes, counts.width_for(rows.count()))
+    width = counts.width_for(2 * rows.count())
+    return counts.merged_bits(rows, hashes, width)
 
 
 def verified(
@@ -444,11 +479,11 @@ def verified(
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             hashes = _node_hash([long_column(part, "doc_id")])
-            yield part.filter(pa.array(counts.has_bit(present_docs.value, hashes)))
+            yield part.filter(pa.array(counts.in_both(present_docs.value, hashes)))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in sets_of(chosen(batches), spec, shared.value):
-            rows = np.flatnonzero(counts.has_bit(present.value, _node_hash(found.ids)))
+            rows = np.flatnonzero(counts.in_both(present.value, _node_hash(found.ids)))
             keep = np.zeros(len(found.sizes), dtype=np.int64)
             keep[rows] = found.sizes[rows]
             tokens, bounds = heads_of_runs(found.tokens, found.bounds, keep)
