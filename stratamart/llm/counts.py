@@ -7,7 +7,6 @@ beyond its load a sketch says "often" too often, which costs work and never a re
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -51,25 +50,35 @@ def _repeats(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return cells[first], np.diff(np.append(first, len(cells)))
 
 
+def _packed(cells: np.ndarray) -> bytes:
+    return pa.compress(cells.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, dtype: str, size: int) -> np.ndarray:
+    """``size`` cells."""
+    size *= np.dtype(dtype).itemsize
+    return np.frombuffer(pa.decompress(packed, size, codec="zstd"), dtype=dtype)
+
+
 def _blocks(counters: np.ndarray) -> pa.RecordBatch:
     part = TaskContext.get().partitionId() // FAN_IN
     rows = counters.reshape(-1, min(BLOCK, len(counters)))
     used = np.flatnonzero(rows.any(axis=1))
-    cells = [zlib.compress(rows[i].tobytes(), 1) for i in used]
+    cells = [_packed(rows[i]) for i in used]
     return pa.record_batch([used.astype(np.int32), np.full(len(used), part, np.int32), cells], _ARROW)
 
 
 def _merged(group: pa.Table, counters: np.ndarray) -> pa.Table:
-    packed = zlib.compress(counters.tobytes(), 1)
-    columns = [group.column("block").slice(0, 1), pa.array([0], pa.int32()), pa.array([packed])]
+    columns = [group.column("block").slice(0, 1), pa.array([0], pa.int32())]
+    columns.append(pa.array([_packed(counters)], pa.binary()))
     return pa.table(columns, schema=_ARROW)
 
 
-def _merge(dtype: str, group: pa.Table) -> np.ndarray:
+def _merge(dtype: str, size: int, group: pa.Table) -> np.ndarray:
     total = None
     most = np.iinfo(dtype).max
     for packed in group.column("cells").to_pylist():
-        cells = np.frombuffer(zlib.decompress(packed), dtype=dtype).astype(np.int64)
+        cells = _unpacked(packed, dtype, size).astype(np.int64)
         total = cells if total is None else np.minimum(total + cells, most)
     return total.astype(dtype)
 
@@ -97,14 +106,14 @@ def merged_counts(df: DataFrame, hashes: Hashes, width: int, dtype: str = "uint8
         yield packed
 
     def merge(group: pa.Table) -> pa.Table:
-        return _merged(group, _merge(dtype, group))
+        return _merged(group, _merge(dtype, min(BLOCK, width), group))
 
     parts = df.mapInArrow(count, _PARTS)
     once = parts.groupBy("block", "part").applyInArrow(merge, _PARTS)
     twice = once.groupBy("block").applyInArrow(merge, _PARTS)
     out = np.zeros((max(1, width // BLOCK), min(BLOCK, width)), dtype=dtype)
     for row in twice.collect():  # at most width counters
-        out[row["block"]] = np.frombuffer(zlib.decompress(row["cells"]), dtype=dtype)
+        out[row["block"]] = _unpacked(row["cells"], dtype, min(BLOCK, width))
     return out.reshape(-1)
 
 
@@ -123,11 +132,11 @@ def _see(once: np.ndarray, twice: np.ndarray, hashes: np.ndarray) -> None:
     _set(once, cells)
 
 
-def _merge_bits(group: pa.Table) -> np.ndarray:
+def _merge_bits(size: int, group: pa.Table) -> np.ndarray:
     """Both halves of the packed blocks: seen at all, seen twice or more."""
     once = twice = None
     for packed in group.column("cells").to_pylist():
-        first, second = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(2, -1)
+        first, second = _unpacked(packed, "uint8", 2 * size).reshape(2, -1)
         if once is None:
             once, twice = first.copy(), second.copy()
         else:
@@ -157,21 +166,21 @@ def merged_bits(df: DataFrame, hashes: Hashes, width: int, least: int = 1) -> np
         part = TaskContext.get().partitionId() // FAN_IN
         rows, more = once.reshape(-1, block), twice.reshape(-1, block)
         used = np.flatnonzero(rows.any(axis=1))
-        cells = [zlib.compress(np.stack([rows[i], more[i]]).tobytes(), 1) for i in used]
+        cells = [_packed(np.stack([rows[i], more[i]])) for i in used]
         parts = np.full(len(used), part, np.int32)
         del once, twice, rows, more
         give_back()
         yield pa.record_batch([used.astype(np.int32), parts, cells], _ARROW)
 
     def merge(group: pa.Table) -> pa.Table:
-        return _merged(group, _merge_bits(group))
+        return _merged(group, _merge_bits(block, group))
 
     parts = df.mapInArrow(count, _PARTS)
     once = parts.groupBy("block", "part").applyInArrow(merge, _PARTS)
     twice = once.groupBy("block").applyInArrow(merge, _PARTS)
     out = np.zeros((width // 8 // block, block), dtype=np.uint8)
     for row in twice.collect():  # at most width bits
-        both = np.frombuffer(zlib.decompress(row["cells"]), dtype=np.uint8).reshape(2, -1)
+        both = _unpacked(row["cells"], "uint8", 2 * block).reshape(2, -1)
         out[row["block"]] = both[least - 1]
     return out.reshape(-1)
 

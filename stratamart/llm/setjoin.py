@@ -87,21 +87,46 @@ def long_column(part: pa.RecordBatch, name: str) -> np.ndarray:
     return part.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _numbered_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Starts of all lines of a slice, their rows and their numbers."""
+    starts, first = lines_of(data, offsets)
+    rows = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+    return starts, rows, np.arange(len(starts)) - first[rows]
+
+
 def _shingles(part: pa.RecordBatch, spec: SetSpec) -> tuple[np.ndarray, ...]:
-    """Shingle hashes and bounds of all sets of a slice, with their rows and line numbers."""
+    """Shingle hashes and bounds of all sets of a slice, with their rows and line numbers.
+
+    Rows that have a line number are lines already.
+    """
     data, offsets = text_bytes(part.column("text"))
     words = words_of(data, offsets, lower=True)
-    rows = np.arange(part.num_rows)
-    if spec.by_line:
-        starts, first = lines_of(data, offsets)
+    if spec.by_line and "line_no" not in part.schema.names:
+        starts, rows, number = _numbered_lines(data, offsets)
         bounds = np.append(np.searchsorted(words.starts, starts), len(words.starts))
-        rows = np.repeat(rows, np.diff(first))
-        number = np.arange(len(starts)) - first[rows]
     else:
-        bounds, number = words.bounds, np.zeros(part.num_rows, dtype=np.int64)
+        bounds, rows = words.bounds, np.arange(part.num_rows)
+        number = long_column(part, "line_no") if spec.by_line else np.zeros_like(rows)
     return (*shingles_of(words.hashes, bounds, spec.shingle_words), rows, number)
 
 
+def _lines_among(
+    batches: Iterator[pa.RecordBatch], present: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """The lines whose ids a bit table has, as rows of their own; those of other lines are not hashed."""
+    for part in slices(batches):
+        data, offsets = text_bytes(part.column("text"))
+        starts, rows, number = _numbered_lines(data, offsets)
+        ids = [long_column(part, "doc_id")[rows], long_column(part, "rh")[rows], number]
+        found = np.flatnonzero(counts.in_both(present, _node_hash(ids)))
+        # A line goes on to the next one's start; the line feed belongs to no word.
+        bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        buffers = [None, bounds, pa.py_buffer(data)]
+        lines = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers)
+        columns = [*(c[found] for c in ids), lines.take(pa.array(found))]
+        yield pa.record_batch([pa.array(c) for c in columns], ["doc_id", "rh", "line_no", "text"])
+
+
 def frequency_levels(docs: DataFrame, spec: SetSpec) -> np.ndarray:
     """Per counter the logarithm of how many shingles of the corpus fall on it."""
 
@@ -120,20 +145,37 @@ def sets_of(
         hashes, bounds, rows, number = _shingles(part, spec)
         level = levels[hashes & U64(len(levels) - 1)].astype(np.uint64)
         keys = (level << U64(56)) | (hashes >> U64(8))
-        owner = np.repeat(
-            np.arange(len(bounds) - 1, dtype=np.uint16 if len(bounds) < 1 << 16 else np.uint32),
-            np.diff(bounds),
-        )
-        order = np.argsort(keys)
-        order = order[np.argsort(owner[order], kind="stable")]
-        keys = keys[order]
+        keys = _sorted_runs(keys, bounds)
         first = np.ones(len(keys), dtype=bool)
-        first[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
-        size = np.bincount(owner[first], minlength=len(bounds) - 1)
+        first[1:] = keys[1:] != keys[:-1]
+        first[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+        if not first.all():
+            bounds = np.append(0, np.cumsum(first))[bounds]
+            keys = keys[first]
         ids = [long_column(part, "doc_id")[rows]]
         if spec.by_line:
             ids += [long_column(part, "rh")[rows], number.astype(np.int64)]
-        yield SetBatch(ids, keys[first], np.concatenate([[0], np.cumsum(size)]))
+        yield SetBatch(ids, keys, bounds)
+
+
+def _sorted_runs(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Every run ascending. Runs of one length are the rows of a matrix, sorted at once."""
+    lengths = np.diff(bounds)
+    runs = np.argsort(lengths, kind="stable")
+    ordered = lengths[runs]
+    ends = np.cumsum(ordered)
+    place = np.arange(len(values))
+    place += np.repeat(bounds[runs] - (ends - ordered), ordered)
+    by_length = values[place]
+    cuts = np.flatnonzero(np.diff(ordered, append=-1))
+    at = 0
+    for length, end in zip(ordered[cuts].tolist(), ends[cuts].tolist(), strict=True):
+        if length > 1:
+            by_length[at:end].reshape(-1, length).sort(axis=1)
+        at = end
+    out = np.empty_like(values)
+    out[place] = by_length
+    return out
 
 
 def binary_column(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -482,7 +524,10 @@ def verified(
             yield part.filter(pa.array(counts.in_both(present_docs.value, hashes)))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in sets_of(chosen(batches), spec, shared.value):
+        texts = chosen(batches)
+        if spec.by_line:
+            texts = _lines_among(texts, present.value)
+        for found in sets_of(texts, spec, shared.value):
             rows = np.flatnonzero(counts.in_both(present.value, _node_hash(found.ids)))
             keep = np.zeros(len(found.sizes), dtype=np.int64)
             keep[rows] = found.sizes[rows]

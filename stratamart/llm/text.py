@@ -116,7 +116,10 @@ def words_of(
 ) -> Words:
     """Words of texts, hashed; ``lower`` treats A-Z as a-z, ``space`` tells which bytes part words."""
     size = len(data)
-    word = ~space[data]
+    if space is IS_SPACE:
+        word = (data != 0x20) & (data - np.uint8(0x09) > 0x0D - 0x09)
+    else:
+        word = ~space[data]
     inner = offsets[(offsets > 0) & (offsets < size)]
     edge = word.copy()
     edge[1:] &= ~word[:-1]

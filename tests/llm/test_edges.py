@@ -221,6 +221,36 @@ def test_copies_of_a_line_make_no_lists(spark, monkeypatch):
     assert listed[1] > 0
 
 
+def test_only_asked_lines_are_hashed():
+    """Sets of lines are made again from the lines of the pairs, not from whole documents."""
+    spec = setjoin.SetSpec(by_line=True)
+    texts = ["a b c d e f\n\n  A b c d e g \nlast", None, "", "x\n", "one two one two one two one two\n" * 4]
+    columns = [pa.array([3, 4, 5, 6, 7]), pa.array([30, 40, 50, 60, 70]), pa.array(texts)]
+    batch = pa.record_batch(columns, ["doc_id", "rh", "text"])
+    asked = [(3, 30, 2), (4, 40, 0), (6, 60, 1), (7, 70, 1), (7, 70, 3), (7, 71, 0)]
+    present = np.zeros(1 << 17, dtype=np.uint8)
+    hashes = setjoin._node_hash([np.array(c) for c in zip(*asked)])
+    for cells in setjoin.counts.two_cells(hashes, 8 * len(present)):
+        setjoin.counts._set(present, np.sort(cells))
+    lines = list(setjoin._lines_among(iter([batch]), present))
+    found = {(r["doc_id"], r["rh"], r["line_no"]): r["text"] for b in lines for r in b.to_pylist()}
+    assert {k: v.strip(b"\n") for k, v in found.items()} == {
+        k: (texts[k[0] - 3] or "").split("\n")[k[2]].encode() for k in asked[:-1]
+    }
+    levels = np.zeros(1 << 16, dtype=np.uint8)
+
+    def sets(batches):
+        made = {}
+        for s in setjoin.sets_of(batches, spec, levels):
+            for i, key in enumerate(zip(*(c.tolist() for c in s.ids))):
+                made[key] = s.tokens[s.bounds[i] : s.bounds[i + 1]].tolist()
+        return made
+
+    whole, some = sets(iter([batch])), sets(iter(lines))
+    assert some == {k: whole[k] for k in asked[:-1]}
+    assert all(v == sorted(set(v)) for v in whole.values()) and len(some[7, 70, 3]) == 2
+
+
 def test_passages(docs, nothing):
     assert sort(remove_repeated_passages(docs).collect()) == sort(brute.kept_passages(plain()))
     assert remove_repeated_passages(nothing).collect() == []
