@@ -34,7 +34,7 @@ from stratamart.llm.setjoin import (
     verified,
     with_repeated_set,
 )
-from stratamart.llm.staging import release, stage
+from stratamart.llm.staging import drop_read_shuffles, release, stage
 
 
 def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
@@ -61,6 +61,7 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     )
     lists = stage(lists.withColumn("band", size_band()), "lists")
     release(signed, equal, classes)  # nothing below reads them
+    drop_read_shuffles(docs.sparkSession)
     fields = [*ids, "n", "place"]
     first = lists.groupBy("key", "band").agg(
         F.min(F.struct(*fields)).alias("f"), F.count(F.lit(1)).alias("rows")
@@ -74,6 +75,7 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     star = star.select(*a, *b).distinct().join(settled, a, "left_anti")
     star = stage(star, "star")
     similar = verified(texts, spec, levels, star)
+    drop_read_shuffles(docs.sparkSession)
     gone = similar.select(*a).toDF(*ids).distinct()
 
     fields += spec.parity
@@ -84,6 +86,7 @@ def repeated_lines(docs: DataFrame, spec: SetSpec) -> DataFrame:
     rest = rest.where(signatures_allow(spec.percent, spec.parity))
     rest = rest.select(*a, *b).distinct().join(star, [*a, *b], "left_anti")
     rest = stage(rest, "rest")
+    drop_read_shuffles(docs.sparkSession)
     more = verified(texts, spec, levels, rest)
     found = copies.union(gone).union(more.select(*a).toDF(*ids)).distinct()
     found = stage(found, "repeated")
