@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import shutil
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
@@ -511,6 +512,75 @@ def test_vectors(spark):
     assert embedding_dedup.near_copies(frame.limit(0)).collect() == []
 
 
+def test_vectors_met_block_by_block(spark, monkeypatch):
+    """Lists of a few vectors, so that each label has many blocks, with copies in several tasks."""
+    monkeypatch.setattr(embedding_dedup, "LIST_BYTES", 2000)
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(150, 8))
+    near = base[:100] + 0.05 * rng.normal(size=(100, 8))
+    hot = base[0] + 0.03 * rng.normal(size=(40, 8))
+    vectors = [*base, *near, *hot, *base[:30], *base[:30], *near[:10]]
+    data = [(i, [float(np.float32(x)) for x in v], i % 3 // 2) for i, v in enumerate(vectors)]
+    data += [(7, data[7][1], data[7][2]), (1000, data[9][1][:5], 1), (1001, data[9][1][:5], 1)]
+    for kind in ("float", "double"):
+        frame = spark.createDataFrame(data, f"vec_id bigint, embedding array<{kind}>, label int")
+        got = embedding_dedup.near_copies(frame.repartition(5)).collect()
+        assert sort(got) == sort(brute.vector_links(data))
+
+
+def test_vectors_of_a_dense_cell():
+    """Pairs verified by products and one by one give the same links and trees."""
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(900, 16)).astype(np.float32)
+    vectors[300:] = vectors[rng.integers(0, 2, 600)] + 0.08 * rng.normal(size=(600, 16))
+    listed = embedding_dedup._Side(
+        np.arange(900), rng.integers(1, 4, 900), vectors, *embedding_dedup._digests(vectors)
+    )
+    units = embedding_dedup._unit_rows(vectors)
+    mask = units @ units.T >= 0.98
+    np.fill_diagonal(mask, False)
+    book = embedding_dedup.fit_codebooks(units, 4, 0.98, 1.0)
+    found = []
+    for dense in (5, 1 << 30):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(embedding_dedup, "DENSE", dense)
+            patch.setattr(embedding_dedup, "QUERIES", 100)
+            block = embedding_dedup._Block(listed, book, 0.98)
+            block.own_links()
+            block.reduce()
+        links = np.zeros(900, dtype=np.int64)
+        links[block.order] = block.links
+        assert (links == mask @ listed.weight).all() and links.max() > 200
+        found.append(dict(zip(*(x.tolist() for x in block.edges[0]), strict=True)))
+    assert found[0] == found[1]
+
+
+def test_vectors_travel_once_for_half_of_the_blocks():
+    vectors = np.random.default_rng(10).normal(size=(1000, 6)).astype(np.float32)
+    table = pa.record_batch(
+        [pa.array(np.arange(1000)), pa.array(list(vectors)), pa.array(np.full(1000, 3, np.int32))],
+        ["vec_id", "embedding", "label"],
+    )
+    rows = pa.Table.from_batches(list(embedding_dedup._sent({(3, 6): 4})(iter([table, table]))))
+    first = rows.filter(pa.compute.is_valid(rows["values"]))
+    assert first["id"].to_pylist() == list(range(1000)) and rows.num_rows == 2000
+    others = first["others"].to_numpy()
+    assert set(others) == {1, 2} and others.mean() < 1.6
+    assert first["values"].to_pylist() == [x.tobytes() for x in vectors]
+
+
+def test_vectors_are_not_stored_again(spark):
+    """What is staged is smaller than the table: it was six times its size."""
+    vectors = np.random.default_rng(11).normal(size=(4000, 64)).astype(np.float32)
+    data = [(i, v.tolist(), 0) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(data, "vec_id bigint, embedding array<float>, label int")
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p: p.stat().st_size for p in folder.rglob("*.parquet")}
+    embedding_dedup.near_copies(frame).collect()
+    staged = sum(p.stat().st_size for p in folder.rglob("*.parquet") if p not in before)
+    assert staged < vectors.nbytes / 2
+
+
 def test_recall_below_one_visits_less_and_links_no_more(spark):
     rng = np.random.default_rng(6)
     base = rng.normal(size=(60, 16))
