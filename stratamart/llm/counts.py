@@ -77,16 +77,20 @@ def _merged(group: pa.Table, counters: np.ndarray) -> pa.Table:
 def _merge(dtype: str, size: int, group: pa.Table) -> np.ndarray:
     total = None
     most = np.iinfo(dtype).max
-    for packed in group.column("cells").to_pylist():
-        cells = _unpacked(packed, dtype, size).astype(np.int64)
+    wider = np.uint16 if dtype == "uint8" else np.int64
+    for packed in group.column("cells"):
+        cells = _unpacked(packed.as_py(), dtype, size).astype(wider)
         total = cells if total is None else np.minimum(total + cells, most)
     return total.astype(dtype)
 
 
-def merged_counts(df: DataFrame, hashes: Hashes, width: int, dtype: str = "uint8") -> np.ndarray:
+def merged_counts(
+    df: DataFrame, hashes: Hashes, width: int, dtype: str = "uint8", least: int | None = None
+) -> np.ndarray:
     """Counters over all hashes that ``hashes`` draws from the table.
 
-    ``width``, a power of two, bounds what a task, a merge and the driver hold.
+    ``width``, a power of two, bounds what a task, a merge and the driver hold. With ``least`` there
+    is one bit per counter instead (for ``has_bit``), which tells whether it has reached that.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,12 +112,17 @@ def merged_counts(df: DataFrame, hashes: Hashes, width: int, dtype: str = "uint8
     def merge(group: pa.Table) -> pa.Table:
         return _merged(group, _merge(dtype, min(BLOCK, width), group))
 
+    def last(group: pa.Table) -> pa.Table:
+        cells = _merge(dtype, min(BLOCK, width), group)
+        return _merged(group, cells if least is None else np.packbits(cells >= least, bitorder="little"))
+
     parts = df.mapInArrow(count, _PARTS)
     once = parts.groupBy("block", "part").applyInArrow(merge, _PARTS)
-    twice = once.groupBy("block").applyInArrow(merge, _PARTS)
-    out = np.zeros((max(1, width // BLOCK), min(BLOCK, width)), dtype=dtype)
+    twice = once.groupBy("block").applyInArrow(last, _PARTS)
+    size, kind = (min(BLOCK, width), dtype) if least is None else (min(BLOCK, width) // 8, "uint8")
+    out = np.zeros((max(1, width // BLOCK), size), dtype=kind)
     for row in twice.collect():  # at most width counters
-        out[row["block"]] = _unpacked(row["cells"], dtype, min(BLOCK, width))
+        out[row["block"]] = _unpacked(row["cells"], kind, size)
     return out.reshape(-1)
 
 

@@ -8,9 +8,11 @@ candidates as an acceptor, cut into the ranges in which they lie; there the acce
 with the transducer, and goes back with its counts. The same acceptors carry the counts of the
 longer phrases, so each range learns which of its candidates a longer one covers.
 
-Before that, two sketches (merged tables of fixed size that never underestimate), one of words and
+Before that, two sketches (merged tables of bounded size that never underestimate), one of words and
 pairs, one of the longer sequences that these leave, tell which sequences cannot reach the least
-count; these are not counted. They change no result, only how much is sorted and sent.
+count; these are not counted. They change no result, only how much is sorted and sent. They grow with
+the text up to a fixed size; tasks only get a bit of each counter. What a task counts, cuts and hands
+on is bounded whether they drop anything or not.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratamart.llm import counts, transducer
-from stratamart.llm.staging import stage
-from stratamart.llm.text import IS_SPACE, slices, text_bytes, words_of
+from stratamart.llm.staging import drop_read_shuffles, stage
+from stratamart.llm.text import IS_SPACE, give_back, slices, text_bytes, words_of
 from stratamart.llm.text import mix as spread
 
 U64 = np.uint64
@@ -41,16 +43,20 @@ assert not (IS_SPACE & ~IS_GAP).any()
 
 LONGEST = 4
 #: Words of a sorted buffer, and states of a task's transducer before it is handed on.
-BUFFER = 1 << 20
-STATES = 1 << 22
+BUFFER = 1 << 19
+STATES = 1 << 21
 #: Words of a task that wait to be spelt out.
 SPELT = 200_000
 #: Bytes of text for each prefix range.
 RANGE_BYTES = 32_000_000
 #: Tasks whose transducers meet in the first step.
 FAN_IN = 64
-#: Counters of each sketch.
+#: Bytes of what a task hands on at once.
+HANDED = 1 << 22
+#: Counters of each sketch at least and at most, and bytes of text for each in between.
 WIDTH = 1 << 24
+MOST_WIDTH = 1 << 26
+COUNTER_BYTES = 64
 UNKNOWN = "und"
 
 _SHARD = "kind int, range bigint, part int, states binary, lang string, n bigint"
@@ -88,12 +94,12 @@ class Pieces:
             out.append(spread(spread(out[-1]) + after))
         return out
 
-    def frequent(self, often: int, short: np.ndarray, long: np.ndarray | None = None) -> list:
-        """By length: may the sequence from each word on, and all in it, occur ``often`` times?"""
+    def frequent(self, short: np.ndarray, long: np.ndarray | None = None) -> list:
+        """By length: may the sequence from each word on, and all in it, be frequent by the bits?"""
         grams = self.grams()
 
-        def at_least(cells: np.ndarray, k: int) -> np.ndarray:
-            return cells[grams[k] & U64(len(cells) - 1)] >= often
+        def at_least(bits: np.ndarray, k: int) -> np.ndarray:
+            return counts.has_bit(bits, grams[k])
 
         out = [at_least(short, 0)]
         for k in range(1, LONGEST):
@@ -121,18 +127,18 @@ def _short_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield pieces.grams()[1][pieces.joined]
 
 
-def _long_grams(short: object, often: int):
+def _long_grams(short: object):
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for part in slices(batches):
             pieces = Pieces(part)
             grams = pieces.grams()
-            for k, here in list(enumerate(pieces.frequent(often, short.value)))[2:]:
+            for k, here in list(enumerate(pieces.frequent(short.value)))[2:]:
                 yield grams[k][here]
 
     return hashes
 
 
-def _shards(short: object, long: object, often: int, ranges: int):
+def _shards(short: object, long: object, ranges: int):
     """Transducers by range, words by label and the number of words by language of a task's texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,22 +163,30 @@ def _shards(short: object, long: object, often: int, ranges: int):
             fresh = transducer.counted(labels, longest, LONGEST)
             levels = transducer.union([levels, fresh]) if levels else fresh
 
-        def handed_on() -> None:
+        def handed_on() -> Iterator[pa.RecordBatch]:
             nonlocal levels
-            for r, some in transducer.cut(levels, ranges):
+            whole, levels, size = levels, None, 0
+            for r, some in transducer.cut(whole, ranges):
                 rows.append((AUTOMATON, r, part_id, transducer.packed(some), None, None))
-            levels = None
+                size += len(rows[-1][3])
+                if size >= HANDED:
+                    yield batch()
+                    size = 0
+            if rows:
+                yield batch()
 
-        def spelt_out() -> None:
+        def spelt_out() -> Iterator[pa.RecordBatch]:
             for r, words in _by_range(spelling, ranges):
                 rows.append((WORD, r, None, words, None, None))
             spelling.clear()
+            if rows:
+                yield batch()
 
         for part in slices(batches):
             pieces = Pieces(part)
             for lang, n in zip(pieces.languages, pieces.sizes.tolist(), strict=True):
                 totals[lang] = totals.get(lang, 0) + n
-            frequent = pieces.frequent(often, short.value, long.value)
+            frequent = pieces.frequent(short.value, long.value)
             waiting.append((pieces.labels, sum(x.astype(np.int8) for x in frequent)))
             # Words of candidates are words of pairs that may be frequent.
             spelt = frequent[1] | np.append(np.zeros(min(1, len(frequent[1])), bool), frequent[1][:-1])
@@ -185,16 +199,15 @@ def _shards(short: object, long: object, often: int, ranges: int):
             if sum(len(x) for x, _ in waiting) >= BUFFER:
                 counted()
                 if transducer.size(levels) >= STATES:
-                    handed_on()
+                    yield from handed_on()
             if len(spelling) > SPELT:
-                spelt_out()
-            if len(rows) > 10_000:
-                yield batch()
+                yield from spelt_out()
         if waiting:
             counted()
         if levels:
-            handed_on()
-        spelt_out()
+            yield from handed_on()
+        yield from spelt_out()
+        give_back()
         rows.extend((TOTAL, None, None, None, lang, n) for lang, n in totals.items())
         if rows:
             yield batch()
@@ -242,12 +255,15 @@ def _spelt(words: pa.Table, wanted: pa.Table) -> pa.Table:
 
 
 def _united(blobs: Iterator[bytes], combine: np.ufunc = np.add) -> transducer.Levels:
-    """One transducer of many, a few at a time."""
+    """One transducer of many, a few at a time, so that each is united a few times only."""
     waiting: list[transducer.Levels] = []
+    fresh = 0
     for data in blobs:
         waiting.append(transducer.unpacked(data))
-        if len(waiting) > 1 and sum(map(transducer.size, waiting)) > STATES:
+        fresh += transducer.size(waiting[-1])
+        if len(waiting) > 1 and fresh > max(STATES, transducer.size(waiting[0]) // 2):
             waiting = [transducer.union(waiting, combine)]
+            fresh = 0
     return transducer.union(waiting, combine)
 
 
@@ -260,6 +276,8 @@ def _unite(least: int | None):
         if least is not None:
             levels = transducer.pruned(levels, least)
         states = pa.array([transducer.packed(levels)], pa.binary())
+        del levels
+        give_back()
         part = pa.array([0], pa.int32()) if least is not None else group.column("part").slice(0, 1)
         return pa.table([group.column("range").slice(0, 1), part, states], ["range", "part", "states"])
 
@@ -411,9 +429,12 @@ def collocations(
     ranges = max(1, -(-int(size) // RANGE_BYTES))
     often = min(least, 255)  # counters end there
     context = spark.sparkContext
-    short = context.broadcast(counts.merged_counts(docs, _short_grams, WIDTH))
-    long = context.broadcast(counts.merged_counts(docs, _long_grams(short, often), WIDTH))
-    shards = stage(docs.mapInArrow(_shards(short, long, often, ranges), _SHARD), "shards")
+    width = 1 << (int(size) // COUNTER_BYTES).bit_length()
+    width = max(WIDTH, min(MOST_WIDTH, width))
+    short = context.broadcast(counts.merged_counts(docs, _short_grams, width, least=often))
+    long = context.broadcast(counts.merged_counts(docs, _long_grams(short), width, least=often))
+    drop_read_shuffles(spark)
+    shards = stage(docs.mapInArrow(_shards(short, long, ranges), _SHARD), "shards")
     short.unpersist()
     long.unpersist()
 

@@ -6,11 +6,14 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
-from stratamart.llm import phrases, spelling, transducer
+from stratamart.llm import counts, phrases, spelling, transducer
 from stratamart.llm.nn_descent import Building, Searching, build, nearest, search
 from stratamart.llm.phrases import collocations
 from stratamart.llm.queries import queries
@@ -146,6 +149,38 @@ def test_transducers_count_pack_unite_and_cut():
     assert [len(m) for m in met] == [len(v) for v in other]
 
 
+def test_counts_are_handed_on_bit_by_bit(monkeypatch):
+    """A task whose sketches drop nothing hands on small batches; they were one."""
+    monkeypatch.setattr(phrases, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(phrases, "HANDED", 50_000, raising=False)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 3000, 2000)) for _ in range(20)]
+    part = pa.record_batch([pa.array(texts), pa.array(["en"] * 20)], ["text", "lang"])
+    every = SimpleNamespace(value=np.full(1 << 13, 255, np.uint8))
+    batches = list(phrases._shards(every, every, 50)(iter([part])))
+    own = [x.filter(pa.compute.equal(x["kind"], phrases.AUTOMATON)) for x in batches]
+    largest = max(len(y) for x in own for y in x["states"].to_pylist())
+    sizes = [sum(map(len, x["states"].to_pylist())) for x in own]
+    assert len(sizes) > 10 and max(sizes) <= 50_000 + largest < sum(sizes) / 5
+    whole = phrases._united(y for x in own for y in x["states"].to_pylist())
+    assert [int(v.weight.sum()) for v in whole] == [40_000, 39_980, 39_960, 39_940]
+
+
+def test_bits_of_counters(spark):
+    frame = spark.range(3000).repartition(3)
+
+    def hashes(batches):
+        for part in batches:
+            yield part.column("id").to_numpy().astype(np.uint64) ** 2 % 97
+
+    cells = counts.merged_counts(frame, hashes, 128)
+    for least in (1, 31, 62):
+        bits = counts.merged_counts(frame, hashes, 128, least=least)
+        assert bits.nbytes == 16
+        assert (counts.has_bit(bits, np.arange(128, dtype=np.uint64)) == (cells >= least)).all()
+    assert len(np.unique(cells)) > 2
+
+
 def test_minimal_transducers_share_their_ends():
     """Thousands of first words with the same continuations need the arcs of one."""
     n = 3000
